@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from tagpulse.functions.answers import HIGH_REPUTATION
 from tagpulse.operators.latest import first_rows
 
-_ACCEPTED = F.coalesce("is_accepted", F.lit(False))
-_FALLING_SCORE = -F.coalesce("score", F.lit(0)).cast("bigint")
+_ACCEPTED = "coalesce(is_accepted, false)"
+_FALLING_SCORE = "-CAST(coalesce(score, 0) AS BIGINT)"
 
 
 def answer_totals(answers: DataFrame) -> DataFrame:
@@ -24,7 +24,7 @@ def answer_totals(answers: DataFrame) -> DataFrame:
     return answers.groupBy("question_id").agg(
         F.count("*").alias("answer_count"),
         F.sum(F.coalesce("score", F.lit(0))).alias("answer_score_sum"),
-        F.max(_ACCEPTED).alias("has_accepted_answer"),
+        F.max(F.expr(_ACCEPTED)).alias("has_accepted_answer"),
     )
 
 
@@ -83,11 +83,11 @@ def top_answer_rows(answers: DataFrame, order: Sequence[str], keep: int = 3) ->
     """
     both, one = F.array(F.lit("accepted"), F.lit("ordinary")), F.array(F.lit("ordinary"))
     reputable = F.coalesce("owner_reputation", F.lit(0)) > HIGH_REPUTATION
-    merit = [F.when(reputable, 1).otherwise(2), _FALLING_SCORE]
-    return _ranked(answers, F.when(_ACCEPTED, both).otherwise(one), merit, order, keep)
+    merit = [F.when(reputable, 1).otherwise(2), F.expr(_FALLING_SCORE)]
+    return _ranked(answers, F.when(F.expr(_ACCEPTED), both).otherwise(one), merit, order, keep)
 
 
 def preselect_rows(answers: DataFrame, order: Sequence[str], keep: int = 3) -> DataFrame:
     """The producer's cut: first accepted answer, then not accepted ones by score."""
-    place = F.when(_ACCEPTED, "accepted").otherwise("ordinary")
-    return _ranked(answers, F.array(place), [_FALLING_SCORE], order, keep)
+    place = F.when(F.expr(_ACCEPTED), "accepted").otherwise("ordinary")
+    return _ranked(answers, F.array(place), [F.expr(_FALLING_SCORE)], order, keep)

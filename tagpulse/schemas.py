@@ -83,3 +83,56 @@ RAW_ANSWER = T.StructType(
         T.StructField("owner", _OWNER),
     ]
 )
+
+
+# Stored tables.
+QNA = T.StructType(
+    [
+        *QUESTION.fields,
+        T.StructField("creation_date_readable", T.StringType()),
+        T.StructField("has_accepted_answer", T.BooleanType()),
+        T.StructField("is_unanswered", T.BooleanType()),
+        T.StructField("avg_answer_score", T.DoubleType()),
+        T.StructField("answer_count", T.IntegerType()),
+        T.StructField("answer_score_sum", T.LongType()),
+        T.StructField("event_time", T.TimestampType()),
+        T.StructField("top_answers", T.ArrayType(ANSWER)),
+    ]
+)
+
+TAG_INDEX = T.StructType(
+    [
+        T.StructField("tag", T.StringType()),
+        T.StructField("creation_date", T.LongType()),
+        T.StructField("question_id", T.LongType()),
+    ]
+)
+
+METRICS = T.StructType(
+    [
+        T.StructField("tag", T.StringType()),
+        T.StructField("period", T.StringType()),
+        T.StructField("period_start", T.TimestampType()),
+        T.StructField("total_questions", T.LongType()),
+        T.StructField("unanswered_percent", T.DoubleType()),
+        T.StructField("accepted_percent", T.DoubleType()),
+        T.StructField("avg_question_score", T.DoubleType()),
+        T.StructField("avg_answer_score", T.DoubleType()),
+    ]
+)
+
+TREND_COUNTS = T.StructType(
+    [
+        T.StructField("tag", T.StringType()),
+        T.StructField("period", T.StringType()),
+        T.StructField("stamp", T.StringType()),
+        T.StructField("raw_count", T.IntegerType()),
+        T.StructField("timestamp_readable", T.StringType()),
+    ]
+)
+
+CELLS = T.StructType(
+    [T.StructField(name, T.StringType()) for name in ("table", "row_key", "family", "qualifier", "value")]
+)
+
+REJECTS = T.StructType([T.StructField("message", T.StringType())])
