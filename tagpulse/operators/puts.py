@@ -143,7 +143,9 @@ def trend_puts(counts: DataFrame, *carry: str) -> DataFrame:
 
 def cells(puts: DataFrame, *carry: str) -> DataFrame:
     """Puts as one row per cell."""
-    return puts.select("table", "row_key", *carry, F.inline("cells"))
+    # Outer, then without the empty ones: for an inner generator Spark infers a filter on
+    # the array's size and pushes it to the scan, building every array a second time.
+    return puts.select("table", "row_key", *carry, F.inline_outer("cells")).filter("qualifier IS NOT NULL")
 
 
 def merge_cells(log: DataFrame, *versions: str) -> DataFrame:

@@ -155,9 +155,8 @@ def strip_html_answers(spark, sf_dir):
         "transform(split(html, '</p>', -1), (part, i) -> named_struct('answer_id', CAST(i AS BIGINT), 'body', part, "
         "'score', 0, 'is_accepted', false, 'owner_reputation', 0)) AS answers",
     )
-    return paragraphs.select("page_id", F.inline(F.expr(A.clean_bodies("answers")))).select(
-        "page_id", "answer_id", "body"
-    )
+    cleaned = paragraphs.select("page_id", F.inline_outer(F.expr(A.clean_bodies("answers"))))
+    return cleaned.filter("answer_id IS NOT NULL").select("page_id", "answer_id", "body")
 
 
 @_query
@@ -196,9 +195,9 @@ def answer_flags_rows(spark, sf_dir):
 
 def _picked(spark, sf_dir, expression: str) -> DataFrame:
     picked = tables.document_questions(spark, sf_dir).select(
-        "question_id", F.posexplode(F.expr(expression)).alias("position", "answer")
+        "question_id", F.posexplode_outer(F.expr(expression)).alias("position", "answer")
     )
-    return picked.select("question_id", "position", "answer.*")
+    return picked.filter("position IS NOT NULL").select("question_id", "position", "answer.*")
 
 
 @_query

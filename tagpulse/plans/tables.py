@@ -85,7 +85,8 @@ def trend_messages(events: DataFrame) -> DataFrame:
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet")
+    # as a glob, since a stream takes no path that is a single file
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
 
 
 def document_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
