@@ -45,33 +45,25 @@ def with_answer_flags(questions: DataFrame, answers: DataFrame) -> DataFrame:
     )
 
 
-def _ranked(answers: DataFrame, roles: Column, merit: Sequence[Column], order: Sequence[str], keep: int) -> DataFrame:
-    """First accepted answer, then the others by ``merit`` and ``order``, cut to ``keep``.
-
-    An answer may stand for two places: the accepted one, decided by ``order`` alone, and
-    an ordinary one, decided by merit. Each place keeps ``keep + 1`` candidates per
-    question, one more since the accepted answer may be among the ordinary ones.
+def _ranked(
+    answers: DataFrame, ordinary: Column, merit: Sequence[str], order: Sequence[str], keep: int
+) -> DataFrame:
+    """First accepted answer, then the ``ordinary`` ones by ``merit`` and ``order``, cut to ``keep``.
+
+    The accepted answer by ``order`` alone, and ``keep + 1`` others by merit, one more as
+    the accepted one may be among them. Both sets come partitioned by question and stay
+    so through the union, so a row is shuffled once.
     """
-    accepted_place = F.col("__place") == "accepted"
-    place_order = [F.when(~accepted_place, column) for column in merit] + [F.col(name) for name in order]
-    candidates = first_rows(
-        answers.withColumn("__place", F.explode(roles)),
-        ["question_id", "__place"],
-        place_order,
-        keep + 1,
-        "__candidate",
-    )
-    first = accepted_place & (F.col("__candidate") == 1)
-    question = Window.partitionBy("question_id")
-    ordinary = ~accepted_place & ~F.col("answer_id").eqNullSafe(F.col("__accepted_id"))
-    finalists = (
-        candidates.withColumn("__accepted_id", F.max(F.when(first, F.col("answer_id"))).over(question))
-        .withColumn("__first", first)
-        .filter(F.col("__first") | ordinary)
+    merit_order = [*[F.expr(text) for text in merit], *order]
+    accepted = first_rows(answers.filter(_ACCEPTED), ["question_id"], order, 1, "__candidate")
+    others = first_rows(answers.filter(ordinary), ["question_id"], merit_order, keep + 1, "__candidate")
+    both = accepted.withColumn("__first", F.lit(True)).unionByName(others.withColumn("__first", F.lit(False)))
+    accepted_id = F.max(F.when(F.col("__first"), F.col("answer_id"))).over(Window.partitionBy("question_id"))
+    finalists = both.withColumn("__accepted_id", accepted_id).filter(
+        F.col("__first") | ~F.col("answer_id").eqNullSafe(F.col("__accepted_id"))
     )
-    final_order = [F.col("__first").desc(), *place_order]
-    return first_rows(finalists, ["question_id"], final_order, keep, "rank").drop(
-        "__place", "__candidate", "__accepted_id", "__first"
+    return first_rows(finalists, ["question_id"], [F.col("__first").desc(), *merit_order], keep, "rank").drop(
+        "__candidate", "__accepted_id", "__first"
     )
 
 
@@ -81,13 +73,10 @@ def top_answer_rows(answers: DataFrame, order: Sequence[str], keep: int = 3) ->
     First the accepted answer that comes first by ``order``, then those of reputable
     owners by score, then the rest by score; ties by ``order``.
     """
-    both, one = F.array(F.lit("accepted"), F.lit("ordinary")), F.array(F.lit("ordinary"))
-    reputable = F.coalesce("owner_reputation", F.lit(0)) > HIGH_REPUTATION
-    merit = [F.when(reputable, 1).otherwise(2), F.expr(_FALLING_SCORE)]
-    return _ranked(answers, F.when(F.expr(_ACCEPTED), both).otherwise(one), merit, order, keep)
+    reputable_first = f"CASE WHEN coalesce(owner_reputation, 0) > {HIGH_REPUTATION} THEN 1 ELSE 2 END"
+    return _ranked(answers, F.lit(True), [reputable_first, _FALLING_SCORE], order, keep)
 
 
 def preselect_rows(answers: DataFrame, order: Sequence[str], keep: int = 3) -> DataFrame:
     """The producer's cut: first accepted answer, then not accepted ones by score."""
-    place = F.when(F.expr(_ACCEPTED), "accepted").otherwise("ordinary")
-    return _ranked(answers, F.array(place), [F.expr(_FALLING_SCORE)], order, keep)
+    return _ranked(answers, ~F.expr(_ACCEPTED), [_FALLING_SCORE], order, keep)

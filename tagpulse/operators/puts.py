@@ -7,6 +7,8 @@ shuffle is needed to form it. Values are text as a Python writer would print the
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -91,12 +93,15 @@ def top_answer_cells() -> Column:
     return _answer_cells("top_answers", "top_answers", "top")
 
 
-def question_puts(questions: DataFrame, *carry: str) -> DataFrame:
+FAMILIES = {"question": question_cells, "answers": answer_cells, "top_answers": top_answer_cells}
+
+
+def question_puts(questions: DataFrame, *carry: str, families: Sequence[str] = tuple(FAMILIES)) -> DataFrame:
     """One put per cleaned question: its columns, all answers, the best answers."""
     return questions.select(
         F.lit(QNA_TABLE).alias("table"),
         F.col("question_id").cast("string").alias("row_key"),
-        F.concat(question_cells(), answer_cells(), top_answer_cells()).alias("cells"),
+        F.concat(*[FAMILIES[family]() for family in families]).alias("cells"),
         *carry,
     )
 

@@ -58,10 +58,11 @@ def search_by_index(
     limit: int = SEARCH_LIMIT,
     columns: Sequence[str] = RESULT_COLUMNS,
 ) -> DataFrame:
-    """The same, restricted through the tag index: only its questions' texts are compared.
+    """The same, restricted through the tag index instead of the questions' own tags.
 
-    The join is left to Catalyst, which broadcasts the ids only below its size limit; a
-    tag may be on a third of all questions.
+    Texts are compared where they are read, and only ids and results meet in the join. It
+    is left to Catalyst, which broadcasts the ids only below its size limit: a tag may be
+    on a third of all questions.
     """
     ids = index.filter(F.col("tag").isin(*tags)).select("question_id")
     return search(questions.join(ids, "question_id", "left_semi"), query, (), limit, columns=columns)

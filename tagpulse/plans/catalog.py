@@ -330,20 +330,18 @@ def _cleaned(spark, sf_dir) -> DataFrame:
 
 @_query
 def question_cells(spark, sf_dir):
-    puts = P.question_puts(_cleaned(spark, sf_dir)).withColumn("cells", F.expr("filter(cells, c -> c.family = 'question')"))
-    return P.cells(puts)
+    return P.cells(P.question_puts(_cleaned(spark, sf_dir), families=["question"]))
 
 
 @_query
 def answer_cells(spark, sf_dir):
-    puts = P.question_puts(_cleaned(spark, sf_dir)).withColumn("cells", F.expr("filter(cells, c -> c.family = 'answers')"))
-    return P.cells(puts)
+    return P.cells(P.question_puts(_cleaned(spark, sf_dir), families=["answers"]))
 
 
 @_query
 def top_answer_cells(spark, sf_dir):
-    puts = P.question_puts(Q.clean(tables.document_questions(spark, sf_dir)))
-    return P.cells(puts.withColumn("cells", F.expr("filter(cells, c -> c.family = 'top_answers')")))
+    cleaned = Q.clean(tables.document_questions(spark, sf_dir))
+    return P.cells(P.question_puts(cleaned, families=["top_answers"]))
 
 
 @_query
