@@ -42,8 +42,6 @@ def differences(spark_df, connection, sql: str) -> str | None:
         return f"columns {sorted(ours_columns)} != {sorted(theirs_columns)}"
     if len(ours) != len(theirs):
         return f"rows {len(ours)} != {len(theirs)}"
-    if not ours:
-        return "no rows"
     left, right = _sorted(ours, ours_columns), _sorted(theirs, theirs_columns)
     if left != right:
         wrong = [(a, b) for a, b in zip(left, right, strict=True) if a != b]

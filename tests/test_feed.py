@@ -1,0 +1,158 @@
+from __future__ import annotations
+
+import json
+
+from pyspark.sql import functions as F
+
+from tagpulse.operators.latest import latest_version
+from tagpulse.schemas import QUESTION, RAW_ANSWER, RAW_QUESTION
+from tagpulse.sources import decode, feed, messages
+
+
+def raw(spark, texts):
+    rows = [(bytearray(text, "utf-8") if text is not None else None, i) for i, text in enumerate(texts)]
+    return spark.createDataFrame(rows, "value binary, version long")
+
+
+RECORD = {
+    "question_id": 7,
+    "title": "t",
+    "body": "<p>b</p>",
+    "creation_date": 5,
+    "score": -1,
+    "tags": ["a", "b"],
+    "owner_reputation": 3,
+    "is_answered": True,
+    "mode": "live",
+    "answers": [
+        {"answer_id": 1, "body": "x", "score": 2, "is_accepted": True, "owner_reputation": 9, "creation_date": 6}
+    ],
+}
+
+
+def test_decoding_takes_the_declared_fields(spark):
+    row = decode.decode_questions(raw(spark, [json.dumps(RECORD)]), "version").first()
+    assert row.asDict(recursive=True) == {
+        "version": 0,
+        "question_id": 7,
+        "title": "t",
+        "body": "<p>b</p>",
+        "creation_date": 5,
+        "score": -1,
+        "tags": ["a", "b"],
+        "owner_reputation": 3,
+        "answers": [{"answer_id": 1, "body": "x", "score": 2, "is_accepted": True, "owner_reputation": 9}],
+    }
+
+
+def test_rejected_and_kept_are_all_messages(spark):
+    texts = [
+        json.dumps(RECORD),
+        "not json",
+        '{"question_id":"x","tags":["b"]}',
+        '{"question_id":8,"score":"high"}',
+        '{"question_id": 9',
+        "",
+        None,
+        "[1]",
+        "{}",
+    ]
+    source = raw(spark, texts)
+    kept = decode.decode_questions(source, "version").select("version", "question_id", "score").collect()
+    assert sorted(map(tuple, kept)) == [(0, 7, -1), (3, 8, None)]
+    rejected = decode.rejected_questions(source, "version").collect()
+    assert sorted((row.version, row.message) for row in rejected) == [
+        (i, texts[i]) for i in range(len(texts)) if i not in (0, 3)
+    ]
+
+
+def test_messages_are_parsed_once(spark):
+    plan = decode.decode_questions(raw(spark, ["{}"]))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
+def test_records_survive_the_round_trip(spark):
+    source = decode.decode_questions(raw(spark, [json.dumps(RECORD)]))
+    out = decode.to_messages(source)
+    assert out.columns == ["key", "value"] and out.first().key == "7"
+    again = decode.decode(out.select(F.col("value").cast("binary").alias("value")), QUESTION)
+    assert again.collect() == source.collect()
+    assert decode.to_messages(source, key=None).columns == ["value"]
+
+
+def test_trends_share_one_time(spark):
+    rows = decode.decode_trends(raw(spark, ['{"tag":"a","count":1}', '{"tag":"b","count":"x"}', "?"])).collect()
+    assert [(row.tag, row["count"]) for row in rows] == [("a", 1), ("b", None), (None, None)]
+    assert len({row.event_time for row in rows}) == 1
+
+
+def test_kafka_options():
+    assert messages.kafka_options("topic", "host:1") == {
+        "kafka.bootstrap.servers": "host:1",
+        "subscribe": "topic",
+        "startingOffsets": "latest",
+        "failOnDataLoss": "false",
+        "maxOffsetsPerTrigger": "1000",
+    }
+    busy = messages.kafka_options("topic", max_per_trigger=None, min_partitions=64, starting_offsets="earliest")
+    assert "maxOffsetsPerTrigger" not in busy
+    assert (busy["minPartitions"], busy["startingOffsets"]) == ("64", "earliest")
+
+
+def test_shaping_fills_what_is_missing(spark):
+    questions = spark.createDataFrame(
+        [(1, "t", "b", 5, 2, (7,), True, ["x"]), (2, None, None, None, None, None, None, None)], RAW_QUESTION
+    )
+    answers = spark.createDataFrame(
+        [
+            (1, 11, "low", 1, None, 100, None),
+            (1, 12, "high", 9, False, 100, (5,)),
+            (1, 13, "accepted later", 0, True, 300, (5,)),
+            (1, 14, "accepted first", 0, True, 200, (5,)),
+            (1, 15, "middle", 5, False, 100, (5,)),
+            (3, 16, "of no question", 5, False, 100, (5,)),
+        ],
+        RAW_ANSWER,
+    )
+    rows = {row.question_id: row for row in feed.shape_questions(questions, answers).collect()}
+    assert set(rows) == {1, 2}
+    assert [a.answer_id for a in rows[1].answers] == [14, 12, 15]
+    assert (rows[1].owner_reputation, rows[1].is_answered, rows[1].tags) == (7, True, ["x"])
+    assert (rows[2].owner_reputation, rows[2].is_answered, rows[2].tags, rows[2].answers) == (0, False, [], [])
+    uncut = feed.shape_questions(questions, answers.filter("answer_id = 11")).filter("question_id = 1").first()
+    assert (uncut.answers[0].is_accepted, uncut.answers[0].owner_reputation) == (False, 0)
+
+
+def brute_slices(times, start, end, width=60):
+    found, at = [], start
+    while at < end:
+        found += [(t, at) for t in times if at <= t <= at + width]
+        at += width
+    return sorted(found)
+
+
+def test_slices_share_their_ends(spark):
+    times = [-1, 0, 1, 59, 60, 61, 119, 120, 121, 180, 181, 200, 240, 241, 300]
+    rows = spark.createDataFrame([(t,) for t in times], "creation_date long")
+    for end in (180, 240, 241):
+        got = feed.slices(rows, 0, end, "live").select("creation_date", "slice_start").collect()
+        inside = [t for t in times if t <= end]
+        assert sorted(map(tuple, got)) == brute_slices(inside, 0, end)
+
+
+def test_backfill_then_live(spark):
+    rows = spark.createDataFrame([(t,) for t in (100, 86400, 86401, 90000)], "creation_date long")
+    got = feed.backfill_and_live(rows, now=86400, until=90000, days=1).select("creation_date", "mode").collect()
+    assert sorted(map(tuple, got)) == [
+        (100, "backfill"), (86400, "backfill"), (86400, "live"), (86401, "live"), (90000, "live"),
+    ]
+
+
+def test_newest_of_many_copies(spark, without_broadcast):
+    rows = spark.range(9000).selectExpr("if(id % 3 = 0, 0, id) AS question_id", "id AS version", "id AS payload")
+    newest = latest_version(rows.repartition(8), ["question_id"], ["version"])
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    # every task sends one row of the key that holds a third of the table
+    assert plan.index("Partial") > plan.index("Exchange hashpartitioning")
+    found = {row.question_id: row.version for row in newest.collect()}
+    assert found[0] == 8997 and len(found) == 6001

@@ -1,0 +1,225 @@
+from __future__ import annotations
+
+import calendar
+import json
+import os
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from tagpulse.operators.metrics import finish, hourly_parts
+from tagpulse.operators.questions import with_answer_columns
+from tagpulse.plans.batch import compact_all, refresh_calendar_metrics
+from tagpulse.schemas import METRIC_QUESTION
+from tagpulse.sources.decode import decode_questions
+from tagpulse.sources.messages import file_messages
+from tagpulse.streaming import jobs
+from tagpulse.streaming.store import Store
+
+ONCE = {"availableNow": True}
+HOUR = 3600
+
+
+def at(hour, minute, second=0):
+    return hour * HOUR + minute * 60 + second
+
+
+def question(i, created, tags=("a",), answers=(), **more):
+    return {"question_id": i, "creation_date": created, "score": i, "tags": list(tags), "answers": list(answers), **more}
+
+
+class Feed:
+    """A folder of message files that a stream reads one per micro-batch, in order."""
+
+    def __init__(self, spark, folder):
+        self.spark, self.folder, self.files = spark, folder / "in", 0
+        self.folder.mkdir(parents=True)
+        self.root = str(folder)
+
+    def send(self, *records):
+        path = self.folder / f"{self.files:03}.txt"
+        staged = self.folder.parent / f"{self.files:03}.staged"
+        staged.write_text("".join((r if isinstance(r, str) else json.dumps(r)) + "\n" for r in records))
+        stamp = 1_700_000_000 + self.files
+        os.utime(staged, (stamp, stamp))
+        staged.rename(path)
+        self.files += 1
+        return self
+
+    @property
+    def messages(self):
+        return file_messages(self.spark, str(self.folder), max_per_trigger=1)
+
+    def store(self):
+        return Store(self.spark, f"{self.root}/tables")
+
+    def run(self, start, store, **options):
+        query = start(self.messages, store, f"{self.root}/checkpoints", ONCE, **options)
+        query.awaitTermination()
+        return query
+
+
+@pytest.fixture
+def feed(spark, tmp_path):
+    return Feed(spark, tmp_path)
+
+
+def totals(store):
+    rows = store.metrics.latest().select("tag", F.unix_seconds("period_start").alias("start"), "total_questions")
+    return {(row.tag, row.start // HOUR): row.total_questions for row in rows.collect()}
+
+
+def test_late_rows_count_until_their_window_closes(feed):
+    feed.send(question(1, at(1, 59, 59)))
+    # Spark drops late rows by the watermark of the batch before, so one batch passes
+    feed.send(question(4, at(1, 59, 59)))
+    feed.send(question(2, at(1, 20)), question(3, at(0, 5)))
+    store = feed.store()
+    feed.run(jobs.start_hourly_metrics, store)
+    assert totals(store) == {("a", 1): 3}
+
+
+def test_deduplication_keeps_rows_whose_window_is_open(feed):
+    late = question(2, at(1, 20))
+    feed.send(question(1, at(1, 59, 59)), question(1, at(1, 59, 59)))
+    feed.send(question(1, at(1, 59, 59)))
+    feed.send(late, late, question(3, at(0, 5)))
+    feed.send(late, question(1, at(1, 59, 59)))
+    store = feed.store()
+    feed.run(jobs.start_hourly_metrics, store, dedup=True)
+    assert totals(store) == {("a", 1): 2}
+
+
+def test_without_deduplication_messages_count(feed):
+    feed.send(question(1, at(1, 0)), question(1, at(1, 0))).send(question(1, at(1, 0)))
+    store = feed.store()
+    feed.run(jobs.start_hourly_metrics, store)
+    assert totals(store) == {("a", 1): 3}
+
+
+def test_updates_hold_only_changed_groups(feed):
+    feed.send(question(1, at(1, 0), ["a"]), question(2, at(1, 0), ["b"]))
+    feed.send(question(3, at(1, 5), ["a"]))
+    store = feed.store()
+    feed.run(jobs.start_hourly_metrics, store)
+    log = feed.spark.read.parquet(f"{store.metrics.path}/log")
+    written = sorted((row.batch_id, row.tag, row.total_questions) for row in log.collect())
+    assert written == [(0, "a", 1), (0, "b", 1), (1, "a", 2)]
+
+
+def test_a_restart_goes_on_from_its_checkpoint(feed):
+    store = feed.store()
+    feed.send(question(1, at(1, 0)))
+    first = feed.run(jobs.start_hourly_metrics, store)
+    feed.send(question(2, at(1, 1)))
+    second = feed.run(jobs.start_hourly_metrics, store)
+    assert first.id == second.id and first.runId != second.runId
+    assert totals(store) == {("a", 1): 2}
+
+
+def test_stream_equals_batch(spark, feed):
+    records = [
+        question(i, at(3, 0) + i * 97, [f"t{i % 3}", "all"], [{"score": i % 5, "is_accepted": i % 4 == 0}] * (i % 4))
+        for i in range(300)
+    ]
+    for start in range(0, 300, 100):
+        feed.send(*records[start : start + 100])
+    store = feed.store()
+    feed.run(jobs.start_hourly_metrics, store)
+    batch = spark.read.text(str(feed.folder)).select(F.col("value").cast("binary").alias("value"))
+    direct = finish(hourly_parts(with_answer_columns(decode_questions(batch, schema=METRIC_QUESTION))))
+
+    def rounded(frame):
+        columns = [F.round(c, 9) if t == "double" else F.col(c) for c, t in direct.dtypes]
+        return sorted(map(tuple, frame.select(*columns).collect()))
+
+    assert rounded(store.metrics.latest()) == rounded(direct)
+
+
+def test_question_job(feed):
+    old = question(1, at(1, 0), ["a", "b"], [], title="t", body="<p>old</p>")
+    answers = [
+        {"answer_id": n, "body": f"<b>{n}</b>", "score": n, "is_accepted": n == 2, "owner_reputation": 5} for n in (1, 2, 3, 4)
+    ]
+    new = question(1, at(1, 0), ["a"], answers[:1], title="t", body="<p>new</p>")
+    feed.send({**old, "answers": answers}, "broken", question(2, at(2, 0), ["a"]))
+    feed.send(new, '{"title": "no id"}')
+    store = feed.store()
+    feed.run(jobs.start_questions, store)
+
+    rows = {row.question_id: row for row in store.questions.latest().collect()}
+    assert set(rows) == {1, 2}
+    assert rows[1].body == "new" and [a.answer_id for a in rows[1].top_answers] == [1]
+    assert rows[2].is_unanswered and rows[2].body == "" and rows[2].top_answers == []
+    assert sorted(row.message for row in store.rejects.latest().collect()) == ["broken", '{"title": "no id"}']
+    index = sorted(map(tuple, store.tag_index.latest().collect()))
+    assert index == [("a", at(1, 0), 1), ("a", at(2, 0), 2), ("b", at(1, 0), 1)]
+
+    cells = {(r.row_key, r.family, r.qualifier): r.value for r in store.cells.latest().collect() if r.table == "stackoverflow_qna"}
+    assert cells["1", "question", "body"] == "new"
+    assert cells["1", "question", "tags"] == '["a"]'
+    assert cells["1", "question", "has_accepted"] == "False"
+    assert cells["2", "question", "title"] == "None"
+    assert cells["1", "answers", "answer1_body"] == "1"
+    # columns that the later put does not have stay as they were
+    assert cells["1", "answers", "answer4_score"] == "4"
+    assert cells["1", "top_answers", "top1_id"] == "1" and cells["1", "top_answers", "top2_id"] == "4"
+
+
+def test_trends_and_metrics_share_rows(feed):
+    store = feed.store()
+    feed.send('{"tag": "a", "count": 3}', '{"tag": "b", "count": 1}', "broken").send('{"tag": "a", "count": 8}')
+    feed.run(jobs.start_trends, store)
+    counts = {(row.tag, row.period): row for row in store.trend_counts.latest().collect()}
+    assert {key: row.raw_count for key, row in counts.items() if key[0] == "a"} == {
+        ("a", "hourly"): 8, ("a", "daily"): 8, ("a", "monthly"): 8,
+    }
+    hour = counts["a", "hourly"]
+    now = calendar.timegm(time.strptime(hour.stamp, "%Y%m%d%H"))
+    other = Feed(feed.spark, feed.folder.parent / "more")
+    other.send(question(1, now, ["a"]))
+    other.run(jobs.start_hourly_metrics, store)
+    row = {c.qualifier: c.value for c in store.cells.latest().collect() if c.row_key == f"a#hourly#{hour.stamp}"}
+    assert row["raw_count"] == "8" and row["total_questions"] == "1"
+    # written by both, last by the metrics
+    assert row["timestamp_readable"].endswith(":00:00")
+
+
+def test_all_three_jobs_and_the_batch_refresh(spark, feed):
+    trends = Feed(spark, feed.folder.parent / "trends")
+    trends.send('{"tag": "a", "count": 3}')
+    feed.send(question(1, at(1, 0), ["a"], [{"answer_id": 1, "score": 4, "is_accepted": True}]), question(2, at(30, 0)))
+    store, running = jobs.start_all(spark, feed.messages, trends.messages, f"{feed.root}/all", ONCE)
+    for query in running:
+        query.awaitTermination()
+    assert {query.name for query in running} == {"questions", "hourly_metrics", "trends"}
+    spark.streams.resetTerminated()
+    refresh_calendar_metrics(store, run_id=0)
+    rows = {(r.period, r.tag, str(r.period_start)[:10]): r.total_questions for r in store.metrics.latest().collect()}
+    assert rows["daily", "a", "1970-01-01"] == 1 and rows["daily", "a", "1970-01-02"] == 1
+    assert rows["monthly", "a", "1970-01-01"] == 2
+    before = sorted(map(tuple, store.metrics.latest().collect()), key=repr)
+    compact_all(store, settle_seconds=0)
+    assert sorted(map(tuple, store.metrics.latest().collect()), key=repr) == before
+
+
+def test_when_one_job_fails_the_others_stop(spark, feed):
+    feed.send(question(1, at(1, 0)))
+    idle = Feed(spark, feed.folder.parent / "idle")
+    idle.send(question(1, at(1, 0)))
+
+    def fail(batch, batch_id):
+        raise RuntimeError("no store")
+
+    broken, healthy = feed.store(), idle.store()
+    broken.write_questions = fail
+    spark.streams.resetTerminated()
+    running = [
+        jobs.start_trends(idle.messages, healthy, f"{idle.root}/c", {"processingTime": "1 second"}),
+        jobs.start_questions(feed.messages, broken, f"{feed.root}/c", {"processingTime": "1 second"}),
+    ]
+    with pytest.raises(Exception, match="no store"):
+        jobs.await_any(spark, running)
+    assert not any(query.isActive for query in running)
+    spark.streams.resetTerminated()
