@@ -4,10 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tagpulse.operators import puts
 from tagpulse.operators.metrics import calendar_parts, finish
 from tagpulse.streaming.store import Store
-from tagpulse.streaming.tables import now_micros
 
 
 def calendar_metrics(questions: DataFrame, period: str, answer_mean: str = "per_question") -> DataFrame:
@@ -22,17 +20,10 @@ def refresh_calendar_metrics(store: Store, run_id: int, answer_mean: str = "per_
     """
     questions = store.questions.latest()
     for period in ("daily", "monthly"):
-        rows = calendar_metrics(questions, period, answer_mean).persist()
-        try:
-            store.metrics.append(rows, f"{period}_metrics", run_id)
-            if store.cell_view:
-                store.cells.append(puts.cells(puts.metric_puts(rows)), f"{period}_metrics", run_id)
-        finally:
-            rows.unpersist()
-
-
-def compact_all(store: Store, settle_seconds: int = 3600) -> None:
-    """Fold what was written more than ``settle_seconds`` ago into each table's base."""
-    before = now_micros() - settle_seconds * 1_000_000
-    for table in (store.questions, store.tag_index, store.metrics, store.trend_counts, store.cells):
-        table.compact(before)
+        store.write_metrics(calendar_metrics(questions, period, answer_mean), run_id, f"{period}_metrics")
+
+
+def compact_all(store: Store) -> None:
+    """Fold what each table's log held before the last compaction into its base."""
+    for table in store.tables:
+        table.compact()

@@ -30,7 +30,7 @@ from tagpulse.sources.decode import decode_questions, decode_trends, rejected_qu
 from tagpulse.sources.feed import backfill_and_live, flat_answers, shape_questions
 from tagpulse.streaming import jobs
 from tagpulse.streaming.store import Store
-from tagpulse.streaming.tables import KeyedTable, now_micros
+from tagpulse.streaming.tables import KeyedTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -381,7 +381,7 @@ def cell_merge(spark, sf_dir):
 
 @_query
 def keyed_table_latest(spark, sf_dir):
-    """Daily counts in two batches that share a day, a compaction between them, and the
+    """Daily counts in two batches that share a day, compacted between them, and the
     second batch written twice, as a replay does."""
     table = KeyedTable(spark, _run_folder(spark, "keyed"), CELLS, P.CELL_KEY, ["table"])
     trends = _trends(spark, sf_dir)
@@ -391,7 +391,8 @@ def keyed_table_latest(spark, sf_dir):
         return P.cells(P.trend_puts(counts))
 
     table.append(daily("event_time < TIMESTAMP'2024-01-15 12:00:00'"), "trends", 0)
-    table.compact(before=now_micros())
+    table.compact()  # closes the epoch
+    table.compact()  # folds it into the base
     for _ in range(2):
         table.append(daily("event_time >= TIMESTAMP'2024-01-15 00:00:00'"), "trends", 1)
     return table.latest()

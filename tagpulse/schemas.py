@@ -135,4 +135,23 @@ CELLS = T.StructType(
     [T.StructField(name, T.StringType()) for name in ("table", "row_key", "family", "qualifier", "value")]
 )
 
-REJECTS = T.StructType([T.StructField("message", T.StringType())])
+REJECTS = T.StructType(
+    [
+        T.StructField("message", T.StringType()),
+        T.StructField("message_version", T.LongType()),
+    ]
+)
+
+FAILED_PUTS = T.StructType(
+    [
+        T.StructField("table", T.StringType()),
+        T.StructField("row_key", T.StringType()),
+        T.StructField(
+            "cells",
+            T.ArrayType(
+                T.StructType([T.StructField(name, T.StringType()) for name in ("family", "qualifier", "value")])
+            ),
+        ),
+        T.StructField("error", T.StringType()),
+    ]
+)

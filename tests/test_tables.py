@@ -8,7 +8,8 @@ from tagpulse.operators.puts import CELL_KEY, merge_cells
 from tagpulse.schemas import CELLS
 from tagpulse.session import shared_dir
 from tagpulse.streaming.delivery import deliver
-from tagpulse.streaming.tables import KeyedTable, now_micros
+from tagpulse.streaming.store import Store
+from tagpulse.streaming.tables import KeyedTable
 
 
 def rows(spark, *values):
@@ -38,7 +39,7 @@ def test_a_replayed_batch_replaces_itself(spark, table):
     table.append(rows(spark, ("k", "a", "1"), ("gone", "a", "1")), "w", 0)
     table.append(rows(spark, ("k", "a", "1")), "w", 0)
     assert current(table) == {("k", "a"): "1"}
-    assert spark.read.parquet(f"{table.path}/log").count() == 1
+    assert spark.read.parquet(f"{table.path}/log/epoch=0").count() == 1
 
 
 def test_writers_share_rows_and_the_later_wins(spark, table):
@@ -54,19 +55,31 @@ def test_compaction_changes_nothing(spark, table):
         expected.update(values)
         table.append(rows(spark, *[(*key, value) for key, value in values.items()]), "w", batch)
         if batch in (2, 4):
-            assert table.compact(now_micros()) == (0 if batch == 2 else 1)
+            assert table.compact() == (0 if batch == 2 else 1)
         assert current(table) == expected
-    base = spark.read.parquet(f"{table.path}/base").filter("generation = 1")
-    assert base.count() == base.select(*CELL_KEY).distinct().count()
+    base = spark.read.parquet(f"{table.path}/base/generation=1")
+    assert base.count() == base.select(*CELL_KEY).distinct().count() > 0
 
 
-def test_compaction_leaves_out_what_is_newer(spark, table):
+def test_a_batch_that_ends_after_a_compaction_is_not_lost(spark, table, monkeypatch):
     table.append(rows(spark, ("k", "a", "1")), "w", 0)
-    cut = now_micros()
-    table.append(rows(spark, ("k", "a", "2")), "w", 1)
-    table.compact(cut)
-    table.compact(cut)
-    assert current(table) == {("k", "a"): "2"}
+    monkeypatch.setattr(table, "_generation", lambda: -1)  # the batch began before the compaction
+    late = KeyedTable(spark, table.path, CELLS, CELL_KEY, ["table"])
+    late.compact()
+    table.append(rows(spark, ("k", "b", "2")), "w", 1)
+    for generation in (1, 2):
+        assert current(late) == {("k", "a"): "1", ("k", "b"): "2"}
+        assert late.compact() == generation
+    assert current(late) == {("k", "a"): "1", ("k", "b"): "2"}
+
+
+def test_covered_epochs_are_not_read(spark, table):
+    for batch in range(4):
+        table.append(rows(spark, (f"k{batch}", "a", "1")), "w", batch)
+        table.compact()
+    files = [file.split("/cells/")[1] for file in table.latest().inputFiles()]
+    assert files and not any(file.startswith(("log/epoch=0", "log/epoch=1", "log/epoch=2")) for file in files)
+    assert len(current(table)) == 4
 
 
 def test_merge_of_puts_in_one_log(spark):
@@ -116,6 +129,13 @@ def test_delivery_returns_what_failed(spark, tmp_path):
     assert (tmp_path / "k3.put").read_text() == repr(("t", [(b"f:a", b"v3")]))
 
 
+def test_a_store_delivers_and_keeps_what_failed(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "tables"), cell_view=False, connect=recorder(tmp_path))
+    store._put(puts(spark, 5), "w", 0)
+    assert [row.row_key for row in store.failed_puts.latest().collect()] == ["k1"]
+    assert len(list(tmp_path.glob("*.put"))) == 4
+
+
 def test_delivery_can_fail_the_batch(spark, tmp_path):
     with pytest.raises(Exception, match="refused"):
         deliver(puts(spark, 3), recorder(tmp_path), attempts=2, delay=0.0, fail=True).collect()
