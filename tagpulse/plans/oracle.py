@@ -8,10 +8,11 @@ _TIME = "strftime({}, '%Y-%m-%d %H:%M:%S')"
 
 
 def _html(column: str, restrip: bool = True) -> str:
-    """HTML to text with the entities that occur in the given tables."""
+    """HTML to text with the entities that occur in the given tables; a name may lack its
+    semicolon where no letter or digit follows."""
     out = f"regexp_replace({column}, '{MARKUP}', ' ', 'g')"
     for name, char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("lt", "<"), ("gt", ">"), ("amp", "&")):
-        out = f"regexp_replace({out}, '&{name}(;|$)', '{char}', 'g')"
+        out = f"regexp_replace({out}, '&{name}(;|\\b)', '{char}', 'g')"
     if restrip:
         out = f"regexp_replace({out}, '{LEFTOVER_TAG}', '', 'g')"
     return f"trim(regexp_replace({out}, '{BLANKS}', ' ', 'g'))"
