@@ -126,7 +126,7 @@ def metric_puts(metrics: DataFrame, *carry: str) -> DataFrame:
     values["timestamp_readable"] = F.date_format(start, READABLE)
     return metrics.select(
         F.lit(TRENDS_TABLE).alias("table"),
-        F.concat_ws("#", "tag", "period", F.coalesce(*stamps)).alias("row_key"),
+        F.concat_ws("#", as_text(F.col("tag")), "period", F.coalesce(*stamps)).alias("row_key"),
         _cells("trend", values).alias("cells"),
         *carry,
     )
@@ -140,7 +140,7 @@ def trend_puts(counts: DataFrame, *carry: str) -> DataFrame:
     }
     return counts.select(
         F.lit(TRENDS_TABLE).alias("table"),
-        F.concat_ws("#", "tag", "period", "stamp").alias("row_key"),
+        F.concat_ws("#", as_text(F.col("tag")), "period", "stamp").alias("row_key"),
         _cells("trend", values).alias("cells"),
         *carry,
     )

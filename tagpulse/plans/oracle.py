@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from tagpulse.functions.text import BLANKS, LEFTOVER_TAG, MARKUP
+from tagpulse.functions.text import LEFTOVER_TAG, MARKUP
 
+# Unicode white space written out, for an engine without a class for it
+BLANKS = (
+    r"[\s\x0b\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+)
 _TIME = "strftime({}, '%Y-%m-%d %H:%M:%S')"
 
 

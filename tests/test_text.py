@@ -53,6 +53,13 @@ def test_goldens(spark):
     assert stripped(spark, list(GOLDENS)) == list(GOLDENS.values())
 
 
+def test_blanks_are_those_of_unicode(spark):
+    blanks = [chr(code) for code in range(0x10000) if re.match(r"\s", chr(code))]
+    others = [chr(code) for code in (0x0B7, 0x180E, 0x200B, 0x2060, 0xFEFF)]
+    assert stripped(spark, [f"a{blank}{blank}b" for blank in blanks]) == ["a b"] * len(blanks)
+    assert stripped(spark, [f"a{other}b" for other in others]) == [f"a{other}b" for other in others]
+
+
 def test_keeping_quoted_code(spark):
     assert stripped(spark, ["<pre>List&lt;String&gt; x</pre>"], restrip=False) == ["List<String> x"]
 
