@@ -91,6 +91,16 @@ def test_deduplication_keeps_rows_whose_window_is_open(feed):
     assert totals(store) == {("a", 1): 2}
 
 
+def test_copies_of_a_hot_question_meet_in_many_tasks_first(feed):
+    feed.send(*[question(1, at(1, 0))] * 400, *[question(i, at(1, 0)) for i in range(2, 202)])
+    store = feed.store()
+    query = feed.run(jobs.start_hourly_metrics, store, dedup=True)
+    assert totals(store) == {("a", 1): 201}
+    operators = [p for p in query.recentProgress if p["numInputRows"]][0]["stateOperators"]
+    rows = sorted(o["numRowsUpdated"] for o in operators if o["operatorName"] == "dedupeWithinWatermark")
+    assert rows == [201, 216]
+
+
 def test_without_deduplication_messages_count(feed):
     feed.send(question(1, at(1, 0)), question(1, at(1, 0))).send(question(1, at(1, 0)))
     store = feed.store()
