@@ -108,9 +108,9 @@ def question_puts(questions: DataFrame, *carry: str, families: Sequence[str] = t
 
 def tag_index_puts(questions: DataFrame, *carry: str) -> DataFrame:
     """One put per tag of a question: column ``question_ids:<creation time>``."""
-    return questions.select(F.explode("tags").alias("row_key"), "creation_date", "question_id", *carry).select(
+    return questions.select(F.explode("tags").alias("tag"), "creation_date", "question_id", *carry).select(
         F.lit(TAG_INDEX_TABLE).alias("table"),
-        "row_key",
+        as_text(F.col("tag")).alias("row_key"),
         F.array(
             _cell("question_ids", as_text(F.col("creation_date")), F.col("question_id").cast("string"))
         ).alias("cells"),

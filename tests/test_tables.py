@@ -73,6 +73,33 @@ def test_a_batch_that_ends_after_a_compaction_is_not_lost(spark, table, monkeypa
     assert current(late) == {("k", "a"): "1", ("k", "b"): "2"}
 
 
+def test_null_keys_are_keys(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "n"), CELLS, CELL_KEY, ["table"], nullable_keys=["row_key"])
+    table.append(rows(spark, (None, "a", "1"), (None, "b", "1"), ("k", "a", "1")), "w", 0)
+    table.compact()
+    table.compact()
+    table.append(rows(spark, (None, "a", "2")), "w", 1)
+    expected = {(None, "a"): "2", (None, "b"): "1", ("k", "a"): "1"}
+    assert current(table) == expected and table.latest().count() == 3
+    table.compact()
+    table.compact()
+    assert current(table) == expected and table.latest().count() == 3
+
+
+def test_point_reads_reach_the_files(spark, table):
+    table.append(rows(spark, ("k", "a", "1"), ("l", "a", "1")), "w", 0)
+    table.compact()
+    table.compact()
+    table.append(rows(spark, ("k", "a", "2")), "w", 1)
+    found = table.latest().filter("`table` = 't' AND row_key = 'k'")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.split("\n") if "FileScan" in line]
+    assert len(scans) == 3 and all("EqualTo(row_key,k)" in scan and "= t)" in scan for scan in scans)
+    # the recent keys are broadcast, so the base is not shuffled
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert [row.value for row in found.collect()] == ["2"]
+
+
 def test_covered_epochs_are_not_read(spark, table):
     for batch in range(4):
         table.append(rows(spark, (f"k{batch}", "a", "1")), "w", batch)
