@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagpulse.functions.numbers import python_text
 from tagpulse.functions.times import PERIODS, READABLE
 
 # Table names, column families and qualifiers of the stored rows.
@@ -122,7 +123,9 @@ def metric_puts(metrics: DataFrame, *carry: str) -> DataFrame:
     """One put per metrics row, keyed ``tag#period#stamp``."""
     start = F.col("period_start")
     stamps = [F.when(F.col("period") == name, F.date_format(start, style)) for name, (_, style) in PERIODS.items()]
-    values = {name: as_text(F.col(name)) for name in METRIC_QUALIFIERS}
+    values = {"total_questions": as_text(F.col("total_questions"))}
+    for name in METRIC_QUALIFIERS[1:]:
+        values[name] = F.coalesce(F.expr(python_text(name)), F.lit("None"))
     values["timestamp_readable"] = F.date_format(start, READABLE)
     return metrics.select(
         F.lit(TRENDS_TABLE).alias("table"),
