@@ -31,12 +31,12 @@ def decode_questions(messages: DataFrame, *carry: str, schema: T.StructType = QU
 
 def rejected_questions(messages: DataFrame, *carry: str) -> DataFrame:
     """Messages that give no question id, as text, for a reject table."""
-    text = F.col("value").cast("string")
     id_only = T.StructType([QUESTION["question_id"]])
+    texts = messages.select(*carry, F.col("value").cast("string").alias("message"))
     return (
-        messages.select(*carry, text.alias("message"), F.from_json(text, id_only)["question_id"].alias("id"))
-        .filter("id IS NULL")
-        .drop("id")
+        texts.select(*carry, "message", _parsed(F.col("message"), id_only))
+        .filter("question_id IS NULL")
+        .drop("question_id")
     )
 
 

@@ -99,6 +99,16 @@ def test_kafka_options():
     assert (busy["minPartitions"], busy["startingOffsets"]) == ("64", "earliest")
 
 
+def test_messages_are_ordered_by_time_then_offset(spark):
+    rows = spark.sql(
+        "SELECT CAST(value AS BINARY) AS value, CAST(at AS TIMESTAMP) AS timestamp, offset FROM VALUES "
+        "('first', '2024-01-01 00:00:00.001', 999999L), ('second', '2024-01-01 00:00:00.002', 7L), "
+        "('third', '2024-01-01 00:00:00.002', 8L) AS t(value, at, offset)"
+    )
+    ordered = messages.versioned(rows.repartition(3)).orderBy("version").collect()
+    assert [row.value.decode() for row in ordered] == ["first", "second", "third"]
+
+
 def test_shaping_fills_what_is_missing(spark):
     questions = spark.createDataFrame(
         [(1, "t", "b", 5, 2, (7,), True, ["x"]), (2, None, None, None, None, None, None, None)], RAW_QUESTION

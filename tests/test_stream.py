@@ -13,7 +13,7 @@ from tagpulse.operators.questions import with_answer_columns
 from tagpulse.plans.batch import compact_all, refresh_calendar_metrics
 from tagpulse.schemas import METRIC_QUESTION
 from tagpulse.sources.decode import decode_questions
-from tagpulse.sources.messages import file_messages
+from tagpulse.sources.messages import file_messages, replayed_messages
 from tagpulse.streaming import jobs
 from tagpulse.streaming.store import Store
 
@@ -137,7 +137,7 @@ def test_stream_equals_batch(spark, feed):
         feed.send(*records[start : start + 100])
     store = feed.store()
     feed.run(jobs.start_hourly_metrics, store)
-    batch = spark.read.text(str(feed.folder)).select(F.col("value").cast("binary").alias("value"))
+    batch = replayed_messages(spark, str(feed.folder))
     direct = finish(hourly_parts(with_answer_columns(decode_questions(batch, schema=METRIC_QUESTION))))
 
     def rounded(frame):
@@ -215,6 +215,19 @@ def test_all_three_jobs_and_the_batch_refresh(spark, feed):
     assert sorted(map(tuple, store.metrics.latest().collect()), key=repr) == before
 
 
+def test_a_batch_that_failed_half_way_is_replayed_whole(spark, feed):
+    feed.send(question(1, at(1, 0), ["a", "b"], body="x"), "broken")
+    store = feed.store()
+    store._put = lambda *_: (_ for _ in ()).throw(RuntimeError("lost"))
+    with pytest.raises(Exception, match="lost"):
+        feed.run(jobs.start_questions, store)
+    spark.streams.resetTerminated()
+    store = feed.store()
+    feed.run(jobs.start_questions, store)
+    for table, rows in ((store.questions, 1), (store.tag_index, 2), (store.rejects, 1)):
+        assert spark.read.parquet(f"{table.path}/log/epoch=0").count() == table.latest().count() == rows
+
+
 def test_when_one_job_fails_the_others_stop(spark, feed):
     feed.send(question(1, at(1, 0)))
     idle = Feed(spark, feed.folder.parent / "idle")
