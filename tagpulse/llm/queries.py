@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagpulse.llm import bpe
+from tagpulse.llm import bpe, decontaminate
 from tagpulse.llm.shared import table
 
 
@@ -24,8 +24,55 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    )
+    n_hit = decontaminate.hit_words(F.col("found.spans"))
+    return found.select(
+        "doc_id",
+        F.col("found.n_words").alias("n_words"),
+        n_hit.alias("n_hit"),
+        F.size("found.items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "found.items"), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+OP2_SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+window_starts AS (
+  SELECT item_id, w, least(len(w), 10) AS k, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS p
+  FROM i WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, k, array_to_string(w[p:p + k - 1], ' ') AS g FROM window_starts),
+sizes AS (SELECT DISTINCT k FROM windows),
+runs AS (
+  SELECT doc_id, k, w, unnest(range(1, len(w) - k + 2)) AS p FROM d, sizes WHERE len(w) >= k),
+occurrences AS (
+  SELECT r.doc_id, r.p, r.k, x.item_id
+  FROM runs r JOIN windows x ON x.k = r.k AND x.g = array_to_string(r.w[r.p:r.p + r.k - 1], ' ')),
+hit AS (
+  SELECT doc_id, count(DISTINCT q) AS n_hit
+  FROM (SELECT doc_id, unnest(range(p, p + k)) AS q FROM occurrences) GROUP BY doc_id),
+found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM occurrences) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_decontamination": op2_decontamination,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_decontamination": OP2_SQL,
+}
