@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagpulse.llm import bpe, decontaminate
+from tagpulse.llm import bpe, decontaminate, simhash
 from tagpulse.llm.shared import table
 
 
@@ -39,6 +39,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", simhash.as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''),
   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
@@ -71,6 +76,7 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_decontamination": op2_decontamination,
+    "op9_simhash": op9_simhash,
 }
 
 ORACLE: dict[str, str] = {
