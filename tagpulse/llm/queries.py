@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagpulse.llm import bpe, decontaminate, simhash
+from tagpulse.llm import bpe, decontaminate, quality, simhash
 from tagpulse.llm.shared import table
 
 
@@ -39,6 +39,29 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _remainder() -> Column:
+    """Rows with remainder 0 are held out from learning."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5))
+
+
+def learnable(labels: DataFrame) -> DataFrame:
+    return labels.where(_remainder() != 0)
+
+
+def _judged(docs: DataFrame, score: Column, threshold: float) -> DataFrame:
+    scored = docs.select("doc_id", (_remainder() == 0).alias("held_out"), score.alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+QUALITY_THRESHOLD = 0.3
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, learnable(table(spark, sf_dir, "labels")), label="quality")
+    return _judged(docs, quality.score(F.col("text"), model), QUALITY_THRESHOLD)
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", simhash.as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
@@ -76,6 +99,7 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_decontamination": op2_decontamination,
+    "op7_quality": op7_quality,
     "op9_simhash": op9_simhash,
 }
 
