@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagpulse.llm import bpe, decontaminate, quality, simhash
+from tagpulse.llm import bpe, decontaminate, passages, quality, simhash
 from tagpulse.llm.shared import table
 
 
@@ -39,6 +39,21 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each passage that a document shares with one of a smaller id."""
+    found = passages.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    copy = found.select("doc_id", F.explode("copied").alias("c"))
+    return copy.select(
+        "doc_id",
+        F.col("c.source").alias("source_doc_id"),
+        F.col("c.first").alias("first_word"),
+        F.col("c.last").alias("last_word"),
+        F.col("c.source_first").alias("source_first_word"),
+        F.col("c.source_last").alias("source_last_word"),
+        F.col("c.similarity").alias("similarity"),
+    )
+
+
 def _remainder() -> Column:
     """Rows with remainder 0 are held out from learning."""
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5))
@@ -99,6 +114,7 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_decontamination": op2_decontamination,
+    "op3_substring_dedup": op3_substring_dedup,
     "op7_quality": op7_quality,
     "op9_simhash": op9_simhash,
 }

@@ -59,4 +59,5 @@ def without_spans(text: Column, spans: Column) -> Column:
             )
 
     hit = F.size(spans) > 0
-    return F.when(hit, cleaned(F.when(hit, text), F.when(hit, spans))).otherwise(text)
+    # Evaluated once, wherever the result is used.
+    return F.when(hit, cleaned.asNondeterministic()(F.when(hit, text), F.when(hit, spans))).otherwise(text)
