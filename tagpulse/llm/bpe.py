@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -25,7 +26,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: White space of Unicode, in place of ``\s``, which means a little more to ``regex``.
-BLANKS = r"\t-\r \x85\xa0  -     　"
+BLANKS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Pre-tokens kept with their ids in each worker; a full memo is emptied, results are the same.
 MEMO_ENTRIES = 400_000
 MEMO_CHARS = 48
@@ -54,8 +55,8 @@ class PerfectHash:
         members: dict[int, list[int]] = {}
         for i, h in enumerate(hashed):
             members.setdefault(h % self.buckets, []).append(i)
-        self.displacement = np.zeros(self.buckets, np.int32)
-        self.at = np.full(self.slots, -1, np.int32)
+        self.displacement = [0] * self.buckets
+        self.at = [-1] * self.slots
         free = self.slots - 1
         for bucket, inside in sorted(members.items(), key=lambda item: -len(item[1])):
             if len(inside) == 1:
@@ -77,8 +78,26 @@ class PerfectHash:
     def candidate(self, key: bytes) -> int:
         """The only index that ``key`` can have; the caller compares the key there."""
         hashed = xxhash.xxh3_64_intdigest(key)
-        seed = int(self.displacement[hashed % self.buckets])
-        return int(self.at[-1 - seed if seed < 0 else _slot(hashed, seed, self.slots)])
+        seed = self.displacement[hashed % self.buckets]
+        return self.at[-1 - seed if seed < 0 else _slot(hashed, seed, self.slots)]
+
+
+def _spelled(pattern: str, classes: dict[str, str]) -> str:
+    """The pattern with its named classes written out, bare inside brackets."""
+    negated = {name.upper(): members for name, members in classes.items() if len(name) == 1}
+
+    def inside(match: re.Match) -> str:
+        out = match[0]
+        for name, members in classes.items():
+            out = out.replace(f"\\{name}", members)
+        return out
+
+    out = re.sub(r"\[[^\]]*\]", inside, pattern)
+    for name, members in classes.items():
+        out = out.replace(f"\\{name}", f"[{members}]")
+    for name, members in negated.items():
+        out = out.replace(f"\\{name}", f"[^{members}]")
+    return out
 
 
 class Vocabulary:
@@ -88,12 +107,10 @@ class Vocabulary:
         self.ids = sorted(tokens)
         self.tokens = [tokens[i] for i in self.ids]
         self.hash = PerfectHash(self.tokens)
-        # Inside a class the blanks stand bare, outside they get brackets.
-        self.pattern = (
-            pattern.replace(r"[^\s", f"[^{BLANKS}")
-            .replace(r"\S", f"[^{BLANKS}]")
-            .replace(r"\s", f"[{BLANKS}]")
-        )
+        self.pattern = _spelled(pattern, {"s": BLANKS})
+        #: The same for ASCII texts, for the faster library; None if it has other classes.
+        ascii_only = _spelled(pattern, {"s": r"\t-\r ", "p{L}": "A-Za-z", "p{N}": "0-9"})
+        self.ascii_pattern = None if re.search(r"\\[pP]", ascii_only) else ascii_only
 
     def whole(self, piece: bytes) -> int | None:
         i = self.hash.candidate(piece)
@@ -141,6 +158,8 @@ class Encoder:
         self.vocabulary = vocabulary
         self.ranks = dict(zip(vocabulary.tokens, vocabulary.ids, strict=True))
         self.split = regex.compile(vocabulary.pattern).findall
+        fast = vocabulary.ascii_pattern
+        self.split_ascii = self.split if fast is None else re.compile(fast).findall
         self.cut = regex.compile(rf"(?<=[^{BLANKS}]) (?=[^{BLANKS}])").search
         self.memo: dict[str, tuple[int, ...]] = {}
 
@@ -159,7 +178,7 @@ class Encoder:
     def __call__(self, text: str) -> np.ndarray:
         parts = []
         for piece in self._pieces(text):
-            words = self.split(piece)
+            words = (self.split_ascii if piece.isascii() else self.split)(piece)
             memo = self.memo
             long: dict[str, tuple[int, ...]] = {}
             for word in set(words).difference(memo):

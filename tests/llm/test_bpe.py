@@ -30,6 +30,7 @@ def test_ids_are_those_of_the_library():
     encoder = bpe.Encoder(bpe.load(PATH, P.PATTERN))
     alphabet = "ab  \n\t'stré你 \x1c\x85😀1٣.!-" + " é"
     texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 60))) for _ in range(3000)]
+    texts += ["".join(map(chr, rng.choices(range(128), k=40))) for _ in range(5000)]
     texts += [" " * 5000, "x" * 20_000, "ab" * 9000 + "  c", "it's I'll we'd  ok\n\n x"]
     for text in texts:
         assert encoder(text).tolist() == theirs.encode_ordinary(text), text[:80]
