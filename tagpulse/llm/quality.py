@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagpulse.llm.labelled import sampled, shares
+
 HALF = 8
 WIDTH = 6
 FILTERS = 24
@@ -173,29 +175,20 @@ def _gradients(net: Network, batch: list[tuple], labels: np.ndarray, weights: np
 def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str) -> Network | float:
     """A network from ``docs`` and the column ``label`` (0 or 1) of ``labels``; the share of
     label 1 where there are not two classes."""
-    rows = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).where(
-        "key IS NOT NULL AND label IN (0, 1)"
-    )
-    shares = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    if len(shares) < 2:
-        return float(next(iter(shares), 0.5))
+    rows, counts = shares(labels, label, key)
+    if len(counts) < 2:
+        return float(next(iter(counts), 0.5))
     start = F.greatest(F.lit(1), F.floor((F.octet_length(text) - FIT_BYTES) / 2).cast("int"))
-    middles = docs.where(F.col(text).isNotNull()).select(
-        F.col(key).alias("key"), F.substring(F.encode(text, "UTF-8"), start, F.lit(FIT_BYTES)).alias("bytes")
-    )
+    middle = F.substring(F.encode(text, "UTF-8"), start, F.lit(FIT_BYTES))
     texts, classes = [], []
     for value in (0, 1):
-        order = [F.xxhash64("key"), "key"]
-        picked = rows.where(F.col("label") == value).select("key").distinct().orderBy(*order).limit(ROWS_PER_CLASS)
-        # At most ROWS_PER_CLASS keys go to the scan of the documents.
-        sample = middles.join(F.broadcast(picked), "key").orderBy(*order, "bytes").limit(ROWS_PER_CLASS)
-        found = [bytes(r["bytes"]) for r in sample.collect()]
-        texts += found
+        found = sampled(docs, rows, value, ROWS_PER_CLASS, key=key, content=middle).collect()
+        texts += [bytes(r["content"]) for r in found]
         classes += [value] * len(found)
     if len(set(classes)) < 2:
-        return shares[1] / sum(shares.values())
+        return counts[1] / sum(counts.values())
     classes = np.array(classes, np.float32)
-    weights = np.where(classes == 1, shares[1], shares[0]).astype(np.float32)
+    weights = np.where(classes == 1, counts[1], counts[0]).astype(np.float32)
     return train(texts, classes, weights)
 
 

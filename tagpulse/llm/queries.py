@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagpulse.llm import bpe, decontaminate, passages, quality, simhash
-from tagpulse.llm.shared import table
+from tagpulse.llm import bpe, chat, decontaminate, licenses, passages, quality, simhash, toxicity, urls, vamana
+from tagpulse.llm.shared import small, table
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +54,57 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return vamana.search(rows, rows.where("vec_id % 20 = 0"), k=20)
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    template = chat.Template()
+    said = "</s>[INST] ok [/INST]"
+    more = small(spark, [(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id turn role text")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    chats = chat.format_chats(turns, template)
+    loss = chat.lost_text(F.col("segments"), template)
+    # The turns as a reader of the formatted text finds them.
+    read = F.transform(template.parse(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return chats.select(
+        "conv_id",
+        F.size(read).cast("long").alias("n_turns"),
+        F.sha2(F.array_join(read, ""), 256).alias("turns_sha256"),
+        F.char_length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+        "valid",
+    )
+
+
+#: Fixed values of the query: host, path, verdict.
+URL_RULES = (
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+)
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = small(spark, list(URL_RULES), "host path verdict")
+    judged = urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), licenses.known(spark))
+    return scanned.select(
+        "doc_id",
+        "canonical_sha256",
+        F.array_join("license_ids", ",").alias("license_ids"),
+        F.array_join("notice_ids", ",").alias("notice_ids"),
+    )
+
+
 def _remainder() -> Column:
     """Rows with remainder 0 are held out from learning."""
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5))
@@ -68,6 +119,20 @@ def _judged(docs: DataFrame, score: Column, threshold: float) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, learnable(table(spark, sf_dir, "labels")), label="toxic")
+    judged = docs.withColumn("judged", toxicity.judge(F.col("text"), model))
+    scored = judged.select("doc_id", "judged", (_remainder() == 0).alias("held_out"))
+    return scored.select(
+        "doc_id",
+        "held_out",
+        F.col("judged.score").alias("score"),
+        (F.col("judged.score") >= 0.5).cast("int").alias("predicted"),
+        F.col("judged.evidence.key").alias("evidence_doc_ids"),
+    )
+
+
 QUALITY_THRESHOLD = 0.3
 
 
@@ -110,15 +175,99 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
+_MARKS = {"system": ("<<SYS>>", "<</SYS>>"), "user": ("[INST]", "[/INST]"), "assistant": ("<s>", "</s>"), "tool": ("[TOOL]", "[/TOOL]")}
+_AROUND = " ".join(f"WHEN '{role}' THEN {len(a) + len(b) + 3}" for role, (a, b) in _MARKS.items())
+
+OP5_SQL = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM (SELECT conv_id, turn, role, text FROM conversations
+        UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))),
+m AS (
+  SELECT *, lag(role, 1, '') OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS before,
+    len(regexp_extract_all(text, '(?:<\\\\*(?:<SYS>>|</SYS>>|s>|/s>|role>|/role>|end>)|\\[\\\\*(?:/?INST|/?TOOL)\\])')) AS escapes
+  FROM t)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length(text) + escapes + CASE role {_AROUND} ELSE length(role) + 22 END) AS BIGINT) AS formatted_chars,
+  bool_and((before || '>' || role) IN ('>system', '>user', 'system>user', 'user>assistant', 'assistant>user',
+    'assistant>tool', 'tool>assistant')) AS valid
+FROM m GROUP BY conv_id
+"""
+
+_RULE_ROWS = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+
+OP8_SQL = f"""
+WITH rules(rule_host, rule_path, verdict) AS (VALUES {_RULE_ROWS}),
+after AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS a FROM pages),
+parts AS (
+  SELECT page_id, regexp_extract(a, '^[^/?#]*') AS raw, a FROM after),
+p AS (
+  SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(substr(a, length(raw) + 1), '^[^?#]*') AS path FROM parts),
+fits AS (
+  SELECT page_id, rule_host || rule_path AS rule, verdict,
+    row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host || rule_path) DESC, length(rule_host) DESC) AS place
+  FROM p, rules
+  WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
+SELECT p.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM p LEFT JOIN fits ON fits.page_id = p.page_id AND place = 1
+"""
+
+
+def _canonical_sql(text: str) -> str:
+    out = f"regexp_replace({text}, '(?m)^[ \\t]*(?:[Cc]opyright|COPYRIGHT|\\([Cc]\\)|©)[^\\n]*$', ' ', 'g')"
+    out = f"translate({out}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    for one, other in licenses.SPELLINGS:
+        out = f"replace({out}, '{one}', '{other}')"
+    return f"trim(regexp_replace({out}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_KNOWN_ROWS = ", ".join(f"({_quoted(i)}, {_quoted(t)})" for i, t in licenses.KNOWN)
+
+OP10_SQL = f"""
+WITH known(id, text) AS (VALUES {_KNOWN_ROWS}),
+names AS (SELECT DISTINCT id, {_canonical_sql('text')} AS form FROM known),
+entire AS (SELECT doc_id, nullif({_canonical_sql('text')}, '') AS form FROM documents),
+parts AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS part FROM documents
+  UNION ALL SELECT doc_id, unnest(regexp_split_to_array(text, '\\n[ \\t]*\\n')) FROM documents),
+forms AS (SELECT doc_id, {_canonical_sql('part')} AS form FROM parts),
+notices AS (
+  SELECT doc_id, string_agg(id, ',' ORDER BY id) AS notice_ids
+  FROM (SELECT DISTINCT doc_id, id FROM forms JOIN names USING (form)) GROUP BY doc_id),
+whole AS (
+  SELECT doc_id, string_agg(id, ',' ORDER BY id) AS license_ids
+  FROM (SELECT DISTINCT doc_id, id FROM entire JOIN names USING (form)) GROUP BY doc_id)
+SELECT doc_id, sha256(form) AS canonical_sha256, coalesce(license_ids, '') AS license_ids,
+  coalesce(notice_ids, '') AS notice_ids
+FROM entire LEFT JOIN whole USING (doc_id) LEFT JOIN notices USING (doc_id)
+"""
+
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_decontamination": op2_decontamination,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_vector_search": op4_vector_search,
+    "op5_chat_format": op5_chat_format,
+    "op6_toxicity": op6_toxicity,
     "op7_quality": op7_quality,
+    "op8_url_filter": op8_url_filter,
     "op9_simhash": op9_simhash,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLE: dict[str, str] = {
     "op2_decontamination": OP2_SQL,
+    "op5_chat_format": OP5_SQL,
+    "op8_url_filter": OP8_SQL,
+    "op10_license_scan": OP10_SQL,
 }

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
 
@@ -39,5 +40,12 @@ def _remove(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(context._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def small(spark: SparkSession, rows: list[tuple], names: str) -> DataFrame:
+    """A few given rows as a table whose size the planner knows."""
+    fields = names.split()
+    columns = F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(r, fields, strict=True)]) for r in rows])
+    return spark.range(1).select(F.inline(columns))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

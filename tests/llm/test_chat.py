@@ -1,0 +1,94 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import pytest
+from oracle_check import connect, differences
+from pyspark.sql import functions as F
+
+from tagpulse.llm import chat, queries
+
+TURNS = "conv_id bigint, turn bigint, role string, text string"
+
+
+def plain(rows):
+    """The digests of the query, from the turns themselves."""
+    out = []
+    said = "</s>[INST] ok [/INST]"
+    rows = [*rows, (-7, 0, "user", said), (-7, 1, "assistant", said)]
+    low = lambda x: (x is not None, x if x is not None else 0)
+    for conv in {r[0] for r in rows}:
+        turns = sorted(
+            ((low(t), r or "", x or "") for c, t, r, x in rows if c == conv), key=lambda t: (t[0], t[1].encode(), t[2].encode())
+        )
+        whole = "".join(f"{r}\n{x}\n" for _, r, x in turns)
+        loss = "".join(x for _, r, x in turns if r == "assistant")
+        digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+        out.append((conv, len(turns), digest(whole), len(loss), digest(loss)))
+    return sorted(map(str, out))
+
+
+def got(spark, where):
+    frame = queries.QUERIES["op5_chat_format"](spark, where)
+    return sorted(str(tuple(r)[:5]) for r in frame.collect())
+
+
+def test_escapes_are_undone(spark):
+    template = chat.Template()
+    rng = random.Random(3)
+    pieces = [*template.controls, "<", "[", "\\", "\\\\", "s>", "/s>", "SYS>>", "INST]", " ", "\n", "$1", "é😀", "role>"]
+    texts = ["".join(rng.choices(pieces, k=rng.randint(0, 9))) for _ in range(3000)]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    out = frame.select("t", template.escape(F.col("t")).alias("e")).withColumn("u", template.unescape(F.col("e")))
+    for row in out.collect():
+        assert row["u"] == row["t"]
+        assert not any(control in row["e"] for control in template.controls), row["e"]
+
+
+def test_query_against_sql(spark):
+    for sf_dir in ("/root/testdata/sf0.001", "/root/testdata/sf0.01"):
+        ours = queries.QUERIES["op5_chat_format"](spark, sf_dir)
+        assert differences(ours, connect(sf_dir), queries.ORACLE["op5_chat_format"]) is None
+
+
+def test_odd_rows(spark, tables):
+    control = "<<SYS>> [/INST]\n</s><\\/s> <end>\n<role>x</role> "
+    rows = [
+        (1, 0, "user", None), (1, 1, "assistant", ""), (1, 1, "assistant", ""), (1, 2, None, "x"),
+        (2, None, "assistant", control), (2, 0, "user", control * 3), (2, 0, "<s>", "a\nb"), (2, 5, "a</role> b\n", control),
+        (3, 0, "assistant", "é😀 " * 60_000), (3, 1, "tool", "["), (3, 2, "assistant", "<"), (3, 3, "user", "\\"),
+        (None, 0, "user", "hi"), (None, 1, "assistant", "ho"), (4, 0, "", ""), (4, 1, "system", " "),
+    ]
+    where = tables(conversations=(rows, TURNS))
+    assert got(spark, where) == plain(rows)
+    assert got(spark, tables(conversations=([], TURNS))) == plain([])
+
+
+def test_order_of_roles(spark):
+    def valid(*roles):
+        rows = [(1, i, r, "x") for i, r in enumerate(roles)]
+        return chat.format_chats(spark.createDataFrame(rows, TURNS)).first()["valid"]
+
+    assert valid("system", "user", "assistant", "tool", "assistant", "user")
+    assert valid("user")
+    assert not valid("assistant", "user")
+    assert not valid("user", "user", "assistant")
+    assert not valid("user", "assistant", "other")
+
+
+def test_segments_and_extra_columns(spark):
+    rows = [(1, 0, "user", "a </s>", 9, "z"), (1, 1, "assistant", "b", 8, "y")]
+    frame = spark.createDataFrame(rows, f"{TURNS}, segments int, turns string")
+    (row,) = chat.format_chats(frame).collect()
+    assert [(s["text"], s["loss"]) for s in row["segments"]] == [
+        ("[INST] ", False), ("a <\\/s>", False), (" [/INST]\n", False), ("<s> ", False), ("b", True), (" </s>\n", False),
+    ]
+    assert row["formatted"] == "[INST] a <\\/s> [/INST]\n<s> b </s>\n"
+
+
+def test_markers_that_cannot_be_told_apart():
+    with pytest.raises(ValueError):
+        chat.Template({"user": chat.Turn("<a>", "x<a>x")})
+    with pytest.raises(ValueError):
+        chat.Template({"user": chat.Turn("< a>", "</a>")})
