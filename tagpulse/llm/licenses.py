@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from tagpulse.llm.shared import small
 from tagpulse.llm.words import LOWER, UPPER
 
-#: A line that states a copyright, alone.
-COPYRIGHT = r"(?m)^[ \t]*(?:[Cc]opyright|COPYRIGHT|\([Cc]\)|©)[^\n]*$"
+#: A line that states a copyright; not one that goes on about "copyright notices".
+COPYRIGHT = r"(?m)^[ \t]*(?:(?:[Cc]opyright|COPYRIGHT)[ \t]*(?:\([Cc]\)|©|[0-9<\[])|\([Cc]\)[ \t]|©)[^\n]*$"
 #: Equivalent spellings, applied in this order to lower-case text.
 SPELLINGS = (
     ("licence", "license"),

@@ -219,7 +219,7 @@ FROM p LEFT JOIN fits ON fits.page_id = p.page_id AND place = 1
 
 
 def _canonical_sql(text: str) -> str:
-    out = f"regexp_replace({text}, '(?m)^[ \\t]*(?:[Cc]opyright|COPYRIGHT|\\([Cc]\\)|©)[^\\n]*$', ' ', 'g')"
+    out = f"regexp_replace({text}, '(?m)^[ \\t]*(?:(?:[Cc]opyright|COPYRIGHT)[ \\t]*(?:\\([Cc]\\)|©|[0-9<\\[])|\\([Cc]\\)[ \\t]|©)[^\\n]*$', ' ', 'g')"
     out = f"translate({out}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     for one, other in licenses.SPELLINGS:
         out = f"replace({out}, '{one}', '{other}')"

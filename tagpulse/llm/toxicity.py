@@ -1,8 +1,10 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
 Terms are words and their beginnings of ``PREFIXES`` characters. Those count that stand in
-toxic examples more often than chance allows for so many terms (likelihood ratio). Examples
-are normalised TF-IDF vectors over these terms, in an inverted index: examples with like
+toxic examples ``LIFT`` times as often as in others, and more often than chance allows for so
+many terms (likelihood ratio). Of examples of one label that are likely copies (their
+smallest word shingle hash is the same) one counts, as chance means independent texts.
+Examples are normalised TF-IDF vectors over these terms, in an inverted index: examples with like
 terms lie together in blocks, and each term knows the largest weight it has in each block. A
 text's terms bound from above the cosine it can have with any example of a block; blocks are
 taken by falling bound until the ``NEAREST`` examples found are as near as the next block can
@@ -29,10 +31,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tagpulse.llm.labelled import sampled, shares
+from tagpulse.llm.passages import shingles
 from tagpulse.llm.shared import settle
 from tagpulse.llm.words import words
 
@@ -44,6 +49,7 @@ BLOCK = 32
 SMOOTHING = 0.1
 #: Least number of examples of label 1 that a term must stand in.
 SUPPORT = 3
+LIFT = 4
 #: Words whose terms a worker remembers, and terms a task counts before it passes them on.
 MEMO = 200_000
 HELD = 500_000
@@ -158,6 +164,18 @@ def count_terms(text: bytes, terms: _Terms) -> Counter:
     return tf
 
 
+def _sketches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """The smallest shingle hash of a text; that of its words, where it has no shingle."""
+    for batch in batches:
+        out = []
+        for text in batch.cast(pa.binary()):
+            found = words(text.as_py())
+            hashes = shingles(found, xxhash.xxh3_64_intdigest)
+            least = int(hashes.min()) if len(hashes) else xxhash.xxh3_64_intdigest(b" ".join(found))
+            out.append(least - (1 << 63))
+        yield pa.array(out, pa.int64())
+
+
 def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """In how many texts of each label a term stands, summed over as many texts as fit."""
     counts: dict[str, list[int]] = {}
@@ -195,7 +213,10 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     if len(counts) < 2:
         return float(next(iter(counts), 0.5))
     zero, one = (sampled(docs, rows, v, ROWS_PER_CLASS, key=key, content=F.col(text)) for v in (0, 1))
-    sample = settle(zero.union(one).repartition(64, F.xxhash64("key", "content")), "examples")
+    sketch = F.arrow_udf(_sketches, "bigint")
+    copies = Window.partitionBy("label", "sketch").orderBy("key", "content")
+    sample = zero.union(one).withColumn("sketch", sketch("content")).withColumn("copy", F.row_number().over(copies))
+    sample = settle(sample.where("copy = 1").select("key", "label", "content"), "examples")
     held = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(held) < 2:
         return counts[1] / sum(counts.values())
@@ -206,9 +227,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     tested = present.count()
     ratio = _likelihood_ratio(F.col("n1"), n1, F.col("n0"), n0)
     # Below this ratio some of so many terms would stand out by chance.
-    marked = present.where((F.col("n1") >= SUPPORT) & (F.col("n1") * n0 > F.col("n0") * n1)).where(
-        ratio > 2 * math.log(max(tested, 2))
-    )
+    often = (F.col("n1") >= SUPPORT) & (F.col("n1") * n0 > LIFT * F.col("n0") * n1)
+    marked = present.where(often & (ratio > 2 * math.log(max(tested, 2))))
     terms = marked.orderBy("term").collect()
     chosen = {r["term"]: i for i, r in enumerate(terms)}
     idf = [math.log((n0 + n1 + 1) / (r["n0"] + r["n1"] + 0.5)) for r in terms]

@@ -31,7 +31,7 @@ def test_equivalent_texts(spark):
     ]
     assert ids(spark, rows) == sorted(
         [
-            (1, "ISC", "ISC"), (2, "ISC", ""), (3, "", ""), (4, "", ""), (5, "", ""), (6, "", ""), (7, "", "MIT"),
+            (1, "ISC", "ISC"), (2, "ISC", "ISC"), (3, "", ""), (4, "", ""), (5, "", ""), (6, "", ""), (7, "", "MIT"),
             (7, "", "MIT"), (None, "CC-BY-4.0", "CC-BY-4.0"), (8, "", ""), (9, "", "ISC"),
             (10, "CC-BY-4.0", "CC-BY-4.0"), (10, "CC-BY-4.0", "CC-BY-4.0"),
         ],
