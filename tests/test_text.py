@@ -37,6 +37,18 @@ GOLDENS = {
     "a<script>b": "a",
     "<scripted>x</scripted>": "x",
     "<!DOCTYPE html><?php echo ?>x": "x",
+    # any number of quoted attributes; a quote or a tag that is never closed
+    "<a " + " ".join(f'a{i}="{i}"' for i in range(70)) + ' t="p>q">z</a>': "z",
+    "<a " + "b='>' " * 3000 + ">z": "z",
+    "<a t='x>y": "y",
+    "<a x='1' t=\"x>y <b>z</b>": "y z",
+    # templates nest, and hold scripts and comments
+    "<template>a<template>b</template>c</template>d": "d",
+    "<template x='>'>a<!-- </template> -->b<script></template></script></template>c": "c",
+    "a</template>b<template>c": "a b",
+    "<TEMPLATE>a</Template >b<templates>c</templates>": "b c",
+    # leading zeros do not make a number larger
+    "&#0000000000065; &#x00000000000000041; &#00000000000000; &#99999999999; &#xFFFFFFFFFFFF;": "A A � � �",
     # references are decoded once
     "&amp;lt;b&amp;gt;": "&lt;b&gt;",
     "&copy; &copy=2 &hellip; &NotEqualTilde;": "© ©=2 … ≂̸",
