@@ -7,7 +7,10 @@ of, go through :mod:`tagpulse.operators.answer_rows` instead.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from tagpulse.functions.text import strip_html
+from tagpulse.schemas import ANSWER
 
 HIGH_REPUTATION = 1000
 
@@ -38,13 +41,10 @@ def avg_score(answers: str) -> str:
     )
 
 
-def clean_bodies(answers: str, restrip: bool = True) -> str:
-    """Each answer with its body as plain text."""
-    return (
-        f"transform({answers}, a -> named_struct('answer_id', a.answer_id, "
-        f"'body', {strip_html('a.body', restrip)}, 'score', a.score, "
-        f"'is_accepted', a.is_accepted, 'owner_reputation', a.owner_reputation))"
-    )
+def clean_bodies(answers: str, restrip: bool = True, fields: Sequence[str] = tuple(ANSWER.names)) -> str:
+    """Each answer with its body as plain text; ``fields`` are those of an answer."""
+    values = {field: f"a.{field}" for field in fields} | {"body": strip_html("a.body", restrip)}
+    return f"transform({answers}, a -> named_struct({', '.join(f"'{name}', {value}" for name, value in values.items())}))"
 
 
 def _accepted_first(answers: str, others: str, order: str, keep: int) -> str:

@@ -50,21 +50,28 @@ def _ranked(
 ) -> DataFrame:
     """First accepted answer, then the ``ordinary`` ones by ``merit`` and ``order``, cut to ``keep``.
 
-    The accepted answer by ``order`` alone, and ``keep + 1`` others by merit, one more as
-    the accepted one may be among them. Both sets come partitioned by question and stay
-    so through the union, so a row is shuffled once.
+    Ids and what they are ranked by are read once, without texts. Each answer stands for
+    the set of accepted ones, of which the first by ``order`` alone counts, for the set of
+    ordinary ones, of which ``keep + 1`` by merit do (one more, as the accepted one may be
+    among them), or for both. The chosen ids then fetch their answers.
     """
-    merit_order = [*[F.expr(text) for text in merit], *order]
-    accepted = first_rows(answers.filter(_ACCEPTED), ["question_id"], order, 1, "__candidate")
-    others = first_rows(answers.filter(ordinary), ["question_id"], merit_order, keep + 1, "__candidate")
-    both = accepted.withColumn("__first", F.lit(True)).unionByName(others.withColumn("__first", F.lit(False)))
+    merits = [F.expr(text).alias(f"__merit{i}") for i, text in enumerate(merit)]
+    places = [F.col(name).alias(f"__place{i}") for i, name in enumerate(order)]
+    by_merit = [f"__merit{i}" for i in range(len(merits))]
+    by_place = [f"__place{i}" for i in range(len(places))]
+    sets = F.array_compact(F.array(F.when(F.expr(_ACCEPTED), F.lit(True)), F.when(ordinary, F.lit(False))))
+    narrow = answers.select("question_id", "answer_id", *merits, *places, F.explode(sets).alias("__first"))
+    # Among the accepted ones merit says nothing.
+    own_merit = [F.when(~F.col("__first"), F.col(name)) for name in by_merit]
+    candidates = first_rows(narrow, ["question_id", "__first"], [*own_merit, *by_place], keep + 1, "__candidate")
+    candidates = candidates.filter("NOT __first OR __candidate = 1")
     accepted_id = F.max(F.when(F.col("__first"), F.col("answer_id"))).over(Window.partitionBy("question_id"))
-    finalists = both.withColumn("__accepted_id", accepted_id).filter(
+    finalists = candidates.withColumn("__accepted_id", accepted_id).filter(
         F.col("__first") | ~F.col("answer_id").eqNullSafe(F.col("__accepted_id"))
     )
-    return first_rows(finalists, ["question_id"], [F.col("__first").desc(), *merit_order], keep, "rank").drop(
-        "__candidate", "__accepted_id", "__first"
-    )
+    final = [F.col("__first").desc(), *by_merit, *by_place]
+    chosen = first_rows(finalists, ["question_id"], final, keep, "rank").select("question_id", "answer_id", "rank")
+    return answers.join(chosen, ["question_id", "answer_id"])
 
 
 def top_answer_rows(answers: DataFrame, order: Sequence[str], keep: int = 3) -> DataFrame:

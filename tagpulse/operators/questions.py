@@ -25,14 +25,15 @@ def with_answer_columns(questions: DataFrame) -> DataFrame:
 
 def clean(questions: DataFrame, restrip: bool = True) -> DataFrame:
     """Bodies as plain text, the readable date, derived columns and the best answers."""
-    cleaned = questions.withColumns(
+    # The flags come from the array as it was, so where only they are asked for, no body is cleaned.
+    cleaned = with_answer_columns(questions).withColumns(
         {
             "body": F.expr(text.strip_html("body", restrip)),
             "creation_date_readable": F.expr(times.readable("creation_date")),
             "answers": F.expr(A.clean_bodies("answers", restrip)),
         }
     )
-    return with_answer_columns(cleaned).withColumn("top_answers", F.expr(A.top_answers("answers")))
+    return cleaned.withColumn("top_answers", F.expr(A.top_answers("answers")))
 
 
 def by_tag(questions: DataFrame, *columns: str) -> DataFrame:
@@ -40,9 +41,13 @@ def by_tag(questions: DataFrame, *columns: str) -> DataFrame:
     return questions.select(F.explode("tags").alias("tag"), *columns)
 
 
-def tag_index(questions: DataFrame) -> DataFrame:
-    """Which questions carry a tag, with their creation time."""
-    return by_tag(questions, "creation_date", "question_id")
+def tag_index(questions: DataFrame, *carry: str) -> DataFrame:
+    """Which questions carry a tag, with their creation time.
+
+    A question whose tags change stays under the old ones, as keyed puts leave it; who reads
+    the index looks at the question's own tags as well.
+    """
+    return by_tag(questions, "creation_date", "question_id", *carry)
 
 
 def tag_index_latest(index: DataFrame, version: str = "question_id") -> DataFrame:
