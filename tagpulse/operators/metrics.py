@@ -111,25 +111,22 @@ def finish(parts: DataFrame, answer_mean: str = "per_question") -> DataFrame:
     )
 
 
-def deduplicated(
-    questions: DataFrame, window: str = WINDOW, delay: str = WATERMARK, salts: int = 16
-) -> DataFrame:
+def deduplicated(questions: DataFrame, window: str = WINDOW, delay: str = WATERMARK, salts: int = 1) -> DataFrame:
     """A stream of questions without repeats, for the hourly metrics.
 
     Deduplication drops every row older than the watermark, which alone would lose late
-    rows whose window is still open; so the delay grows by the window's length.
-    The first step works on salted keys: copies of a question that is sent over and over
-    meet in many tasks first, and at most ``salts`` of a batch meet in one. The salt is
-    drawn row by row from a fixed seed, so that a task run again salts alike.
+    rows whose window is still open; so the delay grows by the window's length. State is one
+    row per question. Only where a few questions are sent so often that a batch's copies of
+    one overload a task, ``salts`` lets them meet in that many tasks first; its price is up
+    to that many more rows of state per question. The salt is drawn row by row from a fixed
+    seed, so that a task run again salts alike.
     """
     seconds = sum(_seconds(text) for text in (window, delay))
-    return (
-        questions.withWatermark("event_time", f"{seconds} seconds")
-        .withColumn("__salt", F.floor(F.rand(seed=1) * salts))
-        .dropDuplicatesWithinWatermark(["question_id", "__salt"])
-        .drop("__salt")
-        .dropDuplicatesWithinWatermark(["question_id"])
-    )
+    rows = questions.withWatermark("event_time", f"{seconds} seconds")
+    if salts > 1:
+        salted = rows.withColumn("__salt", F.floor(F.rand(seed=1) * salts))
+        rows = salted.dropDuplicatesWithinWatermark(["question_id", "__salt"]).drop("__salt")
+    return rows.dropDuplicatesWithinWatermark(["question_id"])
 
 
 def _seconds(interval: str) -> int:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,17 +12,19 @@ from pyspark.sql import functions as F
 SEARCH_LIMIT = 10
 SUGGESTIONS = 5
 SHORTEST_PREFIX = 2
+GRAM = 3
 
 RESULT_COLUMNS = ("question_id", "title", "score", "tags", "top_answers")
 
 
 def matches(query: str) -> Column:
     """Every word of ``query`` occurs in title or body, whatever its case."""
-    text = F.lower(F.concat_ws(" ", "title", "body"))
-    found = F.lit(True)
-    for word in query.lower().split():
-        found = found & F.contains(text, F.lit(word))
-    return found
+    words = dict.fromkeys(query.lower().split())
+    if not words:
+        return F.lit(True)
+    # The lowered text is an element of an array, so that it is made once for all words.
+    text = F.array(F.lower(F.concat_ws(" ", "title", "body")))
+    return F.exists(text, lambda t: reduce(and_, [F.contains(t, F.lit(word)) for word in words]))
 
 
 def tagged(tags: Sequence[str], every: bool = False) -> Column:
@@ -58,13 +62,42 @@ def search_by_index(
     limit: int = SEARCH_LIMIT,
     columns: Sequence[str] = RESULT_COLUMNS,
 ) -> DataFrame:
-    """The same, restricted through the tag index instead of the questions' own tags.
+    """The same, found through the tag index; the questions' own tags have the last word, as
+    an index entry outlives a change of tags.
 
     Texts are compared where they are read, and only ids and results meet in the join. It
     is left to Catalyst, which broadcasts the ids only below its size limit: a tag may be
     on a third of all questions.
     """
     ids = index.filter(F.col("tag").isin(*tags)).select("question_id")
+    return search(questions.join(ids, "question_id", "left_semi"), query, tags, limit, columns=columns)
+
+
+def gram_index(questions: DataFrame) -> DataFrame:
+    """(gram, question_id): the runs of ``GRAM`` characters that a question's lowered title
+    and body hold, each once. A table to keep beside the questions, sorted by gram."""
+    text = F.array(F.lower(F.concat_ws(" ", "title", "body")))
+    places = F.transform(
+        text, lambda t: F.transform(F.sequence(F.lit(1), F.greatest(F.char_length(t) - GRAM + 1, F.lit(1))), lambda i: F.substr(t, i, F.lit(GRAM)))
+    )
+    grams = F.array_distinct(F.flatten(places))
+    return questions.select("question_id", F.explode(grams).alias("gram")).select("gram", "question_id")
+
+
+def search_by_grams(
+    questions: DataFrame,
+    index: DataFrame,
+    query: str,
+    limit: int = SEARCH_LIMIT,
+    columns: Sequence[str] = RESULT_COLUMNS,
+) -> DataFrame:
+    """The same as :func:`search` without tags, looking only into questions that hold all
+    grams of the query; words shorter than a gram prune nothing."""
+    grams = sorted({w[i : i + GRAM] for w in query.lower().split() for i in range(len(w) - GRAM + 1)})
+    if not grams:
+        return search(questions, query, (), limit, columns=columns)
+    held = index.filter(F.col("gram").isin(*grams)).groupBy("question_id").agg(F.count("*").alias("held"))
+    ids = held.filter(F.col("held") == len(grams)).select("question_id")
     return search(questions.join(ids, "question_id", "left_semi"), query, (), limit, columns=columns)
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagpulse.functions.times import PERIODS, READABLE, stamp
-from tagpulse.operators.latest import latest_version
 
 KEY = ("tag", "period", "stamp")
 
@@ -35,13 +34,19 @@ def latest_counts(trends: DataFrame, version: str = "version") -> DataFrame:
     Records are cut to the last of each tag and hour before they fan out, since the last
     of a day or month is the last of one of its hours.
     """
-    hour = F.date_trunc("hour", "event_time")
-    last_of_hour = latest_version(trends.withColumn("__hour", hour), ["tag", "__hour"], ["event_time", version])
-    return latest_version(fan_out(last_of_hour, version), KEY, ["event_time", version]).drop(version)
+    last_of_hour = _last(trends, ["tag", F.date_trunc("hour", "event_time")], ["tag", "count", "event_time"], version)
+    counts = ["tag", "period", "stamp", "raw_count", "timestamp_readable", "event_time"]
+    return _last(fan_out(last_of_hour, version), list(KEY), counts, version).drop(version)
+
+
+def _last(rows: DataFrame, keys: list, columns: list[str], version: str) -> DataFrame:
+    """The last row of each key by time and version: a partial aggregate, without sorting."""
+    newest = F.max_by(F.struct(*columns, version), F.struct("event_time", version))
+    return rows.groupBy(*keys).agg(newest.alias("last")).select("last.*")
 
 
 def monthly_counts(trends: DataFrame, version: str = "version") -> DataFrame:
     """The compact layout: row key ``tag#yyyyMM`` and one count."""
     month = F.expr(stamp("monthly", "event_time"))
     keyed = trends.withColumn("row_key", F.concat_ws("#", "tag", month))
-    return latest_version(keyed, ["row_key"], ["event_time", version]).select("row_key", "count")
+    return _last(keyed, ["row_key"], ["row_key", "count", "event_time"], version).select("row_key", "count")

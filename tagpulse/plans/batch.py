@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tagpulse.operators.metrics import calendar_parts, finish
 from tagpulse.streaming.store import Store
@@ -20,10 +21,14 @@ def refresh_calendar_metrics(store: Store, run_id: int, answer_mean: str = "per_
     """
     questions = store.questions.latest()
     for period in ("daily", "monthly"):
-        store.write_metrics(calendar_metrics(questions, period, answer_mean), run_id, f"{period}_metrics")
+        metrics = calendar_metrics(questions, period, answer_mean).withColumn("written", F.current_timestamp())
+        store.write_metrics(metrics, run_id, f"{period}_metrics")
 
 
-def compact_all(store: Store) -> None:
-    """Fold what each table's log held before the last compaction into its base."""
-    for table in store.tables:
-        table.compact()
+def snapshot_all(store: Store, to: str, since: str | None = None) -> None:
+    """Write the current rows of every keyed table under the new folder ``to``.
+
+    Run on a schedule, each time from the snapshot before; readers name the newest one.
+    """
+    for name, table in store.tables.items():
+        table.snapshot(f"{to}/{name}", None if since is None else f"{since}/{name}")

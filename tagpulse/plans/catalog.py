@@ -6,10 +6,9 @@ across engines that add doubles in different orders. Timestamps leave as text.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tagpulse.functions import answers as A
@@ -23,14 +22,15 @@ from tagpulse.operators import trends as T
 from tagpulse.operators.answer_rows import preselect_rows, top_answer_rows, with_answer_flags
 from tagpulse.operators.latest import latest_version
 from tagpulse.plans import tables
-from tagpulse.plans.batch import calendar_metrics
-from tagpulse.schemas import CELLS, METRIC_QUESTION
-from tagpulse.session import shared_dir
-from tagpulse.sources.decode import decode_questions, decode_trends, rejected_questions, to_messages
-from tagpulse.sources.feed import backfill_and_live, flat_answers, shape_questions
+from tagpulse.plans.batch import calendar_metrics, refresh_calendar_metrics
+from tagpulse.schemas import CELL_LOG, METRIC_QUESTION
+from tagpulse.session import run_folder
+from tagpulse.sources.decode import decode_questions, decode_trends, rejected_questions, rejected_trends, to_messages
+from tagpulse.sources.feed import backfill_and_live, flat_answers, live_repeats, shape_questions
+from tagpulse.sources.messages import versioned
 from tagpulse.streaming import jobs
 from tagpulse.streaming.store import Store
-from tagpulse.streaming.tables import KeyedTable
+from tagpulse.streaming.tables import Log
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -59,6 +59,10 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.with_answer_columns(tables.event_questions(_events(spark, sf_dir)))
+
+
+def _sent_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events through the wire format: encoded as messages, decoded for the metrics."""
     encoded = to_messages(tables.event_questions(_events(spark, sf_dir)))
     return Q.with_answer_columns(decode_questions(encoded, schema=METRIC_QUESTION))
@@ -74,10 +78,6 @@ def _shaped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shape_questions(tables.raw_questions(spark, sf_dir), tables.raw_answers(spark, sf_dir), ANSWER_ORDER)
 
 
-def _run_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/tagpulse-{name}-{uuid.uuid4().hex}"
-
-
 # Sources and decoding
 
 
@@ -92,12 +92,49 @@ def decoded_questions(spark, sf_dir):
 
 @_query
 def reject_split(spark, sf_dir):
-    return rejected_questions(tables.question_messages(_events(spark, sf_dir)), "version")
+    rejected = rejected_questions(tables.question_messages(_events(spark, sf_dir)), "version")
+    return rejected.select(F.col("version.offset").alias("version"), "message")
 
 
 @_query
 def parse_trend_messages(spark, sf_dir):
-    return decode_trends(tables.trend_messages(_events(spark, sf_dir)), "version").select("version", "tag", "count")
+    parsed = decode_trends(tables.trend_messages(_events(spark, sf_dir)), "version")
+    return parsed.select(F.col("version.offset").alias("version"), "tag", "count")
+
+
+@_query
+def trend_rejects(spark, sf_dir):
+    """Trend messages of which every 'error' is cut off and every 'view' has no tag."""
+    cut = F.expr(
+        "CASE tag WHEN 'error' THEN substr(text, 1, 9) WHEN 'view' THEN '{\"count\":1}' ELSE text END"
+    )
+    messages = tables.trend_messages(_events(spark, sf_dir)).select("version", F.col("value").cast("string").alias("text"))
+    tagged = messages.withColumn("tag", F.get_json_object("text", "$.tag"))
+    rejected = rejected_trends(tagged.select("version", cut.alias("value")), "version")
+    return rejected.select(F.col("version.offset").alias("version"), "message")
+
+
+@_query
+def message_order(spark, sf_dir):
+    """Each user's newest message of a topic of three partitions, whose offsets pass a
+    million while many messages share a time."""
+    topic = _events(spark, sf_dir).selectExpr(
+        "CAST(event_id AS STRING) AS value", "CAST(date_trunc('DAY', ts) AS TIMESTAMP) AS timestamp",
+        "CAST(event_id % 3 AS INT) AS partition", "999500 + event_id DIV 3 AS offset",
+    )
+    users = _events(spark, sf_dir).select(F.col("event_id").cast("string").alias("value"), "user_id")
+    newest = latest_version(versioned(topic).join(users, "value"), ["user_id"], ["version"])
+    return newest.select("user_id", F.col("value").cast("bigint").alias("event_id"))
+
+
+@_query
+def live_feed_repeats(spark, sf_dir):
+    """How often a live producer sends each question of a day, fetching the last minute
+    every second and a half, and what one copy of each leaves."""
+    sent = live_repeats(tables.event_questions(_events(spark, sf_dir)), NOW, UNTIL)
+    copies = sent.groupBy("question_id").agg(F.count("*").alias("copies"), F.max("fetch").alias("newest_fetch"))
+    kept = latest_version(sent, ["question_id"], ["fetch"]).select("question_id", F.col("fetch").alias("kept_fetch"))
+    return copies.join(kept, "question_id")
 
 
 @_query
@@ -131,8 +168,7 @@ def latest_versions(spark, sf_dir):
 
 @_query
 def outbound_json(spark, sf_dir):
-    items = tables.raw_questions(spark, sf_dir).drop("owner", "title", "body")
-    return to_messages(items)
+    return to_messages(_shaped(spark, sf_dir).withColumn("mode", F.lit("backfill")))
 
 
 # Text, dates and answer arrays
@@ -148,6 +184,19 @@ def strip_html_keep_code(spark, sf_dir):
     return tables.table(spark, sf_dir, "pages").selectExpr("page_id", f"{text.strip_html('html', False)} AS body")
 
 
+@_query
+def strip_html_hard(spark, sf_dir):
+    """Pages' numbers inside tags of many attributes, padded references, nested templates."""
+    hard = tables.table(spark, sf_dir, "pages").selectExpr(
+        "page_id",
+        """concat('<div ', array_join(transform(sequence(1, 65 + CAST(page_id % 30 AS INT)),
+             i -> concat('a', i, '="', i, '>"')), ' '), ' title="p>q">n', page_id, '</div>&#',
+           lpad('65', 13 + CAST(page_id % 20 AS INT), '0'), ';<template id="x>"><p>a</p><template>b', page_id,
+           '</template><!-- </template> -->c</template>d', page_id, '<a href=''unclosed>e</a>') AS html""",
+    )
+    return hard.selectExpr("page_id", f"{text.strip_html('html')} AS body")
+
+
 @_query
 def strip_html_answers(spark, sf_dir):
     paragraphs = tables.table(spark, sf_dir, "pages").selectExpr(
@@ -225,18 +274,13 @@ def preselect_answer_rows(spark, sf_dir):
 @_query
 def sql_functions(spark, sf_dir):
     register_functions(spark)
-    _shaped(spark, sf_dir).drop("is_answered").withColumn(
-        "answers",
-        F.expr(
-            "transform(answers, a -> named_struct('answer_id', a.answer_id, 'body', a.body, 'score', a.score, "
-            "'is_accepted', a.is_accepted, 'owner_reputation', a.owner_reputation))"
-        ),
-    ).createOrReplaceTempView("tagpulse_questions")
+    tables.document_questions(spark, sf_dir).createOrReplaceTempView("tagpulse_questions")
     return spark.sql(
         "SELECT question_id, strip_html_completely(body) AS body, format_timestamp(creation_date) AS created, "
         "has_accepted_answer(answers) AS has_accepted_answer, is_unanswered(answers) AS is_unanswered, "
         "round(avg_answer_score(answers), 6) AS avg_answer_score, "
-        "size(select_top_answers(answers)) AS top_answers FROM tagpulse_questions"
+        "array_join(transform(select_top_answers(answers), a -> CAST(a.answer_id AS STRING)), '|') AS top_answers "
+        "FROM tagpulse_questions"
     )
 
 
@@ -245,7 +289,7 @@ def sql_functions(spark, sf_dir):
 
 @_query
 def hourly_tag_metrics(spark, sf_dir):
-    return _rounded(M.finish(M.hourly_parts(_event_questions(spark, sf_dir))))
+    return _rounded(M.finish(M.hourly_parts(_sent_questions(spark, sf_dir))))
 
 
 @_query
@@ -299,16 +343,13 @@ def tag_index_latest(spark, sf_dir):
 
 
 def _trends(spark, sf_dir) -> DataFrame:
-    messages = tables.trend_messages(_events(spark, sf_dir))
     # the batch replay takes the time from the record instead of the clock
-    return decode_trends(messages.withColumnRenamed("event_time", "at"), "version", "at").withColumn(
-        "event_time", F.col("at")
-    )
+    return decode_trends(tables.trend_messages(_events(spark, sf_dir)), "version")
 
 
 @_query
 def trend_fanout(spark, sf_dir):
-    return T.fan_out(_trends(spark, sf_dir), "version").drop("event_time")
+    return T.fan_out(_trends(spark, sf_dir), "version").drop("event_time").withColumn("version", F.col("version.offset"))
 
 
 @_query
@@ -325,7 +366,7 @@ def trend_monthly(spark, sf_dir):
 
 
 def _cleaned(spark, sf_dir) -> DataFrame:
-    return Q.clean(_shaped(spark, sf_dir))
+    return Q.clean(tables.document_questions(spark, sf_dir))
 
 
 @_query
@@ -340,8 +381,7 @@ def answer_cells(spark, sf_dir):
 
 @_query
 def top_answer_cells(spark, sf_dir):
-    cleaned = Q.clean(tables.document_questions(spark, sf_dir))
-    return P.cells(P.question_puts(cleaned, families=["top_answers"]))
+    return P.cells(P.question_puts(_cleaned(spark, sf_dir), families=["top_answers"]))
 
 
 @_query
@@ -350,12 +390,13 @@ def tag_index_cells(spark, sf_dir):
 
 
 def _numbers_apart(cells: DataFrame) -> DataFrame:
-    """Text of numbers as rounded numbers, as engines print doubles differently."""
-    number = F.expr("round(try_cast(value AS DOUBLE), 6)")
+    """The one mean that depends on the order of addition as a rounded number, all else as
+    the text it is."""
+    is_mean = F.col("qualifier") == "avg_answer_score"
     return cells.select(
         "table", "row_key", "family", "qualifier",
-        F.when(F.col("qualifier") == "timestamp_readable", F.col("value")).alias("text_value"),
-        F.when(F.col("qualifier") != "timestamp_readable", number).alias("number_value"),
+        F.when(~is_mean, F.col("value")).alias("text_value"),
+        F.when(is_mean, F.expr("round(try_cast(value AS DOUBLE), 6)")).alias("number_value"),
     )
 
 
@@ -367,35 +408,43 @@ def hourly_trend_cells(spark, sf_dir):
 
 @_query
 def trend_cells(spark, sf_dir):
-    return P.cells(P.trend_puts(T.fan_out(_trends(spark, sf_dir), "version"), "version"), "version")
+    cells = P.cells(P.trend_puts(T.fan_out(_trends(spark, sf_dir), "version"), "version"), "version")
+    return cells.withColumn("version", F.col("version.offset"))
 
 
 @_query
 def cell_merge(spark, sf_dir):
     """Metrics and raw counts written to the same rows, the raw counts later."""
     metrics = M.finish(M.hourly_parts(_event_questions(spark, sf_dir)))
-    first = P.cells(P.metric_puts(metrics)).withColumn("version", F.lit(-1).cast("bigint"))
+    first = P.cells(P.metric_puts(metrics)).withColumn("version", tables.version("-1", "TIMESTAMP'1970-01-01'"))
     counts = P.trend_puts(T.fan_out(_trends(spark, sf_dir), "version"), "version")
     return _numbers_apart(P.merge_cells(first.unionByName(P.cells(counts, "version")), "version"))
 
 
 @_query
 def keyed_table_latest(spark, sf_dir):
-    """Daily counts in two batches that share a day, compacted between them, and the
-    second batch written twice, as a replay does."""
-    table = KeyedTable(spark, _run_folder(spark, "keyed"), CELLS, P.CELL_KEY, ["table"])
+    """Raw counts put in batches that do not come in order: the newest messages first, older
+    ones after them, a batch that lands after two snapshots, one written twice, as a replay
+    does, and one whose replay is empty."""
+    root = run_folder(spark, "keyed")
+    table = Log(spark, f"{root}/cells", CELL_LOG, P.CELL_KEY, between="written", partition_by=["table"])
     trends = _trends(spark, sf_dir)
 
-    def daily(condition: str) -> DataFrame:
-        counts = T.latest_counts(trends.filter(condition)).filter("period = 'daily'")
-        return P.cells(P.trend_puts(counts))
-
-    table.append(daily("event_time < TIMESTAMP'2024-01-15 12:00:00'"), "trends", 0)
-    table.compact()  # closes the epoch
-    table.compact()  # folds it into the base
+    def put(condition: str, batch_id: int) -> None:
+        counts = T.fan_out(trends.filter(condition), "version")
+        newest = latest_version(counts, T.KEY, ["event_time", "version"])
+        cells = P.cells(P.trend_puts(newest, "version", F.col("event_time").alias("written")), "version", "written")
+        table.append(cells, "trends", batch_id)
+
+    put("event_time >= TIMESTAMP'2024-01-15 12:00:00'", 1)
+    put("event_time < TIMESTAMP'2024-01-10 06:30:00'", 2)
+    table.snapshot(f"{root}/first")
+    put("true", 4)
+    table.snapshot(f"{root}/second", since=f"{root}/first")
+    put("false", 4)  # a replay that delivers nothing takes back what the first run wrote
     for _ in range(2):
-        table.append(daily("event_time >= TIMESTAMP'2024-01-15 00:00:00'"), "trends", 1)
-    return table.latest()
+        put("event_time BETWEEN TIMESTAMP'2024-01-09 00:00:00' AND TIMESTAMP'2024-01-16 00:00:00'", 0)
+    return table.latest(snapshot=f"{root}/second").select("table", "row_key", "family", "qualifier", "value")
 
 
 # Serving queries
@@ -403,22 +452,29 @@ def keyed_table_latest(spark, sf_dir):
 
 @_query
 def search(spark, sf_dir):
-    questions = tables.document_questions(spark, sf_dir)
-    found = S.search(questions.withColumn("top_answers", F.expr(A.top_answers("answers"))), "the ON")
-    return found.select("question_id", "title", "score", F.transform("top_answers", lambda a: a["answer_id"].cast("string")).alias("ids")).select(
-        "question_id", "title", "score", F.array_join("ids", "|").alias("top_answers")
-    )
+    found = S.search(tables.documents(spark, sf_dir), "the ON", columns=("question_id", "title", "score", "body"))
+    # The best answers of the few questions found.
+    answered = tables.line_answers(found).withColumn("top_answers", F.expr(A.top_answers("answers")))
+    ids = F.transform("top_answers", lambda a: a["answer_id"].cast("string"))
+    return answered.select("question_id", "title", "score", F.array_join(ids, "|").alias("top_answers"))
+
+
+@_query
+def search_by_grams(spark, sf_dir):
+    questions = tables.documents(spark, sf_dir)
+    index = S.gram_index(questions)
+    return S.search_by_grams(questions, index, "Reatha tion", columns=("question_id", "title", "score"))
 
 
 @_query
 def search_all_tags(spark, sf_dir):
-    questions = tables.document_questions(spark, sf_dir)
+    questions = tables.documents(spark, sf_dir)
     return S.search(questions, "th", ["en", "src1"], every_tag=True, columns=("question_id", "title", "score"))
 
 
 @_query
 def search_by_tag(spark, sf_dir):
-    questions = tables.document_questions(spark, sf_dir)
+    questions = tables.documents(spark, sf_dir)
     return S.search_by_index(
         questions, Q.tag_index(questions), "que", ["fr", "src3"], columns=("question_id", "title", "score")
     )
@@ -432,48 +488,154 @@ def suggest_titles(spark, sf_dir):
 
 # Streaming
 
+ONCE = {"availableNow": True}
+#: Files of one slice of messages, all taken by one trigger.
+FILES = 2
+SLICES = 8
+
+
+def _sliced(messages: DataFrame, folder: str, slices: range) -> None:
+    """Write messages to a stream's folder slice by slice, by their column ``slice``."""
+    for number in slices:
+        part = messages.filter(F.col("slice") == number).drop("slice").repartition(FILES)
+        part.write.mode("append").parquet(folder)
+
+
+def _stream(spark: SparkSession, folder: str, like: DataFrame) -> DataFrame:
+    """The folder as a stream, a slice to a micro-batch."""
+    schema = like.drop("slice").schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES).parquet(folder)
+
+
+#: Four days to a slice of January.
+_OWN_SLICE = "CAST((day(ts) - 1) DIV 4 AS INT)"
+
+
+def _halves(messages: DataFrame, folder: str, run: Callable[[], None]) -> None:
+    """Feed a job half of the slices, let it end, and start it again for the rest."""
+    for half in (range(SLICES // 2), range(SLICES // 2, SLICES)):
+        _sliced(messages, folder, half)
+        run()
+
 
 @_query
 def stream_hourly_metrics(spark, sf_dir):
-    """The hourly metrics job over the events as a stream, read back from its table."""
-    root = _run_folder(spark, "hourly")
-    messages = to_messages(tables.event_questions(tables.event_stream(spark, sf_dir)))
+    """The hourly metrics job over the events as a stream, stopped and started again
+    half-way, read back from its table."""
+    root = run_folder(spark, "hourly")
+    events = _events(spark, sf_dir).withColumn("slice", F.expr(_OWN_SLICE))
+    messages = to_messages(tables.event_questions(events).drop("slice")).select("key", "value")
+    keyed = messages.join(events.select(F.col("event_id").cast("string").alias("key"), "slice"), "key")
     store = Store(spark, f"{root}/tables", cell_view=False)
-    jobs.start_hourly_metrics(messages, store, f"{root}/checkpoints", {"availableNow": True}).awaitTermination()
-    return _rounded(store.metrics.latest())
+
+    def run():
+        stream = _stream(spark, f"{root}/in", keyed)
+        jobs.start_hourly_metrics(stream, store, f"{root}/checkpoints", ONCE).awaitTermination()
+
+    _halves(keyed, f"{root}/in", run)
+    return _rounded(store.metrics.latest().drop("written"))
+
+
+@_query
+def stream_late_rows(spark, sf_dir):
+    """What each micro-batch of the hourly metrics emits when some messages come one slice
+    late, in time for what is still open, and some three slices late."""
+    root = run_folder(spark, "late")
+    late = "CASE WHEN event_id % 11 = 0 THEN 1 WHEN event_id % 13 = 0 THEN 3 ELSE 0 END"
+    events = _events(spark, sf_dir).withColumn("slice", F.expr(f"least({_OWN_SLICE} + {late}, {SLICES - 1})"))
+    messages = to_messages(tables.event_questions(events).drop("slice")).select("key", "value")
+    keyed = messages.join(events.select(F.col("event_id").cast("string").alias("key"), "slice"), "key")
+    store = Store(spark, f"{root}/tables", cell_view=False)
+
+    def run():
+        stream = _stream(spark, f"{root}/in", keyed)
+        jobs.start_hourly_metrics(stream, store, f"{root}/checkpoints", ONCE).awaitTermination()
+
+    _halves(keyed, f"{root}/in", run)
+    emitted = store.metrics.rows()
+    # Micro-batches without data emit nothing and are not numbered.
+    batches = emitted.select("batch_id").distinct().withColumn("batch", F.row_number().over(Window.orderBy("batch_id")) - 1)
+    return emitted.join(batches, "batch_id").select("batch", "tag", _readable("period_start"), "total_questions")
 
 
 @_query
 def stream_deduplicated_metrics(spark, sf_dir):
-    """Every message sent three times, counted once."""
-    root = _run_folder(spark, "dedup")
-    questions = tables.event_questions(tables.event_stream(spark, sf_dir))
-    copies = to_messages(questions.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3)))))
+    """Every message sent twice at once and once more a slice later, counted once."""
+    root = run_folder(spark, "dedup")
+    events = _events(spark, sf_dir)
+    times = F.explode(F.array(F.lit(0), F.lit(0), F.lit(1)))
+    sent = events.select(
+        F.col("event_id").cast("string").alias("key"), F.expr(_OWN_SLICE).alias("own"), times.alias("late")
+    ).selectExpr("key", f"least(own + late, {SLICES - 1}) AS slice")
+    copies = to_messages(tables.event_questions(events)).join(sent, "key")
     store = Store(spark, f"{root}/tables", cell_view=False)
-    jobs.start_hourly_metrics(
-        copies, store, f"{root}/checkpoints", {"availableNow": True}, dedup=True
-    ).awaitTermination()
-    return _rounded(store.metrics.latest())
+    _sliced(copies, f"{root}/in", range(SLICES))
+    stream = _stream(spark, f"{root}/in", copies)
+    jobs.start_hourly_metrics(stream, store, f"{root}/checkpoints", ONCE, dedup=True).awaitTermination()
+    return _rounded(store.metrics.latest().drop("written"))
+
+
+def _question_job(spark, sf_dir, name: str) -> Store:
+    """The question job over messages of which every even one is followed, two slices
+    later, by an older version of itself, and which all break in the same way if broken."""
+    root = run_folder(spark, name)
+    events = _events(spark, sf_dir)
+    broken = F.when(F.col("value").cast("string").endswith("}"), F.col("value")).otherwise(F.lit("broken").cast("binary"))
+    messages = tables.question_messages(events).withColumn("value", broken)
+    slices = events.selectExpr("event_id", f"least({_OWN_SLICE}, {SLICES - 3}) AS slice")
+    newest = messages.join(slices, F.col("version.offset") == F.col("event_id")).drop("event_id")
+    title = F.regexp_replace(F.col("value").cast("string"), '"title":"[^"]*"', '"title":"old"').cast("binary")
+    older = newest.filter("version.offset % 2 = 0").select(
+        title.alias("value"), tables.version("version.offset", "TIMESTAMP'2023-01-01'").alias("version"),
+        (F.col("slice") + 2).alias("slice"),
+    )
+    sent = newest.unionByName(older)
+    store = Store(spark, f"{root}/tables")
+
+    def run():
+        jobs.start_questions(_stream(spark, f"{root}/in", sent), store, f"{root}/checkpoints", ONCE).awaitTermination()
+
+    _halves(sent, f"{root}/in", run)
+    return store
 
 
 @_query
 def stream_questions(spark, sf_dir):
-    """The question job: broken messages rejected, the rest in the question table."""
-    root = _run_folder(spark, "questions")
-    messages = tables.question_messages(tables.event_stream(spark, sf_dir))
-    store = Store(spark, f"{root}/tables", cell_view=False)
-    jobs.start_questions(messages, store, f"{root}/checkpoints", {"availableNow": True}).awaitTermination()
-    return store.questions.latest().select(
+    """The question table after older versions came last."""
+    return _question_job(spark, sf_dir, "questions").questions.latest().select(
         "question_id", "title", "body", "creation_date_readable", "score", "has_accepted_answer", "is_unanswered",
-        F.size("top_answers").alias("top_answers"),
+        F.array_join(F.transform("top_answers", lambda a: a["answer_id"].cast("string")), "|").alias("top_answers"),
     )
 
 
+@_query
+def stream_question_cells(spark, sf_dir):
+    """The cells of the same job: titles, and what the tag index holds."""
+    cells = _question_job(spark, sf_dir, "cells").cells.latest()
+    wanted = cells.filter("(family = 'question' AND qualifier = 'title') OR family = 'question_ids'")
+    return wanted.select("table", "row_key", "family", "qualifier", "value")
+
+
+@_query
+def reject_counts(spark, sf_dir):
+    """Rejects of the same job: equal broken messages are all counted."""
+    rejects = _question_job(spark, sf_dir, "rejects").rejects.rows()
+    return rejects.groupBy("topic", "message").agg(F.count("*").alias("messages"))
+
+
 @_query
 def stream_trends(spark, sf_dir):
     """The trends job; its stamps are the clock's, so only counts are returned."""
-    root = _run_folder(spark, "trends")
+    root = run_folder(spark, "trends")
     messages = tables.trend_messages(tables.event_stream(spark, sf_dir)).select("value", "version")
     store = Store(spark, f"{root}/tables", cell_view=False)
-    jobs.start_trends(messages, store, f"{root}/checkpoints", {"availableNow": True}).awaitTermination()
+    jobs.start_trends(messages, store, f"{root}/checkpoints", ONCE).awaitTermination()
     return store.trend_counts.latest().select("tag", "period", "raw_count")
+
+
+@_query
+def calendar_refresh(spark, sf_dir):
+    """Day and month metrics of the stored questions, as the scheduled batch writes them."""
+    store = _question_job(spark, sf_dir, "refresh")
+    refresh_calendar_metrics(store, run_id=0)
+    return _rounded(store.metrics.latest().drop("written"))

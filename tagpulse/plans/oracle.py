@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from tagpulse.functions.text import LEFTOVER_TAG, MARKUP
-
+# Tags and what is no text inside them, in this engine's own terms; the given pages have no
+# templates.
+MARKUP = (
+    r"(?is)<!--.*?(?:-->|\z)|<script(?:[\s/][^>]*)?>.*?(?:</script[^>]*>|\z)|<style(?:[\s/][^>]*)?>.*?(?:</style[^>]*>|\z)"
+    r"|</?[a-z!?](?:[^>=]*=\s*(?:\x22[^\x22]*\x22|\x27[^\x27]*\x27))*[^>]*>"
+)
+LEFTOVER_TAG = "<[^>]+>"
 # Unicode white space written out, for an engine without a class for it
 BLANKS = (
     r"[\s\x0b\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}"
@@ -36,7 +41,7 @@ ea AS (
 et AS (
   SELECT event_id, count(*) AS n, sum(score) AS total, bool_or(accepted) AS accepted FROM ea GROUP BY event_id),
 q AS (
-  SELECT k.event_id AS question_id, unnest([event_type, 'user-' || user_id]) AS tag, ts, k.score,
+  SELECT k.event_id AS question_id, unnest([event_type, 'user-' || user_id]) AS tag, event_type, ts, k.score,
          coalesce(n, 0) AS n, coalesce(total, 0) AS total, coalesce(et.accepted, false) AS accepted
   FROM k LEFT JOIN et ON k.event_id = et.event_id)
 """
@@ -44,7 +49,7 @@ q AS (
 # Orders as questions, with the totals of their lines
 _ORDERS = """
 la AS (
-  SELECT l_orderkey AS question_id, l_partkey * 1000000 + l_suppkey * 10 + l_linenumber AS answer_id,
+  SELECT l_orderkey AS question_id, l_partkey * 68719476736 + l_suppkey * 4096 + l_linenumber * 256 + CAST(l_quantity AS INT) AS answer_id,
          '<i>' || l_returnflag || '</i> &lt;' || l_linestatus || '&gt; ' || l_linenumber AS body,
          l_returnflag || ' ' || l_linenumber AS clean_body,
          CAST(l_quantity AS INT) AS score, l_returnflag = 'A' AS is_accepted,
@@ -94,7 +99,7 @@ _LINES = """
 cut AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
 line AS (SELECT doc_id, unnest(lines) AS body, unnest(range(len(lines))) AS i FROM cut),
 da AS (
-  SELECT doc_id AS question_id, i, doc_id * 100000 + i + 1 AS answer_id, body,
+  SELECT doc_id AS question_id, i, doc_id * 2147483648 + i + 1 AS answer_id, body,
          CAST(length(body) // 50 AS INT) AS score, contains(lower(body), 'ou') AS is_accepted,
          CAST(greatest(2000 - 300 * i, 0) AS INT) AS owner_reputation
   FROM line),
@@ -112,20 +117,25 @@ pre AS (
 """
 
 
-def _metrics(source: str, start: str, period: str, answer_mean: str | None = None, tail: str = "") -> str:
+def _metrics(
+    source: str, start: str, period: str, answer_mean: str | None = None, tail: str = "", rounded: bool = True
+) -> str:
     mean = answer_mean or "avg(CASE WHEN n = 0 THEN 0.0 ELSE total / n END)"
+    digits = "round({}, 6)" if rounded else "{}"
     return f"""
 WITH {source}
 SELECT tag, '{period}' AS period, {_TIME.format(start)} AS period_start, count(*) AS total_questions,
-       round(avg(CASE WHEN n = 0 THEN 1 ELSE 0 END) * 100, 6) AS unanswered_percent,
-       round(avg(CASE WHEN accepted THEN 1 ELSE 0 END) * 100, 6) AS accepted_percent,
-       round(avg(score), 6) AS avg_question_score,
-       round({mean}, 6) AS avg_answer_score
-FROM q GROUP BY tag, {start} {tail}"""
+       {digits.format("sum(CASE WHEN n = 0 THEN 1 ELSE 0 END)::DOUBLE / count(*) * 100")} AS unanswered_percent,
+       {digits.format("sum(CASE WHEN accepted THEN 1 ELSE 0 END)::DOUBLE / count(*) * 100")} AS accepted_percent,
+       {digits.format("sum(score)::DOUBLE / count(score)")} AS avg_question_score,
+       {digits.format(mean)} AS avg_answer_score
+FROM q {tail} GROUP BY tag, {start}"""
 
 
 _HOUR, _DAY, _MONTH = (f"date_trunc('{unit}', ts)" for unit in ("hour", "day", "month"))
 _HOURLY = _metrics(_EVENTS, _HOUR, "hourly")
+_HOURLY_EXACT = _metrics(_EVENTS, _HOUR, "hourly", rounded=False)
+_GOOD = "WHERE event_type <> 'error'"
 
 _DOCUMENT_FIELDS = "doc_id AS question_id, source || ' ' || lang || ' ' || doc_id AS title, CAST(n_chars AS INT) AS score"
 
@@ -141,7 +151,7 @@ f AS (
 last AS (
   SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY tag, period, stamp ORDER BY ts DESC, version DESC) = 1),
 written_last AS (
-  SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY tag, period, stamp ORDER BY version DESC) = 1)
+  SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY tag, period, stamp ORDER BY ts DESC, version DESC) = 1)
 """
 
 
@@ -187,13 +197,13 @@ _METRIC_NAMES = (
 
 def _metric_cells(source: str) -> str:
     names = ", ".join(f"'{name}'" for name in _METRIC_NAMES)
-    values = ", ".join(f"CAST({name} AS DOUBLE)" for name in _METRIC_NAMES)
+    texts = ", ".join(f"CAST({name} AS VARCHAR)" for name in _METRIC_NAMES[:-1])
     return f"""
 SELECT 'stackoverflow_trends' AS "table",
        tag || '#hourly#' || strftime(CAST(period_start AS TIMESTAMP), '%Y%m%d%H') AS row_key, 'trend' AS family,
        unnest([{names}, 'timestamp_readable']) AS qualifier,
-       unnest([NULL, NULL, NULL, NULL, NULL, period_start]) AS text_value,
-       unnest([{values}, NULL]) AS number_value
+       unnest([{texts}, NULL, period_start]) AS text_value,
+       unnest([NULL, NULL, NULL, NULL, round(avg_answer_score, 6), NULL]) AS number_value
 FROM ({source})"""
 
 
@@ -229,13 +239,32 @@ FROM e JOIN m ON creation_date BETWEEN slice_start AND slice_start + 60""",
     "latest_versions": """
 SELECT o_custkey, o_orderkey, o_totalprice, o_orderpriority FROM orders
 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""",
+    "trend_rejects": """
+SELECT event_id AS version, CASE event_type WHEN 'error' THEN '{"tag":"e' ELSE '{"count":1}' END AS message
+FROM events WHERE event_type IN ('error', 'view')""",
+    "message_order": """
+SELECT user_id, event_id FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY date_trunc('day', ts) DESC, event_id % 3 DESC, event_id // 3 DESC) = 1""",
+    "live_feed_repeats": """
+WITH e AS (SELECT event_id AS question_id, CAST(floor(epoch(ts)) AS BIGINT) - 1704931200 AS created FROM events),
+fetches AS (SELECT unnest(range(57600)) AS place)
+SELECT question_id, count(*) AS copies, max(place) AS newest_fetch, max(place) AS kept_fetch
+FROM e JOIN fetches ON place * 1.5 BETWEEN created AND created + 60 GROUP BY question_id""",
     "outbound_json": f"""
-WITH {_ORDERS}
-SELECT CAST(question_id AS VARCHAR) AS key,
-       '{{"question_id":' || question_id || ',"creation_date":' || creation_date || ',"score":' || score ||
+WITH {_CHOSEN},
+a AS (
+  SELECT question_id, string_agg('{{"answer_id":' || answer_id || ',"body":"' || body || '","score":' || score ||
+         ',"is_accepted":' || CAST(is_accepted AS VARCHAR) || ',"creation_date":' || creation_date ||
+         ',"owner_reputation":' || owner_reputation || '}}', ',' ORDER BY rank) AS answers
+  FROM pre GROUP BY question_id)
+SELECT CAST(o.question_id AS VARCHAR) AS key,
+       '{{"question_id":' || o.question_id || ',"title":"' || title || '","body":"' || body ||
+       '","creation_date":' || creation_date || ',"score":' || score || ',"owner_reputation":' || owner_reputation ||
        ',"is_answered":' || CAST(is_answered AS VARCHAR) || ',"tags":["' || o_orderpriority || '","' ||
-       o_orderstatus || '"]}}' AS value
-FROM o""",
+       o_orderstatus || '"],"answers":[' || coalesce(answers, '') || '],"mode":"backfill"}}' AS value
+FROM o LEFT JOIN a ON o.question_id = a.question_id""",
+    "strip_html_hard": """
+SELECT page_id, 'n' || page_id || ' A d' || page_id || ' e' AS body FROM pages""",
     "strip_html_pages": f"SELECT page_id, {_html('html')} AS body FROM pages",
     "strip_html_keep_code": f"SELECT page_id, {_html('html', False)} AS body FROM pages",
     "strip_html_answers": f"""
@@ -273,14 +302,13 @@ SELECT question_id, CAST(rank AS INT) AS rank, answer_id, score, is_accepted FRO
 WITH {_CHOSEN}
 SELECT question_id, CAST(rank AS INT) AS rank, answer_id, score, is_accepted FROM pre""",
     "sql_functions": f"""
-WITH {_CHOSEN},
-c AS (
-  SELECT question_id, count(*) AS n, sum(score) AS total, bool_or(is_accepted) AS accepted FROM pre GROUP BY question_id)
-SELECT o.question_id, clean_body AS body, {_TIME.format('o_orderdate')} AS created,
-       coalesce(accepted, false) AS has_accepted_answer, n IS NULL AS is_unanswered,
-       round(CASE WHEN n IS NULL THEN 0.0 ELSE total / n END, 6) AS avg_answer_score,
-       CAST(coalesce(n, 0) AS INT) AS top_answers
-FROM o LEFT JOIN c ON o.question_id = c.question_id""",
+WITH {_LINES},
+c AS (SELECT question_id, count(*) AS n, sum(score) AS total, bool_or(is_accepted) AS accepted FROM da GROUP BY question_id),
+ids AS (
+  SELECT question_id, string_agg(CAST(answer_id AS VARCHAR), '|' ORDER BY position) AS top_answers FROM top GROUP BY 1)
+SELECT c.question_id, {_html('text')} AS body, {_TIME.format('make_timestamp((doc_id * 60 + 1704067200) * 1000000)')} AS created,
+       accepted AS has_accepted_answer, false AS is_unanswered, round(total / n, 6) AS avg_answer_score, top_answers
+FROM c JOIN documents ON c.question_id = doc_id JOIN ids ON c.question_id = ids.question_id""",
     "hourly_tag_metrics": _HOURLY,
     "hourly_tag_metrics_per_answer": _metrics(
         _EVENTS, _HOUR, "hourly", "CASE WHEN sum(n) = 0 THEN 0.0 ELSE sum(total) / sum(n) END"
@@ -289,7 +317,7 @@ FROM o LEFT JOIN c ON o.question_id = c.question_id""",
     "monthly_tag_metrics": _metrics(_ORDERS, _MONTH, "monthly"),
     "metrics_rollup_day": _metrics(_EVENTS, _DAY, "daily"),
     "metrics_rollup_month": _metrics(_EVENTS, _MONTH, "monthly"),
-    "trend_series": _metrics(_EVENTS, _DAY, "daily", tail="HAVING tag = 'purchase' ORDER BY period_start"),
+    "trend_series": _metrics(_EVENTS, _DAY, "daily", tail="WHERE tag = 'purchase'"),
     "tag_rows": f"WITH {_ORDERS} SELECT tag, question_id, score FROM q",
     "tag_index": f"""
 WITH {_ORDERS}
@@ -306,25 +334,26 @@ SELECT tag, period, stamp, raw_count, timestamp_readable FROM last""",
     "trend_monthly": f"""
 WITH {_TREND_PLACES}
 SELECT tag || '#' || stamp AS row_key, raw_count AS count FROM last WHERE period = 'monthly'""",
-    "question_cells": f"WITH {_ORDERS} "
+    "question_cells": f"WITH {_LINES}, of AS (SELECT question_id, bool_or(is_accepted) AS accepted FROM da GROUP BY 1), "
+    "dq AS (SELECT documents.*, accepted, doc_id * 60 + 1704067200 AS created FROM documents JOIN of ON doc_id = question_id) "
     + _cells(
         "stackoverflow_qna",
         "question",
-        "CAST(question_id AS VARCHAR)",
+        "CAST(doc_id AS VARCHAR)",
         {
-            "title": "title",
-            "body": "clean_body",
-            "creation_date": _TIME.format("o_orderdate"),
-            "raw_creation_date": "CAST(creation_date AS VARCHAR)",
-            "score": "CAST(score AS VARCHAR)",
-            "owner_reputation": "CAST(owner_reputation AS VARCHAR)",
+            "title": "source || ' ' || lang || ' ' || doc_id",
+            "body": _html("text"),
+            "creation_date": _TIME.format("make_timestamp(created * 1000000)"),
+            "raw_creation_date": "CAST(created AS VARCHAR)",
+            "score": "CAST(n_chars AS VARCHAR)",
+            "owner_reputation": "CAST(n_chars AS VARCHAR)",
             "has_accepted": _boolean("accepted"),
-            "is_unanswered": _boolean("n = 0"),
-            "tags": "'[\"' || o_orderpriority || '\", \"' || o_orderstatus || '\"]'",
+            "is_unanswered": "'False'",
+            "tags": "'[\"' || lang || '\", \"' || source || '\"]'",
         },
-        "of",
+        "dq",
     ),
-    "answer_cells": f"WITH {_CHOSEN} " + _answer_cells("answers", "answer", "rank", "clean_body", "pre"),
+    "answer_cells": f"WITH {_LINES} " + _answer_cells("answers", "answer", "(i + 1)", _html("body"), "da"),
     "top_answer_cells": f"WITH {_LINES} "
     + _answer_cells("top_answers", "top", "(position + 1)", _html("body"), "top"),
     "tag_index_cells": """
@@ -332,23 +361,27 @@ SELECT 'stackoverflow_tag_index' AS "table", unnest([event_type, 'user-' || user
        'question_ids' AS family, CAST(CAST(floor(epoch(ts)) AS BIGINT) AS VARCHAR) AS qualifier,
        CAST(event_id AS VARCHAR) AS value
 FROM events""",
-    "hourly_trend_cells": _metric_cells(_HOURLY),
+    "hourly_trend_cells": _metric_cells(_HOURLY_EXACT),
     "trend_cells": f"WITH {_TREND_PLACES} "
     + _cells("stackoverflow_trends", "trend", _TREND_KEY, _TREND_VALUES, "f", ", version"),
     "cell_merge": f"""
 WITH {_TREND_PLACES},
-m AS ({_metric_cells(_HOURLY)}),
+m AS ({_metric_cells(_HOURLY_EXACT)}),
 r AS (
   SELECT 'stackoverflow_trends' AS "table", {_TREND_KEY} AS row_key, 'trend' AS family,
          unnest(['raw_count', 'timestamp_readable']) AS qualifier,
-         unnest([NULL, timestamp_readable]) AS text_value, unnest([CAST(raw_count AS DOUBLE), NULL]) AS number_value
+         unnest([CAST(raw_count AS VARCHAR), timestamp_readable]) AS text_value, CAST(NULL AS DOUBLE) AS number_value
   FROM written_last)
 SELECT * FROM r
 UNION ALL
 SELECT m.* FROM m ANTI JOIN r ON m.row_key = r.row_key AND m.qualifier = r.qualifier""",
     "keyed_table_latest": f"WITH {_TREND_PLACES} "
-    + _cells("stackoverflow_trends", "trend", _TREND_KEY, _TREND_VALUES, "last")
-    + " WHERE period = 'daily'",
+    + _cells("stackoverflow_trends", "trend", _TREND_KEY, _TREND_VALUES, "last"),
+    "search_by_grams": f"""
+SELECT {_DOCUMENT_FIELDS} FROM documents
+WHERE contains(lower(source || ' ' || lang || ' ' || doc_id || ' ' || text), 'reatha')
+  AND contains(lower(source || ' ' || lang || ' ' || doc_id || ' ' || text), 'tion')
+ORDER BY n_chars DESC, doc_id LIMIT 10""",
     "search": f"""
 WITH {_LINES},
 found AS (
@@ -372,16 +405,57 @@ SELECT p_name AS title, min(p_partkey) AS question_id FROM part
 WHERE starts_with(lower(p_name), 'sm') GROUP BY p_name ORDER BY title LIMIT 5""",
     "stream_hourly_metrics": _HOURLY,
     "stream_deduplicated_metrics": _HOURLY,
+    "stream_late_rows": f"""
+WITH e AS (
+  SELECT unnest([event_type, 'user-' || user_id]) AS tag, date_trunc('hour', ts) AS hour, date_trunc('second', ts) AS moment,
+         least((day(ts) - 1) // 4 + CASE WHEN event_id % 11 = 0 THEN 1 WHEN event_id % 13 = 0 THEN 3 ELSE 0 END, 7) AS batch
+  FROM events),
+tops AS (SELECT batch, max(moment) AS top_moment FROM e GROUP BY batch),
+-- A batch drops by the watermark of the batch before; the stop after the fourth adds one without data.
+seen AS (
+  SELECT e.batch, max(top_moment) - INTERVAL 10 MINUTE AS watermark
+  FROM (SELECT DISTINCT batch FROM e) e JOIN tops ON tops.batch <= CASE WHEN e.batch = 4 THEN 3 ELSE e.batch - 2 END
+  GROUP BY e.batch),
+kept AS (
+  SELECT e.* FROM e LEFT JOIN seen ON e.batch = seen.batch
+  WHERE watermark IS NULL OR hour + INTERVAL 1 HOUR > watermark),
+new AS (SELECT batch, tag, hour, count(*) AS n FROM kept GROUP BY ALL)
+SELECT CAST(batch AS INT) AS batch, tag, {_TIME.format('hour')} AS period_start,
+       CAST(sum(n) OVER (PARTITION BY tag, hour ORDER BY batch) AS BIGINT) AS total_questions
+FROM new""",
     "stream_questions": f"""
-WITH {_EVENTS}
+WITH {_EVENTS},
+best AS (
+  SELECT event_id, string_agg(CAST(event_id * 10 + j AS VARCHAR), '|' ORDER BY first DESC, reputable DESC, score DESC, j) AS ids
+  FROM (
+    SELECT ea.*, user_id * 40 * j > 1000 AS reputable,
+           ea.accepted AND j = min(CASE WHEN ea.accepted THEN j END) OVER (PARTITION BY ea.event_id) AS first
+    FROM ea JOIN k ON ea.event_id = k.event_id)
+  GROUP BY event_id)
 SELECT k.event_id AS question_id, event_type || ' #' || k.event_id AS title, event_type || ' & ' || k AS body,
        strftime(ts, '%Y-%m-%d %H:%M:%S') AS creation_date_readable, k.score,
-       coalesce(et.accepted, false) AS has_accepted_answer, n IS NULL AS is_unanswered,
-       CAST(coalesce(n, 0) AS INT) AS top_answers
-FROM k LEFT JOIN et ON k.event_id = et.event_id WHERE event_type <> 'error'""",
+       coalesce(et.accepted, false) AS has_accepted_answer, n IS NULL AS is_unanswered, coalesce(ids, '') AS top_answers
+FROM k LEFT JOIN et ON k.event_id = et.event_id LEFT JOIN best ON k.event_id = best.event_id
+WHERE event_type <> 'error'""",
+    "stream_question_cells": """
+WITH e AS (SELECT *, CAST(floor(epoch(ts)) AS BIGINT) AS created FROM events WHERE event_type <> 'error'),
+t AS (SELECT unnest([event_type, 'user-' || user_id]) AS tag, created, event_id FROM e)
+SELECT 'stackoverflow_qna' AS "table", CAST(event_id AS VARCHAR) AS row_key, 'question' AS family, 'title' AS qualifier,
+       event_type || ' #' || event_id AS value FROM e
+UNION ALL
+SELECT 'stackoverflow_tag_index', tag, 'question_ids', CAST(created AS VARCHAR), CAST(max(event_id) AS VARCHAR)
+FROM t GROUP BY tag, created""",
+    "reject_counts": """
+SELECT 'stackoverflow-questions' AS topic, 'broken' AS message,
+       sum(CASE WHEN event_id % 2 = 0 THEN 2 ELSE 1 END)::BIGINT AS messages
+FROM events WHERE event_type = 'error' HAVING count(*) > 0""",
+    "calendar_refresh": f"""
+SELECT * FROM ({_metrics(_EVENTS, _DAY, "daily", tail=_GOOD)})
+UNION ALL
+SELECT * FROM ({_metrics(_EVENTS, _MONTH, "monthly", tail=_GOOD)})""",
     "stream_trends": f"""
 WITH {_TREND_PLACES},
-newest AS (SELECT tag, raw_count FROM t QUALIFY row_number() OVER (PARTITION BY tag ORDER BY version DESC) = 1)
+newest AS (SELECT tag, raw_count FROM t QUALIFY row_number() OVER (PARTITION BY tag ORDER BY ts DESC, version DESC) = 1)
 SELECT tag, unnest(['hourly', 'daily', 'monthly']) AS period, raw_count FROM newest""",
 }
 ORACLE["decoded_questions"] = f"WITH {_EVENTS}" + ORACLE["decoded_questions"]

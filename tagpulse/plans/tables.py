@@ -9,11 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_INT_MAX = 2147483647
-
-
 def _int(expression: str) -> str:
-    return f"CAST(least({expression}, {_INT_MAX}) AS INT)"
+    # A value too large for the field is an error, not another value.
+    return f"CAST({expression} AS INT)"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,7 +34,8 @@ def raw_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey AS question_id",
-        "l_partkey * 1000000 + l_suppkey * 10 + l_linenumber AS answer_id",
+        # Line numbers repeat within an order; with part, supplier and quantity they do not.
+        "shiftleft(l_partkey, 36) + shiftleft(l_suppkey, 12) + l_linenumber * 256 + CAST(l_quantity AS INT) AS answer_id",
         "concat('<i>', l_returnflag, '</i> &lt;', l_linestatus, '&gt; ', l_linenumber) AS body",
         f"{_int('l_quantity')} AS score",
         "l_returnflag = 'A' AS is_accepted",
@@ -69,16 +68,19 @@ def question_messages(events: DataFrame) -> DataFrame:
     """
     record = F.to_json(F.struct("*"))
     text = F.when(F.col("tags")[0] == "error", F.concat(F.lit('{"question_id": "'), "question_id")).otherwise(record)
-    return event_questions(events).select(
-        text.cast("binary").alias("value"), F.col("question_id").alias("version")
-    )
+    return event_questions(events).select(text.cast("binary").alias("value"), version("question_id").alias("version"))
+
+
+def version(number: str, sent: str = "TIMESTAMP'2024-01-01 00:00:00'"):
+    """The order of messages sent at one moment over one topic partition."""
+    return F.expr(f"named_struct('sent', {sent}, 'partition', 0, 'offset', CAST({number} AS BIGINT))")
 
 
 def trend_messages(events: DataFrame) -> DataFrame:
     """Events as trend messages: the count is the event's ``k``."""
     return events.selectExpr(
         "CAST(to_json(named_struct('tag', event_type, 'count', from_json(props, 'k INT').k)) AS BINARY) AS value",
-        "event_id AS version",
+        "named_struct('sent', CAST(ts AS TIMESTAMP), 'partition', 0, 'offset', event_id) AS version",
         "CAST(ts AS TIMESTAMP) AS event_time",
     )
 
@@ -89,8 +91,8 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
 
 
-def document_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as questions; every line of the whole text is an answer."""
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as questions without their answers."""
     return table(spark, sf_dir, "documents").selectExpr(
         "doc_id AS question_id",
         "concat(source, ' ', lang, ' ', doc_id) AS title",
@@ -99,7 +101,23 @@ def document_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{_int('n_chars')} AS score",
         "array(lang, source) AS tags",
         f"{_int('n_chars')} AS owner_reputation",
-        "transform(split(text, '\\n', -1), (line, i) -> named_struct('answer_id', doc_id * 100000 + i + 1, "
-        "'body', line, 'score', length(line) DIV 50, 'is_accepted', contains(lower(line), 'ou'), "
-        f"'owner_reputation', {_int('greatest(2000 - 300 * i, 0)')})) AS answers",
     )
+
+
+def line_answers(questions: DataFrame) -> DataFrame:
+    """Every line of the whole body as an answer."""
+    return questions.withColumn(
+        "answers",
+        F.expr(
+            # Unique while a text has fewer than 2^31 lines.
+            "transform(split(body, '\\n', -1), (line, i) -> named_struct("
+            "'answer_id', shiftleft(question_id, 31) + i + 1, "
+            "'body', line, 'score', length(line) DIV 50, 'is_accepted', contains(lower(line), 'ou'), "
+            f"'owner_reputation', {_int('greatest(2000 - 300 * i, 0)')}))"
+        ),
+    )
+
+
+def document_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as questions; every line of the whole text is an answer."""
+    return line_answers(documents(spark, sf_dir))

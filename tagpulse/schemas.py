@@ -85,6 +85,21 @@ RAW_ANSWER = T.StructType(
 )
 
 
+# The order of messages: when they were sent, and within a moment the place in their topic.
+VERSION = T.StructField(
+    "version",
+    T.StructType(
+        [
+            T.StructField("sent", T.TimestampType()),
+            T.StructField("partition", T.IntegerType()),
+            T.StructField("offset", T.LongType()),
+        ]
+    ),
+)
+# When a micro-batch was planned; a replay keeps it.
+WRITTEN = T.StructField("written", T.TimestampType())
+
+
 # Stored tables.
 QNA = T.StructType(
     [
@@ -97,6 +112,7 @@ QNA = T.StructType(
         T.StructField("answer_score_sum", T.LongType()),
         T.StructField("event_time", T.TimestampType()),
         T.StructField("top_answers", T.ArrayType(ANSWER)),
+        VERSION,
     ]
 )
 
@@ -105,6 +121,7 @@ TAG_INDEX = T.StructType(
         T.StructField("tag", T.StringType()),
         T.StructField("creation_date", T.LongType()),
         T.StructField("question_id", T.LongType()),
+        VERSION,
     ]
 )
 
@@ -118,6 +135,7 @@ METRICS = T.StructType(
         T.StructField("accepted_percent", T.DoubleType()),
         T.StructField("avg_question_score", T.DoubleType()),
         T.StructField("avg_answer_score", T.DoubleType()),
+        WRITTEN,
     ]
 )
 
@@ -128,6 +146,8 @@ TREND_COUNTS = T.StructType(
         T.StructField("stamp", T.StringType()),
         T.StructField("raw_count", T.IntegerType()),
         T.StructField("timestamp_readable", T.StringType()),
+        T.StructField("event_time", T.TimestampType()),
+        VERSION,
     ]
 )
 
@@ -135,12 +155,9 @@ CELLS = T.StructType(
     [T.StructField(name, T.StringType()) for name in ("table", "row_key", "family", "qualifier", "value")]
 )
 
-REJECTS = T.StructType(
-    [
-        T.StructField("message", T.StringType()),
-        T.StructField("message_version", T.LongType()),
-    ]
-)
+CELL_LOG = T.StructType([*CELLS.fields, VERSION, WRITTEN])
+
+REJECTS = T.StructType([T.StructField("topic", T.StringType()), T.StructField("message", T.StringType()), VERSION])
 
 FAILED_PUTS = T.StructType(
     [

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -20,8 +22,6 @@ SETTINGS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    "spark.network.timeout": "300s",
-    "spark.executor.heartbeatInterval": "20s",
 }
 
 
@@ -36,14 +36,29 @@ def build_session(app_name: str = "tagpulse", *, kafka: bool = False, **settings
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: the one named in ``spark.checkpoint.dir``.
-
-    Only a single-machine session may do without; a cluster without the setting is an
-    error, since a folder on one machine is gone with that machine.
-    """
+    """The folder every executor can reach: the one named in ``spark.checkpoint.dir``."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="tagpulse-")
-    raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    if not configured:
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    return configured.rstrip("/")
+
+
+def run_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for the tables of one run of a registered query, removed when the
+    interpreter ends. A local session without ``spark.checkpoint.dir``, as in a quick
+    trial, gets a temporary one."""
+    if spark.conf.get("spark.checkpoint.dir", None) or not spark.sparkContext.master.startswith("local"):
+        parent = shared_dir(spark)
+    else:
+        parent = tempfile.mkdtemp(prefix="tagpulse-")
+    path = f"{parent}/tagpulse-{name}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    context = spark.sparkContext
+    if context._jsc is None or context._jsc.sc().isStopped():
+        return
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)

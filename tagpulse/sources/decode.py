@@ -29,20 +29,32 @@ def decode_questions(messages: DataFrame, *carry: str, schema: T.StructType = QU
     return decode(messages, schema, *carry).filter("question_id IS NOT NULL")
 
 
+def _rejected(messages: DataFrame, needed: T.StructField, *carry: str) -> DataFrame:
+    texts = messages.select(*carry, F.col("value").cast("string").alias("message"))
+    parsed = texts.select(*carry, "message", _parsed(F.col("message"), T.StructType([needed])))
+    return parsed.filter(F.col(needed.name).isNull()).drop(needed.name)
+
+
 def rejected_questions(messages: DataFrame, *carry: str) -> DataFrame:
     """Messages that give no question id, as text, for a reject table."""
-    id_only = T.StructType([QUESTION["question_id"]])
-    texts = messages.select(*carry, F.col("value").cast("string").alias("message"))
-    return (
-        texts.select(*carry, "message", _parsed(F.col("message"), id_only))
-        .filter("question_id IS NULL")
-        .drop("question_id")
-    )
+    return _rejected(messages, QUESTION["question_id"], *carry)
+
+
+def rejected_trends(messages: DataFrame, *carry: str) -> DataFrame:
+    """Messages that give no tag, as text, for a reject table."""
+    return _rejected(messages, TREND["tag"], *carry)
+
+
+def stamped(messages: DataFrame) -> DataFrame:
+    """Messages with processing time as event time: one value per micro-batch, kept by a
+    replay when stamped inside the stream."""
+    return messages.withColumn("event_time", F.current_timestamp())
 
 
 def decode_trends(messages: DataFrame, *carry: str) -> DataFrame:
-    """Trend records stamped with processing time, one value per micro-batch."""
-    return decode(messages, TREND, *carry).withColumn("event_time", F.current_timestamp())
+    """Trend records that have a tag, from stamped messages; the others are
+    :func:`rejected_trends`."""
+    return decode(messages, TREND, *carry, "event_time").filter("tag IS NOT NULL")
 
 
 def to_messages(records: DataFrame, key: str | None = "question_id") -> DataFrame:

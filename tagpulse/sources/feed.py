@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from tagpulse.operators.answer_rows import preselect_rows
 
 SLICE_SECONDS = 60
 BACKFILL_DAYS = 3
+LIVE_PAUSE = 1.5
 
 
 def flat_answers(raw_answers: DataFrame) -> DataFrame:
@@ -78,6 +81,20 @@ def slices(questions: DataFrame, start: int, end: int, mode: str, width: int = S
     )
 
 
+def live_repeats(questions: DataFrame, start: int, end: int, pause: float = LIVE_PAUSE, width: int = SLICE_SECONDS) -> DataFrame:
+    """What a live producer sends that fetches the last ``width`` seconds again and again,
+    with ``pause`` seconds between: each record about ``width / pause`` times.
+
+    Fetch ``fetch`` is made at ``start + pause * fetch``, while that is before ``end``, and
+    takes what was created in the ``width`` seconds up to then, both ends included.
+    """
+    created = F.col("creation_date") - F.lit(start)
+    first = F.greatest(F.ceil(created / pause), F.lit(0))
+    last = F.least(F.floor((created + width) / pause), F.lit(math.ceil((end - start) / pause) - 1))
+    fetched = questions.filter(created >= -width).withColumn("fetch", F.explode(F.when(first <= last, F.sequence(first, last))))
+    return fetched.withColumn("mode", F.lit("live"))
+
+
 def backfill_and_live(questions: DataFrame, now: int, until: int, days: int = BACKFILL_DAYS) -> DataFrame:
     """The feed of a producer started at ``now`` and stopped at ``until``.
 

@@ -81,9 +81,13 @@ def test_records_survive_the_round_trip(spark):
 
 
 def test_trends_share_one_time(spark):
-    rows = decode.decode_trends(raw(spark, ['{"tag":"a","count":1}', '{"tag":"b","count":"x"}', "?"])).collect()
-    assert [(row.tag, row["count"]) for row in rows] == [("a", 1), ("b", None), (None, None)]
+    texts = ['{"tag":"a","count":1}', '{"tag":"b","count":"x"}', "?", '{"count":1}', "?"]
+    messages = decode.stamped(raw(spark, texts))
+    rows = decode.decode_trends(messages).collect()
+    assert [(row.tag, row["count"]) for row in rows] == [("a", 1), ("b", None)]
     assert len({row.event_time for row in rows}) == 1
+    rejected = decode.rejected_trends(messages, "version").collect()
+    assert sorted(map(tuple, rejected)) == [(2, "?"), (3, '{"count":1}'), (4, "?")]
 
 
 def test_kafka_options():
@@ -92,21 +96,30 @@ def test_kafka_options():
         "subscribe": "topic",
         "startingOffsets": "latest",
         "failOnDataLoss": "false",
-        "maxOffsetsPerTrigger": "1000",
     }
-    busy = messages.kafka_options("topic", max_per_trigger=None, min_partitions=64, starting_offsets="earliest")
-    assert "maxOffsetsPerTrigger" not in busy
-    assert (busy["minPartitions"], busy["startingOffsets"]) == ("64", "earliest")
+    bounded = messages.kafka_options("topic", max_per_trigger=1000, min_partitions=64, starting_offsets="earliest")
+    assert bounded["maxOffsetsPerTrigger"] == "1000"
+    assert (bounded["minPartitions"], bounded["startingOffsets"]) == ("64", "earliest")
 
 
 def test_messages_are_ordered_by_time_then_offset(spark):
     rows = spark.sql(
-        "SELECT CAST(value AS BINARY) AS value, CAST(at AS TIMESTAMP) AS timestamp, offset FROM VALUES "
-        "('first', '2024-01-01 00:00:00.001', 999999L), ('second', '2024-01-01 00:00:00.002', 7L), "
-        "('third', '2024-01-01 00:00:00.002', 8L) AS t(value, at, offset)"
+        "SELECT CAST(value AS BINARY) AS value, CAST(at AS TIMESTAMP) AS timestamp, partition, offset FROM VALUES "
+        "('1', '2024-01-01 00:00:00.001', 1, 5L), ('2', '2024-01-01 00:00:00.002', 0, 999999L), "
+        "('3', '2024-01-01 00:00:00.002', 0, 1000000L), ('4', '2024-01-01 00:00:00.002', 1, 7L), "
+        "('5', '2024-01-01 00:00:00.003', 0, 1000001L) AS t(value, at, partition, offset)"
     )
     ordered = messages.versioned(rows.repartition(3)).orderBy("version").collect()
-    assert [row.value.decode() for row in ordered] == ["first", "second", "third"]
+    assert [row.value.decode() for row in ordered] == ["1", "2", "3", "4", "5"]
+
+
+def test_a_live_producer_sends_a_question_some_forty_times(spark):
+    times = [-61, -60, -1, 0, 1, 30, 59, 60, 200, 299, 300]
+    rows = spark.createDataFrame([(t,) for t in times], "creation_date long")
+    got = feed.live_repeats(rows, 0, 300).select("creation_date", "fetch").collect()
+    expected = [(t, f) for f in range(200) for t in times if t <= f * 1.5 <= t + 60]
+    assert sorted(map(tuple, got)) == sorted(expected)
+    assert sum(t == 30 for t, _ in expected) == 41
 
 
 def test_shaping_fills_what_is_missing(spark):

@@ -8,13 +8,13 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from tagpulse.operators.metrics import finish, hourly_parts
+from tagpulse.operators.metrics import deduplicated, finish, hourly_parts
 from tagpulse.operators.questions import with_answer_columns
-from tagpulse.plans.batch import compact_all, refresh_calendar_metrics
+from tagpulse.plans.batch import refresh_calendar_metrics, snapshot_all
 from tagpulse.schemas import METRIC_QUESTION
 from tagpulse.sources.decode import decode_questions
 from tagpulse.sources.messages import file_messages, replayed_messages
-from tagpulse.streaming import jobs
+from tagpulse.streaming import jobs, run
 from tagpulse.streaming.store import Store
 
 ONCE = {"availableNow": True}
@@ -91,14 +91,25 @@ def test_deduplication_keeps_rows_whose_window_is_open(feed):
     assert totals(store) == {("a", 1): 2}
 
 
-def test_copies_of_a_hot_question_meet_in_many_tasks_first(feed):
-    feed.send(*[question(1, at(1, 0))] * 400, *[question(i, at(1, 0)) for i in range(2, 202)])
+def test_deduplication_keeps_one_row_for_a_question(feed):
+    copies = [question(i, at(1, 0)) for i in range(50)] * 20
+    feed.send(*copies).send(*copies)
     store = feed.store()
     query = feed.run(jobs.start_hourly_metrics, store, dedup=True)
-    assert totals(store) == {("a", 1): 201}
+    assert totals(store) == {("a", 1): 50}
+    operators = [p for p in query.recentProgress if p["numInputRows"]][-1]["stateOperators"]
+    assert [o["numRowsTotal"] for o in operators if o["operatorName"] == "dedupeWithinWatermark"] == [50]
+
+
+def test_copies_of_a_hot_question_can_meet_in_many_tasks_first(spark, feed):
+    feed.send(*[question(1, at(1, 0))] * 400, *[question(i, at(1, 0)) for i in range(2, 202)])
+    rows = with_answer_columns(decode_questions(feed.messages, schema=METRIC_QUESTION))
+    query = deduplicated(rows, salts=16).writeStream.format("noop").trigger(**ONCE).option(
+        "checkpointLocation", f"{feed.root}/salted"
+    ).start()
+    query.awaitTermination()
     operators = [p for p in query.recentProgress if p["numInputRows"]][0]["stateOperators"]
-    rows = sorted(o["numRowsUpdated"] for o in operators if o["operatorName"] == "dedupeWithinWatermark")
-    assert rows == [201, 216]
+    assert sorted(o["numRowsUpdated"] for o in operators) == [201, 216]
 
 
 def test_without_deduplication_messages_count(feed):
@@ -113,8 +124,7 @@ def test_updates_hold_only_changed_groups(feed):
     feed.send(question(3, at(1, 5), ["a"]))
     store = feed.store()
     feed.run(jobs.start_hourly_metrics, store)
-    log = feed.spark.read.parquet(f"{store.metrics.path}/log/epoch=0")
-    written = sorted((row.batch_id, row.tag, row.total_questions) for row in log.collect())
+    written = sorted((row.batch_id, row.tag, row.total_questions) for row in store.metrics.rows().collect())
     assert written == [(0, "a", 1), (0, "b", 1), (1, "a", 2)]
 
 
@@ -153,7 +163,7 @@ def test_question_job(feed):
         {"answer_id": n, "body": f"<b>{n}</b>", "score": n, "is_accepted": n == 2, "owner_reputation": 5} for n in (1, 2, 3, 4)
     ]
     new = question(1, at(1, 0), ["a"], answers[:1], title="t", body="<p>new</p>")
-    feed.send({**old, "answers": answers}, "broken", question(2, at(2, 0), ["a"]))
+    feed.send({**old, "answers": answers}, "broken", "broken", question(2, at(2, 0), ["a"]))
     feed.send(new, '{"title": "no id"}')
     store = feed.store()
     feed.run(jobs.start_questions, store)
@@ -162,8 +172,8 @@ def test_question_job(feed):
     assert set(rows) == {1, 2}
     assert rows[1].body == "new" and [a.answer_id for a in rows[1].top_answers] == [1]
     assert rows[2].is_unanswered and rows[2].body == "" and rows[2].top_answers == []
-    assert sorted(row.message for row in store.rejects.latest().collect()) == ["broken", '{"title": "no id"}']
-    index = sorted(map(tuple, store.tag_index.latest().collect()))
+    assert sorted(row.message for row in store.rejects.rows().collect()) == ["broken", "broken", '{"title": "no id"}']
+    index = sorted(map(tuple, store.tag_index.latest().drop("version").collect()))
     assert index == [("a", at(1, 0), 1), ("a", at(2, 0), 2), ("b", at(1, 0), 1)]
 
     cells = {(r.row_key, r.family, r.qualifier): r.value for r in store.cells.latest().collect() if r.table == "stackoverflow_qna"}
@@ -181,6 +191,7 @@ def test_trends_and_metrics_share_rows(feed):
     store = feed.store()
     feed.send('{"tag": "a", "count": 3}', '{"tag": "b", "count": 1}', "broken").send('{"tag": "a", "count": 8}')
     feed.run(jobs.start_trends, store)
+    assert [(row.topic, row.message) for row in store.rejects.rows().collect()] == [("stackoverflow-trends", "broken")]
     counts = {(row.tag, row.period): row for row in store.trend_counts.latest().collect()}
     assert {key: row.raw_count for key, row in counts.items() if key[0] == "a"} == {
         ("a", "hourly"): 8, ("a", "daily"): 8, ("a", "monthly"): 8,
@@ -209,10 +220,28 @@ def test_all_three_jobs_and_the_batch_refresh(spark, feed):
     rows = {(r.period, r.tag, str(r.period_start)[:10]): r.total_questions for r in store.metrics.latest().collect()}
     assert rows["daily", "a", "1970-01-01"] == 1 and rows["daily", "a", "1970-01-02"] == 1
     assert rows["monthly", "a", "1970-01-01"] == 2
-    before = sorted(map(tuple, store.metrics.latest().collect()), key=repr)
-    for _ in range(2):
-        compact_all(store)
-    assert sorted(map(tuple, store.metrics.latest().collect()), key=repr) == before
+    for number, since in ((1, None), (2, f"{feed.root}/snapshot1")):
+        snapshot_all(store, f"{feed.root}/snapshot{number}", since)
+        for name, table in store.tables.items():
+            now = sorted(map(tuple, table.latest().collect()), key=repr)
+            assert sorted(map(tuple, table.latest(f"{feed.root}/snapshot{number}/{name}").collect()), key=repr) == now
+
+
+def test_the_root_is_named():
+    with pytest.raises(ValueError, match="folder"):
+        jobs.start_all(None, None, None, "")
+
+
+def test_the_job_module_runs_the_three_queries(spark, feed):
+    trends = Feed(spark, feed.folder.parent / "topics")
+    trends.send('{"tag": "a", "count": 3}')
+    feed.send(question(1, at(1, 0), ["a"]), question(1, at(1, 0), ["a"]))
+    where = ["--root", f"{feed.root}/job", "--files", "--questions", str(feed.folder), "--trends", str(trends.folder)]
+    run.main([*where, "--minutes", "0", "--dedup"])
+    spark.streams.resetTerminated()
+    store = Store(spark, f"{feed.root}/job/tables")
+    assert totals(store) == {("a", 1): 1}
+    assert store.questions.latest().count() == 1 and store.trend_counts.latest().count() == 3
 
 
 def test_a_batch_that_failed_half_way_is_replayed_whole(spark, feed):
@@ -225,7 +254,7 @@ def test_a_batch_that_failed_half_way_is_replayed_whole(spark, feed):
     store = feed.store()
     feed.run(jobs.start_questions, store)
     for table, rows in ((store.questions, 1), (store.tag_index, 2), (store.rejects, 1)):
-        assert spark.read.parquet(f"{table.path}/log/epoch=0").count() == table.latest().count() == rows
+        assert table.rows().count() == rows
 
 
 def test_when_one_job_fails_the_others_stop(spark, feed):

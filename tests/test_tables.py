@@ -1,28 +1,35 @@
 from __future__ import annotations
 
+import datetime
 import random
+import uuid
 
 import pytest
+from pyspark.sql import types as T
 
 from tagpulse.operators.puts import CELL_KEY, merge_cells
-from tagpulse.schemas import CELLS
-from tagpulse.session import shared_dir
+from tagpulse.schemas import CELLS, WRITTEN
+from tagpulse.session import run_folder, shared_dir
 from tagpulse.streaming.delivery import deliver
 from tagpulse.streaming.store import Store
-from tagpulse.streaming.tables import KeyedTable
+from tagpulse.streaming.tables import Log
 
 
-def rows(spark, *values):
-    return spark.createDataFrame([("t", key, "f", column, value) for key, column, value in values], CELLS)
+LOGGED = T.StructType([*CELLS.fields, T.StructField("version", T.IntegerType()), WRITTEN])
+
+
+def rows(spark, *values, version=0, written=0):
+    at = datetime.datetime.fromtimestamp(1_700_000_000 + written)
+    return spark.createDataFrame([("t", key, "f", column, value, version, at) for key, column, value in values], LOGGED)
 
 
 @pytest.fixture
 def table(spark, tmp_path):
-    return KeyedTable(spark, str(tmp_path / "cells"), CELLS, CELL_KEY, ["table"])
+    return Log(spark, str(tmp_path / "cells"), LOGGED, CELL_KEY, between="written", partition_by=["table"])
 
 
-def current(table):
-    return {(row.row_key, row.qualifier): row.value for row in table.latest().collect()}
+def current(table, snapshot=None):
+    return {(row.row_key, row.qualifier): row.value for row in table.latest(snapshot).collect()}
 
 
 def test_empty(table):
@@ -35,78 +42,87 @@ def test_later_puts_win_per_column(spark, table):
     assert current(table) == {("k", "a"): "2", ("k", "b"): "1", ("l", "a"): "2"}
 
 
+def test_the_newest_message_wins_whenever_it_lands(spark, table):
+    table.append(rows(spark, ("k", "a", "new"), version=200), "w", 0)
+    table.append(rows(spark, ("k", "a", "old"), version=100), "w", 1)
+    assert current(table) == {("k", "a"): "new"}
+
+
+def test_no_clock_decides_within_a_writer(spark, table):
+    table.append(rows(spark, ("k", "a", "0"), written=60), "w", 0)
+    table.append(rows(spark, ("k", "a", "1"), written=0), "w", 1)  # restarted where the clock is behind
+    assert current(table) == {("k", "a"): "1"}
+
+
 def test_a_replayed_batch_replaces_itself(spark, table):
     table.append(rows(spark, ("k", "a", "1"), ("gone", "a", "1")), "w", 0)
     table.append(rows(spark, ("k", "a", "1")), "w", 0)
     assert current(table) == {("k", "a"): "1"}
-    assert spark.read.parquet(f"{table.path}/log/epoch=0").count() == 1
+    assert table.rows().count() == 1
+    table.append(rows(spark, ("k", "a", "1")).limit(0), "w", 0)
+    assert table.rows().count() == 0 and current(table) == {}
 
 
 def test_writers_share_rows_and_the_later_wins(spark, table):
-    table.append(rows(spark, ("k", "shared", "x"), ("k", "x", "x")), "x", 5)
-    table.append(rows(spark, ("k", "shared", "y"), ("k", "y", "y")), "y", 0)
+    table.append(rows(spark, ("k", "shared", "x"), ("k", "x", "x"), written=1), "x", 5)
+    table.append(rows(spark, ("k", "shared", "y"), ("k", "y", "y"), written=2), "y", 0)
     assert current(table) == {("k", "shared"): "y", ("k", "x"): "x", ("k", "y"): "y"}
 
 
-def test_compaction_changes_nothing(spark, table):
-    source, expected = random.Random(1), {}
+def test_snapshots_change_nothing(spark, table, tmp_path):
+    source, expected, snapshot = random.Random(1), {}, None
     for batch in range(6):
         values = {(str(source.randrange(8)), str(source.randrange(3))): str(batch) for _ in range(10)}
         expected.update(values)
         table.append(rows(spark, *[(*key, value) for key, value in values.items()]), "w", batch)
         if batch in (2, 4):
-            assert table.compact() == (0 if batch == 2 else 1)
-        assert current(table) == expected
-    base = spark.read.parquet(f"{table.path}/base/generation=1")
+            table.snapshot(f"{tmp_path}/s{batch}", since=snapshot)
+            snapshot = f"{tmp_path}/s{batch}"
+        assert current(table) == current(table, snapshot) == expected
+    base = spark.read.parquet(f"{snapshot}/rows")
     assert base.count() == base.select(*CELL_KEY).distinct().count() > 0
 
 
-def test_a_batch_that_ends_after_a_compaction_is_not_lost(spark, table, monkeypatch):
+def test_a_batch_that_lands_after_two_snapshots_is_read(spark, table, tmp_path):
+    for batch in (0, 1, 3):
+        table.append(rows(spark, (f"k{batch}", "a", "1")), "w", batch)
+    table.snapshot(f"{tmp_path}/first")
+    table.append(rows(spark, ("k4", "a", "1")), "w", 4)
+    table.snapshot(f"{tmp_path}/second", since=f"{tmp_path}/first")
+    table.append(rows(spark, ("late", "a", "1")), "w", 2)
+    assert set(current(table, f"{tmp_path}/second")) == {(k, "a") for k in ("k0", "k1", "k3", "k4", "late")}
+    table.append(rows(spark, ("k5", "a", "1")), "w", 5)
+    table.snapshot(f"{tmp_path}/third", since=f"{tmp_path}/second")
+    assert spark.read.parquet(f"{tmp_path}/third/rows").count() == 5
+    assert len(current(table, f"{tmp_path}/third")) == 6
+
+
+def test_the_newest_batch_may_be_replayed_after_a_snapshot(spark, table, tmp_path):
     table.append(rows(spark, ("k", "a", "1")), "w", 0)
-    monkeypatch.setattr(table, "_generation", lambda: -1)  # the batch began before the compaction
-    late = KeyedTable(spark, table.path, CELLS, CELL_KEY, ["table"])
-    late.compact()
-    table.append(rows(spark, ("k", "b", "2")), "w", 1)
-    for generation in (1, 2):
-        assert current(late) == {("k", "a"): "1", ("k", "b"): "2"}
-        assert late.compact() == generation
-    assert current(late) == {("k", "a"): "1", ("k", "b"): "2"}
-
-
-def test_null_keys_are_keys(spark, tmp_path):
-    table = KeyedTable(spark, str(tmp_path / "n"), CELLS, CELL_KEY, ["table"], nullable_keys=["row_key"])
+    table.append(rows(spark, ("k", "a", "2"), ("l", "a", "2")), "w", 1)
+    table.snapshot(f"{tmp_path}/s")
+    table.append(rows(spark, ("k", "a", "3")), "w", 1)
+    assert current(table, f"{tmp_path}/s") == {("k", "a"): "3"}
+
+
+def test_null_keys_are_keys(spark, table, tmp_path):
     table.append(rows(spark, (None, "a", "1"), (None, "b", "1"), ("k", "a", "1")), "w", 0)
-    table.compact()
-    table.compact()
     table.append(rows(spark, (None, "a", "2")), "w", 1)
-    expected = {(None, "a"): "2", (None, "b"): "1", ("k", "a"): "1"}
-    assert current(table) == expected and table.latest().count() == 3
-    table.compact()
-    table.compact()
-    assert current(table) == expected and table.latest().count() == 3
-
-
-def test_point_reads_reach_the_files(spark, table):
-    table.append(rows(spark, ("k", "a", "1"), ("l", "a", "1")), "w", 0)
-    table.compact()
-    table.compact()
-    table.append(rows(spark, ("k", "a", "2")), "w", 1)
-    found = table.latest().filter("`table` = 't' AND row_key = 'k'")
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    scans = [line for line in plan.split("\n") if "FileScan" in line]
-    assert len(scans) == 3 and all("EqualTo(row_key,k)" in scan and "= t)" in scan for scan in scans)
-    # the recent keys are broadcast, so the base is not shuffled
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
-    assert [row.value for row in found.collect()] == ["2"]
+    table.append(rows(spark, ("m", "a", "2")), "w", 2)
+    table.snapshot(f"{tmp_path}/s")
+    expected = {(None, "a"): "2", (None, "b"): "1", ("k", "a"): "1", ("m", "a"): "2"}
+    assert current(table) == current(table, f"{tmp_path}/s") == expected
 
 
-def test_covered_epochs_are_not_read(spark, table):
-    for batch in range(4):
-        table.append(rows(spark, (f"k{batch}", "a", "1")), "w", batch)
-        table.compact()
-    files = [file.split("/cells/")[1] for file in table.latest().inputFiles()]
-    assert files and not any(file.startswith(("log/epoch=0", "log/epoch=1", "log/epoch=2")) for file in files)
-    assert len(current(table)) == 4
+def test_point_reads_reach_the_files(spark, table, tmp_path):
+    for batch in range(3):
+        table.append(rows(spark, ("k", "a", str(batch)), ("l", "a", "1")), "w", batch)
+    table.snapshot(f"{tmp_path}/s")
+    found = table.latest(f"{tmp_path}/s").filter("`table` = 't' AND row_key = 'k'")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.split("\n") if "FileScan" in line and "row_key" in line]
+    assert len(scans) == 2 and all("EqualTo(row_key,k)" in scan and "= t)" in scan for scan in scans)
+    assert [row.value for row in found.collect()] == ["2"]
 
 
 def test_merge_of_puts_in_one_log(spark):
@@ -118,7 +134,9 @@ def test_merge_of_puts_in_one_log(spark):
 
 
 def test_shared_dir_is_the_configured_one(spark):
-    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    configured = spark.conf.get("spark.checkpoint.dir")
+    assert shared_dir(spark) == configured.rstrip("/")
+    assert run_folder(spark, "x").startswith(f"{configured.rstrip('/')}/tagpulse-x-")
 
 
 PUTS = "table string, row_key string, cells array<struct<family:string,qualifier:string,value:string>>"
@@ -128,21 +146,33 @@ def puts(spark, count):
     return spark.createDataFrame([("t", f"k{i}", [("f", "a", f"v{i}")]) for i in range(count)], PUTS).repartition(3)
 
 
-def recorder(folder, flaky=False):
-    """Write each put to a file; 'k1' always fails, and with ``flaky`` every first attempt."""
+def recorder(folder, flaky=False, bad=("k1",), down=False):
+    """Write each put to a file; a send with a row of ``bad`` fails, with ``flaky`` every
+    first send of a connection does, with ``down`` no connection is made."""
 
-    def connect():
-        def put(table, key, columns):
-            name = key.decode()
-            if name == "k1":
-                raise ConnectionError("refused")
-            marker = folder / f"{name}.tried"
-            if flaky and not marker.exists():
-                marker.touch()
+    class Client:
+        def __init__(self):
+            self.sends = 0
+            (folder / f"{uuid.uuid4().hex}.opened").touch()
+
+        def send(self, table, puts):
+            self.sends += 1
+            if flaky and not (folder / "flaked").exists():
+                (folder / "flaked").touch()
                 raise ConnectionError("first attempt")
-            (folder / f"{name}.put").write_text(repr((table, sorted(columns.items()))))
+            if any(key.decode() in bad for key, _ in puts):
+                raise ConnectionError("refused")
+            for key, columns in puts:
+                (folder / f"{key.decode()}.put").write_text(repr((table, sorted(columns.items()))))
+
+        def close(self):
+            (folder / f"{uuid.uuid4().hex}.closed").touch()
 
-        return put
+    def connect():
+        if down:
+            (folder / f"{uuid.uuid4().hex}.tried").touch()
+            raise ConnectionError("down")
+        return Client()
 
     return connect
 
@@ -154,13 +184,26 @@ def test_delivery_returns_what_failed(spark, tmp_path):
     ]
     assert len(list(tmp_path.glob("*.put"))) == 19
     assert (tmp_path / "k3.put").read_text() == repr(("t", [(b"f:a", b"v3")]))
+    assert len(list(tmp_path.glob("*.opened"))) == len(list(tmp_path.glob("*.closed")))
+
+
+def test_a_dead_store_is_given_up(spark, tmp_path):
+    rows = puts(spark, 3000).coalesce(1)
+    failed = deliver(rows, recorder(tmp_path, down=True), attempts=2, delay=0.0).collect()
+    assert len(failed) == 3000 and {row.error for row in failed} == {"ConnectionError('down')"}
+    # three chunks are tried, each twice and then put by put; the others are not
+    assert len(list(tmp_path.glob("*.tried"))) == 3 * (2 + 100)
 
 
 def test_a_store_delivers_and_keeps_what_failed(spark, tmp_path):
     store = Store(spark, str(tmp_path / "tables"), cell_view=False, connect=recorder(tmp_path))
     store._put(puts(spark, 5), "w", 0)
-    assert [row.row_key for row in store.failed_puts.latest().collect()] == ["k1"]
+    assert [row.row_key for row in store.failed_puts.rows().collect()] == ["k1"]
     assert len(list(tmp_path.glob("*.put"))) == 4
+    # a replay that delivers everything leaves no failures behind
+    store.connect = recorder(tmp_path, bad=())
+    store._put(puts(spark, 5), "w", 0)
+    assert store.failed_puts.rows().count() == 0
 
 
 def test_delivery_can_fail_the_batch(spark, tmp_path):
