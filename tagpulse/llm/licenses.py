@@ -1,11 +1,11 @@
 """Licence texts found by the digest of their canonical form, in DataFrame operations only.
 
-Canonical: copyright lines go; A-Z become lower case; equivalent spellings become one; each
-run of characters that are no letters or digits becomes one blank. Texts that differ in
-nothing else have one digest, so finding known licences is an equi-join of digests.
+Canonical: copyright lines go; case goes; each run of characters that are no letters or
+digits becomes one blank; equivalent spellings become one. Texts that differ in nothing else
+have one digest, so finding known licences is an equi-join of digests.
 
-A text is looked up entire, and so is each of its paragraphs (parted by blank lines) and
-lines, for notices inside longer texts. Null and empty texts, and texts that hold nothing
+A text is looked up entire, and so is each of its lines and paragraphs (parted by lines that
+hold nothing else than the above), for notices inside longer texts. Null and empty texts, and texts that hold nothing
 but copyright lines and punctuation, hold no licence. Rows that share a key (null is one, too)
 share their notices; very long texts cost in proportion to their length; extra columns stay; an empty
 table gives an empty result. Known texts without an id or canonical text find nothing, and
@@ -14,26 +14,29 @@ two ids for one canonical text are both reported.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagpulse.llm.shared import small
-from tagpulse.llm.words import LOWER, UPPER
 
 #: A line that states a copyright; not one that goes on about "copyright notices".
 COPYRIGHT = r"(?m)^[ \t]*(?:(?:[Cc]opyright|COPYRIGHT)[ \t]*(?:\([Cc]\)|©|[0-9<\[])|\([Cc]\)[ \t]|©)[^\n]*$"
-#: Equivalent spellings, applied in this order to lower-case text.
+#: What every such line holds, to pass over texts without any.
+COPYRIGHT_SIGNS = ("opyright", "OPYRIGHT", "(c)", "(C)", "©")
+#: Equivalent spellings, applied in this order to lower-case text without punctuation.
 SPELLINGS = (
     ("licence", "license"),
-    ("sub-license", "sublicense"),
     ("sub license", "sublicense"),
-    ("non-infringement", "noninfringement"),
-    ("non-commercial", "noncommercial"),
+    ("non infringement", "noninfringement"),
+    ("non commercial", "noncommercial"),
     ("organisation", "organization"),
     ("favour", "favor"),
     ("acknowledgement", "acknowledgment"),
     ("copyright owner", "copyright holder"),
-    ("https:", "http:"),
+    ("https", "http"),
 )
 
 _PERMIT = (
@@ -113,16 +116,24 @@ def known(spark: SparkSession, texts: tuple[tuple[str, str], ...] = KNOWN) -> Da
     return small(spark, list(texts), "license_id text")
 
 
-def canonical(text: Column) -> Column:
-    out = F.translate(F.regexp_replace(text, COPYRIGHT, " "), UPPER, LOWER)
+def folded(text: Column) -> Column:
+    """Letters and digits in lower case, blanks for all else, line breaks kept."""
+    signs = reduce(or_, [F.contains(text, F.lit(sign)) for sign in COPYRIGHT_SIGNS])
+    out = F.when(signs, F.regexp_replace(text, COPYRIGHT, " ")).otherwise(text)
+    return F.regexp_replace(F.lower(out), r"[^\p{L}\p{N}\n]+", " ")
+
+
+def canonical(folded_text: Column) -> Column:
+    """The canonical form of folded text, or of a part of it."""
+    out = F.trim(F.regexp_replace(folded_text, r"[ \n]+", " "))
     for one, other in SPELLINGS:
         out = F.replace(out, F.lit(one), F.lit(other))
-    return F.trim(F.regexp_replace(out, r"[^\p{L}\p{N}]+", " "))
+    return out
 
 
-def digest(text: Column) -> Column:
+def digest(folded_text: Column) -> Column:
     """Null where nothing is left of the text."""
-    form = canonical(text)
+    form = canonical(folded_text)
     return F.sha2(F.when(form != "", form), 256)
 
 
@@ -138,23 +149,24 @@ def scan(
     """``docs`` with ``canonical_sha256`` of the entire text, ``license_ids``, the known
     licences that the entire text is, and ``notice_ids``, those that a paragraph or line of
     it is (both sorted arrays)."""
-    names = licences.select(F.col(licence_id).alias("id"), digest(F.col(licence_text)).alias("__digest"))
+    names = licences.select(F.col(licence_id).alias("id"), digest(folded(F.col(licence_text))).alias("__digest"))
     names = names.where("id IS NOT NULL AND __digest IS NOT NULL")
     # One row for a known digest.
     names = names.groupBy("__digest").agg(F.array_sort(F.collect_set("id")).alias("__ids"))
     none = F.array().cast("array<string>")
 
-    parts = F.array_distinct(F.concat(F.split(text, r"\n[ \t]*\n"), F.split(text, r"\n")))
+    parts = F.array_distinct(F.concat(F.split("__folded", r"\n *\n[ \n]*"), F.split("__folded", r"\n")))
     digests = F.array_distinct(F.transform(parts, digest))
     notices = (
-        docs.select(F.col(key).alias("__key"), F.explode(digests).alias("__digest"))
+        docs.select(F.col(key).alias("__key"), folded(F.col(text)).alias("__folded"))
+        .select("__key", F.explode(digests).alias("__digest"))
         .where("__digest IS NOT NULL")
         .join(names, "__digest")
         .select("__key", F.explode("__ids").alias("id"))
         .groupBy("__key")
         .agg(F.array_sort(F.collect_set("id")).alias("notice_ids"))
     )
-    entire = docs.withColumn("canonical_sha256", digest(F.col(text)))
+    entire = docs.withColumn("canonical_sha256", digest(folded(F.col(text))))
     return (
         entire.join(names, entire["canonical_sha256"] == names["__digest"], "left")
         .withColumn("license_ids", F.coalesce("__ids", none))

@@ -218,12 +218,16 @@ FROM p LEFT JOIN fits ON fits.page_id = p.page_id AND place = 1
 """
 
 
-def _canonical_sql(text: str) -> str:
+def _folded_sql(text: str) -> str:
     out = f"regexp_replace({text}, '(?m)^[ \\t]*(?:(?:[Cc]opyright|COPYRIGHT)[ \\t]*(?:\\([Cc]\\)|©|[0-9<\\[])|\\([Cc]\\)[ \\t]|©)[^\\n]*$', ' ', 'g')"
-    out = f"translate({out}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"regexp_replace(lower({out}), '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g')"
+
+
+def _canonical_sql(folded: str) -> str:
+    out = f"trim(regexp_replace({folded}, '[ \\n]+', ' ', 'g'))"
     for one, other in licenses.SPELLINGS:
         out = f"replace({out}, '{one}', '{other}')"
-    return f"trim(regexp_replace({out}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+    return out
 
 
 def _quoted(text: str) -> str:
@@ -234,11 +238,12 @@ _KNOWN_ROWS = ", ".join(f"({_quoted(i)}, {_quoted(t)})" for i, t in licenses.KNO
 
 OP10_SQL = f"""
 WITH known(id, text) AS (VALUES {_KNOWN_ROWS}),
-names AS (SELECT DISTINCT id, {_canonical_sql('text')} AS form FROM known),
-entire AS (SELECT doc_id, nullif({_canonical_sql('text')}, '') AS form FROM documents),
+names AS (SELECT DISTINCT id, {_canonical_sql(_folded_sql('text'))} AS form FROM known),
+folded AS (SELECT doc_id, {_folded_sql('text')} AS f FROM documents),
+entire AS (SELECT doc_id, nullif({_canonical_sql('f')}, '') AS form FROM folded),
 parts AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS part FROM documents
-  UNION ALL SELECT doc_id, unnest(regexp_split_to_array(text, '\\n[ \\t]*\\n')) FROM documents),
+  SELECT doc_id, unnest(string_split(f, chr(10))) AS part FROM folded
+  UNION ALL SELECT doc_id, unnest(regexp_split_to_array(f, '\\n *\\n[ \\n]*')) FROM folded),
 forms AS (SELECT doc_id, {_canonical_sql('part')} AS form FROM parts),
 notices AS (
   SELECT doc_id, string_agg(id, ',' ORDER BY id) AS notice_ids
