@@ -13,6 +13,7 @@ SEARCH_LIMIT = 10
 SUGGESTIONS = 5
 SHORTEST_PREFIX = 2
 GRAM = 3
+PIECE = 64
 
 RESULT_COLUMNS = ("question_id", "title", "score", "tags", "top_answers")
 
@@ -74,14 +75,20 @@ def search_by_index(
 
 
 def gram_index(questions: DataFrame) -> DataFrame:
-    """(gram, question_id): the runs of ``GRAM`` characters that a question's lowered title
-    and body hold, each once. A table to keep beside the questions, sorted by gram."""
-    text = F.array(F.lower(F.concat_ws(" ", "title", "body")))
-    places = F.transform(
-        text, lambda t: F.transform(F.sequence(F.lit(1), F.greatest(F.char_length(t) - GRAM + 1, F.lit(1))), lambda i: F.substr(t, i, F.lit(GRAM)))
-    )
-    grams = F.array_distinct(F.flatten(places))
-    return questions.select("question_id", F.explode(grams).alias("gram")).select("gram", "question_id")
+    """(gram, question_id): the runs of ``GRAM`` characters without blanks that a question's
+    lowered title and body hold, each once. A table to keep beside the questions, sorted by
+    gram."""
+    words = F.array_distinct(F.split(F.lower(F.concat_ws(" ", "title", "body")), " "))
+
+    def runs(text: Column, step: int, width: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.char_length(text) - GRAM + 1, F.lit(1)), F.lit(step))
+        return F.transform(starts, lambda i: F.substr(text, i, F.lit(width)))
+
+    # Long words in overlapping pieces, as finding a place in a text takes as long as its distance.
+    pieces = F.flatten(F.transform(words, lambda w: runs(w, PIECE - GRAM + 1, PIECE)))
+    grams = F.flatten(F.transform(F.array_distinct(pieces), lambda p: runs(p, 1, GRAM)))
+    distinct = F.filter(F.array_distinct(grams), lambda g: F.char_length(g) == GRAM)
+    return questions.select("question_id", F.explode(distinct).alias("gram")).select("gram", "question_id")
 
 
 def search_by_grams(

@@ -491,7 +491,7 @@ def suggest_titles(spark, sf_dir):
 ONCE = {"availableNow": True}
 #: Files of one slice of messages, all taken by one trigger.
 FILES = 2
-SLICES = 8
+SLICES = 4
 
 
 def _sliced(messages: DataFrame, folder: str, slices: range) -> None:
@@ -507,8 +507,8 @@ def _stream(spark: SparkSession, folder: str, like: DataFrame) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES).parquet(folder)
 
 
-#: Four days to a slice of January.
-_OWN_SLICE = "CAST((day(ts) - 1) DIV 4 AS INT)"
+#: Eight days to a slice of January.
+_OWN_SLICE = "CAST((day(ts) - 1) DIV 8 AS INT)"
 
 
 def _halves(messages: DataFrame, folder: str, run: Callable[[], None]) -> None:

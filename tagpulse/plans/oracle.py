@@ -408,13 +408,13 @@ WHERE starts_with(lower(p_name), 'sm') GROUP BY p_name ORDER BY title LIMIT 5"""
     "stream_late_rows": f"""
 WITH e AS (
   SELECT unnest([event_type, 'user-' || user_id]) AS tag, date_trunc('hour', ts) AS hour, date_trunc('second', ts) AS moment,
-         least((day(ts) - 1) // 4 + CASE WHEN event_id % 11 = 0 THEN 1 WHEN event_id % 13 = 0 THEN 3 ELSE 0 END, 7) AS batch
+         least((day(ts) - 1) // 8 + CASE WHEN event_id % 11 = 0 THEN 1 WHEN event_id % 13 = 0 THEN 3 ELSE 0 END, 3) AS batch
   FROM events),
 tops AS (SELECT batch, max(moment) AS top_moment FROM e GROUP BY batch),
--- A batch drops by the watermark of the batch before; the stop after the fourth adds one without data.
+-- A batch drops by the watermark of the batch before; the stop after the second adds one without data.
 seen AS (
   SELECT e.batch, max(top_moment) - INTERVAL 10 MINUTE AS watermark
-  FROM (SELECT DISTINCT batch FROM e) e JOIN tops ON tops.batch <= CASE WHEN e.batch = 4 THEN 3 ELSE e.batch - 2 END
+  FROM (SELECT DISTINCT batch FROM e) e JOIN tops ON tops.batch <= CASE WHEN e.batch = 2 THEN 1 ELSE e.batch - 2 END
   GROUP BY e.batch),
 kept AS (
   SELECT e.* FROM e LEFT JOIN seen ON e.batch = seen.batch

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Names and types of the fields of a record.
 ANSWER = T.StructType(
     [
         T.StructField("answer_id", T.LongType()),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -57,8 +58,7 @@ def run_folder(spark: SparkSession, name: str) -> str:
 
 
 def _remove(spark: SparkSession, path: str) -> None:
-    context = spark.sparkContext
-    if context._jsc is None or context._jsc.sc().isStopped():
-        return
-    folder = context._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+    with contextlib.suppress(Exception):  # the session, or its JVM, may be gone by now
+        context = spark.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
