@@ -14,11 +14,11 @@ from __future__ import annotations
 import base64
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
-import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 #: White space of Unicode, in place of ``\s``, which means a little more to ``regex``.
 BLANKS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Pre-tokens kept with their ids in each worker; a full memo is emptied, results are the same.
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 300_000
 MEMO_CHARS = 48
 PIECE_CHARS = 1_000_000
 _MASK = (1 << 64) - 1
@@ -175,8 +175,13 @@ class Encoder:
             start = cut.start()
         yield text[start:] if start else text
 
-    def __call__(self, text: str) -> np.ndarray:
-        parts = []
+    def __call__(self, text: str) -> list[int]:
+        out = array("i")
+        self.extend(out, text)
+        return out.tolist()
+
+    def extend(self, out: array, text: str) -> None:
+        """Append the ids of a text."""
         for piece in self._pieces(text):
             words = (self.split_ascii if piece.isascii() else self.split)(piece)
             memo = self.memo
@@ -184,13 +189,11 @@ class Encoder:
             for word in set(words).difference(memo):
                 (memo if len(word) <= MEMO_CHARS else long)[word] = self._pre_token(word)
             if long:
-                found = chain.from_iterable(long.get(w) or memo[w] for w in words)
+                out.extend(chain.from_iterable(long.get(w) or memo[w] for w in words))
             else:
-                found = chain.from_iterable(map(memo.__getitem__, words))
-            parts.append(np.fromiter(found, np.int32))
+                out.extend(chain.from_iterable(map(memo.__getitem__, words)))
             if len(memo) > MEMO_ENTRIES:
                 memo.clear()
-        return parts[0] if len(parts) == 1 else np.concatenate(parts)
 
 
 def encode(text: Column, vocabulary: Vocabulary) -> Column:
@@ -200,11 +203,12 @@ def encode(text: Column, vocabulary: Vocabulary) -> Column:
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(vocabulary)
         for batch in batches:
-            rows = [encoder(value.as_py()) for value in batch]
-            offsets = np.zeros(len(rows) + 1, np.int32)
-            np.cumsum([len(row) for row in rows], out=offsets[1:])
-            values = np.concatenate(rows) if rows else np.zeros(0, np.int32)
-            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+            out, offsets = array("i"), [0]
+            for value in batch:
+                encoder.extend(out, value.as_py())
+                offsets.append(len(out))
+            values = pa.Array.from_buffers(pa.int32(), len(out), [None, pa.py_buffer(out)])
+            yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
 
     return ids(F.coalesce(text, F.lit("")))
 
