@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -19,7 +20,9 @@ def shared_folder(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return _own.setdefault("dir", tempfile.mkdtemp(prefix="llm-"))
+    if "dir" not in _own:
+        _own["dir"] = tempfile.mkdtemp(prefix="llm-")
+    return _own["dir"]
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:
@@ -33,11 +36,10 @@ def settle(df: DataFrame, name: str) -> DataFrame:
 
 
 def _remove(spark: SparkSession, path: str) -> None:
-    context = spark.sparkContext
-    if context._jsc is None or context._jsc.sc().isStopped():
-        return
-    hadoop = context._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(context._jsc.hadoopConfiguration()).delete(hadoop, True)
+    with contextlib.suppress(Exception):  # the session, or its JVM, may be gone by now
+        context = spark.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def small(spark: SparkSession, rows: list[tuple], names: str) -> DataFrame:
