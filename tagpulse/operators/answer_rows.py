@@ -46,21 +46,23 @@ def with_answer_flags(questions: DataFrame, answers: DataFrame) -> DataFrame:
 
 
 def _ranked(
-    answers: DataFrame, ordinary: Column, merit: Sequence[str], order: Sequence[str], keep: int
+    answers: DataFrame, ordinary: Column, merit: Sequence[str], order: Sequence[str], keep: int, carry: Sequence[str] | None
 ) -> DataFrame:
     """First accepted answer, then the ``ordinary`` ones by ``merit`` and ``order``, cut to ``keep``.
 
     Ids and what they are ranked by are read once, without texts. Each answer stands for
     the set of accepted ones, of which the first by ``order`` alone counts, for the set of
     ordinary ones, of which ``keep + 1`` by merit do (one more, as the accepted one may be
-    among them), or for both. The chosen ids then fetch their answers.
+    among them), or for both. The chosen ids then fetch their answers, unless ``carry``
+    names all that is wanted beside them: a few narrow columns, which come along.
     """
+    carried = [F.col(name).alias(f"__carry{i}") for i, name in enumerate(carry or ())]
     merits = [F.expr(text).alias(f"__merit{i}") for i, text in enumerate(merit)]
     places = [F.col(name).alias(f"__place{i}") for i, name in enumerate(order)]
     by_merit = [f"__merit{i}" for i in range(len(merits))]
     by_place = [f"__place{i}" for i in range(len(places))]
     sets = F.array_compact(F.array(F.when(F.expr(_ACCEPTED), F.lit(True)), F.when(ordinary, F.lit(False))))
-    narrow = answers.select("question_id", "answer_id", *merits, *places, F.explode(sets).alias("__first"))
+    narrow = answers.select("question_id", "answer_id", *merits, *places, *carried, F.explode(sets).alias("__first"))
     # Among the accepted ones merit says nothing.
     own_merit = [F.when(~F.col("__first"), F.col(name)) for name in by_merit]
     candidates = first_rows(narrow, ["question_id", "__first"], [*own_merit, *by_place], keep + 1, "__candidate")
@@ -70,20 +72,28 @@ def _ranked(
         F.col("__first") | ~F.col("answer_id").eqNullSafe(F.col("__accepted_id"))
     )
     final = [F.col("__first").desc(), *by_merit, *by_place]
-    chosen = first_rows(finalists, ["question_id"], final, keep, "rank").select("question_id", "answer_id", "rank")
-    return answers.join(chosen, ["question_id", "answer_id"])
+    chosen = first_rows(finalists, ["question_id"], final, keep, "rank")
+    if carry is not None:
+        names = [F.col(f"__carry{i}").alias(name) for i, name in enumerate(carry)]
+        return chosen.select("question_id", "answer_id", *names, "rank")
+    return answers.join(chosen.select("question_id", "answer_id", "rank"), ["question_id", "answer_id"])
 
 
-def top_answer_rows(answers: DataFrame, order: Sequence[str], keep: int = 3) -> DataFrame:
-    """The best answers of each question, numbered in ``rank``.
+def top_answer_rows(
+    answers: DataFrame, order: Sequence[str], keep: int = 3, carry: Sequence[str] | None = None
+) -> DataFrame:
+    """The best answers of each question, numbered in ``rank``; with ``carry`` only ids and
+    those columns.
 
     First the accepted answer that comes first by ``order``, then those of reputable
     owners by score, then the rest by score; ties by ``order``.
     """
     reputable_first = f"CASE WHEN coalesce(owner_reputation, 0) > {HIGH_REPUTATION} THEN 1 ELSE 2 END"
-    return _ranked(answers, F.lit(True), [reputable_first, _FALLING_SCORE], order, keep)
+    return _ranked(answers, F.lit(True), [reputable_first, _FALLING_SCORE], order, keep, carry)
 
 
-def preselect_rows(answers: DataFrame, order: Sequence[str], keep: int = 3) -> DataFrame:
+def preselect_rows(
+    answers: DataFrame, order: Sequence[str], keep: int = 3, carry: Sequence[str] | None = None
+) -> DataFrame:
     """The producer's cut: first accepted answer, then not accepted ones by score."""
-    return _ranked(answers, ~F.expr(_ACCEPTED), [_FALLING_SCORE], order, keep)
+    return _ranked(answers, ~F.expr(_ACCEPTED), [_FALLING_SCORE], order, keep, carry)

@@ -262,13 +262,13 @@ def preselect_answers(spark, sf_dir):
 @_query
 def top3_answer_rows(spark, sf_dir):
     answers = flat_answers(tables.raw_answers(spark, sf_dir))
-    return top_answer_rows(answers, ANSWER_ORDER).select("question_id", "rank", "answer_id", "score", "is_accepted")
+    return top_answer_rows(answers, ANSWER_ORDER, carry=["score", "is_accepted"])
 
 
 @_query
 def preselect_answer_rows(spark, sf_dir):
     answers = flat_answers(tables.raw_answers(spark, sf_dir))
-    return preselect_rows(answers, ANSWER_ORDER).select("question_id", "rank", "answer_id", "score", "is_accepted")
+    return preselect_rows(answers, ANSWER_ORDER, carry=["score", "is_accepted"])
 
 
 @_query
@@ -575,7 +575,7 @@ def stream_deduplicated_metrics(spark, sf_dir):
     return _rounded(store.metrics.latest().drop("written"))
 
 
-def _question_job(spark, sf_dir, name: str) -> Store:
+def _question_job(spark, sf_dir, name: str, cell_view: bool = False) -> Store:
     """The question job over messages of which every even one is followed, two slices
     later, by an older version of itself, and which all break in the same way if broken."""
     root = run_folder(spark, name)
@@ -590,7 +590,7 @@ def _question_job(spark, sf_dir, name: str) -> Store:
         (F.col("slice") + 2).alias("slice"),
     )
     sent = newest.unionByName(older)
-    store = Store(spark, f"{root}/tables")
+    store = Store(spark, f"{root}/tables", cell_view)
 
     def run():
         jobs.start_questions(_stream(spark, f"{root}/in", sent), store, f"{root}/checkpoints", ONCE).awaitTermination()
@@ -611,7 +611,7 @@ def stream_questions(spark, sf_dir):
 @_query
 def stream_question_cells(spark, sf_dir):
     """The cells of the same job: titles, and what the tag index holds."""
-    cells = _question_job(spark, sf_dir, "cells").cells.latest()
+    cells = _question_job(spark, sf_dir, "cells", cell_view=True).cells.latest()
     wanted = cells.filter("(family = 'question' AND qualifier = 'title') OR family = 'question_ids'")
     return wanted.select("table", "row_key", "family", "qualifier", "value")
 
