@@ -508,7 +508,7 @@ def _stream(spark: SparkSession, folder: str, like: DataFrame) -> DataFrame:
 
 
 #: Eight days to a slice of January.
-_OWN_SLICE = "CAST((day(ts) - 1) DIV 8 AS INT)"
+_OWN_SLICE = "CAST((day(timestamp_seconds(creation_date)) - 1) DIV 8 AS INT)"
 
 
 def _halves(messages: DataFrame, folder: str, run: Callable[[], None]) -> None:
@@ -523,9 +523,8 @@ def stream_hourly_metrics(spark, sf_dir):
     """The hourly metrics job over the events as a stream, stopped and started again
     half-way, read back from its table."""
     root = run_folder(spark, "hourly")
-    events = _events(spark, sf_dir).withColumn("slice", F.expr(_OWN_SLICE))
-    messages = to_messages(tables.event_questions(events).drop("slice")).select("key", "value")
-    keyed = messages.join(events.select(F.col("event_id").cast("string").alias("key"), "slice"), "key")
+    questions = tables.event_questions(_events(spark, sf_dir)).withColumn("slice", F.expr(_OWN_SLICE))
+    keyed = to_messages(questions, carry=["slice"])
     store = Store(spark, f"{root}/tables", cell_view=False)
 
     def run():
@@ -541,10 +540,11 @@ def stream_late_rows(spark, sf_dir):
     """What each micro-batch of the hourly metrics emits when some messages come one slice
     late, in time for what is still open, and some three slices late."""
     root = run_folder(spark, "late")
-    late = "CASE WHEN event_id % 11 = 0 THEN 1 WHEN event_id % 13 = 0 THEN 3 ELSE 0 END"
-    events = _events(spark, sf_dir).withColumn("slice", F.expr(f"least({_OWN_SLICE} + {late}, {SLICES - 1})"))
-    messages = to_messages(tables.event_questions(events).drop("slice")).select("key", "value")
-    keyed = messages.join(events.select(F.col("event_id").cast("string").alias("key"), "slice"), "key")
+    late = "CASE WHEN question_id % 11 = 0 THEN 1 WHEN question_id % 13 = 0 THEN 3 ELSE 0 END"
+    questions = tables.event_questions(_events(spark, sf_dir))
+    keyed = to_messages(
+        questions.withColumn("slice", F.expr(f"least({_OWN_SLICE} + {late}, {SLICES - 1})")), carry=["slice"]
+    )
     store = Store(spark, f"{root}/tables", cell_view=False)
 
     def run():
@@ -562,12 +562,9 @@ def stream_late_rows(spark, sf_dir):
 def stream_deduplicated_metrics(spark, sf_dir):
     """Every message sent twice at once and once more a slice later, counted once."""
     root = run_folder(spark, "dedup")
-    events = _events(spark, sf_dir)
-    times = F.explode(F.array(F.lit(0), F.lit(0), F.lit(1)))
-    sent = events.select(
-        F.col("event_id").cast("string").alias("key"), F.expr(_OWN_SLICE).alias("own"), times.alias("late")
-    ).selectExpr("key", f"least(own + late, {SLICES - 1}) AS slice")
-    copies = to_messages(tables.event_questions(events)).join(sent, "key")
+    questions = tables.event_questions(_events(spark, sf_dir)).withColumn("slice", F.expr(_OWN_SLICE))
+    sent = F.expr(f"explode(array(slice, slice, least(slice + 1, {SLICES - 1})))")
+    copies = to_messages(questions, carry=["slice"]).select("key", "value", sent.alias("slice"))
     store = Store(spark, f"{root}/tables", cell_view=False)
     _sliced(copies, f"{root}/in", range(SLICES))
     stream = _stream(spark, f"{root}/in", copies)
@@ -579,11 +576,9 @@ def _question_job(spark, sf_dir, name: str, cell_view: bool = False) -> Store:
     """The question job over messages of which every even one is followed, two slices
     later, by an older version of itself, and which all break in the same way if broken."""
     root = run_folder(spark, name)
-    events = _events(spark, sf_dir)
     broken = F.when(F.col("value").cast("string").endswith("}"), F.col("value")).otherwise(F.lit("broken").cast("binary"))
-    messages = tables.question_messages(events).withColumn("value", broken)
-    slices = events.selectExpr("event_id", f"least({_OWN_SLICE}, {SLICES - 3}) AS slice")
-    newest = messages.join(slices, F.col("version.offset") == F.col("event_id")).drop("event_id")
+    own = F.expr(f"least({_OWN_SLICE}, {SLICES - 3})").alias("slice")
+    newest = tables.question_messages(_events(spark, sf_dir), own).withColumn("value", broken)
     title = F.regexp_replace(F.col("value").cast("string"), '"title":"[^"]*"', '"title":"old"').cast("binary")
     older = newest.filter("version.offset % 2 = 0").select(
         title.alias("value"), tables.version("version.offset", "TIMESTAMP'2023-01-01'").alias("version"),

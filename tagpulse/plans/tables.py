@@ -6,7 +6,7 @@ trend messages, ``documents`` questions whose lines are answers.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 def _int(expression: str) -> str:
@@ -61,14 +61,17 @@ def event_questions(events: DataFrame) -> DataFrame:
     )
 
 
-def question_messages(events: DataFrame) -> DataFrame:
+def question_messages(events: DataFrame, *more: Column) -> DataFrame:
     """Events as question messages: JSON bytes and a version.
 
-    An 'error' event is a message broken off in the middle.
+    An 'error' event is a message broken off in the middle. ``more`` are columns made of the
+    record.
     """
     record = F.to_json(F.struct("*"))
     text = F.when(F.col("tags")[0] == "error", F.concat(F.lit('{"question_id": "'), "question_id")).otherwise(record)
-    return event_questions(events).select(text.cast("binary").alias("value"), version("question_id").alias("version"))
+    return event_questions(events).select(
+        text.cast("binary").alias("value"), version("question_id").alias("version"), *more
+    )
 
 
 def version(number: str, sent: str = "TIMESTAMP'2024-01-01 00:00:00'"):

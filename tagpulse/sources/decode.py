@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,9 +59,12 @@ def decode_trends(messages: DataFrame, *carry: str) -> DataFrame:
     return decode(messages, TREND, *carry, "event_time").filter("tag IS NOT NULL")
 
 
-def to_messages(records: DataFrame, key: str | None = "question_id") -> DataFrame:
-    """Records as JSON messages, keyed so that one question stays in one topic partition."""
-    value = F.to_json(F.struct("*")).alias("value")
-    if key is None:
-        return records.select(value)
-    return records.select(F.col(key).cast("string").alias("key"), value)
+def to_messages(records: DataFrame, key: str | None = "question_id", carry: Sequence[str] = ()) -> DataFrame:
+    """Records as JSON messages, keyed so that one question stays in one topic partition.
+
+    ``carry`` names columns that stay beside the message instead of going into it.
+    """
+    fields = [name for name in records.columns if name not in carry]
+    value = F.to_json(F.struct(*fields)).alias("value")
+    keys = [] if key is None else [F.col(key).cast("string").alias("key")]
+    return records.select(*keys, value, *carry)
