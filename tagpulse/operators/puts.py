@@ -72,14 +72,24 @@ def _answer_cells(family: str, answers: str, prefix: str) -> Column:
     return F.flatten(F.transform(F.coalesce(answers, F.array()), cells))
 
 
+def _ascii(json: Column) -> Column:
+    """JSON with each character beyond ASCII as its UTF-16 units, backslash, ``u``, four digits."""
+
+    def written(char: Column) -> Column:
+        units = F.regexp_replace(F.lower(F.hex(F.encode(char, "UTF-16BE"))), "(.{4})", "\\\\u$1")
+        return F.when(char >= "\x7f", units).otherwise(char)
+
+    return F.when(json.rlike(r"[^\x00-\x7E]"), F.array_join(F.transform(F.split(json, ""), written), "")).otherwise(json)
+
+
 def question_cells() -> Column:
     """The ``question`` family."""
     values = {
         qualifier: as_text(F.col(column), column in ("has_accepted_answer", "is_unanswered"))
         for qualifier, column in QUESTION_QUALIFIERS.items()
     }
-    # JSON with a space after each comma, as the stored rows have it
-    quoted = F.transform("tags", lambda tag: F.regexp_extract(F.to_json(F.array(tag)), r"(?s)^\[(.*)\]$", 1))
+    # JSON with a space after each comma and without characters beyond ASCII, as the stored rows have it
+    quoted = F.transform("tags", lambda tag: _ascii(F.regexp_extract(F.to_json(F.array(tag)), r"(?s)^\[(.*)\]$", 1)))
     values["tags"] = F.when(F.col("tags").isNull(), "null").otherwise(
         F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
     )

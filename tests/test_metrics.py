@@ -1,12 +1,14 @@
 from __future__ import annotations
 
 import datetime
+import json
 import random
 
 from pyspark.sql import functions as F
 
 from tagpulse.functions.numbers import python_text
 from tagpulse.operators import metrics as M
+from tagpulse.operators import puts
 from tagpulse.operators.questions import by_tag, tag_index, tag_index_latest, with_answer_columns
 from tagpulse.plans.batch import calendar_metrics
 
@@ -114,3 +116,14 @@ def test_tag_index_collapses_like_puts(spark):
     index = tag_index(questions(spark, rows))
     assert collected(index) == [("a", 10, 1), ("a", 10, 2), ("a", 11, 3), ("b", 10, 1)]
     assert collected(tag_index_latest(index)) == [("a", 10, 2), ("a", 11, 3), ("b", 10, 1)]
+
+
+def test_tags_are_json_as_python_writes_it(spark):
+    tags = [["a", "é", 'q"\\', "你😀x"], [], ["c#"], ["\x7f ü"]]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(tags)], "question_id long, tags array<string>")
+    full = rows.selectExpr(
+        "*", "'t' AS title", "'b' AS body", "'d' AS creation_date_readable", "0L AS creation_date", "1 AS score",
+        "2 AS owner_reputation", "false AS has_accepted_answer", "true AS is_unanswered",
+    )
+    cells = puts.cells(puts.question_puts(full, families=["question"])).filter("qualifier = 'tags'")
+    assert {int(r.row_key): r.value for r in cells.collect()} == {i: json.dumps(t) for i, t in enumerate(tags)}
