@@ -207,6 +207,8 @@ def find(
     into: str = "found",
 ) -> DataFrame:
     """``docs`` with a struct ``into``: words, hit spans and the ids (as text) of the items."""
+    if into in docs.columns:
+        raise ValueError(f"docs already has {into}; name another column")
     pieces = _pieces(items, item_id, item_text, window)
     total = pieces.agg(F.coalesce(F.sum(F.size("w")), F.lit(0))).first()[0]
     shards = max(1, -(-total // shard_words))

@@ -145,10 +145,15 @@ def scan(
     text: str = "text",
     licence_id: str = "license_id",
     licence_text: str = "text",
+    prefix: str = "",
 ) -> DataFrame:
     """``docs`` with ``canonical_sha256`` of the entire text, ``license_ids``, the known
     licences that the entire text is, and ``notice_ids``, those that a paragraph or line of
-    it is (both sorted arrays)."""
+    it is (both sorted arrays). ``prefix`` goes before the three names where they would clash
+    with columns of ``docs``."""
+    whole, found, noticed = (prefix + n for n in ("canonical_sha256", "license_ids", "notice_ids"))
+    if {whole, found, noticed} & set(docs.columns):
+        raise ValueError(f"docs already has {whole}, {found} or {noticed}; name a prefix")
     names = licences.select(F.col(licence_id).alias("id"), digest(folded(F.col(licence_text))).alias("__digest"))
     names = names.where("id IS NOT NULL AND __digest IS NOT NULL")
     # One row for a known digest.
@@ -164,14 +169,14 @@ def scan(
         .join(names, "__digest")
         .select("__key", F.explode("__ids").alias("id"))
         .groupBy("__key")
-        .agg(F.array_sort(F.collect_set("id")).alias("notice_ids"))
+        .agg(F.array_sort(F.collect_set("id")).alias("__notices"))
     )
-    entire = docs.withColumn("canonical_sha256", digest(folded(F.col(text))))
+    entire = docs.withColumn(whole, digest(folded(F.col(text))))
     return (
-        entire.join(names, entire["canonical_sha256"] == names["__digest"], "left")
-        .withColumn("license_ids", F.coalesce("__ids", none))
+        entire.join(names, entire[whole] == names["__digest"], "left")
+        .withColumn(found, F.coalesce("__ids", none))
         .drop("__digest", "__ids")
         .join(notices, docs[key].eqNullSafe(F.col("__key")), "left")
-        .withColumn("notice_ids", F.coalesce("notice_ids", none))
-        .drop("__key")
+        .withColumn(noticed, F.coalesce("__notices", none))
+        .drop("__key", "__notices")
     )

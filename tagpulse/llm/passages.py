@@ -22,7 +22,7 @@ of ``WORDS`` words inside it.
 The document with the smaller id is the source. Null texts, and texts of fewer words, have
 no passages. Rows without an id take no part. Rows that share an id are versions of one
 document, not compared with each other; each is judged by its own text. Ids are integers.
-Columns of any other name stay; very long texts cost in proportion to their length, also
+Other columns, whatever their names, stay; very long texts cost in proportion to their length, also
 where they repeat one word; an empty table gives an empty result.
 """
 
@@ -331,6 +331,8 @@ def _copied(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
 def find(docs: DataFrame, *, key: str = "doc_id", text: str = "text", into: str = "copied") -> DataFrame:
     """``docs`` with an array ``into``: each copied passage (first and last word), its source
     document and the passage there, and their similarity."""
+    if into in docs.columns:
+        raise ValueError(f"docs already has {into}; name another column")
     block_words = F.arrow_udf(_blocks, BLOCKS)
     # Evaluated once, wherever the result is used.
     copied = F.arrow_udf(_copied, COPIED).asNondeterministic()
@@ -341,11 +343,11 @@ def find(docs: DataFrame, *, key: str = "doc_id", text: str = "text", into: str
         F.floor((F.col("src_at") + WORDS + SHINGLE) / BLOCK).cast("int"),
     )
     wants = settle(links(narrow).select("doc", "src", F.explode(reach).alias("block")).distinct(), "wants")
-    sources = wants.groupBy(F.col("src").alias("doc")).agg(F.collect_set("block").alias("blocks"))
+    sources = wants.groupBy(F.col("src").alias("__src")).agg(F.collect_set("block").alias("__wanted"))
     # Joined as below, so that one shuffle of the texts serves both where all columns are wanted.
     blocks = (
-        known.join(sources, known[key].cast("bigint") == sources["doc"])
-        .select(F.col("doc").alias("src"), F.explode(block_words(F.col(text), F.col("blocks"))).alias("b"))
+        known.join(sources, known[key].cast("bigint") == sources["__src"])
+        .select(F.col("__src").alias("src"), F.explode(block_words(F.col(text), F.col("__wanted"))).alias("b"))
         .select("src", "b.block", "b.words")
     )
     fetched = (

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import pytest
 from oracle_check import connect, differences
 
 from tagpulse.llm import decontaminate, queries
@@ -97,6 +98,15 @@ def test_removal_keeps_clean_documents_and_columns(spark):
     assert kept == {1: ("a b c d e f g", 7), 3: ("clean text", 9), 4: (None, 1)}
 
 
+def test_names_that_clash(spark):
+    docs = spark.createDataFrame([(1, "one two three", "x", "y")], "doc_id bigint, text string, found string, item string")
+    items = spark.createDataFrame([(1, "one two three")], BENCHMARK)
+    (row,) = decontaminate.find(docs, items, into="hits").collect()
+    assert (row["found"], row["item"], row["hits"]["items"]) == ("x", "y", ["1"])
+    with pytest.raises(ValueError):
+        decontaminate.find(docs, items)
+
+
 def test_empty_tables(spark, documents):
     run = queries.QUERIES["op2_decontamination"]
     assert run(spark, documents([], benchmark=(ITEMS, BENCHMARK))).collect() == []

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from oracle_check import connect, differences
 
 from tagpulse.llm import licenses, queries
@@ -45,3 +46,11 @@ def test_odd_known_texts_and_empty_tables(spark, documents):
     assert ids(spark, rows, known) == [(1, "A,B", "A,B"), (2, "", ""), (3, "", ""), (4, "", "")]
     assert ids(spark, rows, []) == [(i, "", "") for i in (1, 2, 3, 4)]
     assert queries.QUERIES["op10_license_scan"](spark, documents([])).collect() == []
+
+
+def test_names_that_clash(spark):
+    docs = spark.createDataFrame([(1, "Licensed under CC BY 4.0.", ["own"], "id")], "doc_id int, text string, notice_ids array<string>, ids string")
+    with pytest.raises(ValueError):
+        licenses.scan(docs, licenses.known(spark))
+    (row,) = licenses.scan(docs, licenses.known(spark), prefix="found_").collect()
+    assert (row["notice_ids"], row["ids"], row["found_notice_ids"]) == (["own"], "id", ["CC-BY-4.0"])

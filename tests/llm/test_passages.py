@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pytest
 
 from tagpulse.llm import passages, queries
 from tagpulse.llm.words import words
@@ -151,5 +152,15 @@ def test_removal(spark):
     assert kept == {1: (f"One. {passage}", 5), 2: ("Two, End.", 6), 4: (None, 8), 5: ("", 9), None: (passage, 1)}
 
 
+def test_names_that_clash(spark):
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(i, passage, i, "b", "w", "s") for i in (1, 2)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, doc bigint, blocks string, words string, src string")
+    found = {r["doc_id"]: [s["source"] for s in r["copied"]] for r in passages.find(docs).collect()}
+    assert found == {1: [], 2: [1]}
+    with pytest.raises(ValueError):
+        passages.find(docs, into="words")
+
+
 def test_empty(spark, documents):
     assert queries.QUERIES["op3_substring_dedup"](spark, documents([])).collect() == []
