@@ -154,8 +154,7 @@ def _pieces(items: DataFrame, item_id: str, text: str, window: int) -> DataFrame
     )
 
 
-def _found_by(text: Column, automaton: Automaton, spark) -> Column:
-    shipped = spark.sparkContext.broadcast(automaton)
+def _found_by(text: Column, automaton: Automaton) -> Column:
     kind = pa.struct(
         [
             ("n_words", pa.int64()),
@@ -166,7 +165,7 @@ def _found_by(text: Column, automaton: Automaton, spark) -> Column:
 
     @F.arrow_udf(FOUND)
     def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        find = shipped.value.find
+        find = automaton.find  # goes along with the function, which Spark broadcasts if large
         for batch in batches:
             rows = []
             for value in batch.cast(pa.binary()):
@@ -217,7 +216,7 @@ def find(
         mine = F.pmod(F.xxhash64("item", "w"), F.lit(shards)) == shard
         rows = pieces.where(mine).distinct().collect()
         automaton = Automaton([(r["item"], [w.encode() for w in r["w"]]) for r in rows], window)
-        columns.append(_found_by(F.col(text), automaton, docs.sparkSession))
+        columns.append(_found_by(F.col(text), automaton))
     if shards == 1:
         return docs.withColumn(into, columns[0])
     parts = docs.withColumn(into, F.array(*columns))
