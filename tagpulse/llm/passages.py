@@ -8,14 +8,15 @@ about ``2 n / width`` of n. Each is one or two rows: the value together with the
 the half passage to its right, and to its left; one half at least of any passage that holds
 the position lies in the passage. Passages that repeat share such rows.
 
-Rows of equal signature are linked to the one of the smallest document, first among the
-documents of a task, then between tasks, so no group is gathered and no pairs of a group are
-made. The blocks of words around linked positions are then fetched and joined by interval
+Rows of equal signature are linked to the one of the smallest document of all, through one
+row of each task, so no group is gathered and no pairs of a group are made. That document may
+lack a part of what others share. So in groups of more than two, the members' passage-wide
+stretches around the position are keyed as well, by a hash of the whole stretch and by pairs
+of min-hashes, and equal keys are linked to the smallest document that has them. The blocks of words around linked positions are then fetched and joined by interval
 into longer stretches, and what they share is verified: a passage of a document counts as
 copied if it and its counterpart have ``WORDS`` words and a Jaccard similarity of their
-shingles of at least ``SIMILARITY``. An exact repeat of ``WORDS`` words is found for certain
-unless a document of a smaller id than both has over half of it but not all (the signatures
-may then lead there only). A repeat with changes is found where one position and a half
+shingles of at least ``SIMILARITY``. An exact repeat of ``WORDS`` words is found for certain,
+whatever other documents hold of it. A repeat with changes is found where one position and a half
 beside it are unchanged for some hash function: nearly always, and surely at each exact run
 of ``WORDS`` words inside it.
 
@@ -47,15 +48,18 @@ SIMILARITY = 0.8
 #: Shingles in the shortest passage, and in half of it.
 WIDTH = WORDS - SHINGLE + 1
 HALF = WIDTH // 2
+#: Hash functions for windows, at most four.
+HASHES = 2
 #: Words fetched at a time around a linked position.
 BLOCK = 64
 #: Shingles without a counterpart that a passage may span: two changed words.
 GAP = 2 * SHINGLE
-#: Windows a task holds before it links them, and word hashes it keeps.
+#: Windows a task holds before it groups them, and word hashes it keeps.
 HELD = 1_000_000
 MEMO = 200_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+_FUNCTION = np.uint64(3)
 
 
 class _Hashes(dict):
@@ -135,27 +139,57 @@ def _rolling(values: np.ndarray, width: int) -> np.ndarray:
     return total
 
 
-def signatures(sequence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Signatures (each once, where it comes first) and their positions."""
+def _hashed(sequence: np.ndarray, f: int) -> np.ndarray:
+    return _mix(sequence ^ np.uint64(0xD6E8FEB86659FD93 * (f + 1) % (1 << 64)))
+
+
+def signatures(sequence: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures (each once; the lowest bits name the hash function), their first positions,
+    and how often they occur."""
     if len(sequence) < WIDTH:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)
     halves = (_sliding_min(_mix(sequence + _ODD), HALF), _rolling(sequence, HALF))
     found, where = [], []
     for f, half in enumerate(halves):
-        values = _mix(sequence ^ np.uint64(0xD6E8FEB86659FD93 * (f + 1) % (1 << 64)))
+        values = _hashed(sequence, f)
         at = np.array(compact_windows(values, WIDTH), np.int64)
         right = at[at < len(half)]
         left = at[at >= HALF - 1]
-        found += [
+        for sig in (
             _mix(values[right] + _mix(half[right])),
             _mix(values[left] + _mix(half[left - HALF + 1]) + _ODD),
-        ]
+        ):
+            found.append(sig & ~_FUNCTION | np.uint64(f))
         where += [right, left]
     found, where = np.concatenate(found), np.concatenate(where)
     order = np.lexsort((where, found))
     found, where = found[order], where[order]
-    new = np.concatenate(([True], found[1:] != found[:-1]))
-    return found[new], where[new].astype(np.int32)
+    new = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
+    return found[new], where[new].astype(np.int32), np.diff(new, append=len(found)).astype(np.int32)
+
+
+def stretches(sequence: np.ndarray, wanted: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the passage-wide stretches whose least shingle stands at a wanted position {at,
+    f}, and a position in each: a hash of the whole stretch, for the first hash function, and
+    for each its least value with that of another function."""
+    if len(sequence) < WIDTH:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int32)
+    values = [_hashed(sequence, f) for f in range(HASHES)]
+    least = [_sliding_min(v, WIDTH) for v in values]
+    keys, where = [], []
+    for f in range(HASHES):
+        at = np.array([w["at"] for w in wanted if w["f"] == f and w["at"] < len(sequence)], np.int64)
+        starts = np.flatnonzero(np.isin(least[f], values[f][at])) if len(at) else at
+        if f == 0:
+            keys.append(_rolling(sequence, WIDTH)[starts])
+            where.append(starts)
+        for g in range(HASHES):
+            if g != f:
+                keys.append(_mix(least[f][starts] + _mix(least[g][starts] + np.uint64(f * HASHES + g))))
+                where.append(starts)
+    keys, where = np.concatenate(keys), np.concatenate(where)
+    keys, first = np.unique(keys, return_index=True)
+    return keys, (where[first] + HALF).astype(np.int32)
 
 
 _WINDOWS = T.StructType(
@@ -163,31 +197,34 @@ _WINDOWS = T.StructType(
         T.StructField("sig", T.LongType()),
         T.StructField("doc", T.LongType()),
         T.StructField("at", T.IntegerType()),
-        T.StructField("src", T.LongType()),
-        T.StructField("src_at", T.IntegerType()),
+        T.StructField("n", T.IntegerType()),
     ]
 )
-_ARROW = pa.schema([("sig", pa.int64()), ("doc", pa.int64()), ("at", pa.int32()), ("src", pa.int64()), ("src_at", pa.int32())])
+_ARROW = pa.schema([("sig", pa.int64()), ("doc", pa.int64()), ("at", pa.int32()), ("n", pa.int32())])
 
 
-def _linked(held: list[tuple[np.ndarray, int, np.ndarray]]) -> pa.RecordBatch:
-    """The first row of each signature (without a source), and the others with it as source."""
+def _grouped(held: list[tuple[np.ndarray, int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """The first row of each signature with the number of its occurrences, and the rows of
+    other documents."""
     sig = np.concatenate([h[0] for h in held])
     doc = np.repeat(np.array([h[1] for h in held], np.int64), [len(h[0]) for h in held])
     at = np.concatenate([h[2] for h in held])
+    times = np.concatenate([h[3] for h in held])
     order = np.lexsort((at, doc, sig))
-    sig, doc, at = sig[order], doc[order], at[order]
+    sig, doc, at, times = sig[order], doc[order], at[order], times[order]
     new = np.concatenate(([True], sig[1:] != sig[:-1]))
-    head = np.flatnonzero(new)[np.cumsum(new) - 1]
+    first = np.flatnonzero(new)
+    head = first[np.cumsum(new) - 1]
     keep = new | (doc != doc[head])
-    src, src_at, none = doc[head][keep], at[head][keep], new[keep]
+    n = np.zeros(len(sig), np.int64)
+    n[first] = np.add.reduceat(times.astype(np.int64), first)
+    n = np.minimum(n, np.iinfo(np.int32).max).astype(np.int32)
     return pa.RecordBatch.from_arrays(
         [
             pa.array(sig[keep].view(np.int64)),
             pa.array(doc[keep]),
             pa.array(at[keep]),
-            pa.array(src, mask=none),
-            pa.array(src_at, mask=none),
+            pa.array(n[keep], mask=~new[keep]),
         ],
         schema=_ARROW,
     )
@@ -199,30 +236,62 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())
         for doc, text in zip(ids, texts, strict=True):
-            sig, at = signatures(shingles(words(text.as_py()), hash_of))
+            sig, at, times = signatures(shingles(words(text.as_py()), hash_of))
             if len(sig):
-                held.append((sig, doc, at))
+                held.append((sig, doc, at, times))
                 size += len(sig)
             if size > HELD:
-                yield _linked(held)
+                yield _grouped(held)
                 held, size = [], 0
     if held:
-        yield _linked(held)
+        yield _grouped(held)
+
+
+_KEYS = "array<struct<key:bigint,at:int>>"
+
+
+def _stretches(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    hash_of = _Hashes().__getitem__
+    kind = pa.struct([("key", pa.int64()), ("at", pa.int32())])
+    for texts, wanted in batches:
+        sizes, keys, where = [0], [], []
+        for text, found in zip(texts.cast(pa.binary()), wanted, strict=True):
+            key, at = stretches(shingles(words(text.as_py() or b""), hash_of), found.as_py())
+            sizes.append(len(key))
+            keys.append(key)
+            where.append(at)
+        columns = [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(where))] if keys else None
+        flat = pa.StructArray.from_arrays(columns, fields=list(kind)) if keys else pa.array([], kind)
+        yield pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), flat)
 
 
 def links(docs: DataFrame) -> DataFrame:
-    """(doc, at, src, src_at) for documents (doc, text): positions of shared signatures."""
+    """(doc, src, src_at) for documents (doc, text): positions of shared signatures and stretches."""
     found = settle(docs.where("text IS NOT NULL").mapInArrow(_windows, _WINDOWS), "windows")
-    order = Window.partitionBy("sig").orderBy("doc", "at")
-    # One row for a signature and task at most is left here, however often it occurs.
+    # One row for a signature and task at most is grouped here, however often it occurs.
+    group = Window.partitionBy("sig").orderBy("doc", "at").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     firsts = (
-        found.where("src IS NULL")
-        .select("sig", "doc", "at")
-        .withColumn("head", F.first(F.struct("doc", "at")).over(order))
-        .select("doc", "at", F.col("head.doc").alias("src"), F.col("head.at").alias("src_at"))
-        .where("doc <> src")
+        found.where("n IS NOT NULL")
+        .select("sig", "doc", "at", F.first(F.struct("doc", "at")).over(group).alias("head"), F.sum("n").over(group).alias("n"))
+        .where("n > 1")
+    )
+    firsts = settle(firsts, "groups")
+    heads = firsts.where("doc = head.doc AND at = head.at").select("sig", "head", "n").distinct()
+    others = found.where("n IS NULL").select("sig", "doc", "at").join(heads, "sig")
+    members = firsts.select("sig", "doc", "at", "head", "n").union(others.select("sig", "doc", "at", "head", "n"))
+    by_signature = members.where("doc <> head.doc").select("doc", F.col("head.doc").alias("src"), F.col("head.at").alias("src_at"))
+    # The head of a larger group may lack what two others share: they meet by their stretches.
+    wanted = (
+        members.where("n > 2")
+        .groupBy(F.col("doc").alias("__doc"))
+        .agg(F.collect_set(F.struct("at", F.expr("cast(sig & 3 AS int)").alias("f"))).alias("wanted"))
     )
-    return found.where("src IS NOT NULL").select("doc", "at", "src", "src_at").union(firsts)
+    keyed = docs.join(wanted, docs["doc"] == wanted["__doc"])
+    keyed = keyed.select("doc", F.explode(F.arrow_udf(_stretches, _KEYS)("text", "wanted")).alias("k"))
+    keyed = settle(keyed.select("k.key", "doc", "k.at"), "stretches")
+    first = keyed.groupBy("key").agg(F.min(F.struct("doc", "at")).alias("head"), F.max("doc").alias("last"))
+    by_stretch = keyed.join(first.where("last > head.doc").select("key", "head"), "key").where("doc <> head.doc")
+    return by_signature.union(by_stretch.select("doc", F.col("head.doc").alias("src"), F.col("head.at").alias("src_at")))
 
 
 BLOCKS = "array<struct<block:int,words:string>>"

@@ -4,6 +4,8 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from tagpulse.llm import passages, queries
@@ -162,5 +164,46 @@ def test_names_that_clash(spark):
         passages.find(docs, into="words")
 
 
+def every_repeat(rows):
+    """Words of each document in an exact run of WORDS words that a smaller id has."""
+    first, hit = {}, defaultdict(set)
+    for doc, text in sorted(rows):
+        found = words(text.encode())
+        for i in range(len(found) - passages.WORDS + 1):
+            if first.setdefault(tuple(found[i : i + passages.WORDS]), doc) != doc:
+                hit[doc] |= set(range(i, i + passages.WORDS))
+    return hit
+
+
+def test_partial_holders_hide_no_repeat(spark, tmp_path):
+    rng = random.Random(4)
+    text = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    rows, last = [], []
+    for family in range(40):
+        passage = text(rng.choice((50, 56, 70)))
+        part = passage[: rng.randint(30, 45)] if family % 2 else passage[-rng.randint(30, 45) :]
+        # The smallest id, or one between, has a part only; one document has the part before the whole.
+        parts = [part, passage, passage] if family % 4 < 2 else [passage, part, part + text(9) + passage]
+        rows += [(family * 5 + i, " ".join(text(40) + p + text(40))) for i, p in enumerate(parts)]
+        last.append(family * 5 + 2)
+    schema = "doc_id bigint, text string"
+    by_file = tmp_path / "by_file"
+    by_file.mkdir()
+    for i, r in enumerate(rows):  # one document per input file
+        pq.write_table(pa.table({"doc_id": [r[0]], "text": [r[1]]}), by_file / f"{i}.parquet")
+    one = spark.createDataFrame(rows, schema).coalesce(1)
+    results = []
+    for docs in (one, spark.read.schema(schema).parquet(str(by_file)).repartition(len(rows), "doc_id")):
+        got = defaultdict(set)
+        results.append(sorted((r["doc_id"], s) for r in passages.find(docs).collect() for s in r["copied"]))
+        for doc, s in results[-1]:
+            got[doc] |= set(range(s["first"], s["last"] + 1))
+        expected = every_repeat(rows)
+        assert set(last) == set(expected)
+        for doc, where in expected.items():
+            assert where <= got[doc], doc
+    assert results[0] == results[1]
+
+
 def test_empty(spark, documents):
     assert queries.QUERIES["op3_substring_dedup"](spark, documents([])).collect() == []
