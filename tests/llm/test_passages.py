@@ -205,5 +205,19 @@ def test_partial_holders_hide_no_repeat(spark, tmp_path):
     assert results[0] == results[1]
 
 
+def test_recall_of_short_changed_passages():
+    rng = random.Random(5)
+    text = lambda n: [b"%d" % rng.randrange(10**9) for _ in range(n)]
+    of = lambda found: set(passages.signatures(passages.shingles(found, passages._Hashes().__getitem__))[0].tolist())
+    for n, changed in ((50, 25), (50, 20), (60, 30)):
+        linked = 0
+        for _ in range(400):
+            passage = text(n)
+            copy = [b"x" if i == changed else w for i, w in enumerate(passage)]
+            linked += bool(of(text(100) + passage + text(100)) & of(text(100) + copy + text(100)))
+        print(n, changed, linked / 400)
+        assert linked >= 0.98 * 400, (n, changed, linked)
+
+
 def test_empty(spark, documents):
     assert queries.QUERIES["op3_substring_dedup"](spark, documents([])).collect() == []
