@@ -219,5 +219,28 @@ def test_recall_of_short_changed_passages():
         assert linked >= 0.98 * 400, (n, changed, linked)
 
 
+def test_changed_word_near_an_end(spark):
+    rng = random.Random(6)
+    text = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    for around in (0, 40):
+        rows, lengths = [], {}
+        for w in range(5):
+            for n in (50, 50 + w, 120):
+                for k in (w, n - 1 - w):
+                    passage, doc = text(n), 2 * len(lengths) + 1
+                    copy = ["x" if i == k else v for i, v in enumerate(passage)]
+                    rows += [(doc, " ".join(text(around) + passage + text(around)))]
+                    rows += [(doc + 1, " ".join(text(around) + copy + text(around)))]
+                    lengths[doc + 1] = (n, k)
+        found = passages.find(spark.createDataFrame(rows, "doc_id bigint, text string"))
+        got = {r["doc_id"]: r["copied"] for r in found.where("size(copied) > 0").collect()}
+        assert set(got) == set(lengths)
+        for doc, (n, k) in lengths.items():
+            where = {i for s in got[doc] for i in range(s["first"], s["last"] + 1)}
+            assert len(where) >= passages.WORDS
+            assert where >= set(range(around + (k == 0), around + n - (k == n - 1))), (doc, n, k)
+            assert all(s["source"] == doc - 1 and s["similarity"] >= passages.SIMILARITY for s in got[doc])
+
+
 def test_empty(spark, documents):
     assert queries.QUERIES["op3_substring_dedup"](spark, documents([])).collect() == []
