@@ -6,8 +6,24 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagpulse.llm import bpe, chat, decontaminate, licenses, passages, quality, simhash, toxicity, urls, vamana
-from tagpulse.llm.shared import small, table
+from pyspark.sql.window import Window
+
+from tagpulse.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    licenses,
+    passages,
+    quality,
+    resample,
+    simhash,
+    toxicity,
+    trie,
+    urls,
+    vamana,
+    warc,
+)
+from tagpulse.llm.shared import new_folder, settle, small, table
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,6 +163,46 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+def _rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Turns and ids of conversations whose first turns are those of conversation c - c % 100."""
+    order = Window.partitionBy("conv_id").orderBy(F.asc_nulls_first("turn"), "digest")
+    numbered = trie.digested(turns).withColumn("place", F.row_number().over(order))
+    numbered = settle(numbered.select("conv_id", "place", "digest", "chars"), "turns")
+    h = F.pmod(F.crc32(F.col("conv_id").cast("string").cast("binary")), F.lit(6))
+    own = numbered.where(F.col("place") > h).select("conv_id", F.col("place").alias("turn"), "digest", "chars")
+    ids = numbered.select("conv_id").distinct()
+    heads = numbered.where("place < 6 AND conv_id % 100 = 0").withColumnRenamed("conv_id", "head")
+    started = (
+        ids.withColumns({"h": h, "head": F.expr("conv_id - conv_id % 100")})
+        .join(heads, "head")
+        .where("place <= h")
+        .select("conv_id", F.col("place").alias("turn"), "digest", "chars")
+    )
+    return own.unionByName(started), ids
+
+
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, ids = _rebuilt(table(spark, sf_dir, "conversations"))
+    return trie.nodes(trie.sequences(turns, ids))
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write(table(spark, sf_dir, "pages"), new_folder(spark, "warc"))
+    return warc.records(warc.read(manifest, data=False)).select(
+        F.col("key").cast("bigint").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("bigint").alias("refers_to"),
+        "url",
+    )
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''),
   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
@@ -256,6 +312,98 @@ SELECT doc_id, sha256(form) AS canonical_sha256, coalesce(license_ids, '') AS li
 FROM entire LEFT JOIN whole USING (doc_id) LEFT JOIN notices USING (doc_id)
 """
 
+#: CRC-32 by table, in SQL; ``crc.t`` is the table.
+_CRC_TABLE = """crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, z:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END, i::UBIGINT)) AS t)"""
+
+
+def _crc_sql(text: str) -> str:
+    octets = f"list_transform(range(octet_length(encode({text}))), lambda k: ('0x' || substr(hex(encode({text})), 2*k+1, 2))::UBIGINT)"
+    step = "xor(c >> 8, t[(xor(c, b) & 255)::BIGINT + 1])"
+    return f"xor(list_reduce({octets}, lambda c, b: {step}, 4294967295::UBIGINT), 4294967295::UBIGINT)::BIGINT"
+
+
+OP11_SQL = f"""
+WITH {_CRC_TABLE},
+o AS (
+  SELECT conv_id, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS m,
+    length(coalesce(text, '')) AS chars,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS head, {_crc_sql('CAST(conv_id AS VARCHAR)')} % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM o), crc),
+r AS (
+  SELECT o.conv_id, place, m, chars FROM o JOIN ids USING (conv_id) WHERE place > h
+  UNION ALL SELECT ids.conv_id, place, m, chars FROM ids JOIN o ON o.conv_id = ids.head WHERE place <= h),
+turns AS (SELECT conv_id, m, chars, row_number() OVER (PARTITION BY conv_id ORDER BY place) AS depth FROM r),
+paths AS (
+  SELECT ids.conv_id, coalesce(string_agg(m, '' ORDER BY depth), '') AS path
+  FROM ids LEFT JOIN turns USING (conv_id) GROUP BY ids.conv_id),
+members AS (
+  SELECT conv_id, 0 AS depth, '' AS node, 0 AS chars FROM ids
+  UNION ALL SELECT conv_id, depth, substr(path, 1, 32 * depth), chars FROM turns JOIN paths USING (conv_id)),
+nodes AS (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars
+  FROM members GROUP BY node, depth),
+below AS (
+  SELECT substr(node, 1, length(node) - 32) AS node, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+full_nodes AS (SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN below USING (node)),
+sums AS (
+  SELECT m.node, sum(CASE WHEN x.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((x.n_convs - 1) * x.chars) AS saved
+  FROM full_nodes x JOIN members m ON m.conv_id = x.conv_id AND m.depth <= x.depth GROUP BY m.node),
+ends AS (SELECT path AS node, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids FROM paths GROUP BY path)
+SELECT x.conv_id, CAST(x.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, x.n_convs, x.n_children,
+  CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM full_nodes x JOIN sums USING (node) LEFT JOIN ends USING (node)
+LEFT JOIN nodes up ON x.depth > 0 AND up.node = substr(x.node, 1, length(x.node) - 32)
+"""
+
+OP12_SQL = """
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS body FROM pages),
+g AS (
+  SELECT page_id, url, body, octet_length(encode(body)) AS n,
+    max(page_id) OVER (PARTITION BY body) AS head FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(body) AS payload_digest,
+  CASE WHEN n >= 1000 AND page_id IS DISTINCT FROM head THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id IS DISTINCT FROM head THEN head END AS refers_to, url
+FROM g
+"""
+
+OP13_SQL = f"""
+WITH {_CRC_TABLE},
+d AS (SELECT doc_id, unnest({_WORDS}) AS w FROM documents),
+b AS (SELECT unnest({_WORDS}) AS w FROM benchmark),
+buckets AS (
+  SELECT w, {_crc_sql('w')} % 10000 AS bucket
+  FROM (SELECT DISTINCT w FROM (SELECT w FROM d UNION ALL SELECT w FROM b)), crc),
+s AS (SELECT bucket, count(*) AS s FROM d JOIN buckets USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM b JOIN buckets USING (w) GROUP BY bucket),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(
+    (CAST(coalesce(t, 0) + 1 AS DOUBLE) * ((SELECT count(*) FROM d) + 10000))
+    / (CAST(coalesce(s, 0) + 1 AS DOUBLE) * ((SELECT count(*) FROM b) + 10000)))) AS BIGINT) AS gain
+  FROM range(10000) r(bucket) LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)),
+weights AS (
+  SELECT doc_id, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS total
+  FROM d JOIN buckets USING (w) JOIN gains USING (bucket) GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features,
+    CASE WHEN n_features IS NULL THEN 0 ELSE (total - ((total % n_features) + n_features) % n_features) // n_features END AS weight,
+    CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) AS h
+  FROM documents LEFT JOIN weights USING (doc_id)),
+noisy AS (
+  SELECT doc_id, n_features, weight,
+    weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM scored),
+places AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+    count(*) OVER (PARTITION BY n_features >= 20) AS n FROM noisy)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score,
+  CASE WHEN n_features >= 20 AND place <= n * 10 // 100 THEN place END AS rank
+FROM places
+"""
+
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
@@ -268,6 +416,9 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_simhash": op9_simhash,
     "op10_license_scan": op10_license_scan,
+    "op11_conversation_trie": op11_conversation_trie,
+    "op12_warc": op12_warc,
+    "op13_resampling": op13_resampling,
 }
 
 ORACLE: dict[str, str] = {
@@ -275,4 +426,7 @@ ORACLE: dict[str, str] = {
     "op5_chat_format": OP5_SQL,
     "op8_url_filter": OP8_SQL,
     "op10_license_scan": OP10_SQL,
+    "op11_conversation_trie": OP11_SQL,
+    "op12_warc": OP12_SQL,
+    "op13_resampling": OP13_SQL,
 }

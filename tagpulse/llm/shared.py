@@ -25,13 +25,19 @@ def shared_folder(spark: SparkSession) -> str:
     return _own["dir"]
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A name for a folder that all executors share; it goes when the interpreter ends."""
+    path = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write a table once and read it back: lineage ends, and a lost executor costs no more
     than rereading files. The files go when the interpreter ends."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    path = new_folder(spark, name)
     df.write.parquet(path)
-    atexit.register(_remove, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,0 +1,132 @@
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import defaultdict
+
+import pytest
+from oracle_check import connect, differences
+
+from tagpulse.llm import queries, trie
+
+TURNS = "conv_id bigint, turn int, role string, text string"
+
+
+def brute(conversations):
+    """The nodes of {conv_id: [(role, text), ...]}."""
+    members = defaultdict(list)
+    for conv, turns in conversations.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(conv)
+    rows = []
+    for node, convs in members.items():
+        below = [x for x in members if x[: len(node)] == node]
+        leaf = [x for x in below if not any(len(y) == len(x) + 1 and y[: len(x)] == x for y in members)]
+        ends = ",".join(str(c) for c in sorted(convs) if len(conversations[c]) == len(node))
+        rows.append(
+            (
+                min(convs),
+                len(node),
+                min(members[node[:-1]]) if node else None,
+                len(convs),
+                sum(len(x) == len(node) + 1 for x in below),
+                len(leaf),
+                sum((len(members[x]) - 1) * len(x[-1][1]) for x in below if x),
+                hashlib.sha256(ends.encode()).hexdigest(),
+            )
+        )
+    return sorted(map(str, rows))
+
+
+def found(spark, conversations, ids=None):
+    rows = [(c, i, r, t) for c, turns in conversations.items() for i, (r, t) in enumerate(turns)]
+    random.Random(len(rows)).shuffle(rows)
+    turns = trie.digested(spark.createDataFrame(rows, TURNS))
+    ids = spark.createDataFrame([(c,) for c in conversations], "conv_id bigint")
+    return sorted(str(tuple(r)) for r in trie.nodes(trie.sequences(turns, ids)).collect())
+
+
+def grown(seed, n, alphabet=3, longest=6):
+    rng = random.Random(seed)
+    said = [("user", "a"), ("assistant", "é😀"), ("user", ""), ("", "a"), ("tool", "xyz")][:alphabet]
+    return {c * 7 - 20: [rng.choice(said) for _ in range(rng.randint(0, longest))] for c in range(n)}
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_query_against_sql(spark, sf):
+    sf_dir = f"/root/testdata/sf{sf}"
+    ours = queries.QUERIES["op11_conversation_trie"](spark, sf_dir)
+    assert differences(ours, connect(sf_dir), queries.ORACLE["op11_conversation_trie"]) is None
+
+
+@pytest.mark.parametrize("shard_turns", [4, 40, 250_000])
+def test_against_brute_force(spark, monkeypatch, shard_turns):
+    monkeypatch.setattr(trie, "SHARD_TURNS", shard_turns)
+    monkeypatch.setattr(trie, "PIECE_IDS", 2)
+    for seed in range(2):
+        conversations = grown(seed, 40)
+        assert found(spark, conversations) == brute(conversations)
+
+
+def test_a_sequence_that_most_conversations_share_spans_shards(spark, monkeypatch):
+    monkeypatch.setattr(trie, "SHARD_TURNS", 10)
+    monkeypatch.setattr(trie, "PIECE_IDS", 3)
+    hot = [("user", "hello"), ("assistant", "hi"), ("user", "bye")]
+    conversations = dict.fromkeys(range(30), hot)
+    conversations |= {100: hot[:2], 101: [*hot, ("assistant", "x")], 102: [("user", "a")], 103: []}
+    assert found(spark, conversations) == brute(conversations)
+
+
+def test_deep_shared_paths_take_all_rounds(spark, monkeypatch):
+    monkeypatch.setattr(trie, "SHARD_TURNS", 30)
+    deep = [("user", f"{i}") for i in range(21)]
+    conversations = {c: [*deep[: c + 3], ("user", f"own {c % 4}")] for c in range(18)}
+    conversations |= {c + 50: deep for c in range(3)}
+    assert found(spark, conversations) == brute(conversations)
+
+
+def test_nulls_repeats_ties_and_clashing_names(spark):
+    rows = [
+        (1, None, None, None, "p"), (1, 0, "user", "b", "p"), (1, 0, "user", "b", "p"),
+        (2, None, "", "", None), (2, 0, "user", "b", None),
+        (None, 0, "user", "lost", None), (-3, 2, "user", "b", "q"),
+    ]
+    turns = spark.createDataFrame(rows, f"{TURNS}, path string")
+    for name in ("chars", "digest", "row", "shard", "depth"):
+        turns = turns.withColumn(name, turns["path"])
+    nodes = trie.nodes(trie.sequences(trie.digested(turns)))
+    expected = {1: [("", ""), ("user", "b"), ("user", "b")], 2: [("", ""), ("user", "b")], -3: [("user", "b")]}
+    assert sorted(str(tuple(r)) for r in nodes.collect()) == brute(expected)
+
+
+def test_roles_and_texts_are_kept_apart(spark):
+    conversations = {1: [("user", "a")], 2: [("use", "ra")], 3: [("", "usera")]}
+    assert found(spark, conversations) == brute(conversations)
+
+
+def test_empty_and_turnless(spark):
+    none = spark.createDataFrame([], TURNS)
+    assert trie.nodes(trie.sequences(trie.digested(none))).collect() == []
+    assert found(spark, {5: [], 4: []}) == brute({5: [], 4: []})
+
+
+def test_trees_are_balanced():
+    tree = trie.Tree()
+    for i in trie._medians(1023):
+        list(tree.insert([i]))
+    depth = {tree.first[0]: 1}
+    for node in range(1, len(tree.symbol)):
+        for child in (tree.low[node], tree.high[node]):
+            if child:
+                depth[child] = depth[node] + 1
+    assert max(depth.values()) == 10
+
+
+def test_rebuilt_conversations(spark, tables):
+    rows = [(200, i, "user", f"base {i}") for i in range(7)]
+    rows += [(c, i, "user", f"own {c} {i}") for c in (201, 202, 203, 204, 305) for i in range(3)]
+    sf_dir = tables(conversations=(rows, TURNS))
+    engine = connect(sf_dir)
+    engine.execute(f"CREATE OR REPLACE VIEW conversations AS SELECT * FROM '{sf_dir}/conversations.parquet/*.parquet'")
+    ours = queries.QUERIES["op11_conversation_trie"](spark, sf_dir)
+    assert differences(ours, engine, queries.ORACLE["op11_conversation_trie"]) is None
