@@ -5,10 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+if TYPE_CHECKING:
+    from tagpulse.streaming.tables import KeyedTable
+
 SEARCH_LIMIT = 10
 SUGGESTIONS = 5
 SHORTEST_PREFIX = 2
@@ -108,6 +112,36 @@ def search_by_grams(
     return search(questions.join(ids, "question_id", "left_semi"), query, (), limit, columns=columns)
 
 
+def after_prefix(prefix: str) -> str | None:
+    """The smallest text that is greater than all texts that begin with ``prefix``, in the order
+    of their bytes in UTF-8; None where there is none."""
+    for i in range(len(prefix) - 1, -1, -1):
+        code = ord(prefix[i])
+        if code < 0x10FFFF:
+            # no code points between these two: they are halves of UTF-16 pairs
+            return prefix[:i] + chr(0xE000 if code == 0xD7FF else code + 1)
+    return None
+
+
+def begins_with(column: str, prefix: str) -> Column:
+    """``column`` begins with ``prefix``, as a range, which the statistics of sorted files
+    answer."""
+    end = after_prefix(prefix)
+    at_least = F.col(column) >= prefix
+    return at_least if end is None else at_least & (F.col(column) < end)
+
+
+def row_cells(cells: KeyedTable, table: str, row_key: str) -> DataFrame:
+    """The current cells of one row, from the one bucket that can hold it."""
+    return cells.at(table, row_key).select("table", "row_key", "family", "qualifier", "value")
+
+
+def cells_by_prefix(cells: KeyedTable, table: str, prefix: str) -> DataFrame:
+    """The current cells of all rows whose keys begin with ``prefix``."""
+    held = cells.latest_where(F.col("table") == table).filter(begins_with("row_key", prefix))
+    return held.select("table", "row_key", "family", "qualifier", "value")
+
+
 def trend_series(metrics: DataFrame, tag: str, period: str) -> DataFrame:
     """One tag's metrics over time; ``period`` is 'hour', 'day' or 'month'."""
     name = {"hour": "hourly", "day": "daily", "month": "monthly"}[period]

@@ -23,12 +23,3 @@ def refresh_calendar_metrics(store: Store, run_id: int, answer_mean: str = "per_
     for period in ("daily", "monthly"):
         metrics = calendar_metrics(questions, period, answer_mean).withColumn("written", F.current_timestamp())
         store.write_metrics(metrics, run_id, f"{period}_metrics")
-
-
-def snapshot_all(store: Store, to: str, since: str | None = None) -> None:
-    """Write the current rows of every keyed table under the new folder ``to``.
-
-    Run on a schedule, each time from the snapshot before; readers name the newest one.
-    """
-    for name, table in store.tables.items():
-        table.snapshot(f"{to}/{name}", None if since is None else f"{since}/{name}")

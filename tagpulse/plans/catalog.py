@@ -23,14 +23,14 @@ from tagpulse.operators.answer_rows import preselect_rows, top_answer_rows, with
 from tagpulse.operators.latest import latest_version
 from tagpulse.plans import tables
 from tagpulse.plans.batch import calendar_metrics, refresh_calendar_metrics
-from tagpulse.schemas import CELL_LOG, METRIC_QUESTION
+from tagpulse.schemas import CELL_LOG, METRIC_QUESTION, METRICS
 from tagpulse.session import run_folder
 from tagpulse.sources.decode import decode_questions, decode_trends, rejected_questions, rejected_trends, to_messages
 from tagpulse.sources.feed import backfill_and_live, flat_answers, live_repeats, shape_questions
 from tagpulse.sources.messages import versioned
 from tagpulse.streaming import jobs
 from tagpulse.streaming.store import Store
-from tagpulse.streaming.tables import Log
+from tagpulse.streaming.tables import BatchTable, KeyedTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -421,30 +421,57 @@ def cell_merge(spark, sf_dir):
     return _numbers_apart(P.merge_cells(first.unionByName(P.cells(counts, "version")), "version"))
 
 
+def _trend_cells_table(spark: SparkSession, root: str) -> KeyedTable:
+    return KeyedTable(
+        spark, f"{root}/cells", CELL_LOG, P.CELL_KEY, between="written", partition_by=["table"],
+        bucket_by=["table", "row_key"], buckets=16, bloom=["row_key"],
+    )
+
+
 @_query
 def keyed_table_latest(spark, sf_dir):
-    """Raw counts put in batches that do not come in order: the newest messages first, older
-    ones after them, a batch that lands after two snapshots, one written twice, as a replay
-    does, and one whose replay is empty."""
-    root = run_folder(spark, "keyed")
-    table = Log(spark, f"{root}/cells", CELL_LOG, P.CELL_KEY, between="written", partition_by=["table"])
+    """Raw counts merged in batches that do not come in order: the newest messages first,
+    older ones after them, and one merged twice, as a replay does."""
+    table = _trend_cells_table(spark, run_folder(spark, "keyed"))
     trends = _trends(spark, sf_dir)
 
     def put(condition: str, batch_id: int) -> None:
         counts = T.fan_out(trends.filter(condition), "version")
         newest = latest_version(counts, T.KEY, ["event_time", "version"])
         cells = P.cells(P.trend_puts(newest, "version", F.col("event_time").alias("written")), "version", "written")
-        table.append(cells, "trends", batch_id)
+        table.merge(cells, "trends", batch_id)
 
     put("event_time >= TIMESTAMP'2024-01-15 12:00:00'", 1)
     put("event_time < TIMESTAMP'2024-01-10 06:30:00'", 2)
-    table.snapshot(f"{root}/first")
-    put("true", 4)
-    table.snapshot(f"{root}/second", since=f"{root}/first")
-    put("false", 4)  # a replay that delivers nothing takes back what the first run wrote
     for _ in range(2):
         put("event_time BETWEEN TIMESTAMP'2024-01-09 00:00:00' AND TIMESTAMP'2024-01-16 00:00:00'", 0)
-    return table.latest(snapshot=f"{root}/second").select("table", "row_key", "family", "qualifier", "value")
+    return table.latest().select("table", "row_key", "family", "qualifier", "value")
+
+
+def _stored_trends(spark, sf_dir, name: str) -> KeyedTable:
+    """The cells of all raw counts and of the metrics, by two writers."""
+    table = _trend_cells_table(spark, run_folder(spark, name))
+    counts = P.trend_puts(T.fan_out(_trends(spark, sf_dir), "version"), "version", F.col("event_time").alias("written"))
+    table.merge(P.cells(counts, "version", "written"), "trends", 0)
+    metrics = P.metric_puts(M.finish(M.hourly_parts(_event_questions(spark, sf_dir))))
+    before = tables.version("-1", "TIMESTAMP'1970-01-01'"), F.expr("TIMESTAMP'1970-01-01'")
+    cells = P.cells(metrics).withColumn("version", before[0]).withColumn("written", before[1])
+    table.merge(cells, "metrics", 0)
+    return table
+
+
+@_query
+def stored_row(spark, sf_dir):
+    """All current cells of one row, as a get by row key reads them."""
+    table = _stored_trends(spark, sf_dir, "get")
+    return _numbers_apart(S.row_cells(table, P.TRENDS_TABLE, "purchase#hourly#2024011006"))
+
+
+@_query
+def stored_rows_by_prefix(spark, sf_dir):
+    """All current cells of one tag's days, as a scan by row prefix reads them."""
+    table = _stored_trends(spark, sf_dir, "scan")
+    return _numbers_apart(S.cells_by_prefix(table, P.TRENDS_TABLE, "click#daily#"))
 
 
 # Serving queries
@@ -545,14 +572,16 @@ def stream_late_rows(spark, sf_dir):
     keyed = to_messages(
         questions.withColumn("slice", F.expr(f"least({_OWN_SLICE} + {late}, {SLICES - 1})")), carry=["slice"]
     )
+    kept = BatchTable(spark, f"{root}/emitted", METRICS)
     store = Store(spark, f"{root}/tables", cell_view=False)
+    store.write_metrics = lambda metrics, batch_id: kept.append(metrics, "hourly_metrics", batch_id)
 
     def run():
         stream = _stream(spark, f"{root}/in", keyed)
         jobs.start_hourly_metrics(stream, store, f"{root}/checkpoints", ONCE).awaitTermination()
 
     _halves(keyed, f"{root}/in", run)
-    emitted = store.metrics.rows()
+    emitted = kept.rows()
     # Micro-batches without data emit nothing and are not numbered.
     batches = emitted.select("batch_id").distinct().withColumn("batch", F.row_number().over(Window.orderBy("batch_id")) - 1)
     return emitted.join(batches, "batch_id").select("batch", "tag", _readable("period_start"), "total_questions")

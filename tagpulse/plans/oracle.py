@@ -207,6 +207,20 @@ SELECT 'stackoverflow_trends' AS "table",
 FROM ({source})"""
 
 
+#: Cells of metrics with those of raw counts put over them.
+_MERGED = f"""
+WITH {_TREND_PLACES},
+m AS ({_metric_cells(_HOURLY_EXACT)}),
+r AS (
+  SELECT 'stackoverflow_trends' AS "table", {_TREND_KEY} AS row_key, 'trend' AS family,
+         unnest(['raw_count', 'timestamp_readable']) AS qualifier,
+         unnest([CAST(raw_count AS VARCHAR), timestamp_readable]) AS text_value, CAST(NULL AS DOUBLE) AS number_value
+  FROM written_last)
+SELECT * FROM r
+UNION ALL
+SELECT m.* FROM m ANTI JOIN r ON m.row_key = r.row_key AND m.qualifier = r.qualifier"""
+
+
 ORACLE: dict[str, str] = {
     "decoded_questions": """
 SELECT event_id AS question_id, event_type || ' #' || event_id AS title,
@@ -364,17 +378,9 @@ FROM events""",
     "hourly_trend_cells": _metric_cells(_HOURLY_EXACT),
     "trend_cells": f"WITH {_TREND_PLACES} "
     + _cells("stackoverflow_trends", "trend", _TREND_KEY, _TREND_VALUES, "f", ", version"),
-    "cell_merge": f"""
-WITH {_TREND_PLACES},
-m AS ({_metric_cells(_HOURLY_EXACT)}),
-r AS (
-  SELECT 'stackoverflow_trends' AS "table", {_TREND_KEY} AS row_key, 'trend' AS family,
-         unnest(['raw_count', 'timestamp_readable']) AS qualifier,
-         unnest([CAST(raw_count AS VARCHAR), timestamp_readable]) AS text_value, CAST(NULL AS DOUBLE) AS number_value
-  FROM written_last)
-SELECT * FROM r
-UNION ALL
-SELECT m.* FROM m ANTI JOIN r ON m.row_key = r.row_key AND m.qualifier = r.qualifier""",
+    "cell_merge": _MERGED,
+    "stored_row": f"SELECT * FROM ({_MERGED}) WHERE row_key = 'purchase#hourly#2024011006'",
+    "stored_rows_by_prefix": f"SELECT * FROM ({_MERGED}) WHERE starts_with(row_key, 'click#daily#')",
     "keyed_table_latest": f"WITH {_TREND_PLACES} "
     + _cells("stackoverflow_trends", "trend", _TREND_KEY, _TREND_VALUES, "last"),
     "search_by_grams": f"""

@@ -1,128 +1,224 @@
 from __future__ import annotations
 
 import datetime
+import pathlib
 import random
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tagpulse.operators.puts import CELL_KEY, merge_cells
+from tagpulse.operators.serving import cells_by_prefix, row_cells
 from tagpulse.schemas import CELLS, WRITTEN
 from tagpulse.session import run_folder, shared_dir
 from tagpulse.streaming.delivery import deliver
 from tagpulse.streaming.store import Store
-from tagpulse.streaming.tables import Log
+from tagpulse.streaming.tables import BatchTable, KeyedTable
 
-
-LOGGED = T.StructType([*CELLS.fields, T.StructField("version", T.IntegerType()), WRITTEN])
+STORED = T.StructType([*CELLS.fields, T.StructField("version", T.IntegerType()), WRITTEN])
 
 
 def rows(spark, *values, version=0, written=0):
     at = datetime.datetime.fromtimestamp(1_700_000_000 + written)
-    return spark.createDataFrame([("t", key, "f", column, value, version, at) for key, column, value in values], LOGGED)
+    return spark.createDataFrame([("t", key, "f", column, value, version, at) for key, column, value in values], STORED)
 
 
 @pytest.fixture
 def table(spark, tmp_path):
-    return Log(spark, str(tmp_path / "cells"), LOGGED, CELL_KEY, between="written", partition_by=["table"])
+    return KeyedTable(
+        spark, str(tmp_path / "cells"), STORED, CELL_KEY, between="written", partition_by=["table"],
+        bucket_by=["table", "row_key"], bloom=["row_key"],
+    )
+
+
+def current(table):
+    return {(row.row_key, row.qualifier): row.value for row in table.latest().collect()}
 
 
-def current(table, snapshot=None):
-    return {(row.row_key, row.qualifier): row.value for row in table.latest(snapshot).collect()}
+def files(table):
+    """Every stored file by its bucket."""
+    found = {}
+    for path in pathlib.Path(table.path, "rows").rglob("*.parquet"):
+        found.setdefault(path.parent.name, set()).add(path)
+    return found
 
 
 def test_empty(table):
-    assert current(table) == {}
+    assert current(table) == {} and table.at("t", "k").collect() == []
 
 
 def test_later_puts_win_per_column(spark, table):
-    table.append(rows(spark, ("k", "a", "1"), ("k", "b", "1")), "w", 0)
-    table.append(rows(spark, ("k", "a", "2"), ("l", "a", "2")), "w", 1)
+    table.merge(rows(spark, ("k", "a", "1"), ("k", "b", "1")), "w", 0)
+    back = table.merge(rows(spark, ("k", "a", "2"), ("l", "a", "2")), "w", 1)
     assert current(table) == {("k", "a"): "2", ("k", "b"): "1", ("l", "a"): "2"}
+    assert sorted(row.row_key for row in back.collect()) == ["k", "l"] and back.schema == STORED
+    assert table.rows().count() == 3
 
 
 def test_the_newest_message_wins_whenever_it_lands(spark, table):
-    table.append(rows(spark, ("k", "a", "new"), version=200), "w", 0)
-    table.append(rows(spark, ("k", "a", "old"), version=100), "w", 1)
+    table.merge(rows(spark, ("k", "a", "new"), version=200), "w", 0)
+    table.merge(rows(spark, ("k", "a", "old"), version=100), "w", 1)
     assert current(table) == {("k", "a"): "new"}
 
 
 def test_no_clock_decides_within_a_writer(spark, table):
-    table.append(rows(spark, ("k", "a", "0"), written=60), "w", 0)
-    table.append(rows(spark, ("k", "a", "1"), written=0), "w", 1)  # restarted where the clock is behind
+    table.merge(rows(spark, ("k", "a", "0"), written=60), "w", 0)
+    table.merge(rows(spark, ("k", "a", "1"), written=0), "w", 1)  # restarted where the clock is behind
     assert current(table) == {("k", "a"): "1"}
 
 
-def test_a_replayed_batch_replaces_itself(spark, table):
-    table.append(rows(spark, ("k", "a", "1"), ("gone", "a", "1")), "w", 0)
-    table.append(rows(spark, ("k", "a", "1")), "w", 0)
-    assert current(table) == {("k", "a"): "1"}
-    assert table.rows().count() == 1
-    table.append(rows(spark, ("k", "a", "1")).limit(0), "w", 0)
-    assert table.rows().count() == 0 and current(table) == {}
+def test_a_replay_changes_nothing(spark, table):
+    first, second = rows(spark, ("k", "a", "1"), ("l", "a", "1")), rows(spark, ("k", "a", "2"))
+    for batch_id, batch in ((0, first), (1, second), (1, second)):
+        table.merge(batch, "w", batch_id)
+    before = sorted(map(tuple, table.rows().collect()))
+    table.merge(second, "w", 1)
+    table.merge(first, "w", 0)  # not even one that is not the last
+    table.merge(second.limit(0), "w", 2)
+    assert sorted(map(tuple, table.rows().collect())) == before
+    assert current(table) == {("k", "a"): "2", ("l", "a"): "1"}
 
 
 def test_writers_share_rows_and_the_later_wins(spark, table):
-    table.append(rows(spark, ("k", "shared", "x"), ("k", "x", "x"), written=1), "x", 5)
-    table.append(rows(spark, ("k", "shared", "y"), ("k", "y", "y"), written=2), "y", 0)
-    assert current(table) == {("k", "shared"): "y", ("k", "x"): "x", ("k", "y"): "y"}
-
-
-def test_snapshots_change_nothing(spark, table, tmp_path):
-    source, expected, snapshot = random.Random(1), {}, None
-    for batch in range(6):
-        values = {(str(source.randrange(8)), str(source.randrange(3))): str(batch) for _ in range(10)}
-        expected.update(values)
-        table.append(rows(spark, *[(*key, value) for key, value in values.items()]), "w", batch)
-        if batch in (2, 4):
-            table.snapshot(f"{tmp_path}/s{batch}", since=snapshot)
-            snapshot = f"{tmp_path}/s{batch}"
-        assert current(table) == current(table, snapshot) == expected
-    base = spark.read.parquet(f"{snapshot}/rows")
-    assert base.count() == base.select(*CELL_KEY).distinct().count() > 0
-
-
-def test_a_batch_that_lands_after_two_snapshots_is_read(spark, table, tmp_path):
-    for batch in (0, 1, 3):
-        table.append(rows(spark, (f"k{batch}", "a", "1")), "w", batch)
-    table.snapshot(f"{tmp_path}/first")
-    table.append(rows(spark, ("k4", "a", "1")), "w", 4)
-    table.snapshot(f"{tmp_path}/second", since=f"{tmp_path}/first")
-    table.append(rows(spark, ("late", "a", "1")), "w", 2)
-    assert set(current(table, f"{tmp_path}/second")) == {(k, "a") for k in ("k0", "k1", "k3", "k4", "late")}
-    table.append(rows(spark, ("k5", "a", "1")), "w", 5)
-    table.snapshot(f"{tmp_path}/third", since=f"{tmp_path}/second")
-    assert spark.read.parquet(f"{tmp_path}/third/rows").count() == 5
-    assert len(current(table, f"{tmp_path}/third")) == 6
-
-
-def test_the_newest_batch_may_be_replayed_after_a_snapshot(spark, table, tmp_path):
-    table.append(rows(spark, ("k", "a", "1")), "w", 0)
-    table.append(rows(spark, ("k", "a", "2"), ("l", "a", "2")), "w", 1)
-    table.snapshot(f"{tmp_path}/s")
-    table.append(rows(spark, ("k", "a", "3")), "w", 1)
-    assert current(table, f"{tmp_path}/s") == {("k", "a"): "3"}
-
-
-def test_null_keys_are_keys(spark, table, tmp_path):
-    table.append(rows(spark, (None, "a", "1"), (None, "b", "1"), ("k", "a", "1")), "w", 0)
-    table.append(rows(spark, (None, "a", "2")), "w", 1)
-    table.append(rows(spark, ("m", "a", "2")), "w", 2)
-    table.snapshot(f"{tmp_path}/s")
-    expected = {(None, "a"): "2", (None, "b"): "1", ("k", "a"): "1", ("m", "a"): "2"}
-    assert current(table) == current(table, f"{tmp_path}/s") == expected
-
-
-def test_point_reads_reach_the_files(spark, table, tmp_path):
-    for batch in range(3):
-        table.append(rows(spark, ("k", "a", str(batch)), ("l", "a", "1")), "w", batch)
-    table.snapshot(f"{tmp_path}/s")
-    found = table.latest(f"{tmp_path}/s").filter("`table` = 't' AND row_key = 'k'")
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    scans = [line for line in plan.split("\n") if "FileScan" in line and "row_key" in line]
-    assert len(scans) == 2 and all("EqualTo(row_key,k)" in scan and "= t)" in scan for scan in scans)
-    assert [row.value for row in found.collect()] == ["2"]
+    table.merge(rows(spark, ("k", "shared", "x"), ("k", "x", "x"), written=1), "x", 5)
+    table.merge(rows(spark, ("k", "shared", "y"), ("k", "y", "y"), written=2), "y", 0)
+    expected = {("k", "shared"): "y", ("k", "x"): "x", ("k", "y"): "y"}
+    assert current(table) == expected
+    assert {(row.row_key, row.qualifier): row.value for row in table.at("t", "k").collect()} == expected
+
+
+def test_merging_equals_a_maximum_over_all_puts(spark, table):
+    source, every = random.Random(1), None
+    for batch in range(5):
+        values = [(str(source.randrange(30)), str(source.randrange(3)), f"{batch} {n}") for n in range(40)]
+        for version in (source.randrange(9), source.randrange(9)):
+            part = rows(spark, *dict(((k, c), (k, c, v)) for k, c, v in values).values(), version=version * 10 + batch)
+            table.merge(part, "w", batch)
+            every = part if every is None else every.unionByName(part)
+    expected = {(r.row_key, r.qualifier): r.value for r in merge_cells(every, "version").collect()}
+    assert current(table) == expected
+
+
+def test_a_batch_reads_and_writes_the_buckets_it_touches(spark, table):
+    table.merge(rows(spark, *[(f"k{i}", "a", "1") for i in range(500)]), "w", 0)
+    before = files(table)
+    assert len(before) == 64
+    (bucket,) = {f"bucket={row.bucket}" for row in table.rows().filter("row_key = 'k7'").collect()}
+    # Whatever else is read would fail.
+    kept = {path: path.read_bytes() for name, paths in before.items() if name != bucket for path in paths}
+    for path in kept:
+        path.with_name(f".{path.name}.crc").unlink(missing_ok=True)
+        path.write_bytes(b"no parquet")
+    table.merge(rows(spark, ("k7", "a", "2")), "w", 1)
+    after = files(table)
+    assert {name for name in before if before[name] != after[name]} == {bucket}
+    assert [row.value for row in table.at("t", "k7").collect()] == ["2"]
+    for path, content in kept.items():
+        path.write_bytes(content)
+    assert len(current(table)) == 500
+
+
+def test_a_driver_that_dies_while_buckets_are_replaced(spark, table, monkeypatch):
+    table.merge(rows(spark, *[(f"k{i}", "a", "1") for i in range(200)]), "w", 0)
+    update = rows(spark, *[(f"k{i}", "a", "2") for i in range(0, 200, 2)])
+    even = table.rows().filter("CAST(substr(row_key, 2) AS INT) % 2 = 0").select("bucket").distinct().collect()
+    touched = sorted(f"bucket={row.bucket}" for row in even)
+    put_in_place = KeyedTable._put_in_place
+
+    def die(self, merged, writer):
+        if pathlib.Path(merged).exists():
+            # Some partitions are gone and their successors have not been moved there yet.
+            for path in (path for name in touched[:9] for path in files(self)[name]):
+                path.unlink()
+            raise RuntimeError("lost")
+        put_in_place(self, merged, writer)
+
+    monkeypatch.setattr(KeyedTable, "_put_in_place", die)
+    with pytest.raises(RuntimeError, match="lost"):
+        table.merge(update, "w", 1)
+    monkeypatch.undo()
+    assert len(current(table)) < 200
+    table.merge(update, "w", 1)
+    assert current(table) == {(f"k{i}", "a"): "1" if i % 2 else "2" for i in range(200)}
+
+
+def test_null_keys_are_keys(spark, table):
+    table.merge(rows(spark, (None, "a", "1"), (None, "b", "1"), ("k", "a", "1")), "w", 0)
+    table.merge(rows(spark, (None, "a", "2")), "w", 1)
+    expected = {(None, "a"): "2", (None, "b"): "1", ("k", "a"): "1"}
+    assert current(table) == expected
+    assert {row.qualifier: row.value for row in table.at("t", None).collect()} == {"a": "2", "b": "1"}
+
+
+def test_keys_that_come_together_can_be_stored_together(spark, tmp_path):
+    schema = T.StructType([T.StructField("day", T.IntegerType()), T.StructField("n", T.IntegerType())])
+    table = KeyedTable(spark, str(tmp_path / "days"), schema, ["day"], order=(), bucket=F.expr("day DIV 30"))
+    for batch_id, days in enumerate((range(90), range(80, 95))):
+        table.merge(spark.createDataFrame([(day, batch_id) for day in days], schema), "w", batch_id)
+    assert sorted(files(table)) == ["bucket=0", "bucket=1", "bucket=2", "bucket=3"]
+    assert sorted(map(tuple, table.latest().collect())) == [(day, int(day >= 80)) for day in range(95)]
+    assert [tuple(row) for row in table.at(81).collect()] == [(81, 1)]
+
+
+def scanned(found):
+    """What the scans of a result read, in its first run: files and rows."""
+    found.collect()
+    plan, leaves = found._jdf.queryExecution().executedPlan(), []
+    plan = plan.executedPlan() if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec" else plan
+    stack = [plan]
+    while stack:
+        node = stack.pop()
+        if "QueryStage" in node.getClass().getSimpleName():
+            node = node.plan()
+        if node.getClass().getSimpleName() == "FileSourceScanExec":
+            leaves.append({name: node.metrics().apply(name).value() for name in ("numFiles", "numOutputRows")})
+        children = node.children()
+        stack += [children.apply(i) for i in range(children.size())]
+    return {name: sum(leaf[name] for leaf in leaves) for name in ("numFiles", "numOutputRows")}
+
+
+def test_reads_by_key_reach_few_files_and_row_groups(spark, tmp_path):
+    table = KeyedTable(
+        spark, str(tmp_path / "cells"), STORED, CELL_KEY, partition_by=["table"], bucket_by=["table", "row_key"],
+        buckets=2, bloom=["row_key"],
+    )
+    at = datetime.datetime(2024, 1, 1)
+    keys = [f"{tag}#{period}#{n:05}" for tag in ("a", "b", "é") for period in ("daily", "hourly") for n in range(20_000)]
+    many = spark.createDataFrame([(k,) for k in keys], "row_key string").selectExpr(
+        "'t' AS table", "row_key", "'f' AS family", "'q' AS qualifier", "repeat(row_key, 20) AS value", "1 AS version",
+    ).withColumn("written", F.lit(at))
+    spark.conf.set("parquet.block.size", str(1 << 16))
+    try:
+        table.merge(many, "w", 0)
+    finally:
+        spark.conf.unset("parquet.block.size")
+    total = len(keys)
+    one = row_cells(table, "t", "b#daily#00017")
+    read = scanned(one)
+    assert [row.row_key for row in one.collect()] == ["b#daily#00017"]
+    assert 1 <= read["numFiles"] < table.rows().select("_metadata.file_path").distinct().count()
+    assert read["numOutputRows"] < total / 4
+    for prefix in ("b#daily#", "é#hourly#0001", "", "zz"):
+        found = cells_by_prefix(table, "t", prefix)
+        assert found.count() == sum(key.startswith(prefix) for key in keys)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert f"GreaterThanOrEqual(row_key,{prefix})" in plan
+        if prefix.startswith("é"):
+            assert scanned(found)["numOutputRows"] < total / 4
+
+
+def test_rows_of_batches_are_replaced_by_replays(spark, tmp_path):
+    schema = T.StructType([T.StructField("message", T.StringType())])
+    table = BatchTable(spark, str(tmp_path / "rejects"), schema)
+    assert table.rows().count() == 0
+    broken = spark.createDataFrame([("x",), ("x",)], schema)
+    table.append(broken, "w", 0)
+    table.append(broken.limit(1), "w", 1)
+    assert sorted((r.message, r.writer, r.batch_id) for r in table.rows().collect()) == [("x", "w", 0), ("x", "w", 0), ("x", "w", 1)]
+    table.append(broken.limit(0), "w", 0)
+    assert table.rows().count() == 1
 
 
 def test_merge_of_puts_in_one_log(spark):
