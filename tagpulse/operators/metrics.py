@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagpulse.functions.times import PERIODS
@@ -61,26 +61,47 @@ def hourly_parts(questions: DataFrame) -> DataFrame:
     )
 
 
-def calendar_parts(questions: DataFrame, period: str) -> DataFrame:
+def calendar_parts(questions: DataFrame, period: str, only: DataFrame | None = None) -> DataFrame:
     """Parts per (tag, calendar day or month) of the session zone, in batch.
 
-    Not an event-time window: windows are anchored in UTC, and a month is none.
+    Not an event-time window: windows are anchored in UTC, and a month is none. ``only``
+    names the (tag, period_start) that are wanted; each gives a row, one without questions
+    parts of zero.
     """
-    return (
-        by_tag(questions, *INPUTS)
-        .filter("event_time IS NOT NULL")
-        .groupBy("tag", F.date_trunc(PERIODS[period][0], "event_time").alias("period_start"))
-        .agg(*_parts())
-        .select("tag", F.lit(period).alias("period"), "period_start", *PARTS)
+    start = F.date_trunc(PERIODS[period][0], "event_time")
+    rows = by_tag(questions, *INPUTS).filter("event_time IS NOT NULL").withColumn("period_start", start)
+    if only is not None:
+        rows = rows.join(only, _same_period(rows, only), "left_semi")
+    parts = (
+        rows.groupBy("tag", "period_start").agg(*_parts()).select("tag", F.lit(period).alias("period"), "period_start", *PARTS)
     )
+    return parts if only is None else _each_of(parts, only, period)
+
+
+def _same_period(rows: DataFrame, only: DataFrame) -> Column:
+    return rows["tag"].eqNullSafe(only["tag"]) & (rows["period_start"] == only["period_start"])
+
+
+def _each_of(parts: DataFrame, only: DataFrame, period: str) -> DataFrame:
+    """A row for each (tag, period_start) of ``only``."""
+    found = only.join(parts, _same_period(only, parts), "left")
+    return found.select(
+        only["tag"], F.lit(period).alias("period"), only["period_start"],
+        *[F.coalesce(parts[part], F.lit(0)).alias(part) for part in PARTS],
+    )
 
 
-def roll_up(parts: DataFrame, period: str) -> DataFrame:
+def roll_up(parts: DataFrame, period: str, only: DataFrame | None = None) -> DataFrame:
     """Parts of a shorter period summed into a longer one; averages are never averaged.
 
-    Needs a session zone whose offset is whole hours, as hours are cut in UTC.
+    Needs a session zone whose offset is whole hours, as hours are cut in UTC. ``only`` is
+    that of :func:`calendar_parts`.
     """
     start = F.date_trunc(PERIODS[period][0], "period_start")
+    if only is not None:
+        parts = parts.withColumn("start", start)
+        wanted = parts["tag"].eqNullSafe(only["tag"]) & (parts["start"] == only["period_start"])
+        return _each_of(roll_up(parts.join(only, wanted, "left_semi").drop("start"), period), only, period)
     return (
         parts.groupBy("tag", start.alias("start"))
         .agg(*[F.sum(part).alias(part) for part in PARTS])
@@ -92,9 +113,9 @@ def finish(parts: DataFrame, answer_mean: str = "per_question") -> DataFrame:
     """Parts to percentages and averages.
 
     ``per_question`` averages each question's mean, an unanswered question counting as
-    0.0; ``per_answer`` averages over all answers alike.
+    0.0; ``per_answer`` averages over all answers alike. Without questions there is no mean.
     """
-    total = F.col("total_questions")
+    total = F.nullif(F.col("total_questions"), F.lit(0))
     mean = {
         "per_question": F.col("answer_mean_sum") / total,
         "per_answer": F.when(F.col("answer_count") > 0, F.col("answer_score_sum") / F.col("answer_count")).otherwise(0.0),

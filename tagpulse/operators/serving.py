@@ -163,3 +163,18 @@ def suggest(questions: DataFrame, prefix: str, limit: int = SUGGESTIONS) -> Data
         .orderBy("title", "question_id")
         .limit(limit)
     )
+
+
+def title_index(questions: DataFrame) -> DataFrame:
+    """(lowered, title, question_id): distinct titles, each with its smallest question, sorted by
+    the lowered title over ranges. A table to keep beside the questions."""
+    titles = questions.filter("title IS NOT NULL").groupBy("title").agg(F.min("question_id").alias("question_id"))
+    keyed = titles.select(F.lower("title").alias("lowered"), "title", "question_id")
+    return keyed.repartitionByRange("lowered", "title").sortWithinPartitions("lowered", "title")
+
+
+def suggest_from(titles: DataFrame, prefix: str, limit: int = SUGGESTIONS) -> DataFrame:
+    """The same as :func:`suggest` from a stored title index: the prefix is a range of lowered
+    titles, so only the row groups that hold it are read."""
+    starts = begins_with("lowered", prefix.lower()) if len(prefix) >= SHORTEST_PREFIX else F.lit(False)
+    return titles.filter(starts).select("title", "question_id").orderBy("title", "question_id").limit(limit)

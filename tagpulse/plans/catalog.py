@@ -21,8 +21,9 @@ from tagpulse.operators import serving as S
 from tagpulse.operators import trends as T
 from tagpulse.operators.answer_rows import preselect_rows, top_answer_rows, with_answer_flags
 from tagpulse.operators.latest import latest_version
+from tagpulse.operators.search_index import SearchIndex, build
 from tagpulse.plans import tables
-from tagpulse.plans.batch import calendar_metrics, refresh_calendar_metrics
+from tagpulse.plans.batch import calendar_metrics, refresh_calendar_metrics, refresh_changed_periods
 from tagpulse.schemas import CELL_LOG, METRIC_QUESTION, METRICS
 from tagpulse.session import run_folder
 from tagpulse.sources.decode import decode_questions, decode_trends, rejected_questions, rejected_trends, to_messages
@@ -513,6 +514,56 @@ def suggest_titles(spark, sf_dir):
     return S.suggest(titles, "SM")
 
 
+#: Indexes that this process has written and opened, by kind, tables and session.
+_WRITTEN: dict[tuple[str, str, str], object] = {}
+
+
+def _written(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], object]):
+    """An index that is written once for all queries on it."""
+    key = name, sf_dir, spark.sparkContext.applicationId
+    if key not in _WRITTEN:
+        _WRITTEN[key] = write(run_folder(spark, name))
+    return _WRITTEN[key]
+
+
+def _search_index(spark: SparkSession, sf_dir: str) -> SearchIndex:
+    questions = tables.documents(spark, sf_dir).select("question_id", "title", "body", "score", "tags")
+    return _written(spark, sf_dir, "search", lambda folder: build(questions, folder))
+
+
+@_query
+def search_index_terms(spark, sf_dir):
+    """How many questions and blocks of the ranking hold each gram."""
+    return _search_index(spark, sf_dir).terms.select("term", "questions", "blocks", "first_block")
+
+
+@_query
+def search_stored(spark, sf_dir):
+    return _search_index(spark, sf_dir).search("the ON", columns=("question_id", "title", "score"))
+
+
+@_query
+def search_stored_rare(spark, sf_dir):
+    return _search_index(spark, sf_dir).search("Reatha tion", columns=("question_id", "title", "score"))
+
+
+@_query
+def search_stored_tags(spark, sf_dir):
+    index = _search_index(spark, sf_dir)
+    return index.search("th", ["en", "src1"], every_tag=True, columns=("question_id", "title", "score"))
+
+
+@_query
+def suggest_stored(spark, sf_dir):
+    titles = tables.table(spark, sf_dir, "part").selectExpr("p_partkey AS question_id", "p_name AS title")
+
+    def write(folder: str) -> DataFrame:
+        S.title_index(titles).write.parquet(folder)
+        return spark.read.parquet(folder)
+
+    return S.suggest_from(_written(spark, sf_dir, "titles", write), "SM")
+
+
 # Streaming
 
 ONCE = {"availableNow": True}
@@ -663,3 +714,30 @@ def calendar_refresh(spark, sf_dir):
     store = _question_job(spark, sf_dir, "refresh")
     refresh_calendar_metrics(store, run_id=0)
     return _rounded(store.metrics.latest().drop("written"))
+
+
+@_query
+def calendar_refresh_changes(spark, sf_dir):
+    """Day and month metrics kept up with changes: the first batch has an older version of
+    every third question, with another date, tag and score, and lacks every seventh, which
+    comes late; a refresh after each batch makes the touched days and their months anew."""
+    store = Store(spark, f"{run_folder(spark, 'changes')}/tables", cell_view=False)
+    questions = tables.event_questions(_events(spark, sf_dir)).filter("tags[0] <> 'error'")
+    older = questions.withColumns(
+        {
+            "creation_date": F.col("creation_date") - 86400 * 20,
+            "tags": F.array(F.lit("old"), F.col("tags")[1]),
+            "score": F.col("score") + 1000,
+            "answers": F.slice("answers", 1, 0),
+        }
+    )
+    batches = (
+        older.filter("question_id % 3 = 0").unionByName(questions.filter("question_id % 3 > 0")).filter("question_id % 7 > 0"),
+        questions.filter("question_id % 3 = 0 OR question_id % 7 = 0"),
+    )
+    for batch_id, records in enumerate(batches):
+        sent = tables.version(str(batch_id)).alias("version")
+        messages = to_messages(records).select(F.col("value").cast("binary").alias("value"), sent)
+        store.write_questions(messages, batch_id)
+        refresh_changed_periods(store)
+    return _rounded(store.current_metrics().drop("written"))

@@ -405,6 +405,20 @@ ORDER BY n_chars DESC, doc_id LIMIT 10""",
     "search_by_tag": f"""
 SELECT {_DOCUMENT_FIELDS} FROM documents
 WHERE contains(lower(source || ' ' || lang || ' ' || doc_id || ' ' || text), 'que') AND (lang = 'fr' OR source = 'src3')
+ORDER BY n_chars DESC, doc_id LIMIT 10""",
+    "search_index_terms": """
+WITH r AS (
+  SELECT doc_id, lower(source || ' ' || lang || ' ' || doc_id || ' ' || text) AS t,
+         (row_number() OVER (ORDER BY n_chars DESC, doc_id) - 1) // 1024 AS block FROM documents),
+w AS (SELECT DISTINCT doc_id, block, unnest(string_split(t, ' ')) AS w FROM r),
+g AS (
+  SELECT DISTINCT doc_id, block, substr(w, i, 3) AS term
+  FROM (SELECT doc_id, block, w, unnest(range(1, length(w) - 1)) AS i FROM w WHERE length(w) >= 3))
+SELECT term, count(*) AS questions, count(DISTINCT block) AS blocks, min(block) AS first_block FROM g GROUP BY term""",
+    "search_stored": f"""
+SELECT {_DOCUMENT_FIELDS} FROM documents
+WHERE contains(lower(source || ' ' || lang || ' ' || doc_id || ' ' || text), 'the')
+  AND contains(lower(source || ' ' || lang || ' ' || doc_id || ' ' || text), 'on')
 ORDER BY n_chars DESC, doc_id LIMIT 10""",
     "suggest_titles": """
 SELECT p_name AS title, min(p_partkey) AS question_id FROM part
@@ -458,6 +472,10 @@ FROM events WHERE event_type = 'error' HAVING count(*) > 0""",
     "calendar_refresh": f"""
 SELECT * FROM ({_metrics(_EVENTS, _DAY, "daily", tail=_GOOD)})
 UNION ALL
+SELECT * FROM ({_metrics(_EVENTS, _MONTH, "monthly", tail=_GOOD)})""",
+    "calendar_refresh_changes": f"""
+SELECT * FROM ({_metrics(_EVENTS, _DAY, "daily", tail=_GOOD)})
+UNION ALL
 SELECT * FROM ({_metrics(_EVENTS, _MONTH, "monthly", tail=_GOOD)})""",
     "stream_trends": f"""
 WITH {_TREND_PLACES},
@@ -465,3 +483,9 @@ newest AS (SELECT tag, raw_count FROM t QUALIFY row_number() OVER (PARTITION BY
 SELECT tag, unnest(['hourly', 'daily', 'monthly']) AS period, raw_count FROM newest""",
 }
 ORACLE["decoded_questions"] = f"WITH {_EVENTS}" + ORACLE["decoded_questions"]
+for _stored, _scanned in (
+    ("search_stored_rare", "search_by_grams"),
+    ("search_stored_tags", "search_all_tags"),
+    ("suggest_stored", "suggest_titles"),
+):
+    ORACLE[_stored] = ORACLE[_scanned]

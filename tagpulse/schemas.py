@@ -140,6 +140,25 @@ METRICS = T.StructType(
     ]
 )
 
+# The additive parts of metrics, and which of them a run made anew.
+METRIC_PARTS = T.StructType(
+    [
+        *METRICS.fields[:4],
+        T.StructField("unanswered", T.LongType()),
+        T.StructField("accepted", T.LongType()),
+        T.StructField("score_sum", T.LongType()),
+        T.StructField("score_count", T.LongType()),
+        T.StructField("answer_mean_sum", T.DoubleType()),
+        T.StructField("answer_count", T.LongType()),
+        T.StructField("answer_score_sum", T.LongType()),
+    ]
+)
+
+CHANGED_PERIODS = T.StructType([METRICS["tag"], METRICS["period_start"]])
+
+# The last batch of questions that a run of the calendar refresh has seen.
+CALENDAR_RUNS = T.StructType([T.StructField("upto", T.LongType())])
+
 TREND_COUNTS = T.StructType(
     [
         T.StructField("tag", T.StringType()),

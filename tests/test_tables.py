@@ -29,7 +29,7 @@ def rows(spark, *values, version=0, written=0):
 def table(spark, tmp_path):
     return KeyedTable(
         spark, str(tmp_path / "cells"), STORED, CELL_KEY, between="written", partition_by=["table"],
-        bucket_by=["table", "row_key"], bloom=["row_key"],
+        bucket_by=["table", "row_key"], buckets=64, bloom=["row_key"],
     )
 
 
