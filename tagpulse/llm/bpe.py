@@ -15,7 +15,7 @@ import base64
 import heapq
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -196,6 +196,21 @@ class Encoder:
                 memo.clear()
 
 
+def _ids_of(batch: pa.Array, encoder: Encoder) -> pa.ListArray:
+    out, offsets = array("i"), [0]
+    for value in batch:
+        encoder.extend(out, value.as_py())
+        offsets.append(len(out))
+    values = pa.Array.from_buffers(pa.int32(), len(out), [None, pa.py_buffer(out)])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+
+
+def _bytes_of(ids: pa.ListArray, token: Callable[[int], bytes]) -> pa.Array:
+    values, offsets = ids.values.to_numpy(), ids.offsets.to_numpy()
+    texts = [b"".join(map(token, values[a:b].tolist())) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+    return pa.array(texts, pa.binary())
+
+
 def encode(text: Column, vocabulary: Vocabulary) -> Column:
     """The ids of a text, as an array of integers."""
 
@@ -203,30 +218,37 @@ def encode(text: Column, vocabulary: Vocabulary) -> Column:
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(vocabulary)
         for batch in batches:
-            out, offsets = array("i"), [0]
-            for value in batch:
-                encoder.extend(out, value.as_py())
-                offsets.append(len(out))
-            values = pa.Array.from_buffers(pa.int32(), len(out), [None, pa.py_buffer(out)])
-            yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+            yield _ids_of(batch, encoder)
 
     return ids(F.coalesce(text, F.lit("")))
 
 
+def encode_and_decode(text: Column, vocabulary: Vocabulary) -> Column:
+    """``ids`` of a text and ``decoded``, the bytes these ids stand for, in one pass, without
+    the ids leaving the task and coming back."""
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:binary>")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder, token = Encoder(vocabulary), _tokens(vocabulary)
+        for batch in batches:
+            ids = _ids_of(batch, encoder)
+            yield pa.StructArray.from_arrays([ids, _bytes_of(ids, token)], ["ids", "decoded"])
+
+    # Evaluated once, wherever its fields are used.
+    return both.asNondeterministic()(F.coalesce(text, F.lit("")))
+
+
+def _tokens(vocabulary: Vocabulary) -> Callable[[int], bytes]:
+    return dict(zip(vocabulary.ids, vocabulary.tokens, strict=True)).__getitem__
+
+
 def decode(ids: Column, vocabulary: Vocabulary) -> Column:
     """The bytes that ids stand for; null stands for none."""
 
     @F.arrow_udf("binary")
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        token = dict(zip(vocabulary.ids, vocabulary.tokens, strict=True)).__getitem__
+        token = _tokens(vocabulary)
         for batch in batches:
-            values, offsets = batch.values.to_numpy(), batch.offsets.to_numpy()
-            yield pa.array(
-                [
-                    b"".join(map(token, values[a:b].tolist()))
-                    for a, b in zip(offsets[:-1], offsets[1:], strict=True)
-                ],
-                pa.binary(),
-            )
+            yield _bytes_of(batch, token)
 
     return decoded(F.coalesce(ids, F.array().cast("array<int>")))

@@ -29,10 +29,8 @@ from tagpulse.llm.shared import new_folder, settle, small, table
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     vocabulary = bpe.load(path, public_tokenizers.PATTERN)
-    ids = table(spark, sf_dir, "documents").select(
-        "doc_id", bpe.encode(F.col("text"), vocabulary).alias("ids")
-    )
-    return ids.select("doc_id", "ids", bpe.decode(F.col("ids"), vocabulary).alias("decoded")).select(
+    both = bpe.encode_and_decode(F.col("text"), vocabulary).alias("both")
+    return table(spark, sf_dir, "documents").select("doc_id", both).select("doc_id", "both.*").select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),

@@ -75,3 +75,13 @@ def test_query_and_odd_rows(spark, sf, documents):
 
 def test_empty_table(spark, documents):
     assert queries.QUERIES["op1_byte_bpe"](spark, documents([])).collect() == []
+
+
+def test_one_pass_gives_what_two_give(spark):
+    vocabulary = bpe.load(PATH, P.PATTERN)
+    rows = [(None,), ("",), ("it's été 😀 \n\n x",), ("ab" * 5000,), ("it's été 😀 \n\n x",)]
+    frame = spark.createDataFrame(rows, "text string")
+    ids = bpe.encode(frame["text"], vocabulary)
+    two = frame.select(ids.alias("ids"), bpe.decode(ids, vocabulary).alias("decoded")).collect()
+    one = frame.select(bpe.encode_and_decode(frame["text"], vocabulary).alias("both")).select("both.*").collect()
+    assert one == two and [bytes(r.decoded).decode() for r in one] == [t or "" for (t,) in rows]
