@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tagpulse.llm.shared import settle
+from tagpulse.llm.shared import free_names, settle
 from tagpulse.llm.words import SPANS, without_spans, words
 
 SHINGLE = 5
@@ -307,14 +307,35 @@ def _clusters(x: np.ndarray, other: np.ndarray) -> Iterator[tuple[np.ndarray, np
     if not len(p):
         return
     diagonal, single = first[place[p]] - p, counts[place[p]] == 1
-    if single.any():  # a shingle that repeats in the source follows its neighbours
+    if single.any():  # a shingle that repeats in the source follows its neighbours, if it stands there
         known = np.maximum.accumulate(np.where(single, np.arange(len(p)), -1))
-        diagonal = diagonal[np.where(known < 0, np.argmax(single), known)]
+        near = diagonal[np.where(known < 0, np.argmax(single), known)]
+        there = (p + near >= 0) & (p + near < len(other))
+        there[there] = other[(p + near)[there]] == x[p[there]]
+        diagonal = np.where(there, near, diagonal)
     y = np.clip(p + diagonal, 0, len(other) - 1)
     breaks = np.flatnonzero((np.diff(p) > GAP + 1) | (np.abs(np.diff(diagonal)) > GAP)) + 1
     yield from zip(np.split(p, breaks), np.split(y, breaks), strict=True)
 
 
+def _exact_runs(x: np.ndarray, other: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions in ``x`` and ``other`` of every stretch of WIDTH shingles or more that stands in
+    both; of a stretch that ``other`` has more than once, its first place there."""
+    windows, first = np.unique(_rolling(other, WIDTH), return_index=True)
+    mine = _rolling(x, WIDTH)
+    if not len(windows) or not len(mine):
+        return
+    place = np.minimum(np.searchsorted(windows, mine), len(windows) - 1)
+    starts = np.flatnonzero(windows[place] == mine)
+    if not len(starts):
+        return
+    diagonal = first[place[starts]] - starts
+    breaks = np.flatnonzero((np.diff(starts) > 1) | (np.diff(diagonal) != 0)) + 1
+    for group in np.split(np.arange(len(starts)), breaks):
+        p = np.arange(starts[group[0]], starts[group[-1]] + WIDTH)
+        yield p, p + diagonal[group[0]]
+
+
 def _similarity(x: np.ndarray, other: np.ndarray) -> float:
     mine, theirs = np.unique(x), np.unique(other)
     shared = len(np.intersect1d(mine, theirs, assume_unique=True))
@@ -397,15 +418,19 @@ def copied_in(text: bytes, blocks: list[dict], hash_of: Callable[[bytes], int])
         other = shingles(theirs, hash_of)
         start = blocks[at]["block"] * BLOCK
         if len(other):
-            for p, y in _clusters(x, other):
-                for a, b, c, d, similarity in _verified(x, other, p, y, mine, theirs):
-                    out.append(
-                        {
-                            "first": a, "last": b + SHINGLE - 1, "source": blocks[at]["source"],
-                            "source_first": start + c, "source_last": start + d + SHINGLE - 1,
-                            "similarity": similarity,
-                        }
-                    )
+            passages = [s for p, y in _clusters(x, other) for s in _verified(x, other, p, y, mine, theirs)]
+            # Longer passages may hide a repeat whose shingles the source has elsewhere as well.
+            for p, y in _exact_runs(x, other):
+                if not any(s[0] <= p[0] and p[-1] <= s[1] for s in passages):
+                    passages += _verified(x, other, p, y, mine, theirs)
+            for a, b, c, d, similarity in passages:
+                out.append(
+                    {
+                        "first": a, "last": b + SHINGLE - 1, "source": blocks[at]["source"],
+                        "source_first": start + c, "source_last": start + d + SHINGLE - 1,
+                        "similarity": similarity,
+                    }
+                )
         at = end
     return sorted(out, key=lambda s: (s["first"], s["last"], s["source"], s["source_first"]))
 
@@ -435,25 +460,24 @@ def find(docs: DataFrame, *, key: str = "doc_id", text: str = "text", into: str
         F.floor((F.col("src_at") + WORDS + SHINGLE) / BLOCK).cast("int"),
     )
     wants = settle(links(narrow).select("doc", "src", F.explode(reach).alias("block")).distinct(), "wants")
-    sources = wants.groupBy(F.col("src").alias("__src")).agg(F.collect_set("block").alias("__wanted"))
+    src, wanted, doc, held = free_names([*docs.columns, into], "__src", "__wanted", "__doc", "__blocks")
+    sources = wants.groupBy(F.col("src").alias(src)).agg(F.collect_set("block").alias(wanted))
     # Joined as below, so that one shuffle of the texts serves both where all columns are wanted.
     blocks = (
-        known.join(sources, known[key].cast("bigint") == sources["__src"])
-        .select(F.col("__src").alias("src"), F.explode(block_words(F.col(text), F.col("__wanted"))).alias("b"))
+        known.join(sources, known[key].cast("bigint") == sources[src])
+        .select(F.col(src).alias("src"), F.explode(block_words(F.col(text), F.col(wanted))).alias("b"))
         .select("src", "b.block", "b.words")
     )
     fetched = (
         wants.join(blocks, ["src", "block"])
-        .groupBy(F.col("doc").alias("__doc"))
-        .agg(F.collect_list(F.struct(F.col("src").alias("source"), "block", "words")).alias("__blocks"))
-    )
-    joined = known.join(fetched, known[key].cast("bigint") == fetched["__doc"], "left")
-    found = F.when(
-        F.col("__blocks").isNotNull(),
-        copied(F.when(F.col("__blocks").isNotNull(), F.col(text)), F.col("__blocks")),
+        .groupBy(F.col("doc").alias(doc))
+        .agg(F.collect_list(F.struct(F.col("src").alias("source"), "block", "words")).alias(held))
     )
+    joined = known.join(fetched, known[key].cast("bigint") == fetched[doc], "left")
+    some = F.col(held).isNotNull()
+    found = F.when(some, copied(F.when(some, F.col(text)), F.col(held)))
     none = F.array().cast(COPIED)
-    judged = joined.withColumn(into, F.coalesce(found, none)).drop("__doc", "__blocks")
+    judged = joined.withColumn(into, F.coalesce(found, none)).drop(doc, held)
     return judged.unionByName(docs.where(F.col(key).isNull()).withColumn(into, none))
 
 
@@ -474,8 +498,8 @@ def spans(copied: str) -> Column:
 
 def remove(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without copied passages; documents that had nothing else go."""
-    found = find(docs, key=key, text=text, into="__copied")
-    cut = spans("__copied")
-    left = found.withColumn("__cut", cut).withColumn(text, without_spans(F.col(text), F.col("__cut")))
-    some = (F.size("__cut") == 0) | F.col(text).rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")
-    return left.where(some).drop("__copied", "__cut")
+    copied, cut = free_names(docs.columns, "__copied", "__cut")
+    found = find(docs, key=key, text=text, into=copied)
+    left = found.withColumn(cut, spans(copied)).withColumn(text, without_spans(F.col(text), F.col(cut)))
+    some = (F.size(cut) == 0) | F.col(text).rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")
+    return left.where(some).drop(copied, cut)

@@ -7,9 +7,9 @@ response of every filter over all chunks, and its mean, go through one hidden la
 probability.
 
 Fitting takes at most ``ROWS_PER_CLASS`` labelled rows of each class (those of the smallest
-hash) and of each text at most ``FIT_BYTES`` bytes around its middle, so its cost has a bound
-whatever the label table holds; weights give the classes the shares they have among all
-labelled rows. Scoring reads whole texts, piece by piece.
+hash), whatever the label table holds, and their whole texts, which the driver keeps;
+weights give the classes the shares they have among all labelled rows. Fitting and scoring read
+texts piece by piece; only chunks with a filter's largest response, and means, have gradients.
 
 Null and empty texts get the score of a text of blanks. Unlabelled rows, null labels and
 repeated rows are allowed in the labels; with one class only, or none, the score is the
@@ -36,9 +36,11 @@ LAGS = range(2, 21)
 #: A chunk that repeats itself counts as much as several bytes.
 REPEATS_SCALE = 4.0
 ROWS_PER_CLASS = 1000
-FIT_BYTES = 2048
 STEPS = 400
 BATCH = 64
+BATCH_BYTES = 1 << 19
+#: Rows of HALF bytes that training looks at together.
+GROUP_ROWS = 1 << 15
 #: Bytes scored at a time; pieces overlap by half a chunk, the maximum joins them.
 PIECE = 1 << 16
 
@@ -121,9 +123,10 @@ def train(texts: list[bytes], labels: np.ndarray, weights: np.ndarray, *, steps:
     seen = [features(text) for text in texts]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in net.parameters()]
     classes = [np.flatnonzero(labels == c) for c in (0, 1)]
+    sizes = np.array([len(text) for text in texts])
     for step in range(1, steps + 1):
-        picked = np.concatenate([rng.choice(c, BATCH // 2) for c in classes])
-        gradients = _gradients(net, [seen[i] for i in picked], labels[picked], weights[picked])
+        picked, times = _picked(rng, classes, sizes)
+        gradients = _gradients(net, [seen[i] for i in picked], labels[picked], weights[picked] * times)
         rate = 0.004 * (1 - step / (steps + 1))
         for p, g, (m, v) in zip(net.parameters(), gradients, moments, strict=True):
             m += 0.1 * (g - m)
@@ -132,44 +135,95 @@ def train(texts: list[bytes], labels: np.ndarray, weights: np.ndarray, *, steps:
     return net
 
 
+def _picked(rng: np.random.Generator, classes: list[np.ndarray], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The texts of one step and how often each counts: BATCH of them, both classes in turn, or
+    fewer where they are long, so that a step's work has a bound but for its last two texts."""
+    drawn = np.stack([rng.choice(c, BATCH // 2) for c in classes], axis=1)
+    before = np.cumsum(sizes[drawn].sum(axis=1)) - sizes[drawn].sum(axis=1)
+    picked, times = np.unique(drawn[before < BATCH_BYTES], return_counts=True)
+    return picked, times.astype(np.float32)
+
+
+def _cut(batch: list[tuple]) -> Iterator[list[tuple[int, np.ndarray, np.ndarray]]]:
+    """The texts of a batch as (text, codes, repeats) in pieces that share a row with the next,
+    in groups of about GROUP_ROWS rows, so that long texts need no more memory than short ones."""
+    group, size = [], 0
+    for text, (codes, repeats) in enumerate(batch):
+        for at in range(0, len(codes) - 1, GROUP_ROWS):
+            part = slice(at, at + GROUP_ROWS + 1)
+            group.append((text, codes[part], repeats[part]))
+            size += len(group[-1][1])
+            if size >= GROUP_ROWS:
+                yield group
+                group, size = [], 0
+    if group:
+        yield group
+
+
+class _Forward:
+    """The filters' answers to a group of pieces."""
+
+    def __init__(self, net: Network, group: list[tuple[int, np.ndarray, np.ndarray]]):
+        sizes = np.array([len(codes) for _, codes, _ in group])
+        self.texts = np.array([text for text, _, _ in group])
+        self.codes = np.concatenate([codes for _, codes, _ in group])
+        self.rows = net.halves(self.codes, np.concatenate([repeats for _, _, repeats in group]))
+        # Chunks that would join two pieces get no part.
+        self.starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+        real = np.ones(len(self.codes) - 1, bool)
+        real[self.starts[1:] - 1] = False
+        answer = self.rows[:-1] @ net.first + self.rows[1:] @ net.second + net.bias
+        self.active = (answer > 0) & real[:, None]
+        self.answer = np.where(self.active, answer, 0)
+        self.piece = np.repeat(np.arange(len(group)), sizes)[:-1]
+
+
 def _gradients(net: Network, batch: list[tuple], labels: np.ndarray, weights: np.ndarray) -> list[np.ndarray]:
-    sizes = np.array([len(codes) for codes, _ in batch])
-    codes = np.concatenate([c for c, _ in batch])
-    repeats = np.concatenate([r for _, r in batch])
-    rows = net.halves(codes, repeats)
-    # Chunks that would join two texts get no part.
-    starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-    real = np.ones(len(codes) - 1, bool)
-    real[starts[1:] - 1] = False
-    answer = rows[:-1] @ net.first + rows[1:] @ net.second + net.bias
-    active = (answer > 0) & real[:, None]
-    answer = np.where(active, answer, 0)
-    owner = np.repeat(np.arange(len(batch)), sizes)[:-1]
-    top = np.maximum.reduceat(answer, starts, axis=0)
-    counts = (sizes - 1)[:, None].astype(np.float32)
-    mean = np.add.reduceat(answer, starts, axis=0) / counts
-    pooled = np.concatenate((top, mean), axis=1)
+    counts = np.array([len(codes) - 1 for codes, _ in batch], np.float32)[:, None]
+    shape, kind = (len(batch), FILTERS), net.first.dtype
+    top, total = np.full(shape, -1, kind), np.zeros(shape, kind)
+    winner = np.zeros((len(batch), FILTERS), np.int64)
+    groups, number, kept = list(_cut(batch)), 0, None
+    for group in groups:
+        kept = _Forward(net, group)
+        tops = np.maximum.reduceat(kept.answer, kept.starts, axis=0)
+        np.add.at(total, kept.texts, np.add.reduceat(kept.answer, kept.starts, axis=0))
+        for text, best in zip(kept.texts, tops, strict=True):  # the first piece that has the maximum
+            better = best > top[text]
+            top[text, better], winner[text, better] = best[better], number
+            number += 1
+    pooled = np.concatenate((top, total / counts), axis=1)
     inner = np.maximum(pooled @ net.hidden + net.hidden_bias, 0)
     score = 1 / (1 + np.exp(-(inner @ net.out + net.out_bias)))
     d_logit = ((score - labels) * weights / weights.sum()).astype(np.float32)
     d_inner = np.outer(d_logit, net.out) * (inner > 0)
     d_pooled = d_inner @ net.hidden.T
-    d_answer = np.where(active, (d_pooled[:, FILTERS:] / counts)[owner], 0)
-    # The first chunk that has the maximum takes its gradient.
-    is_top = (answer == top[owner]) & active
-    at, column = np.nonzero(is_top)
-    _, first = np.unique(owner[at] * FILTERS + column, return_index=True)
-    d_answer[at[first], column[first]] += d_pooled[owner[at[first]], column[first]]
-    d_rows = np.zeros_like(rows)
+    sums, number = None, 0
+    for group in groups:
+        seen = kept if len(groups) == 1 else _Forward(net, group)
+        owner = seen.texts[seen.piece]
+        d_answer = np.where(seen.active, (d_pooled[:, FILTERS:] / counts)[owner], 0)
+        # The first chunk that has the maximum takes its gradient.
+        is_top = (seen.answer == top[owner]) & seen.active & (winner[owner] == (number + seen.piece)[:, None])
+        at, column = np.nonzero(is_top)
+        _, first = np.unique(owner[at] * FILTERS + column, return_index=True)
+        d_answer[at[first], column[first]] += d_pooled[owner[at[first]], column[first]]
+        parts = _of_filters(net, seen, d_answer)
+        sums = parts if sums is None else [a + b for a, b in zip(sums, parts, strict=True)]
+        number += len(group)
+    return [
+        *sums, pooled.T @ d_inner, d_inner.sum(axis=0), inner.T @ d_logit, d_logit.sum(keepdims=True),
+    ]
+
+
+def _of_filters(net: Network, seen: _Forward, d_answer: np.ndarray) -> list[np.ndarray]:
+    d_rows = np.zeros_like(seen.rows)
     d_rows[:-1] += d_answer @ net.first.T
     d_rows[1:] += d_answer @ net.second.T
     by_byte = d_rows[:, :-1].reshape(-1, WIDTH)
-    flat = codes.reshape(-1)
+    flat = seen.codes.reshape(-1)
     d_embed = np.stack([np.bincount(flat, by_byte[:, i], 256) for i in range(WIDTH)], axis=1)
-    return [
-        d_embed.astype(np.float32), rows[:-1].T @ d_answer, rows[1:].T @ d_answer, d_answer.sum(axis=0),
-        pooled.T @ d_inner, d_inner.sum(axis=0), inner.T @ d_logit, d_logit.sum(keepdims=True),
-    ]
+    return [d_embed.astype(np.float32), seen.rows[:-1].T @ d_answer, seen.rows[1:].T @ d_answer, d_answer.sum(axis=0)]
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str) -> Network | float:
@@ -178,11 +232,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     rows, counts = shares(labels, label, key)
     if len(counts) < 2:
         return float(next(iter(counts), 0.5))
-    start = F.greatest(F.lit(1), F.floor((F.octet_length(text) - FIT_BYTES) / 2).cast("int"))
-    middle = F.substring(F.encode(text, "UTF-8"), start, F.lit(FIT_BYTES))
     texts, classes = [], []
     for value in (0, 1):
-        found = sampled(docs, rows, value, ROWS_PER_CLASS, key=key, content=middle).collect()
+        found = sampled(docs, rows, value, ROWS_PER_CLASS, key=key, content=F.col(text).cast("binary")).collect()
         texts += [bytes(r["content"]) for r in found]
         classes += [value] * len(found)
     if len(set(classes)) < 2:

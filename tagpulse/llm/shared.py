@@ -48,6 +48,17 @@ def _remove(spark: SparkSession, path: str) -> None:
         folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def free_names(columns: list[str], *names: str) -> list[str]:
+    """The names, or ones like them that no column has, whatever its case."""
+    taken, out = {column.lower() for column in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def small(spark: SparkSession, rows: list[tuple], names: str) -> DataFrame:
     """A few given rows as a table whose size the planner knows."""
     fields = names.split()

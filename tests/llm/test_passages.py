@@ -244,3 +244,43 @@ def test_changed_word_near_an_end(spark):
 
 def test_empty(spark, documents):
     assert queries.QUERIES["op3_substring_dedup"](spark, documents([])).collect() == []
+
+
+@pytest.mark.parametrize("gap", [0, 5, 20])
+def test_a_source_that_holds_a_passage_twice(spark, documents, gap):
+    rng = random.Random(gap)
+    text = lambda n: " ".join(f"v{rng.randrange(10**6)}" for _ in range(n))
+    x, y, z = text(60), text(60), text(30)
+    rows = [(1, " ".join([x, z, x, y])), (2, " ".join([y, text(gap), x])), (3, " ".join([text(80), x]))]
+    got = queries.QUERIES["op3_substring_dedup"](spark, documents(rows)).collect()
+    assert covered(got) == {2: set(range(60)) | set(range(60 + gap, 120 + gap)), 3: set(range(80, 140))}
+
+
+def test_exact_runs_wherever_shingles_repeat():
+    rng = random.Random(8)
+    for _ in range(60):
+        vocabulary = [f"w{i}" for i in range(rng.choice([3, 40, 4000]))]
+        said = [[rng.choice(vocabulary) for _ in range(rng.choice([50, 70]))] for _ in range(3)]
+        theirs = [w for _ in range(4) for w in (*rng.choice(said), *rng.choices(vocabulary, k=rng.randint(0, 8)))]
+        mine = [w for _ in range(3) for w in (*rng.choice(said), *rng.choices(vocabulary, k=rng.randint(0, 8)))]
+        held = {tuple(theirs[i : i + 50]) for i in range(len(theirs) - 49)}
+        blocks = [
+            {"source": 1, "block": b, "words": " ".join(theirs[b * passages.BLOCK : (b + 1) * passages.BLOCK])}
+            for b in range(-(-len(theirs) // passages.BLOCK))
+        ]
+        found = passages.copied_in(" ".join(mine).encode(), blocks, passages._Hashes().__getitem__)
+        hit = {k for s in found for k in range(s["first"], s["last"] + 1)}
+        for i in range(len(mine) - 49):
+            if tuple(mine[i : i + 50]) in held:
+                assert set(range(i, i + 50)) <= hit
+
+
+def test_columns_of_any_name_stay(spark):
+    shared = " ".join(f"w{i}" for i in range(60))
+    names = ["__blocks", "__src", "__wanted", "__doc", "__cut", "__copied", "src", "block", "doc"]
+    frame = spark.createDataFrame([(1, shared), (2, f"{shared} more of it")], "doc_id bigint, text string")
+    for name in names:
+        frame = frame.withColumn(name, frame["doc_id"])
+    left = passages.remove(frame)
+    assert left.columns == frame.columns
+    assert sorted((r["doc_id"], r["text"], r["__cut"]) for r in left.collect()) == [(1, shared, 1), (2, "more of it", 2)]

@@ -110,3 +110,19 @@ def test_odd_and_empty_documents(spark, documents):
         got = sorted((str(r["doc_id"]), r["n_tokens"]) for r in corpus_pipeline.run(spark, where).collect())
         expected = [("1", 0), ("3", None), ("6", None), ("None", None)] if given else []
         assert [i for i, _ in got] == [i for i, _ in expected]
+
+
+def test_versions_of_one_id_stay(spark):
+    rows = [(1, None, "a"), (1, "one text of five words", "b"), (1, "another text of six words here", "c"), (2, None, "d"), (1, "one text of five words", "e")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, row string")
+    left = STAGES["near_duplicates"](spark, docs, "")
+    assert left.columns == docs.columns
+    kept = sorted((r["doc_id"], r["text"]) for r in left.collect() if r["doc_id"] == 1)
+    assert kept == [(1, "another text of six words here"), (1, "one text of five words")]
+
+
+def test_documents_without_counts(spark):
+    shared = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, shared), (2, shared + " more of it")], "doc_id bigint, text string")
+    left = STAGES["copied_passages"](spark, docs, "")
+    assert left.columns == docs.columns and rows_of(left) == {1: shared, 2: "more of it"}

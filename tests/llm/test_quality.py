@@ -82,3 +82,31 @@ def test_odd_rows(spark, documents, tables):
         same = [r["score"] for r in got if r["doc_id"] == 3]
         assert same[0] == same[1]
     assert queries.QUERIES["op7_quality"](spark, documents([], labels=(some, LABELS))).collect() == []
+
+
+def test_gradients_do_not_depend_on_pieces(monkeypatch):
+    rng = random.Random(4)
+    net = quality.Network.fresh(np.random.default_rng(3))
+    batch = [quality.features(bytes(rng.choices(range(32, 60), k=n))) for n in (1, 900, 40, 2500, 16)]
+    labels, weights = np.array([0, 1, 0, 1, 1], np.float32), np.array([1, 2, 1, 1, 3], np.float32)
+    whole = quality._gradients(net, batch, labels, weights)
+    for rows in (1, 7, 64):
+        monkeypatch.setattr(quality, "GROUP_ROWS", rows)
+        assert len(list(quality._cut(batch))) > 1
+        for a, b in zip(whole, quality._gradients(net, batch, labels, weights), strict=True):
+            assert np.allclose(a, b, rtol=1e-3, atol=1e-5)
+
+
+def test_what_stands_at_the_start_of_long_texts_is_learned():
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 9))) for _ in range(500)]
+
+    def text(good):
+        junk = "" if good else "".join(rng.choices("#$%&*@!~", k=400))
+        return f"{junk} {' '.join(rng.choices(words, k=2700))}".encode()
+
+    labels = np.array([i % 2 for i in range(240)], np.float32)
+    texts = [text(label) for label in labels]
+    net = quality.train(texts[:160], labels[:160], np.ones(160, np.float32), steps=120)
+    right = [(net.score(t) >= 0.5) == bool(label) for t, label in zip(texts[160:], labels[160:], strict=True)]
+    assert sum(right) / len(right) > 0.95
