@@ -2,7 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a table; all but the last keep the columns
 of ``documents``. What a stage returns is written as Parquet and read again as the next
-stage's documents. Rows without a doc_id pass the deduplicating stages as they are.
+stage's documents. Rows without a doc_id pass the deduplicating stages as they are; null texts
+are scored as blanks, have no passages, and encode to no ids. Documents need doc_id and text;
+other columns stay, and ``n_chars``, where there is one, follows the text.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from pyspark.sql.window import Window
 
 from tagpulse.llm import bpe, decontaminate, passages, quality, simhash
 from tagpulse.llm.queries import QUALITY_THRESHOLD, learnable
-from tagpulse.llm.shared import settle, table
+from tagpulse.llm.shared import free_names, settle, table
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,16 +26,27 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of near-duplicates. Rows that share an
-    id are one document: the one with the smallest text stays."""
+    """The document of the smallest id of each group of near-duplicates. Rows that share an id
+    are versions of one document: of those with equal texts one stays, different texts all
+    stay, and a null text goes where there is another."""
     found = simhash.near_duplicates(docs.select("doc_id", "text"))
     heads = found.where("doc_id = component_id").select("doc_id").distinct()
-    one = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    kept = docs.join(heads, "doc_id", "left_semi").withColumn("__row", one).where("__row = 1").drop("__row")
+    columns = docs.columns
+    row, texts = free_names(columns, "row", "texts")
+    # By digest, so that hot ids and long texts meet in no task.
+    digest = F.sha2(F.col("text"), 256)
+    one = F.row_number().over(Window.partitionBy("doc_id", digest).orderBy("doc_id"))
+    some = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id").distinct()
+    single = docs.join(heads, "doc_id", "left_semi").withColumn(row, one).where(F.col(row) == 1).drop(row)
+    marked = single.join(some.withColumn(texts, F.lit(True)), "doc_id", "left")
+    kept = marked.where(F.col("text").isNotNull() | F.col(texts).isNull()).select(*columns)
     return kept.unionByName(docs.where("doc_id IS NULL"))
 
 
 def _recounted(docs: DataFrame) -> DataFrame:
+    """Where texts are counted, counted again."""
+    if "n_chars" not in docs.columns:
+        return docs
     return docs.withColumn("n_chars", F.coalesce(F.char_length("text").cast("bigint"), "n_chars"))
 
 
@@ -52,8 +65,8 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each text, their number, and digests of ids and of the bytes they decode to."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     vocabulary = bpe.load(path, public_tokenizers.PATTERN)
-    encoded = docs.select("doc_id", bpe.encode(F.col("text"), vocabulary).alias("ids"))
-    return encoded.withColumn("decoded", bpe.decode(F.col("ids"), vocabulary)).select(
+    both = bpe.encode_and_decode(F.col("text"), vocabulary).alias("both")
+    return docs.select("doc_id", both).select("doc_id", "both.*").select(
         "doc_id",
         "ids",
         F.size("ids").cast("long").alias("n_tokens"),
