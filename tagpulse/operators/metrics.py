@@ -142,14 +142,18 @@ def deduplicated(questions: DataFrame, window: str = WINDOW, delay: str = WATERM
     to that many more rows of state per question. The salt is drawn row by row from a fixed
     seed, so that a task run again salts alike.
     """
-    seconds = sum(_seconds(text) for text in (window, delay))
-    rows = questions.withWatermark("event_time", f"{seconds} seconds")
+    rows = questions.withWatermark("event_time", delay_of(window, delay))
     if salts > 1:
         salted = rows.withColumn("__salt", F.floor(F.rand(seed=1) * salts))
         rows = salted.dropDuplicatesWithinWatermark(["question_id", "__salt"]).drop("__salt")
     return rows.dropDuplicatesWithinWatermark(["question_id"])
 
 
+def delay_of(window: str, delay: str) -> str:
+    """The watermark that admits rows of every window that is still open."""
+    return f"{_seconds(window) + _seconds(delay)} seconds"
+
+
 def _seconds(interval: str) -> int:
     number, unit = interval.split()
     return int(number) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]

@@ -741,3 +741,30 @@ def calendar_refresh_changes(spark, sf_dir):
         store.write_questions(messages, batch_id)
         refresh_changed_periods(store)
     return _rounded(store.current_metrics().drop("written"))
+
+
+@_query
+def stream_newest_metrics(spark, sf_dir):
+    """Hourly metrics of a job that is stopped and started half-way, where every third question
+    is sent with another tag, another score and no answers as well, as an older version."""
+    root = run_folder(spark, "newest")
+    questions = tables.event_questions(_events(spark, sf_dir))
+    first = questions.filter("question_id % 3 = 0").withColumns(
+        {"tags": F.array(F.lit("old"), F.col("tags")[1]), "answers": F.slice("answers", 1, 0), "score": F.col("score") + 100}
+    )
+    slices = F.expr(_OWN_SLICE)
+    sent = [
+        to_messages(part.withColumn("slice", slices), carry=["slice"]).select(
+            F.col("value").cast("binary").alias("value"), tables.version(number).alias("version"), "slice"
+        )
+        for number, part in (("0", first), ("1", questions))
+    ]
+    messages = sent[0].unionByName(sent[1])
+    store = Store(spark, f"{root}/tables", cell_view=False)
+
+    def run():
+        stream = _stream(spark, f"{root}/in", messages)
+        jobs.start_newest_metrics(stream, store, f"{root}/checkpoints", ONCE).awaitTermination()
+
+    _halves(messages, f"{root}/in", run)
+    return _rounded(store.current_metrics().drop("written"))

@@ -425,6 +425,7 @@ SELECT p_name AS title, min(p_partkey) AS question_id FROM part
 WHERE starts_with(lower(p_name), 'sm') GROUP BY p_name ORDER BY title LIMIT 5""",
     "stream_hourly_metrics": _HOURLY,
     "stream_deduplicated_metrics": _HOURLY,
+    "stream_newest_metrics": _HOURLY,
     "stream_late_rows": f"""
 WITH e AS (
   SELECT unnest([event_type, 'user-' || user_id]) AS tag, date_trunc('hour', ts) AS hour, date_trunc('second', ts) AS moment,

@@ -154,6 +154,9 @@ METRIC_PARTS = T.StructType(
     ]
 )
 
+# Parts that batches of changes are added to, with what they were before the last one.
+HOURLY_PARTS = T.StructType([*METRIC_PARTS.fields, T.StructField("before", T.StructType(METRIC_PARTS.fields[3:]))])
+
 CHANGED_PERIODS = T.StructType([METRICS["tag"], METRICS["period_start"]])
 
 # The last batch of questions that a run of the calendar refresh has seen.

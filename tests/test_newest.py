@@ -1,0 +1,95 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from test_stream import ONCE, Feed, at, question
+
+from tagpulse.operators.latest import latest_version
+from tagpulse.operators.metrics import finish, hourly_parts
+from tagpulse.operators.questions import with_answer_columns
+from tagpulse.schemas import METRIC_QUESTION
+from tagpulse.sources.decode import decode_questions
+from tagpulse.sources.messages import replayed_messages
+from tagpulse.streaming import jobs
+from tagpulse.streaming.store import Store
+
+
+@pytest.fixture
+def feed(spark, tmp_path):
+    return Feed(spark, tmp_path)
+
+
+def store_of(feed):
+    return Store(feed.spark, f"{feed.root}/tables", cell_view=False, buckets=2)
+
+
+def rounded(frame):
+    columns = [F.round(c, 9).alias(c) if t == "double" else F.col(c) for c, t in sorted(frame.dtypes)]
+    return sorted(str(tuple(row)) for row in frame.select(*columns).collect())
+
+
+def answers(*scores):
+    return [{"answer_id": n, "score": s, "is_accepted": s > 5} for n, s in enumerate(scores)]
+
+
+def of_newest_versions(spark, feed):
+    """The same in one batch: the newest version of each question."""
+    sent = decode_questions(replayed_messages(spark, str(feed.folder)), "version", schema=METRIC_QUESTION)
+    newest = latest_version(sent, ["question_id"], ["version"]).drop("version")
+    return finish(hourly_parts(with_answer_columns(newest).filter("event_time IS NOT NULL")))
+
+
+def test_hourly_rows_are_those_of_the_newest_versions(spark, feed):
+    rng, known = random.Random(5), {}
+    store = store_of(feed)
+    for batch in range(4):
+        for i in rng.sample(range(30), 18):
+            created = known.setdefault(i, at(3, 0) + rng.randrange(3600))
+            known[i] = created
+            tags = rng.choice([["a"], ["a", "b"], ["c"], []])
+            known[i, "last"] = question(i, created, tags, answers(*[rng.randrange(9) for _ in range(rng.randint(0, 3))]))
+        feed.send(*[known[key] for key in list(known) if isinstance(key, tuple)][: 10 + batch * 5])
+        if batch in (1, 3):  # stopped and started again half-way
+            feed.run(jobs.start_newest_metrics, store)
+    assert rounded(store.current_metrics().drop("written")) == rounded(of_newest_versions(spark, feed))
+
+
+def test_later_answers_count_and_older_versions_do_not(feed):
+    store = store_of(feed)
+    feed.send(question(1, at(1, 0), ["a"]), {**question(2, at(1, 1), ["a"], answers(1)), "score": None})
+    feed.send(question(1, at(1, 0), ["a"], answers(7)))
+    feed.run(jobs.start_newest_metrics, store)
+    (row,) = store.current_metrics().collect()
+    assert (row.total_questions, row.unanswered_percent, row.accepted_percent) == (2, 0.0, 50.0)
+    assert row.avg_question_score == 1.0  # of the one that has a score
+    feed.send(question(1, at(1, 0), ["b"], answers(7)))
+    feed.run(jobs.start_newest_metrics, store)
+    assert {r.tag: (r.total_questions, r.accepted_percent) for r in store.current_metrics().collect()} == {"a": (1, 0.0), "b": (1, 100.0)}
+
+
+def test_state_ends_with_the_watermark(feed):
+    store = store_of(feed)
+    feed.send(*[question(i, at(1, i)) for i in range(20)])
+    feed.send(question(100, at(9, 0)))
+    feed.send(question(101, at(9, 1)))
+    feed.send(question(3, at(1, 3), ["late"]))
+    query = feed.run(jobs.start_newest_metrics, store)
+    rows = [p["stateOperators"][0] for p in query.recentProgress if p["stateOperators"]]
+    # two questions, each with its timer
+    assert max(r["numRowsTotal"] for r in rows) >= 20 and rows[-1]["numRowsTotal"] < 20
+    assert {r.tag: r.total_questions for r in store.current_metrics().groupBy("tag").agg(F.sum("total_questions").alias("total_questions")).collect()} == {"a": 22}
+
+
+def test_a_replayed_batch_adds_once(spark, feed):
+    store = store_of(feed)
+    schema = "sign int, created long, tags array<string>, is_unanswered int, has_accepted_answer int, score int, avg_answer_score double, answer_count int, answer_score_sum long"
+    plus = spark.createDataFrame([(1, at(1, 0), ["a"], 1, 0, 5, 0.0, 0, 0), (1, at(1, 1), ["a"], 0, 1, None, 4.0, 2, 8)], schema)
+    change = spark.createDataFrame([(-1, at(1, 0), ["a"], 1, 0, 5, 0.0, 0, 0), (1, at(1, 0), ["a"], 0, 0, 6, 2.0, 1, 2)], schema)
+    for batch_id, batch in ((0, plus), (0, plus), (1, change), (1, change)):
+        store.write_changes(batch, batch_id)
+    (row,) = store.hourly_parts.latest().collect()
+    assert (row.total_questions, row.unanswered, row.accepted, row.score_sum, row.score_count) == (2, 0, 1, 6, 1)
+    assert (row.answer_mean_sum, row.answer_count, row.answer_score_sum) == (6.0, 3, 10)
+    assert store.current_metrics().count() == 1
