@@ -1,25 +1,30 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Terms are words and their beginnings of ``PREFIXES`` characters. Those count that stand in
-toxic examples ``LIFT`` times as often as in others, and more often than chance allows for so
-many terms (likelihood ratio). Of examples of one label that are likely copies (their
-smallest word shingle hash is the same) one counts, as chance means independent texts.
-Examples are normalised TF-IDF vectors over these terms, in an inverted index: examples with like
-terms lie together in blocks, and each term knows the largest weight it has in each block. A
-text's terms bound from above the cosine it can have with any example of a block; blocks are
-taken by falling bound until the ``NEAREST`` examples found are as near as the next block can
-be. So the neighbours are exact, and most blocks are never looked at.
-
-Neighbours vote with weights that fall with distance and that give the classes the shares
-they have among all labelled rows, so that scores are probabilities; the neighbours are the
-evidence. A text without any term (null and empty ones too) gets the share of label 1 among
-examples without terms.
+Vectors hold every word that an example has, weighted by ``(1 + ln tf) idf``; idf comes from
+the number of documents of the whole table that hold the word. Terms that tell of label 1
+weigh ``STRESS`` times as much: words, and beginnings of words of ``PREFIXES`` characters, that
+stand in toxic examples ``LIFT`` times as often as in others, and more often than chance allows
+for so many terms (likelihood ratio; of likely copies, whose smallest word shingle hash is the
+same, one counts in that test, as chance means independent texts). Nothing else is left out:
+every sampled row is an example, and an exact copy of one has it at cosine 1.
+
+The inverted index is block-max: examples with like terms lie together in blocks, and each
+term knows the blocks it stands in and its largest weight in each. A text's terms bound from
+above the cosine it can have with any example of a block; blocks are taken by falling bound
+until the ``NEAREST`` examples found are nearer than the next block can be. So the neighbours
+are exact, and most blocks need not be looked at.
+
+Neighbours vote with weights that fall with the square of distance and that give the classes
+the shares they have among all labelled rows, so that scores are probabilities; the neighbours
+are the evidence. Words that no example has add nothing to a text's vector; a text without any
+other (null and empty ones too) gets the share of label 1 among examples without words.
 
 Fitting takes at most ``ROWS_PER_CLASS`` labelled rows of each class, those whose keys have
-the smallest hashes; scoring reads whole texts of all documents. Null labels and keys are
-left out, repeated rows count as rows. With one class only, or none, the score is the share
-of label 1 (0.5 without labels). Examples equally near are taken in index order. Extra
-columns stay untouched.
+the smallest hashes, with their whole texts; the words of those rows and their counts go
+through the driver. Document counts and scoring read whole texts of all documents. Null labels
+and keys are left out, repeated rows count as rows. With one class only, or none, the score is
+the share of label 1 (0.5 without labels). Examples equally near are taken in index order.
+Extra columns stay untouched.
 """
 
 from __future__ import annotations
@@ -45,6 +50,10 @@ PREFIXES = (4, 5, 6)
 ROWS_PER_CLASS = 3000
 NEAREST = 15
 BLOCK = 32
+#: What a telling term weighs against another of the same idf.
+STRESS = 20
+#: Added to a neighbour's distance before its vote is 1 / distance squared.
+CLOSE = 0.02
 #: Weight of the overall share of label 1 against one neighbour at distance one.
 SMOOTHING = 0.1
 #: Least number of examples of label 1 that a term must stand in.
@@ -61,84 +70,125 @@ def terms_of(word: bytes) -> list[str]:
 
 
 class _Terms(dict):
-    """The numbers of the chosen terms that a word has."""
+    """The numbers of the vocabulary's terms that a word has."""
 
-    def __init__(self, chosen: dict[str, int]):
-        self.chosen = chosen
+    def __init__(self, vocabulary: dict[str, int]):
+        self.vocabulary = vocabulary
 
     def __missing__(self, word: bytes) -> tuple[int, ...]:
         if len(self) > MEMO:
             self.clear()
-        found = tuple(self.chosen[t] for t in terms_of(word) if t in self.chosen)
+        found = tuple(self.vocabulary[t] for t in terms_of(word) if t in self.vocabulary)
         self[word] = found
         return found
 
 
+def count_terms(text: bytes, terms: _Terms) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of a text's terms, rising, and how often each occurs."""
+    tf: dict[int, int] = {}
+    for word, n in Counter(words(text)).items():
+        for term in terms[word]:
+            tf[term] = tf.get(term, 0) + n
+    found = np.fromiter(tf, np.int64, len(tf))
+    order = np.argsort(found)
+    return found[order], np.fromiter(tf.values(), np.float64, len(tf))[order]
+
+
+def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All positions of the ranges one after another, and the length of each range."""
+    sizes = ends - starts
+    before = np.cumsum(sizes) - sizes
+    return np.arange(sizes.sum()) + np.repeat(starts - before, sizes), sizes
+
+
 @dataclass
 class Example:
     key: int
     label: int
-    vector: dict[int, float]
+    terms: np.ndarray
+    weights: np.ndarray
 
 
 class Index:
-    """Inverted lists in blocks of examples, with the maximum of each list in each block."""
+    """Inverted lists of blocks of examples with the largest weight in each; the weights of
+    the examples themselves lie block by block."""
 
-    def __init__(self, examples: list[Example]):
+    def __init__(self, examples: list[Example], terms: int):
         # Examples whose heaviest terms are the same lie side by side.
         self.examples = sorted(
-            examples, key=lambda e: (sorted(e.vector, key=lambda t: (-e.vector[t], t)), e.key, e.label)
+            examples, key=lambda e: (e.terms[np.lexsort((e.terms, -e.weights))[:8]].tolist(), e.key, e.label)
         )
+        self.terms = terms
         self.blocks = -(-len(examples) // BLOCK)
-        lists: dict[int, list[tuple[int, float]]] = {}
-        for at, example in enumerate(self.examples):
-            for term, weight in example.vector.items():
-                lists.setdefault(term, []).append((at, weight))
-        self.lists = {}
-        for term, entries in lists.items():
-            at = np.array([a for a, _ in entries])
-            weights = np.array([w for _, w in entries])
-            starts = np.flatnonzero(np.diff(at // BLOCK, prepend=-1))
-            ends = np.append(starts[1:], len(at))
-            where = {int(b): (int(i), int(j)) for b, i, j in zip(at[starts] // BLOCK, starts, ends, strict=True)}
-            self.lists[term] = (at % BLOCK, weights, where, at[starts] // BLOCK, np.maximum.reduceat(weights, starts))
-
-    def nearest(self, vector: dict[int, float], k: int) -> list[tuple[float, int]]:
+        sizes = [len(e.terms) for e in self.examples]
+        self.term = np.concatenate([e.terms for e in self.examples] or [np.zeros(0, np.int64)]).astype(np.int32)
+        self.weight = np.concatenate([e.weights for e in self.examples] or [np.zeros(0)])
+        self.row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        self.start = np.searchsorted(self.row, np.arange(self.blocks + 1) * BLOCK)
+        order = np.lexsort((self.row, self.term))
+        term, block, weight = self.term[order], self.row[order] // BLOCK, self.weight[order]
+        new = np.flatnonzero((np.diff(term, prepend=-1) != 0) | (np.diff(block, prepend=-1) != 0))
+        self.in_block = block[new]
+        self.largest = np.maximum.reduceat(weight, new) if len(new) else weight
+        self.lists = np.searchsorted(term[new], np.arange(terms + 1))
+        for example in self.examples:  # held above
+            example.terms = example.weights = None
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
         """The ``k`` largest cosines over zero and the examples that have them."""
-        lists = [(w, *self.lists[t]) for t, w in sorted(vector.items()) if t in self.lists]
-        bounds = np.zeros(self.blocks)
-        for weight, *_, blocks, largest in lists:
-            bounds[blocks] += weight * largest
-        best: list[tuple[float, int]] = []
-        for block in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[block] <= (best[k - 1][0] if len(best) >= k else 0):
+        at, sizes = _ranges(self.lists[terms], self.lists[terms + 1])
+        bounds = np.bincount(
+            self.in_block[at], weights=self.largest[at] * np.repeat(weights, sizes), minlength=self.blocks
+        ) * (1 + 1e-9)
+        query = np.zeros(self.terms)
+        query[terms] = weights
+        order = np.argsort(-bounds, kind="stable")
+        best, which, done, step = np.zeros(0), np.zeros(0, np.int64), 0, 4
+        while done < len(order):
+            least = best[k - 1] if len(best) >= k else 0.0
+            blocks = order[done : done + step]
+            blocks = blocks[bounds[blocks] > least]
+            if not len(blocks):
                 break
-            cosines = np.zeros(BLOCK)
-            for weight, at, weights, where, *_ in lists:
-                if (part := where.get(block)) is not None:
-                    i, j = part
-                    cosines[at[i:j]] += weight * weights[i:j]
-            found = np.flatnonzero(cosines)
-            best += zip(cosines[found].tolist(), (found + block * BLOCK).tolist(), strict=True)
-            best = sorted(best, key=lambda p: (-p[0], p[1]))[:k]
-        return best
+            cosines, rows = self._cosines(blocks, query)
+            best, which = np.concatenate((best, cosines)), np.concatenate((which, rows))
+            first = np.lexsort((which, -best))[:k]
+            best, which = best[first], which[first]
+            done, step = done + step, step * 2
+        return list(zip(best.tolist(), which.tolist(), strict=True))
+
+    def _cosines(self, blocks: np.ndarray, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The cosines over zero of the examples of some blocks."""
+        at, sizes = _ranges(self.start[blocks], self.start[blocks + 1])
+        local = self.row[at] - np.repeat((blocks - np.arange(len(blocks))) * BLOCK, sizes)
+        cosines = np.bincount(local, weights=query[self.term[at]] * self.weight[at], minlength=len(blocks) * BLOCK)
+        found = np.flatnonzero(cosines)
+        return cosines[found], blocks[found // BLOCK] * BLOCK + found % BLOCK
 
 
 class Model:
-    def __init__(self, chosen: dict[str, int], idf: list[float], examples: list[tuple[int, int, Counter]], counts: dict[int, int]):
-        self.chosen, self.idf = chosen, idf
-        held = Counter(label for _, label, _ in examples)
+    def __init__(
+        self,
+        vocabulary: dict[str, int],
+        weights: np.ndarray,
+        examples: list[tuple[int, int, np.ndarray, np.ndarray]],
+        counts: dict[int, int],
+    ):
+        self.vocabulary, self.weights = vocabulary, weights
+        held = Counter(label for _, label, *_ in examples)
         #: What one example of a class stands for.
         self.stands_for = {c: counts[c] / sum(counts.values()) / held[c] * len(examples) for c in held}
         self.share = counts[1] / sum(counts.values())
-        self.index = Index([Example(key, label, self.vector(tf)) for key, label, tf in examples if tf])
-        empty = [label for _, label, tf in examples if not tf]
+        self.index = Index(
+            [Example(key, label, found, self.vector(found, tf)) for key, label, found, tf in examples if len(found)],
+            len(weights),
+        )
+        empty = [label for _, label, found, _ in examples if not len(found)]
         self.without_terms = self._voted([(1.0, label) for label in empty])
 
-    def vector(self, tf: Counter) -> dict[int, float]:
-        raw = {t: (1 + math.log(n)) * self.idf[t] for t, n in sorted(tf.items())}
-        norm = math.sqrt(sum(w * w for w in raw.values()))
-        return {t: w / norm for t, w in raw.items()}
+    def vector(self, terms: np.ndarray, tf: np.ndarray) -> np.ndarray:
+        raw = (1 + np.log(tf)) * self.weights[terms]
+        return raw / math.sqrt(float((raw * raw).sum()))
 
     def _voted(self, votes: list[tuple[float, int]]) -> float:
         total, ones = SMOOTHING, SMOOTHING * self.share
@@ -148,20 +198,13 @@ class Model:
             ones += weight * label
         return ones / total
 
-    def judge(self, tf: Counter) -> tuple[float, list[tuple[Example, float]]]:
+    def judge(self, terms: np.ndarray, tf: np.ndarray) -> tuple[float, list[tuple[Example, float]]]:
         """The score, and the nearest examples with their cosines."""
-        near = self.index.nearest(self.vector(tf), NEAREST) if tf else []
+        near = self.index.nearest(terms, self.vector(terms, tf), NEAREST) if len(terms) else []
         if not near:
             return self.without_terms, []
         found = [(self.index.examples[at], min(cosine, 1.0)) for cosine, at in near]
-        return self._voted([(1 / (1.05 - cosine), e.label) for e, cosine in found]), found
-
-
-def count_terms(text: bytes, terms: _Terms) -> Counter:
-    tf: Counter = Counter()
-    for found in filter(None, map(terms.__getitem__, words(text))):
-        tf.update(found)
-    return tf
+        return self._voted([(1 / (1 + CLOSE - cosine) ** 2, e.label) for e, cosine in found]), found
 
 
 def _sketches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -195,6 +238,21 @@ def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows()
 
 
+def _documents_with(vocabulary: dict[str, int]):
+    """In how many texts each term of the vocabulary stands, by number, summed over a task."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms = _Terms(vocabulary)
+        counts = np.zeros(len(vocabulary), np.int64)
+        for batch in batches:
+            for text in batch.column(0).cast(pa.binary()):
+                counts[list({t for word in set(words(text.as_py())) for t in terms[word]})] += 1
+        found = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], names=["number", "n"])
+
+    return counted
+
+
 def _likelihood_ratio(a: Column, n1: float, b: Column, n0: float) -> Column:
     """2 * sum(observed * ln(observed / expected)) of a term's presence in two classes."""
 
@@ -214,35 +272,55 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
         return float(next(iter(counts), 0.5))
     zero, one = (sampled(docs, rows, v, ROWS_PER_CLASS, key=key, content=F.col(text)) for v in (0, 1))
     sketch = F.arrow_udf(_sketches, "bigint")
-    copies = Window.partitionBy("label", "sketch").orderBy("key", "content")
-    sample = zero.union(one).withColumn("sketch", sketch("content")).withColumn("copy", F.row_number().over(copies))
-    sample = settle(sample.where("copy = 1").select("key", "label", "content"), "examples")
-    held = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    copies = Window.partitionBy("label", "sketch").orderBy("key", "hash")
+    sample = settle(zero.union(one).withColumn("sketch", sketch("content")), "examples")
+    sample = sample.withColumn("hash", F.xxhash64("content"))
+    single = sample.select("label", "sketch", "key", "hash").withColumn("copy", F.row_number().over(copies))
+    single = single.where("copy = 1").select("label", "key", "hash").distinct()
+    held = {r["label"]: r["n"] for r in single.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(held) < 2:
         return counts[1] / sum(counts.values())
     n0, n1 = held[0], held[1]
-    present = sample.select("label", "content").mapInArrow(_presence, "term string, n0 bigint, n1 bigint")
+    once = sample.join(single, ["label", "key", "hash"], "left_semi").select("label", "content")
+    present = once.mapInArrow(_presence, "term string, n0 bigint, n1 bigint")
     present = present.groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     present = settle(present, "terms")
     tested = present.count()
     ratio = _likelihood_ratio(F.col("n1"), n1, F.col("n0"), n0)
     # Below this ratio some of so many terms would stand out by chance.
     often = (F.col("n1") >= SUPPORT) & (F.col("n1") * n0 > LIFT * F.col("n0") * n1)
-    marked = present.where(often & (ratio > 2 * math.log(max(tested, 2))))
-    terms = marked.orderBy("term").collect()
-    chosen = {r["term"]: i for i, r in enumerate(terms)}
-    idf = [math.log((n0 + n1 + 1) / (r["n0"] + r["n1"] + 0.5)) for r in terms]
-
-    @F.arrow_udf("array<int>")
+    telling = often & (ratio > 2 * math.log(max(tested, 2)))
+    # Bounded by the sampled rows: their words, and of the beginnings those that tell.
+    marked = present.select("term", telling.alias("telling")).where("telling OR term NOT LIKE '%*'")
+    terms = marked.orderBy("term").toArrow()
+    vocabulary = {term: i for i, term in enumerate(terms.column("term").to_pylist())}
+    texts = docs.select(F.coalesce(F.col(text), F.lit("")).alias("content"))
+    standing = texts.mapInArrow(_documents_with(vocabulary), "number bigint, n bigint")
+    standing = standing.groupBy("number").agg(F.sum("n").alias("n")).toArrow()
+    total = docs.count()
+    n = np.zeros(len(vocabulary))
+    n[standing.column("number").to_numpy()] = standing.column("n").to_numpy()
+    stress = np.where(terms.column("telling").to_numpy(zero_copy_only=False).astype(bool), STRESS, 1)
+    weights = np.log((total + 1) / (n + 0.5)) * stress
+
+    @F.arrow_udf("struct<terms:array<bigint>,tf:array<double>>")
     def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known = _Terms(chosen)
+        known = _Terms(vocabulary)
+        kind = pa.struct([("terms", pa.list_(pa.int64())), ("tf", pa.list_(pa.float64()))])
         for batch in batches:
-            texts = batch.cast(pa.binary())
-            yield pa.array([sorted(count_terms(t.as_py(), known).elements()) for t in texts], pa.list_(pa.int32()))
-
-    # A bounded number of rows, each the few chosen terms of a text.
-    examples = sample.select("key", "label", found("content").alias("terms")).collect()
-    return Model(chosen, idf, [(r["key"], r["label"], Counter(r["terms"])) for r in examples], counts)
+            counted = (count_terms(t.as_py(), known) for t in batch.cast(pa.binary()))
+            yield pa.array([{"terms": a, "tf": b} for a, b in counted], kind)
+
+    # A bounded number of rows, each the terms of a text.
+    rows = sample.select("key", "label", found("content").alias("found")).toArrow().to_batches()
+    examples = [
+        (key, label, one["terms"].values.to_numpy(), one["tf"].values.to_numpy())
+        for batch in rows
+        for key, label, one in zip(
+            batch.column("key").to_pylist(), batch.column("label").to_pylist(), batch.column("found"), strict=True
+        )
+    ]
+    return Model(vocabulary, weights, examples, counts)
 
 
 JUDGED = "struct<score:double,evidence:array<struct<key:bigint,label:int,cosine:double>>>"
@@ -258,19 +336,13 @@ def judge(text: Column, model: Model | float) -> Column:
 
     @F.arrow_udf(JUDGED)
     def judged(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        terms, known = _Terms(model.chosen), {}
+        terms = _Terms(model.vocabulary)
         for batch in batches:
             out = []
             for value in batch.cast(pa.binary()):
-                tf = count_terms(value.as_py(), terms)
-                vector = tuple(sorted(tf.items()))
-                if vector not in known:
-                    if len(known) > MEMO // 10:
-                        known.clear()
-                    score, found = model.judge(tf)
-                    near = [{"key": e.key, "label": e.label, "cosine": c} for e, c in found]
-                    known[vector] = {"score": score, "evidence": near}
-                out.append(known[vector])
+                score, found = model.judge(*count_terms(value.as_py(), terms))
+                near = [{"key": e.key, "label": e.label, "cosine": c} for e, c in found]
+                out.append({"score": score, "evidence": near})
             yield pa.array(out, kind)
 
     return judged.asNondeterministic()(F.coalesce(text, F.lit("")))

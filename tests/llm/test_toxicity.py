@@ -5,42 +5,68 @@ import random
 import zlib
 from collections import Counter
 
+import numpy as np
 from test_quality import LABELS, area
 
 from tagpulse.llm import queries, toxicity
 
 
+def vector_of(counts):
+    terms = np.array(sorted(counts), np.int64)
+    return terms, np.array([counts[t] for t in terms], float)
+
+
 def model_of(rng, n, terms):
     examples = [
-        (i, rng.randint(0, 1), Counter(rng.choices(range(terms), k=rng.randint(0, 6)))) for i in range(n)
+        (i, rng.randint(0, 1), *vector_of(Counter(rng.choices(range(terms), k=rng.randint(0, 6))))) for i in range(n)
     ]
-    idf = [rng.uniform(0.5, 4) for _ in range(terms)]
-    return toxicity.Model({str(t): t for t in range(terms)}, idf, examples, {0: 900, 1: 100})
+    weights = np.array([rng.uniform(0.5, 4) for _ in range(terms)])
+    return toxicity.Model({str(t): t for t in range(terms)}, weights, examples, {0: 900, 1: 100}), examples
 
 
 def test_neighbours_are_those_of_a_full_scan():
     rng = random.Random(6)
     for terms in (3, 30, 300):
-        model = model_of(rng, 700, terms)
+        model, examples = model_of(rng, 700, terms)
+        vectors = {k: dict(zip(t.tolist(), model.vector(t, tf), strict=True)) for k, _, t, tf in examples if len(t)}
         for _ in range(60):
-            q = model.vector(Counter(rng.choices(range(terms), k=rng.randint(1, 8))))
-            cosines = sorted(
-                (sum(w * e.vector.get(t, 0) for t, w in sorted(q.items())) for e in model.index.examples), reverse=True
-            )
-            expected = [c for c in cosines[:15] if c > 0]
-            got = model.index.nearest(q, 15)
+            found, tf = vector_of(Counter(rng.choices(range(terms), k=rng.randint(1, 8))))
+            q = model.vector(found, tf)
+            cosine = {k: sum(w * v.get(t, 0) for t, w in zip(found.tolist(), q, strict=True)) for k, v in vectors.items()}
+            expected = [c for c in sorted(cosine.values(), reverse=True)[:15] if c > 0]
+            got = model.index.nearest(found, q, 15)
             assert len(got) == len(expected)
             assert all(math.isclose(a, b, abs_tol=1e-12) for (a, _), b in zip(got, expected, strict=True))
+            assert all(math.isclose(a, cosine[model.index.examples[at].key], abs_tol=1e-12) for a, at in got)
+            assert got == sorted(got, key=lambda p: (-p[0], p[1]))
 
 
 def test_blocks_are_skipped(monkeypatch):
-    model = model_of(random.Random(7), 3000, 50)
-    q = model.vector(Counter([3, 4, 5, 5]))
+    model, _ = model_of(random.Random(7), 3000, 50)
+    found, tf = vector_of(Counter([3, 4, 5, 5]))
     looked = []
-    sort = sorted
-    monkeypatch.setitem(toxicity.__dict__, "sorted", lambda *a, **k: looked.append(1) or sort(*a, **k))
-    model.index.nearest(q, 15)
-    assert len(looked) - 1 < model.index.blocks / 2
+    cosines = toxicity.Index._cosines
+    monkeypatch.setattr(toxicity.Index, "_cosines", lambda self, b, q: looked.extend(b) or cosines(self, b, q))
+    model.index.nearest(found, model.vector(found, tf), 15)
+    assert len(looked) < model.index.blocks / 2
+
+
+def test_copies_of_examples_find_them(spark):
+    """Also of toxic ones made of rare words, and where many examples are copies."""
+    rng = random.Random(8)
+    common = [f"w{i}" for i in range(300)]
+    texts = {i: " ".join(rng.choices(common, k=60)) + (" vile rot" if i % 4 == 0 else "") for i in range(200)}
+    texts |= {i: "the same text again and again" for i in range(200, 230)}
+    texts |= {230: " ".join(f"rare{i}" for i in range(40)), 231: "one"}
+    label = {i: int(i % 4 == 0 if i < 200 else i == 230) for i in texts}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    labels = spark.createDataFrame(list(label.items()), "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels, label="toxic")
+    assert len(model.index.examples) == len(texts)
+    for r in docs.select("doc_id", "text", toxicity.judge(docs["text"], model).alias("j")).collect():
+        best = r["j"]["evidence"][0]
+        assert math.isclose(best["cosine"], 1) and texts[best["key"]] == r["text"]
+        assert (r["j"]["score"] >= 0.5) == label[r["doc_id"]]
 
 
 def test_held_out_accuracy(spark):
