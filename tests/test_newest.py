@@ -93,3 +93,29 @@ def test_a_replayed_batch_adds_once(spark, feed):
     assert (row.total_questions, row.unanswered, row.accepted, row.score_sum, row.score_count) == (2, 0, 1, 6, 1)
     assert (row.answer_mean_sum, row.answer_count, row.answer_score_sum) == (6.0, 3, 10)
     assert store.current_metrics().count() == 1
+
+
+def test_any_provider_of_state_stores_will_do(spark, feed):
+    """A session that others made has Spark's own, which knows no column families."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    ours = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        store = store_of(feed)
+        feed.send(question(1, at(1, 0), ["a"]), question(2, at(1, 1), ["a"]))
+        feed.run(jobs.start_newest_metrics, store)
+        feed.send(question(1, at(1, 0), ["b"], answers(7)))
+        feed.run(jobs.start_newest_metrics, store)
+    finally:
+        spark.conf.set(name, ours)
+    assert {r.tag: r.total_questions for r in store.current_metrics().collect()} == {"a": 1, "b": 1}
+
+
+def test_earlier_batches_are_kept_until_the_watermark_passes_them(feed):
+    store = store_of(feed)
+    for hour in (1, 4, 7, 10):
+        feed.send(question(hour, at(hour, 0), ["a"]))
+        feed.send(question(hour, at(hour, 0), ["b"]))
+        feed.run(jobs.start_newest_metrics, store)
+    assert store.contributions.rows().count() < 4
+    assert {r.tag: r.n for r in store.current_metrics().groupBy("tag").agg(F.sum("total_questions").alias("n")).collect()} == {"b": 4}
