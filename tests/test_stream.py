@@ -271,3 +271,22 @@ def test_when_one_job_fails_the_others_stop(spark, feed):
         jobs.await_any(spark, running)
     assert not any(query.isActive for query in running)
     spark.streams.resetTerminated()
+
+
+def test_every_task_has_a_file_of_each_trigger(spark, tmp_path, monkeypatch):
+    from tagpulse.plans import catalog
+
+    events = spark.range(0, 3000, 1, 6).selectExpr(
+        "id AS event_id", "timestamp_micros(1704067200000000 + id * 800000000) AS ts", "id % 9 AS user_id", "'a' AS event_type",
+        "1.0D AS value", "'{\"k\":1}' AS props",
+    )
+    monkeypatch.setattr(catalog, "_events", lambda spark, sf_dir: events)
+    messages = events.selectExpr("event_id", "CAST((day(ts) - 1) DIV 8 AS INT) AS slice")
+    files, folder = catalog._files(spark, ""), str(tmp_path / "in")
+    assert files == 6
+    catalog._sliced(messages, folder, range(4), files)
+    stream, sizes = catalog._stream(spark, folder, messages, files), []
+    write = lambda batch, batch_id: sizes.append((batch.inputFiles().__len__(), batch.count()))
+    stream.writeStream.foreachBatch(write).trigger(availableNow=True).start().awaitTermination()
+    counts = [row.n for row in messages.groupBy("slice").agg(F.count("*").alias("n")).orderBy("slice").collect()]
+    assert [n for _, n in sizes] == counts and len(list(tmp_path.glob("in/*.parquet"))) == 4 * files

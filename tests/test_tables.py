@@ -162,6 +162,38 @@ def test_keys_that_come_together_can_be_stored_together(spark, tmp_path):
     assert [tuple(row) for row in table.at(81).collect()] == [(81, 1)]
 
 
+def test_a_large_place_is_shared_by_tasks(spark, tmp_path):
+    schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("text", T.StringType())])
+    table = KeyedTable(spark, str(tmp_path / "months"), schema, ["n"], order=(), bucket=F.lit(202401), parts=8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for batch_id in range(2):
+            table.merge(spark.range(1000 + 500 * batch_id).selectExpr("id AS n", f"'{batch_id}' AS text"), "w", batch_id)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    (place,) = files(table).values()
+    assert len(place) == 4  # all shuffle partitions of the tests
+    assert sorted(map(tuple, table.latest().collect())) == [(n, "1") for n in range(1500)]
+
+
+def test_merged_rows_are_written_and_shuffled_once(spark, table, monkeypatch):
+    written, into = [], spark.createDataFrame([], "a int").write.__class__.parquet
+
+    def parquet(self, path, **options):
+        plan = self._df._jdf.queryExecution().optimizedPlan().toString()
+        written.append((path.removeprefix(table.path).split("/")[1], plan.count("RepartitionByExpression")))
+        return into(self, path, **options)
+
+    monkeypatch.setattr(type(spark.range(1).write), "parquet", parquet)
+    table.merge(rows(spark, ("k", "a", "1")), "w", 0)
+    table.merge(rows(spark, ("k", "a", "2")), "w", 1)
+    assert written == [("incoming", 0), ("merged", 1)] * 2
+    written.clear()
+    puts = rows(spark, ("k", "a", "3"), ("l", "a", "3"))
+    table.merge_into(puts, puts.select("table", "row_key"), "w", 2)
+    assert written == [("merged", 1)] and current(table) == {("k", "a"): "3", ("l", "a"): "3"}
+
+
 def scanned(found):
     """What the scans of a result read, in its first run: files and rows."""
     found.collect()
