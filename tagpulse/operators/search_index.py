@@ -6,9 +6,10 @@ where in the block. A search reads the best blocks first, only the buckets of it
 the row groups of these blocks, looks into the texts of the questions that hold all grams, a
 page of ranks at a time, and ends when it has enough: all later ones have lower scores.
 
-Building is one batch job. Ranks come from a sort in ranges over all tasks. A gram that
-every question has is one row a block, of at most ``BLOCK`` places, so no group grows with the
-table.
+Building is one batch job. Ranks come from a sort in ranges over all tasks. Texts are then dealt
+by block, so that a block's grams meet in the task that finds them and only postings, not single
+grams, are shuffled. A gram that every question has is one row a block, of at most ``BLOCK``
+places, so no group grows with the table.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ FIRST_BLOCKS, GROWTH = 4, 4
 PER_RESULT = 3
 POSTINGS = "term string, block bigint, places array<int>, bucket int"
 TERMS = "term string, first_block bigint, blocks bigint, questions bigint, bucket int"
+#: Blocks whose postings of a bucket are written by one task.
+TOGETHER = 256
 #: monotonically_increasing_id: the partition stands above this many bits.
 _ROW_BITS = 33
 
@@ -56,13 +59,14 @@ def build(questions: DataFrame, path: str, *, block: int = BLOCK, buckets: int =
     ranked.repartitionByRange("rank").sortWithinPartitions("rank").write.parquet(f"{path}/ranked")
 
     # The rank takes the part of the id, so grams need no join.
-    texts = spark.read.parquet(f"{path}/ranked").select(F.col("rank").alias("question_id"), "title", "body")
-    grams = gram_index(texts).select(
-        F.col("gram").alias("term"), F.expr(f"question_id DIV {block}").alias("block"),
-        F.expr(f"CAST(question_id % {block} AS INT)").alias("place"),
-    )
+    texts = spark.read.parquet(f"{path}/ranked").select(
+        F.col("rank").alias("question_id"), "title", "body", F.expr(f"rank DIV {block}").alias("block")
+    )
+    grams = gram_index(texts.repartition("block"), "block").select(
+        F.col("gram").alias("term"), "block", F.expr(f"CAST(question_id % {block} AS INT)").alias("place")
+    )
     postings = grams.groupBy("term", "block").agg(F.sort_array(F.collect_list("place")).alias("places"))
-    _by_term(postings, buckets, "block").write.partitionBy("bucket").parquet(f"{path}/postings")
+    _by_term(postings, buckets, F.expr(f"block DIV {TOGETHER}"), "block").write.partitionBy("bucket").parquet(f"{path}/postings")
     terms = spark.read.schema(POSTINGS).parquet(f"{path}/postings").groupBy("term").agg(
         F.min("block").alias("first_block"), F.count("*").alias("blocks"), F.sum(F.size("places")).alias("questions")
     )
@@ -74,9 +78,11 @@ def _bucket(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
-def _by_term(rows: DataFrame, buckets: int, *then: str) -> DataFrame:
-    order = ["bucket", "term", *then]
-    return rows.withColumn("bucket", _bucket(F.col("term"), buckets)).repartitionByRange(*order).sortWithinPartitions(*order)
+def _by_term(rows: DataFrame, buckets: int, dealt: Column | None = None, *then: str) -> DataFrame:
+    # By hash, as ranges would be found by computing all rows once more.
+    placed = rows.withColumn("bucket", _bucket(F.col("term"), buckets))
+    by = ["bucket"] if dealt is None else ["bucket", dealt]
+    return placed.repartition(*by).sortWithinPartitions("bucket", "term", *then)
 
 
 class SearchIndex:

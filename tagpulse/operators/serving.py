@@ -78,10 +78,10 @@ def search_by_index(
     return search(questions.join(ids, "question_id", "left_semi"), query, tags, limit, columns=columns)
 
 
-def gram_index(questions: DataFrame) -> DataFrame:
+def gram_index(questions: DataFrame, *carry: str) -> DataFrame:
     """(gram, question_id): the runs of ``GRAM`` characters without blanks that a question's
     lowered title and body hold, each once. A table to keep beside the questions, sorted by
-    gram."""
+    gram. ``carry`` names columns to keep."""
     words = F.array_distinct(F.split(F.lower(F.concat_ws(" ", "title", "body")), " "))
 
     def runs(text: Column, step: int, width: int) -> Column:
@@ -92,7 +92,7 @@ def gram_index(questions: DataFrame) -> DataFrame:
     pieces = F.flatten(F.transform(words, lambda w: runs(w, PIECE - GRAM + 1, PIECE)))
     grams = F.flatten(F.transform(F.array_distinct(pieces), lambda p: runs(p, 1, GRAM)))
     distinct = F.filter(F.array_distinct(grams), lambda g: F.char_length(g) == GRAM)
-    return questions.select("question_id", F.explode(distinct).alias("gram")).select("gram", "question_id")
+    return questions.select("question_id", *carry, F.explode(distinct).alias("gram")).select("gram", "question_id", *carry)
 
 
 def search_by_grams(

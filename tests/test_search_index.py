@@ -97,3 +97,20 @@ def test_ranges_of_random_texts(spark):
     frame = spark.createDataFrame([(t,) for t in texts], "text string")
     for prefix in {t[:2] for t in texts}:
         assert frame.filter(begins_with("text", prefix)).count() == sum(t.startswith(prefix) for t in texts)
+
+
+def test_single_grams_are_not_shuffled(spark, tmp_path, monkeypatch):
+    plans, into = {}, spark.range(1).write.__class__.parquet
+
+    def parquet(self, path, **options):
+        plans[path.rsplit("/", 1)[1]] = plan(self._df)
+        return into(self, path, **options)
+
+    monkeypatch.setattr(type(spark.range(1).write), "parquet", parquet)
+    index = build(spark.createDataFrame(some_questions(300), QUESTIONS), str(tmp_path / "index"), block=10, buckets=4)
+    text = plans["postings"]
+    # texts by block below the grams, postings by bucket above them, and nothing in ranges, which computes them twice
+    assert text.count("Exchange ") == 2 and "rangepartitioning" not in text
+    assert "Exchange " in text[text.index("Generate explode") :] and "Exchange " in text[: text.index("Generate explode")]
+    expected = sorted((t, b, sorted(p)) for t, b, p in index.postings.select("term", "block", "places").collect())
+    assert len(expected) == len({row[:2] for row in expected}) > 0
