@@ -8,11 +8,11 @@ for so many terms (likelihood ratio; of likely copies, whose smallest word shing
 same, one counts in that test, as chance means independent texts). Nothing else is left out:
 every sampled row is an example, and an exact copy of one has it at cosine 1.
 
-The inverted index is block-max: examples with like terms lie together in blocks, and each
-term knows the blocks it stands in and its largest weight in each. A text's terms bound from
-above the cosine it can have with any example of a block; blocks are taken by falling bound
-until the ``NEAREST`` examples found are nearer than the next block can be. So the neighbours
-are exact, and most blocks need not be looked at.
+The inverted index takes texts in batches. The terms of the longest lists are columns of a
+matrix of all examples: one product in single precision gives what they add to the cosines of
+a batch. The lists of the other terms add the rest. Only examples that rounding leaves among
+the ``NEAREST`` are looked at again, and their cosines taken in double precision over all
+terms; so the neighbours are exact.
 
 Neighbours vote with weights that fall with the square of distance and that give the classes
 the shares they have among all labelled rows, so that scores are probabilities; the neighbours
@@ -33,6 +33,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +50,12 @@ from tagpulse.llm.words import words
 PREFIXES = (4, 5, 6)
 ROWS_PER_CLASS = 3000
 NEAREST = 15
-BLOCK = 32
+#: Examples whose exact cosines are taken together, terms whose lists are columns, texts bounded
+#: together, and twice what single precision can be wrong by, relatively, in a sum of so many.
+BLOCK = 2
+COLUMNS = 768
+TOGETHER = 128
+ROUNDING = 4 * (COLUMNS + 8) * 2.0**-24
 #: What a telling term weighs against another of the same idf.
 STRESS = 20
 #: Added to a neighbour's distance before its vote is 1 / distance squared.
@@ -85,13 +91,9 @@ class _Terms(dict):
 
 def count_terms(text: bytes, terms: _Terms) -> tuple[np.ndarray, np.ndarray]:
     """The numbers of a text's terms, rising, and how often each occurs."""
-    tf: dict[int, int] = {}
-    for word, n in Counter(words(text)).items():
-        for term in terms[word]:
-            tf[term] = tf.get(term, 0) + n
-    found = np.fromiter(tf, np.int64, len(tf))
-    order = np.argsort(found)
-    return found[order], np.fromiter(tf.values(), np.float64, len(tf))[order]
+    every = np.array(list(chain.from_iterable(map(terms.__getitem__, words(text)))), np.int64)
+    found, tf = np.unique(every, return_counts=True)
+    return found, tf.astype(np.float64)
 
 
 def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -110,8 +112,9 @@ class Example:
 
 
 class Index:
-    """Inverted lists of blocks of examples with the largest weight in each; the weights of
-    the examples themselves lie block by block."""
+    """Inverted lists of the examples. The terms of the longest lists are columns of a matrix in
+    single precision, so that one product bounds a whole batch of texts; weights are positive,
+    so its rounding is relative. The examples themselves lie block by block."""
 
     def __init__(self, examples: list[Example], terms: int):
         # Examples whose heaviest terms are the same lie side by side.
@@ -125,37 +128,61 @@ class Index:
         self.weight = np.concatenate([e.weights for e in self.examples] or [np.zeros(0)])
         self.row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
         self.start = np.searchsorted(self.row, np.arange(self.blocks + 1) * BLOCK)
-        order = np.lexsort((self.row, self.term))
-        term, block, weight = self.term[order], self.row[order] // BLOCK, self.weight[order]
-        new = np.flatnonzero((np.diff(term, prepend=-1) != 0) | (np.diff(block, prepend=-1) != 0))
-        self.in_block = block[new]
-        self.largest = np.maximum.reduceat(weight, new) if len(new) else weight
-        self.lists = np.searchsorted(term[new], np.arange(terms + 1))
+        long = np.argsort(-np.bincount(self.term, minlength=terms), kind="stable")[:COLUMNS]
+        #: Of each term its column, or -1.
+        self.column = np.full(terms, -1, np.int32)
+        self.column[long] = np.arange(len(long))
+        short = np.flatnonzero(self.column[self.term] < 0)
+        short = short[np.argsort(self.term[short], kind="stable")]
+        self.in_row, self.in_weight = self.row[short], self.weight[short]
+        self.lists = np.searchsorted(self.term[short], np.arange(terms + 1))
+        self._made: tuple[np.ndarray, np.ndarray] | None = None
         for example in self.examples:  # held above
             example.terms = example.weights = None
 
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_made": None}
+
+    def _scratch(self) -> tuple[np.ndarray, np.ndarray]:
+        """The matrix, and zeros for the weights of a text; made where they are used."""
+        if self._made is None:
+            matrix = np.zeros((min(COLUMNS, self.terms), len(self.examples)), np.float32)
+            at = np.flatnonzero(self.column[self.term] >= 0)
+            matrix[self.column[self.term[at]], self.row[at]] = self.weight[at]
+            self._made = matrix, np.zeros(self.terms)
+        return self._made
+
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
         """The ``k`` largest cosines over zero and the examples that have them."""
-        at, sizes = _ranges(self.lists[terms], self.lists[terms + 1])
-        bounds = np.bincount(
-            self.in_block[at], weights=self.largest[at] * np.repeat(weights, sizes), minlength=self.blocks
-        ) * (1 + 1e-9)
-        query = np.zeros(self.terms)
-        query[terms] = weights
-        order = np.argsort(-bounds, kind="stable")
-        best, which, done, step = np.zeros(0), np.zeros(0, np.int64), 0, 4
-        while done < len(order):
-            least = best[k - 1] if len(best) >= k else 0.0
-            blocks = order[done : done + step]
-            blocks = blocks[bounds[blocks] > least]
-            if not len(blocks):
-                break
-            cosines, rows = self._cosines(blocks, query)
-            best, which = np.concatenate((best, cosines)), np.concatenate((which, rows))
-            first = np.lexsort((which, -best))[:k]
-            best, which = best[first], which[first]
-            done, step = done + step, step * 2
-        return list(zip(best.tolist(), which.tolist(), strict=True))
+        return self.nearest_of([(terms, weights)], k)[0]
+
+    def nearest_of(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[list[tuple[float, int]]]:
+        """The same for many texts."""
+        out = []
+        matrix, query = self._scratch()
+        for first in range(0, len(texts), TOGETHER):
+            some = texts[first : first + TOGETHER]
+            left = np.zeros((len(some), len(matrix)), np.float32)
+            columns = [self.column[terms] for terms, _ in some]
+            for line, column, (_, weights) in zip(left, columns, some, strict=True):
+                line[column[column >= 0]] = weights[column >= 0]
+            for bound, column, (terms, weights) in zip(left @ matrix, columns, some, strict=True):
+                query[terms] = weights
+                out.append(self._among(bound, terms[column < 0], query, k))
+                query[terms] = 0
+        return out
+
+    def _among(self, bound: np.ndarray, short: np.ndarray, query: np.ndarray, k: int) -> list[tuple[float, int]]:
+        """The nearest of one text, given what its columns add to each cosine and its other terms."""
+        at, sizes = _ranges(self.lists[short], self.lists[short + 1])
+        bound = bound + np.bincount(
+            self.in_row[at], weights=self.in_weight[at] * np.repeat(query[short], sizes), minlength=len(bound)
+        )
+        least = np.partition(bound, -k)[-k] * (1 - ROUNDING) if len(bound) > k else 0.0
+        blocks = np.unique(np.flatnonzero((bound >= least) & (bound > 0)) // BLOCK)
+        cosines, rows = self._cosines(blocks, query)
+        best = np.lexsort((rows, -cosines))[:k]
+        return list(zip(cosines[best].tolist(), rows[best].tolist(), strict=True))
 
     def _cosines(self, blocks: np.ndarray, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The cosines over zero of the examples of some blocks."""
@@ -200,7 +227,16 @@ class Model:
 
     def judge(self, terms: np.ndarray, tf: np.ndarray) -> tuple[float, list[tuple[Example, float]]]:
         """The score, and the nearest examples with their cosines."""
-        near = self.index.nearest(terms, self.vector(terms, tf), NEAREST) if len(terms) else []
+        return self.judge_all([(terms, tf)])[0]
+
+    def judge_all(
+        self, texts: list[tuple[np.ndarray, np.ndarray]]
+    ) -> list[tuple[float, list[tuple[Example, float]]]]:
+        """The same for many texts."""
+        vectors = [(terms, self.vector(terms, tf) if len(terms) else tf) for terms, tf in texts]
+        return [self._judged(near) for near in self.index.nearest_of(vectors, NEAREST)]
+
+    def _judged(self, near: list[tuple[float, int]]) -> tuple[float, list[tuple[Example, float]]]:
         if not near:
             return self.without_terms, []
         found = [(self.index.examples[at], min(cosine, 1.0)) for cosine, at in near]
@@ -246,7 +282,7 @@ def _documents_with(vocabulary: dict[str, int]):
         counts = np.zeros(len(vocabulary), np.int64)
         for batch in batches:
             for text in batch.column(0).cast(pa.binary()):
-                counts[list({t for word in set(words(text.as_py())) for t in terms[word]})] += 1
+                counts[count_terms(text.as_py(), terms)[0]] += 1
         found = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], names=["number", "n"])
 
@@ -339,10 +375,12 @@ def judge(text: Column, model: Model | float) -> Column:
         terms = _Terms(model.vocabulary)
         for batch in batches:
             out = []
-            for value in batch.cast(pa.binary()):
-                score, found = model.judge(*count_terms(value.as_py(), terms))
-                near = [{"key": e.key, "label": e.label, "cosine": c} for e, c in found]
-                out.append({"score": score, "evidence": near})
+            texts = batch.cast(pa.binary())
+            for first in range(0, len(texts), TOGETHER):
+                some = [count_terms(value.as_py(), terms) for value in texts[first : first + TOGETHER]]
+                for score, found in model.judge_all(some):
+                    near = [{"key": e.key, "label": e.label, "cosine": c} for e, c in found]
+                    out.append({"score": score, "evidence": near})
             yield pa.array(out, kind)
 
     return judged.asNondeterministic()(F.coalesce(text, F.lit("")))

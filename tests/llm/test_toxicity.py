@@ -51,6 +51,32 @@ def test_blocks_are_skipped(monkeypatch):
     assert len(looked) < model.index.blocks / 2
 
 
+def test_few_examples_are_looked_at_where_all_share_common_words(monkeypatch):
+    """Texts in batches, with terms of long and of short lists, and with copies."""
+    rng, terms = random.Random(9), 2000
+    monkeypatch.setattr(toxicity, "COLUMNS", 50, raising=False)
+    often = [1 / (1 + t) for t in range(terms)]
+    drawn = [vector_of(Counter(rng.choices(range(terms), often, k=120))) for _ in range(900)]
+    examples = [(i, i % 2, *drawn[i]) for i in range(800)] + [(900 + i, 0, *drawn[i]) for i in range(40)]
+    weights = np.array([math.log(3000 * (1 + t) / 2000 + 1) for t in range(terms)])
+    model = toxicity.Model({str(t): t for t in range(terms)}, weights, examples, {0: 900, 1: 100})
+    looked = []
+    cosines = toxicity.Index._cosines
+    monkeypatch.setattr(toxicity.Index, "_cosines", lambda self, b, q: looked.extend(b) or cosines(self, b, q))
+    texts = [(t, model.vector(t, tf)) for t, tf in drawn[:300] + drawn[800:]]
+    got = [model.index.nearest(*text, 15) for text in texts]
+    assert len(looked) / len(texts) < model.index.blocks / 10
+    dense = np.zeros((len(examples), terms))
+    for row, example in zip(dense, model.index.examples, strict=True):
+        found, tf = next((t, tf) for k, _, t, tf in examples if k == example.key)
+        row[found] = model.vector(found, tf)
+    for (found, w), near in zip(texts, got, strict=True):
+        expected = dense[:, found] @ w
+        assert np.allclose([c for c, _ in near], np.sort(expected)[::-1][:15], rtol=0, atol=1e-12)
+        assert np.allclose(expected[[at for _, at in near]], [c for c, _ in near], rtol=0, atol=1e-12)
+    assert model.index.nearest_of([*texts, (np.zeros(0, np.int64), np.zeros(0))], 15) == [*got, []]
+
+
 def test_copies_of_examples_find_them(spark):
     """Also of toxic ones made of rare words, and where many examples are copies."""
     rng = random.Random(8)
