@@ -33,6 +33,7 @@ where they repeat one word; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -58,20 +59,18 @@ HASHES = 3
 BLOCK = 64
 #: Shingles without a counterpart that a passage may span: two changed words.
 GAP = 2 * SHINGLE
-#: Windows a task holds before it groups them, and word hashes it keeps.
+#: Windows a task holds before it groups them, and bytes of texts it hashes together.
 HELD = 1_000_000
-MEMO = 200_000
+TOGETHER = 1 << 17
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _FUNCTION = np.uint64(3)
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > MEMO:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+class _Hashes:
+    """Hashes of words; faster than looking up those of words seen before."""
+
+    __getitem__ = staticmethod(xxhash.xxh3_64_intdigest)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -80,12 +79,9 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(31)
 
 
-def shingles(found: list[bytes], hash_of: Callable[[bytes], int]) -> np.ndarray:
-    """A hash for each run of SHINGLE words."""
-    n = len(found) - SHINGLE + 1
-    if n < 1:
-        return np.zeros(0, np.uint64)
-    single = np.fromiter(map(hash_of, found), np.uint64, len(found))
+def _runs(single: np.ndarray) -> np.ndarray:
+    """A hash for each run of SHINGLE hashes, SHINGLE at least."""
+    n = len(single) - SHINGLE + 1
     total = single[:n].copy()
     for i in range(1, SHINGLE):
         total *= _ODD
@@ -93,6 +89,55 @@ def shingles(found: list[bytes], hash_of: Callable[[bytes], int]) -> np.ndarray:
     return _mix(total)
 
 
+def shingles(found: list[bytes], hash_of: Callable[[bytes], int]) -> np.ndarray:
+    """A hash for each run of SHINGLE words."""
+    if len(found) < SHINGLE:
+        return np.zeros(0, np.uint64)
+    return _runs(np.fromiter(map(hash_of, found), np.uint64, len(found)))
+
+
+class Sequences:
+    """The shingles of some texts one after another."""
+
+    def __init__(self, values: np.ndarray, sizes: np.ndarray):
+        self.values, self.sizes = values, sizes
+        ends = np.cumsum(sizes)
+        self.first = ends - sizes
+        #: Of each shingle its text, its place there, and how many there are from it on.
+        self.text = np.repeat(np.arange(len(sizes)), sizes)
+        self.place = np.arange(len(values)) - self.first[self.text]
+        self.left = sizes[self.text] - self.place
+
+    @classmethod
+    def of(cls, texts: list[bytes], hash_of: Callable[[bytes], int]) -> Sequences:
+        found = [words(text) for text in texts]
+        n = np.array([len(f) for f in found], np.int64)
+        sizes = np.maximum(n - SHINGLE + 1, 0)
+        if not sizes.any():
+            return cls(np.zeros(0, np.uint64), sizes)
+        single = np.fromiter(map(hash_of, chain.from_iterable(found)), np.uint64, n.sum())
+        inside = np.arange(len(single)) + SHINGLE <= np.repeat(np.cumsum(n), n)
+        return cls(_runs(single)[inside[: len(single) - SHINGLE + 1]], sizes)
+
+    def least(self, values: np.ndarray) -> np.ndarray:
+        """The minimum of WIDTH values from each shingle on, 0 where its text has fewer."""
+        least = np.zeros(len(values), np.uint64)
+        if len(values) >= WIDTH:
+            whole = self.left[: len(values) - WIDTH + 1] >= WIDTH
+            least[: len(whole)] = np.where(whole, _sliding_min(values, WIDTH), np.uint64(0))
+        return least
+
+
+def _together(texts: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about TOGETHER bytes."""
+    first, size = 0, 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size >= TOGETHER or i + 1 == len(texts):
+            yield first, i + 1
+            first, size = i + 1, 0
+
+
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     """The minimum of ``width`` values from each position on, where there are so many."""
     now, done = values, 1
@@ -115,6 +160,8 @@ def compact_windows(values: np.ndarray, width: int) -> np.ndarray:
 
 def _rolling(values: np.ndarray, width: int) -> np.ndarray:
     """A hash of ``width`` values from each position on, where there are so many."""
+    if len(values) < width:
+        return np.zeros(0, np.uint64)
     parts, now, done, factor = [], values, 1, int(_ODD)
     while done <= width:
         if width & done:
@@ -122,7 +169,7 @@ def _rolling(values: np.ndarray, width: int) -> np.ndarray:
         now = now[:-done] + now[done:] * np.uint64(factor) if len(now) > done else now[:0]
         done, factor = done * 2, factor * factor % (1 << 64)
     n, at = len(values) - width + 1, 0
-    total = np.zeros(max(n, 0), np.uint64)
+    total = np.zeros(n, np.uint64)
     for size, part in reversed(parts):
         total = _mix(total + part[at : at + n])
         at += size
@@ -133,53 +180,70 @@ def _hashed(sequence: np.ndarray, f: int) -> np.ndarray:
     return _mix(sequence ^ np.uint64(0xD6E8FEB86659FD93 * (f + 1) % (1 << 64)))
 
 
-def signatures(sequence: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Signatures (each once; the lowest bits name the hash function), their first positions,
-    and how often they occur."""
-    if len(sequence) < WIDTH:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)
+def signatures_of(some: Sequences) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Texts, their signatures (each once; the lowest bits name the hash function), the first
+    positions of these, and how often they occur."""
     found, where = [], []
-    for f in range(HASHES):
-        values = _hashed(sequence, f)
+    edge = np.zeros(WIDTH - 1, np.uint64)
+    for f in range(HASHES if (some.sizes >= WIDTH).any() else 0):
+        values = _hashed(some.values, f)
         side = _sliding_min(_mix(values + _ODD), SIDE)
-        at = compact_windows(values, WIDTH)
-        right = at[at < len(side)]
-        left = at[at >= SIDE - 1]
+        # As compact_windows, for all texts at once.
+        at = np.flatnonzero(~_sliding_min(~np.concatenate((edge, some.least(values))), WIDTH) == values)
+        at = at[some.sizes[some.text[at]] >= WIDTH]
+        right = at[some.left[at] >= SIDE]
+        left = at[some.place[at] >= SIDE - 1]
         for sig in (
             _mix(values[right] + _mix(side[right])),
             _mix(values[left] + _mix(side[left - SIDE + 1]) + _ODD),
         ):
             found.append(sig & ~_FUNCTION | np.uint64(f))
         where += [right, left]
+    if not found:
+        empty = np.zeros(0, np.int32)
+        return empty, np.zeros(0, np.uint64), empty, empty
     found, where = np.concatenate(found), np.concatenate(where)
-    order = np.lexsort((where, found))
-    found, where = found[order], where[order]
-    new = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
-    return found[new], where[new].astype(np.int32), np.diff(new, append=len(found)).astype(np.int32)
-
-
-def stretches(sequence: np.ndarray, wanted: list[dict]) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the passage-wide stretches whose least shingle stands at a wanted position {at,
-    f}, and a position in each: a hash of the whole stretch, for the first hash function, and
-    for each its least value with that of another function."""
-    if len(sequence) < WIDTH:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int32)
-    values = [_hashed(sequence, f) for f in range(HASHES)]
-    least = [_sliding_min(v, WIDTH) for v in values]
-    keys, where = [], []
+    text = some.text[where]
+    order = np.lexsort((where, found, text))
+    text, found, where = text[order], found[order], where[order]
+    new = np.flatnonzero((np.diff(text, prepend=-1) != 0) | np.concatenate(([True], found[1:] != found[:-1])))
+    times = np.diff(new, append=len(found)).astype(np.int32)
+    return text[new], found[new], some.place[where[new]].astype(np.int32), times
+
+
+def signatures(sequence: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same of one text."""
+    return signatures_of(Sequences(sequence, np.array([len(sequence)])))[1:]
+
+
+def stretches(some: Sequences, text: np.ndarray, at: np.ndarray, f_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Texts, keys of their passage-wide stretches whose least shingle under a function stands at
+    a wanted position of the text, and a position in each: a hash of the whole stretch, for the
+    first hash function, and for each its least value with that of another function."""
+    values = [_hashed(some.values, f) for f in range(HASHES)]
+    least = [some.least(v) for v in values]
+    rolled = _rolling(some.values, WIDTH)
+    inside = at < some.sizes[text]
+    text, at, f_of = text[inside], at[inside], f_of[inside]
+    keys, where = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    apart = some.text.astype(np.uint64) * _ODD
+    whole = some.left >= WIDTH
     for f in range(HASHES):
-        at = np.array([w["at"] for w in wanted if w["f"] == f and w["at"] < len(sequence)], np.int64)
-        starts = np.flatnonzero(np.isin(least[f], values[f][at])) if len(at) else at
+        place = some.first[text[f_of == f]] + at[f_of == f]
+        starts = np.flatnonzero(whole & np.isin(least[f] + apart, values[f][place] + apart[place]))
         if f == 0:
-            keys.append(_rolling(sequence, WIDTH)[starts])
+            keys.append(rolled[starts])
             where.append(starts)
         for g in range(HASHES):
             if g != f:
                 keys.append(_mix(least[f][starts] + _mix(least[g][starts] + np.uint64(f * HASHES + g))))
                 where.append(starts)
     keys, where = np.concatenate(keys), np.concatenate(where)
-    keys, first = np.unique(keys, return_index=True)
-    return keys, (where[first] + HALF).astype(np.int32)
+    text = some.text[where]
+    order = np.lexsort((keys, text))  # of equal ones the first stays first
+    text, keys, where = text[order], keys[order], where[order]
+    new = np.concatenate((text[:1] >= 0, (text[1:] != text[:-1]) | (keys[1:] != keys[:-1])))
+    return text[new], keys[new], (some.place[where[new]] + HALF).astype(np.int32)
 
 
 _WINDOWS = T.StructType(
@@ -193,11 +257,11 @@ _WINDOWS = T.StructType(
 _ARROW = pa.schema([("sig", pa.int64()), ("doc", pa.int64()), ("at", pa.int32()), ("n", pa.int32())])
 
 
-def _grouped(held: list[tuple[np.ndarray, int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+def _grouped(held: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     """The first row of each signature with the number of its occurrences, and the rows of
     other documents."""
     sig = np.concatenate([h[0] for h in held])
-    doc = np.repeat(np.array([h[1] for h in held], np.int64), [len(h[0]) for h in held])
+    doc = np.concatenate([h[1] for h in held])
     at = np.concatenate([h[2] for h in held])
     times = np.concatenate([h[3] for h in held])
     order = np.lexsort((at, doc, sig))
@@ -224,11 +288,11 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hash_of = _Hashes().__getitem__
     held, size = [], 0
     for batch in batches:
-        ids, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())
-        for doc, text in zip(ids, texts, strict=True):
-            sig, at, times = signatures(shingles(words(text.as_py()), hash_of))
+        ids, texts = batch.column(0).to_numpy(), batch.column(1).cast(pa.binary()).to_pylist()
+        for first, end in _together(texts):
+            text, sig, at, times = signatures_of(Sequences.of(texts[first:end], hash_of))
             if len(sig):
-                held.append((sig, doc, at, times))
+                held.append((sig, ids[first + text], at, times))
                 size += len(sig)
             if size > HELD:
                 yield _grouped(held)
@@ -243,16 +307,21 @@ _KEYS = "array<struct<key:bigint,at:int>>"
 def _stretches(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     hash_of = _Hashes().__getitem__
     kind = pa.struct([("key", pa.int64()), ("at", pa.int32())])
-    for texts, wanted in batches:
-        sizes, keys, where = [0], [], []
-        for text, found in zip(texts.cast(pa.binary()), wanted, strict=True):
-            key, at = stretches(shingles(words(text.as_py() or b""), hash_of), found.as_py())
-            sizes.append(len(key))
+    for column, wanted in batches:
+        texts = column.fill_null("").cast(pa.binary()).to_pylist()
+        starts, found = wanted.offsets.to_numpy(), wanted.values
+        at, f_of = (found.field(name).to_numpy().astype(np.int64) for name in ("at", "f"))
+        sizes, keys, where = [np.zeros(1, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)]
+        for first, end in _together(texts):
+            inside = slice(starts[first], starts[end])
+            text = np.repeat(np.arange(end - first), np.diff(starts[first : end + 1]))
+            text, key, place = stretches(Sequences.of(texts[first:end], hash_of), text, at[inside], f_of[inside])
+            sizes.append(np.bincount(text, minlength=end - first))
             keys.append(key)
-            where.append(at)
-        columns = [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(where))] if keys else None
-        flat = pa.StructArray.from_arrays(columns, fields=list(kind)) if keys else pa.array([], kind)
-        yield pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), flat)
+            where.append(place)
+        columns = [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(where))]
+        flat = pa.StructArray.from_arrays(columns, fields=list(kind))
+        yield pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(sizes)), pa.int32()), flat)
 
 
 def links(docs: DataFrame) -> DataFrame:
@@ -318,6 +387,20 @@ def _clusters(x: np.ndarray, other: np.ndarray) -> Iterator[tuple[np.ndarray, np
     yield from zip(np.split(p, breaks), np.split(y, breaks), strict=True)
 
 
+def _may_hide(shared: list[np.ndarray], passages: list[tuple]) -> bool:
+    """Whether WIDTH shared positions in a row lie in no passage."""
+    p = np.concatenate(shared or [np.zeros(0, np.int64)])
+    if len(p) < WIDTH:
+        return False
+    breaks = np.flatnonzero(np.diff(p) > 1)
+    firsts, lasts = p[np.concatenate(([0], breaks + 1))], p[np.concatenate((breaks, [len(p) - 1]))]
+    wide = lasts - firsts + 1 >= WIDTH
+    return any(
+        not any(s[0] <= a and b <= s[1] for s in passages)
+        for a, b in zip(firsts[wide].tolist(), lasts[wide].tolist(), strict=True)
+    )
+
+
 def _exact_runs(x: np.ndarray, other: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Positions in ``x`` and ``other`` of every stretch of WIDTH shingles or more that stands in
     both; of a stretch that ``other`` has more than once, its first place there."""
@@ -418,9 +501,10 @@ def copied_in(text: bytes, blocks: list[dict], hash_of: Callable[[bytes], int])
         other = shingles(theirs, hash_of)
         start = blocks[at]["block"] * BLOCK
         if len(other):
-            passages = [s for p, y in _clusters(x, other) for s in _verified(x, other, p, y, mine, theirs)]
+            clusters = list(_clusters(x, other))
+            passages = [s for p, y in clusters for s in _verified(x, other, p, y, mine, theirs)]
             # Longer passages may hide a repeat whose shingles the source has elsewhere as well.
-            for p, y in _exact_runs(x, other):
+            for p, y in _exact_runs(x, other) if _may_hide([p for p, _ in clusters], passages) else ():
                 if not any(s[0] <= p[0] and p[-1] <= s[1] for s in passages):
                     passages += _verified(x, other, p, y, mine, theirs)
             for a, b, c, d, similarity in passages:

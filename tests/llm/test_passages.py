@@ -284,3 +284,35 @@ def test_columns_of_any_name_stay(spark):
     left = passages.remove(frame)
     assert left.columns == frame.columns
     assert sorted((r["doc_id"], r["text"], r["__cut"]) for r in left.collect()) == [(1, shared, 1), (2, "more of it", 2)]
+
+
+def test_texts_are_hashed_together(monkeypatch):
+    """As each by itself, whatever its length, with few passes over arrays."""
+    rng = random.Random(12)
+    texts = [" ".join(f"w{rng.randrange(40)}" for _ in range(rng.choice((0, 3, 49, 50, 51, 90, 200)))) for _ in range(400)]
+    hash_of = passages._Hashes().__getitem__
+    alone = {}
+    for doc, text in enumerate(texts):
+        sig, at, times = passages.signatures(passages.shingles(words(text.encode()), hash_of))
+        alone |= {(s, doc): (a, n) for s, a, n in zip(sig.view("int64").tolist(), at.tolist(), times.tolist(), strict=True)}
+    calls = []
+    sliding_min = passages._sliding_min
+    monkeypatch.setattr(passages, "_sliding_min", lambda *given: calls.append(1) or sliding_min(*given))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc", "text"])
+    got = [r for out in passages._windows(iter([batch])) for r in out.to_pylist()]
+    assert len(calls) < len(texts) / 4
+    assert {(r["sig"], r["doc"]): r["at"] for r in got} == {
+        key: at for key, (at, _) in alone.items() if key in {(r["sig"], r["doc"]) for r in got}
+    }
+    for sig in {s for s, _ in alone}:
+        docs = sorted(d for s, d in alone if s == sig)
+        rows = sorted((r["doc"], r["n"]) for r in got if r["sig"] == sig)
+        assert rows == [(d, sum(alone[sig, e][1] for e in docs) if d == docs[0] else None) for d in docs]
+
+
+def test_blocks_shorter_than_a_passage():
+    hash_of = passages._Hashes().__getitem__
+    for n in range(1, 60):
+        block = [{"source": 1, "block": 0, "words": " ".join(f"w{i}" for i in range(n))}]
+        got = passages.copied_in(" ".join(f"w{i}" for i in range(60)).encode(), block, hash_of)
+        assert len(got) == (n >= passages.WORDS)
