@@ -207,8 +207,12 @@ def _ids_of(batch: pa.Array, encoder: Encoder) -> pa.ListArray:
 
 def _bytes_of(ids: pa.ListArray, token: Callable[[int], bytes]) -> pa.Array:
     values, offsets = ids.values.to_numpy(), ids.offsets.to_numpy()
-    texts = [b"".join(map(token, values[a:b].tolist())) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-    return pa.array(texts, pa.binary())
+    out, ends = bytearray(), [0]  # one copy of the bytes of a batch, not one as texts and one as their array
+    for a, b in zip(offsets[:-1], offsets[1:], strict=True):
+        out += b"".join(map(token, values[a:b].tolist()))
+        ends.append(len(out))
+    where = pa.array(ends, pa.int32()).buffers()[1]
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, where, pa.py_buffer(out)])
 
 
 def encode(text: Column, vocabulary: Vocabulary) -> Column:

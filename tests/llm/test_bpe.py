@@ -3,8 +3,10 @@ from __future__ import annotations
 import base64
 import hashlib
 import random
+import tracemalloc
 
 import public_tokenizers as P
+import pyarrow as pa
 import tiktoken
 
 from tagpulse.llm import bpe, queries
@@ -85,3 +87,16 @@ def test_one_pass_gives_what_two_give(spark):
     two = frame.select(ids.alias("ids"), bpe.decode(ids, vocabulary).alias("decoded")).collect()
     one = frame.select(bpe.encode_and_decode(frame["text"], vocabulary).alias("both")).select("both.*").collect()
     assert one == two and [bytes(r.decoded).decode() for r in one] == [t or "" for (t,) in rows]
+
+
+def test_decoded_bytes_are_held_once():
+    token = {i: bytes([97 + i]) * 8 for i in range(26)}.__getitem__
+    ids = pa.array([[i % 26 for i in range(n % 500)] for n in range(2000)] + [[]], pa.list_(pa.int32()))
+    before = pa.total_allocated_bytes()
+    tracemalloc.start()
+    got = bpe._bytes_of(ids, token)
+    held = tracemalloc.get_traced_memory()[1] + pa.total_allocated_bytes() - before
+    tracemalloc.stop()
+    expected = [b"".join(map(token, row)) for row in ids.to_pylist()]
+    assert got.to_pylist() == expected
+    assert held < 1.5 * sum(map(len, expected))
