@@ -31,9 +31,9 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -48,11 +48,11 @@ from tagpulse.llm.shared import settle
 from tagpulse.llm.words import words
 
 PREFIXES = (4, 5, 6)
+SHORTEST = min(PREFIXES)
 ROWS_PER_CLASS = 3000
 NEAREST = 15
-#: Examples whose exact cosines are taken together, terms whose lists are columns, texts bounded
-#: together, and twice what single precision can be wrong by, relatively, in a sum of so many.
-BLOCK = 2
+#: Terms whose lists are columns, texts bounded together, and twice what single precision can be
+#: wrong by, relatively, in a sum of so many.
 COLUMNS = 768
 TOGETHER = 128
 ROUNDING = 4 * (COLUMNS + 8) * 2.0**-24
@@ -65,9 +65,9 @@ SMOOTHING = 0.1
 #: Least number of examples of label 1 that a term must stand in.
 SUPPORT = 3
 LIFT = 4
-#: Words whose terms a worker remembers, and terms a task counts before it passes them on.
-MEMO = 200_000
+#: Terms a task counts before it passes them on, and bytes of texts whose terms it counts together.
 HELD = 500_000
+HELD_BYTES = 1 << 17
 
 
 def terms_of(word: bytes) -> list[str]:
@@ -76,24 +76,60 @@ def terms_of(word: bytes) -> list[str]:
 
 
 class _Terms(dict):
-    """The numbers of the vocabulary's terms that a word has."""
-
-    def __init__(self, vocabulary: dict[str, int]):
-        self.vocabulary = vocabulary
-
-    def __missing__(self, word: bytes) -> tuple[int, ...]:
-        if len(self) > MEMO:
-            self.clear()
-        found = tuple(self.vocabulary[t] for t in terms_of(word) if t in self.vocabulary)
-        self[word] = found
-        return found
-
-
-def count_terms(text: bytes, terms: _Terms) -> tuple[np.ndarray, np.ndarray]:
-    """The numbers of a text's terms, rising, and how often each occurs."""
-    every = np.array(list(chain.from_iterable(map(terms.__getitem__, words(text)))), np.int64)
-    found, tf = np.unique(every, return_counts=True)
-    return found, tf.astype(np.float64)
+    """The vocabulary by number. Any word gets the number of its own term, else of its longest
+    beginning that is a term, else ``none``; all its terms are a range of ``numbers``, as with a
+    term go the beginnings of it that are terms."""
+
+    def __init__(self, vocabulary: Iterable[tuple[bytes, int]]):
+        super().__init__(vocabulary)
+        self.none = len(self)
+        self.starts = {term[:SHORTEST] for term in self if term.endswith(b"*")}
+        more = {number: self._beginnings(term.rstrip(b"*")) for term, number in self.items() if term[:SHORTEST] in self.starts}
+        sizes = np.ones(self.none + 1, np.int32)
+        sizes[-1] = 0
+        for number, found in more.items():
+            more[number] = [number, *(n for n in found if n != number)]
+            sizes[number] = len(more[number])
+        self.first = np.concatenate([np.zeros(1, np.int32), np.cumsum(sizes, dtype=np.int32)])
+        self.numbers = np.repeat(np.arange(self.none + 1, dtype=np.int32), sizes)
+        for number, found in more.items():
+            self.numbers[self.first[number] : self.first[number + 1]] = found
+
+    def __missing__(self, word: bytes) -> int:
+        # Characters are a byte at least.
+        if word[:SHORTEST] not in self.starts:
+            return self.none
+        return max(self._beginnings(word), key=lambda n: self.first[n + 1] - self.first[n], default=self.none)
+
+    def _beginnings(self, word: bytes) -> list[int]:
+        return [self[t] for t in map(str.encode, terms_of(word)[1:]) if t in self]
+
+
+def count_all(texts: list[bytes], terms: _Terms) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of each text the numbers of its terms, rising, and how often each occurs."""
+    found = [words(text) for text in texts]
+    n = np.array([len(f) for f in found], np.int64)
+    of = np.fromiter(map(terms.__getitem__, chain.from_iterable(found)), np.int64, n.sum())
+    at, sizes = _ranges(terms.first[of], terms.first[of + 1])
+    # One sort for all texts.
+    text = np.repeat(np.repeat(np.arange(len(texts)), n), sizes)
+    both, tf = np.unique(text * (terms.none + 1) + terms.numbers[at], return_counts=True)
+    text, numbers = np.divmod(both, terms.none + 1)
+    ends = np.searchsorted(text, np.arange(1, len(texts)))
+    return list(zip(np.split(numbers, ends), np.split(tf.astype(np.float64), ends), strict=True))
+
+
+def counted(texts: pa.Array, terms: _Terms) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The same for a column, about ``HELD_BYTES`` of texts at a time."""
+    held, size = [], 0
+    for text in texts.cast(pa.binary()):
+        held.append(text.as_py())
+        size += len(held[-1])
+        if size >= HELD_BYTES:
+            yield from count_all(held, terms)
+            held, size = [], 0
+    if held:
+        yield from count_all(held, terms)
 
 
 def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -114,7 +150,7 @@ class Example:
 class Index:
     """Inverted lists of the examples. The terms of the longest lists are columns of a matrix in
     single precision, so that one product bounds a whole batch of texts; weights are positive,
-    so its rounding is relative. The examples themselves lie block by block."""
+    so its rounding is relative. The examples themselves lie one after another, each a block."""
 
     def __init__(self, examples: list[Example], terms: int):
         # Examples whose heaviest terms are the same lie side by side.
@@ -122,34 +158,34 @@ class Index:
             examples, key=lambda e: (e.terms[np.lexsort((e.terms, -e.weights))[:8]].tolist(), e.key, e.label)
         )
         self.terms = terms
-        self.blocks = -(-len(examples) // BLOCK)
+        self.blocks = len(examples)
         sizes = [len(e.terms) for e in self.examples]
         self.term = np.concatenate([e.terms for e in self.examples] or [np.zeros(0, np.int64)]).astype(np.int32)
         self.weight = np.concatenate([e.weights for e in self.examples] or [np.zeros(0)])
         self.row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-        self.start = np.searchsorted(self.row, np.arange(self.blocks + 1) * BLOCK)
+        self.start = np.searchsorted(self.row, np.arange(self.blocks + 1))
         long = np.argsort(-np.bincount(self.term, minlength=terms), kind="stable")[:COLUMNS]
         #: Of each term its column, or -1.
         self.column = np.full(terms, -1, np.int32)
         self.column[long] = np.arange(len(long))
         short = np.flatnonzero(self.column[self.term] < 0)
         short = short[np.argsort(self.term[short], kind="stable")]
-        self.in_row, self.in_weight = self.row[short], self.weight[short]
+        self.in_row, self.in_weight = self.row[short], self.weight[short].astype(np.float32)
         self.lists = np.searchsorted(self.term[short], np.arange(terms + 1))
-        self._made: tuple[np.ndarray, np.ndarray] | None = None
+        self._made: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
         for example in self.examples:  # held above
             example.terms = example.weights = None
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"_made": None}
 
-    def _scratch(self) -> tuple[np.ndarray, np.ndarray]:
-        """The matrix, and zeros for the weights of a text; made where they are used."""
+    def _scratch(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The matrix, zeros for the weights of a text, and marks of its terms; made where they are used."""
         if self._made is None:
             matrix = np.zeros((min(COLUMNS, self.terms), len(self.examples)), np.float32)
             at = np.flatnonzero(self.column[self.term] >= 0)
             matrix[self.column[self.term[at]], self.row[at]] = self.weight[at]
-            self._made = matrix, np.zeros(self.terms)
+            self._made = matrix, np.zeros(self.terms), np.zeros(self.terms, bool)
         return self._made
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
@@ -159,7 +195,7 @@ class Index:
     def nearest_of(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[list[tuple[float, int]]]:
         """The same for many texts."""
         out = []
-        matrix, query = self._scratch()
+        matrix, query, held = self._scratch()
         for first in range(0, len(texts), TOGETHER):
             some = texts[first : first + TOGETHER]
             left = np.zeros((len(some), len(matrix)), np.float32)
@@ -167,9 +203,9 @@ class Index:
             for line, column, (_, weights) in zip(left, columns, some, strict=True):
                 line[column[column >= 0]] = weights[column >= 0]
             for bound, column, (terms, weights) in zip(left @ matrix, columns, some, strict=True):
-                query[terms] = weights
+                query[terms], held[terms] = weights, True
                 out.append(self._among(bound, terms[column < 0], query, k))
-                query[terms] = 0
+                query[terms], held[terms] = 0, False
         return out
 
     def _among(self, bound: np.ndarray, short: np.ndarray, query: np.ndarray, k: int) -> list[tuple[float, int]]:
@@ -179,29 +215,34 @@ class Index:
             self.in_row[at], weights=self.in_weight[at] * np.repeat(query[short], sizes), minlength=len(bound)
         )
         least = np.partition(bound, -k)[-k] * (1 - ROUNDING) if len(bound) > k else 0.0
-        blocks = np.unique(np.flatnonzero((bound >= least) & (bound > 0)) // BLOCK)
+        blocks = np.flatnonzero((bound >= least) & (bound > 0))
         cosines, rows = self._cosines(blocks, query)
         best = np.lexsort((rows, -cosines))[:k]
         return list(zip(cosines[best].tolist(), rows[best].tolist(), strict=True))
 
     def _cosines(self, blocks: np.ndarray, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The cosines over zero of the examples of some blocks."""
-        at, sizes = _ranges(self.start[blocks], self.start[blocks + 1])
-        local = self.row[at] - np.repeat((blocks - np.arange(len(blocks))) * BLOCK, sizes)
-        cosines = np.bincount(local, weights=query[self.term[at]] * self.weight[at], minlength=len(blocks) * BLOCK)
+        starts, ends = self.start[blocks], self.start[blocks + 1]
+        spans = [self.term[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        # Marks are small enough for a cache; few terms of an example stand in the text.
+        shared = np.flatnonzero(self._scratch()[2][np.concatenate([self.term[:0], *spans])])
+        local = np.repeat(np.arange(len(blocks)), ends - starts)[shared]
+        at = shared + (starts - np.cumsum(ends - starts) + ends - starts)[local]
+        cosines = np.bincount(local, weights=query[self.term[at]] * self.weight[at], minlength=len(blocks))
         found = np.flatnonzero(cosines)
-        return cosines[found], blocks[found // BLOCK] * BLOCK + found % BLOCK
+        return cosines[found], blocks[found]
 
 
 class Model:
     def __init__(
         self,
-        vocabulary: dict[str, int],
+        vocabulary: dict[str, int] | _Terms,
         weights: np.ndarray,
         examples: list[tuple[int, int, np.ndarray, np.ndarray]],
         counts: dict[int, int],
     ):
-        self.vocabulary, self.weights = vocabulary, weights
+        self.terms = vocabulary if isinstance(vocabulary, _Terms) else _Terms((t.encode(), n) for t, n in vocabulary.items())
+        self.weights = weights
         held = Counter(label for _, label, *_ in examples)
         #: What one example of a class stands for.
         self.stands_for = {c: counts[c] / sum(counts.values()) / held[c] * len(examples) for c in held}
@@ -274,19 +315,18 @@ def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows()
 
 
-def _documents_with(vocabulary: dict[str, int]):
+def _documents_with(terms: _Terms):
     """In how many texts each term of the vocabulary stands, by number, summed over a task."""
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = _Terms(vocabulary)
-        counts = np.zeros(len(vocabulary), np.int64)
+    def standing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(terms.none, np.int64)
         for batch in batches:
-            for text in batch.column(0).cast(pa.binary()):
-                counts[count_terms(text.as_py(), terms)[0]] += 1
+            for numbers, _ in counted(batch.column(0), terms):
+                counts[numbers] += 1
         found = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], names=["number", "n"])
 
-    return counted
+    return standing
 
 
 def _likelihood_ratio(a: Column, n1: float, b: Column, n0: float) -> Column:
@@ -327,25 +367,25 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     often = (F.col("n1") >= SUPPORT) & (F.col("n1") * n0 > LIFT * F.col("n0") * n1)
     telling = often & (ratio > 2 * math.log(max(tested, 2)))
     # Bounded by the sampled rows: their words, and of the beginnings those that tell.
-    marked = present.select("term", telling.alias("telling")).where("telling OR term NOT LIKE '%*'")
+    marked = present.select("term", telling.alias("telling"), (F.col("n0") + F.col("n1")).alias("n")).where("telling OR term NOT LIKE '%*'")
     terms = marked.orderBy("term").toArrow()
-    vocabulary = {term: i for i, term in enumerate(terms.column("term").to_pylist())}
+    # Frequent ones first, so that they lie together in memory.
+    order = np.argsort(-terms.column("n").to_numpy(), kind="stable")
+    known = _Terms(zip(terms.column("term").cast(pa.binary()).take(order).to_pylist(), order.tolist(), strict=True))
     texts = docs.select(F.coalesce(F.col(text), F.lit("")).alias("content"))
-    standing = texts.mapInArrow(_documents_with(vocabulary), "number bigint, n bigint")
+    standing = texts.mapInArrow(_documents_with(known), "number bigint, n bigint")
     standing = standing.groupBy("number").agg(F.sum("n").alias("n")).toArrow()
     total = docs.count()
-    n = np.zeros(len(vocabulary))
+    n = np.zeros(known.none)
     n[standing.column("number").to_numpy()] = standing.column("n").to_numpy()
     stress = np.where(terms.column("telling").to_numpy(zero_copy_only=False).astype(bool), STRESS, 1)
     weights = np.log((total + 1) / (n + 0.5)) * stress
 
     @F.arrow_udf("struct<terms:array<bigint>,tf:array<double>>")
     def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known = _Terms(vocabulary)
         kind = pa.struct([("terms", pa.list_(pa.int64())), ("tf", pa.list_(pa.float64()))])
         for batch in batches:
-            counted = (count_terms(t.as_py(), known) for t in batch.cast(pa.binary()))
-            yield pa.array([{"terms": a, "tf": b} for a, b in counted], kind)
+            yield pa.array([{"terms": a, "tf": b} for a, b in counted(batch, known)], kind)
 
     # A bounded number of rows, each the terms of a text.
     rows = sample.select("key", "label", found("content").alias("found")).toArrow().to_batches()
@@ -356,7 +396,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
             batch.column("key").to_pylist(), batch.column("label").to_pylist(), batch.column("found"), strict=True
         )
     ]
-    return Model(vocabulary, weights, examples, counts)
+    return Model(known, weights, examples, counts)
 
 
 JUDGED = "struct<score:double,evidence:array<struct<key:bigint,label:int,cosine:double>>>"
@@ -372,12 +412,10 @@ def judge(text: Column, model: Model | float) -> Column:
 
     @F.arrow_udf(JUDGED)
     def judged(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        terms = _Terms(model.vocabulary)
         for batch in batches:
             out = []
-            texts = batch.cast(pa.binary())
-            for first in range(0, len(texts), TOGETHER):
-                some = [count_terms(value.as_py(), terms) for value in texts[first : first + TOGETHER]]
+            texts = counted(batch, model.terms)
+            while some := list(islice(texts, TOGETHER)):
                 for score, found in model.judge_all(some):
                     near = [{"key": e.key, "label": e.label, "cosine": c} for e, c in found]
                     out.append({"score": score, "evidence": near})

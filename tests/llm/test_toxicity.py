@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from test_quality import LABELS, area
 
 from tagpulse.llm import queries, toxicity
@@ -77,6 +78,39 @@ def test_few_examples_are_looked_at_where_all_share_common_words(monkeypatch):
     assert model.index.nearest_of([*texts, (np.zeros(0, np.int64), np.zeros(0))], 15) == [*got, []]
 
 
+def test_only_the_nearest_are_looked_at_again(monkeypatch):
+    """Where no two examples are alike, hardly more than are asked for."""
+    rng, terms = random.Random(10), 500
+    examples = [(i, i % 2, *vector_of(Counter(rng.choices(range(terms), k=80)))) for i in range(600)]
+    weights = np.array([rng.uniform(0.5, 4) for _ in range(terms)])
+    model = toxicity.Model({str(t): t for t in range(terms)}, weights, examples, {0: 900, 1: 100})
+    looked = []
+    cosines = toxicity.Index._cosines
+    monkeypatch.setattr(toxicity.Index, "_cosines", lambda self, b, q: looked.append(cosines(self, b, q)) or looked[-1])
+    near = model.index.nearest_of([(t, model.vector(t, tf)) for _, _, t, tf in examples[:200]], 15)
+    assert all(len(found) == 15 for found in near)
+    assert sum(len(rows) for _, rows in looked) / len(looked) < 16
+
+
+def test_terms_of_many_texts_are_counted_together(monkeypatch):
+    vocabulary = ["vile", "vile*", "vilest", "vilest*", "other", "été", "étéét*", "élan*", "a", "élancé"]
+    vocabulary = {term: (i * 7) % len(vocabulary) for i, term in enumerate(vocabulary)}
+    said = ["vile", "VILEST", "vilestly", "vilely", "vil", "other", "otherwise", "été", "étéétéété", "élan", "élancé", "a", "b"]
+    rng = random.Random(11)
+    texts = [" ".join(rng.choices(said, k=rng.randint(0, 30))) for _ in range(300)] + ["", "b", "vile " * 50_000]
+    expected = []
+    for text in texts:
+        terms = Counter(t for word in text.lower().split() for t in toxicity.terms_of(word.encode()) if t in vocabulary)
+        expected.append(sorted((vocabulary[t], n) for t, n in terms.items()))
+    sorts = []
+    unique = np.unique
+    monkeypatch.setattr(np, "unique", lambda *a, **more: sorts.append(1) or unique(*a, **more))
+    known = toxicity._Terms((t.encode(), n) for t, n in vocabulary.items())
+    got = list(toxicity.counted(pa.array(texts), known))
+    assert [list(zip(t.tolist(), tf.tolist(), strict=True)) for t, tf in got] == expected
+    assert len(sorts) <= 3 and list(toxicity.counted(pa.array([], pa.string()), known)) == []
+
+
 def test_copies_of_examples_find_them(spark):
     """Also of toxic ones made of rare words, and where many examples are copies."""
     rng = random.Random(8)
