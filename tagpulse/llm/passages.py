@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tagpulse.llm.shared import free_names, settle
+from tagpulse.llm.shared import free_names, new_folder, remove_folder, settle
 from tagpulse.llm.words import SPANS, without_spans, words
 
 SHINGLE = 5
@@ -324,9 +324,10 @@ def _stretches(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Arra
         yield pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(sizes)), pa.int32()), flat)
 
 
-def links(docs: DataFrame) -> DataFrame:
-    """(doc, src, src_at) for documents (doc, text): positions of shared signatures and stretches."""
-    found = settle(docs.where("text IS NOT NULL").mapInArrow(_windows, _WINDOWS), "windows")
+def links(docs: DataFrame, folder: str) -> DataFrame:
+    """(doc, src, src_at) for documents (doc, text): positions of shared signatures and stretches.
+    Its tables are in ``folder``, which may go when the result is settled."""
+    found = settle(docs.where("text IS NOT NULL").mapInArrow(_windows, _WINDOWS), "windows", inside=folder)
     # One row for a signature and task at most is grouped here, however often it occurs.
     group = Window.partitionBy("sig").orderBy("doc", "at").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     firsts = (
@@ -334,10 +335,13 @@ def links(docs: DataFrame) -> DataFrame:
         .select("sig", "doc", "at", F.first(F.struct("doc", "at")).over(group).alias("head"), F.sum("n").over(group).alias("n"))
         .where("n > 1")
     )
-    firsts = settle(firsts, "groups")
+    firsts = settle(firsts, "groups", inside=folder)
+    others = settle(found.where("n IS NULL").select("sig", "doc", "at"), "others", inside=folder)
+    # Most signatures are in one document: what repeats is settled, the rest of no more use.
+    remove_folder(docs.sparkSession, f"{folder}/windows")
     heads = firsts.where("doc = head.doc AND at = head.at").select("sig", "head", "n").distinct()
-    others = found.where("n IS NULL").select("sig", "doc", "at").join(heads, "sig")
-    members = firsts.select("sig", "doc", "at", "head", "n").union(others.select("sig", "doc", "at", "head", "n"))
+    others = others.join(heads, "sig").select("sig", "doc", "at", "head", "n")
+    members = firsts.select("sig", "doc", "at", "head", "n").union(others)
     by_signature = members.where("doc <> head.doc").select("doc", F.col("head.doc").alias("src"), F.col("head.at").alias("src_at"))
     # The head of a larger group may lack what two others share: they meet by their stretches.
     wanted = (
@@ -347,7 +351,7 @@ def links(docs: DataFrame) -> DataFrame:
     )
     keyed = docs.join(wanted, docs["doc"] == wanted["__doc"])
     keyed = keyed.select("doc", F.explode(F.arrow_udf(_stretches, _KEYS)("text", "wanted")).alias("k"))
-    keyed = settle(keyed.select("k.key", "doc", "k.at"), "stretches")
+    keyed = settle(keyed.select("k.key", "doc", "k.at"), "stretches", inside=folder)
     first = keyed.groupBy("key").agg(F.min(F.struct("doc", "at")).alias("head"), F.max("doc").alias("last"))
     by_stretch = keyed.join(first.where("last > head.doc").select("key", "head"), "key").where("doc <> head.doc")
     return by_signature.union(by_stretch.select("doc", F.col("head.doc").alias("src"), F.col("head.at").alias("src_at")))
@@ -543,7 +547,11 @@ def find(docs: DataFrame, *, key: str = "doc_id", text: str = "text", into: str
         F.floor(F.greatest(F.col("src_at") - WORDS, F.lit(0)) / BLOCK).cast("int"),
         F.floor((F.col("src_at") + WORDS + SHINGLE) / BLOCK).cast("int"),
     )
-    wants = settle(links(narrow).select("doc", "src", F.explode(reach).alias("block")).distinct(), "wants")
+    spark = docs.sparkSession
+    folder, linked = new_folder(spark, "copied"), new_folder(spark, "links")
+    wanted_blocks = links(narrow, linked).select("doc", "src", F.explode(reach).alias("block")).distinct()
+    wants = settle(wanted_blocks, "wants", inside=folder)
+    remove_folder(spark, linked)
     src, wanted, doc, held = free_names([*docs.columns, into], "__src", "__wanted", "__doc", "__blocks")
     sources = wants.groupBy(F.col("src").alias(src)).agg(F.collect_set("block").alias(wanted))
     # Joined as below, so that one shuffle of the texts serves both where all columns are wanted.

@@ -6,11 +6,13 @@ import atexit
 import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,20 +30,33 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, name: str) -> str:
     """A name for a folder that all executors share; it goes when the interpreter ends."""
     path = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
-    atexit.register(_remove, spark, path)
+    atexit.register(remove_folder, spark, path)
     return path
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
+def settle(df: DataFrame, name: str, *, inside: str | None = None) -> DataFrame:
     """Write a table once and read it back: lineage ends, and a lost executor costs no more
-    than rereading files. The files go when the interpreter ends."""
+    than rereading files. The files go when the interpreter ends, or with the folder
+    ``inside``; there, shuffle files of the write go with its end."""
     spark = df.sparkSession
-    path = new_folder(spark, name)
-    df.write.parquet(path)
+    path = f"{inside}/{name}" if inside else new_folder(spark, name)
+    with _shuffles_once(spark) if inside else contextlib.nullcontext():
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+@contextlib.contextmanager
+def _shuffles_once(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go with the query that made them, not when the driver collects garbage."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
     with contextlib.suppress(Exception):  # the session, or its JVM, may be gone by now
         context = spark.sparkContext
         folder = context._jvm.org.apache.hadoop.fs.Path(path)

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import random
+import time
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -9,6 +11,7 @@ import pyarrow.parquet as pq
 import pytest
 
 from tagpulse.llm import passages, queries
+from tagpulse.llm.shared import shared_folder
 from tagpulse.llm.words import words
 
 
@@ -316,3 +319,23 @@ def test_blocks_shorter_than_a_passage():
         block = [{"source": 1, "block": 0, "words": " ".join(f"w{i}" for i in range(n))}]
         got = passages.copied_in(" ".join(f"w{i}" for i in range(60)).encode(), block, hash_of)
         assert len(got) == (n >= passages.WORDS)
+
+
+def test_tables_and_shuffle_files_go_when_they_are_used_up(spark):
+    """All that is left of finding the links is which blocks to fetch."""
+    shared = " ".join(f"s{i}" for i in range(70))
+    texts = [(i, " ".join(f"w{i}x{k}" for k in range(80)) + " " + shared) for i in range(30)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    held = Path(shared_folder(spark))
+    before, conf = set(held.iterdir()), spark.conf.getAll
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = blocks.getAllFiles().size()
+    found = passages.find(docs)
+    deadline = time.monotonic() + 20  # they are removed in the background
+    while blocks.getAllFiles().size() > files and time.monotonic() < deadline:
+        time.sleep(0.1)
+    assert blocks.getAllFiles().size() <= files
+    left = {p.parent.name for new in set(held.iterdir()) - before for p in new.rglob("*.parquet")}
+    assert left == {"wants"} and spark.conf.getAll == conf
+    spans = {r["doc_id"]: r["copied"] for r in found.collect()}
+    assert spans[0] == [] and all(spans[i][0]["source"] == 0 and spans[i][0]["last"] == 149 for i in range(1, 30))
