@@ -290,3 +290,12 @@ def test_every_task_has_a_file_of_each_trigger(spark, tmp_path, monkeypatch):
     stream.writeStream.foreachBatch(write).trigger(availableNow=True).start().awaitTermination()
     counts = [row.n for row in messages.groupBy("slice").agg(F.count("*").alias("n")).orderBy("slice").collect()]
     assert [n for _, n in sizes] == counts and len(list(tmp_path.glob("in/*.parquet"))) == 4 * files
+
+
+def test_messages_go_once_the_job_has_taken_them(spark, tmp_path):
+    from tagpulse.plans import catalog
+
+    messages = spark.range(40).selectExpr("CAST(id AS STRING) AS value", "CAST(id % 4 AS INT) AS slice")
+    folder, seen = tmp_path / "in", []
+    catalog._halves(messages, str(folder), 2, lambda: seen.append(sorted(int(row.value) % 4 for row in spark.read.parquet(str(folder)).collect())))
+    assert seen == [[0] * 10 + [1] * 10, [2] * 10 + [3] * 10] and not folder.exists()

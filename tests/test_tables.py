@@ -3,16 +3,18 @@ from __future__ import annotations
 import datetime
 import pathlib
 import random
+import time
 import uuid
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagpulse.operators.puts import CELL_KEY, merge_cells
+from tagpulse.operators.puts import CELL_KEY, cells, merge_cells
 from tagpulse.operators.serving import cells_by_prefix, row_cells
 from tagpulse.schemas import CELLS, WRITTEN
-from tagpulse.session import run_folder, shared_dir
+from tagpulse.session import run_folder, shared_dir, shuffles_once
+from tagpulse.streaming import tables
 from tagpulse.streaming.delivery import deliver
 from tagpulse.streaming.store import Store
 from tagpulse.streaming.tables import BatchTable, KeyedTable
@@ -194,6 +196,116 @@ def test_merged_rows_are_written_and_shuffled_once(spark, table, monkeypatch):
     assert written == [("merged", 1)] and current(table) == {("k", "a"): "3", ("l", "a"): "3"}
 
 
+def shuffle_files(spark):
+    """Names of the shuffle files that are there, when none is being removed any more."""
+    disk, names, before = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager(), None, ()
+    while names != before:
+        time.sleep(0.5)
+        before, files = names, disk.getAllFiles()
+        names = {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+    return names
+
+
+def test_a_merge_leaves_no_shuffle_files(spark, table):
+    before = shuffle_files(spark)
+    for value in ("1", "2"):
+        table.merge(rows(spark, *[(f"k{i}", "a", value) for i in range(300)]).repartition(3), "w", int(value))
+    puts = rows(spark, ("k7", "a", "3"))
+    table.merge_into(puts, puts, "w", 3)
+    assert shuffle_files(spark) <= before
+    assert current(table) == {(f"k{i}", "a"): "3" if i == 7 else "2" for i in range(300)}
+
+
+def test_shuffle_files_stay_as_set_outside_merges(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    with shuffles_once(spark), shuffles_once(spark):
+        assert spark.conf.get(name) == "true"
+    assert spark.conf.get(name) == before
+    spark.conf.set(name, "false")
+    try:
+        with shuffles_once(spark):
+            with shuffles_once(spark):
+                pass
+            assert spark.conf.get(name) == "true"
+        assert spark.conf.get(name) == "false"
+    finally:
+        spark.conf.unset(name)
+
+
+@pytest.fixture
+def small_rounds(monkeypatch):
+    """Rounds of as few partitions as there can be, once something is stored."""
+    monkeypatch.setattr(tables, "TASK_BYTES", 1)
+    monkeypatch.setattr(tables, "TASKS_PER_CORE", 0)
+
+
+def test_a_large_batch_is_merged_in_rounds(spark, tmp_path, small_rounds, monkeypatch):
+    table = KeyedTable(spark, str(tmp_path / "cells"), STORED, CELL_KEY, partition_by=["table"], bucket_by=["table", "row_key"], buckets=6)
+    table.merge(rows(spark, *[(f"k{i}", "a", "1") for i in range(100)]), "w", 0)
+    merged, put_in_place = [], KeyedTable._put_in_place
+
+    def counting(self, folder, writer):
+        found = [path.name for path in pathlib.Path(folder).glob("*/bucket=*")]
+        merged.extend([found] if found else [])
+        if len(merged) == 3:
+            raise RuntimeError("lost")
+        put_in_place(self, folder, writer)
+
+    monkeypatch.setattr(KeyedTable, "_put_in_place", counting)
+    update = rows(spark, *[(f"k{i}", "a", "2") for i in range(0, 100, 2)], ("new", "a", "2"), version=1)
+    with pytest.raises(RuntimeError, match="lost"):
+        table.merge(update, "w", 1)
+    expected = {("new", "a"): "2"} | {(f"k{i}", "a"): "1" if i % 2 else "2" for i in range(100)}
+    assert current(table) != expected
+    table.merge(update, "w", 1)  # the replay
+    # what was merged before the driver died is put in place, then all partitions are merged
+    assert current(table) == expected and [len(found) for found in merged] == [1] * (3 + 1 + 6)
+    table.merge_into(update, update.select("table", "row_key"), "w", 1)
+    assert current(table) == expected and [len(found) for found in merged] == [1] * (3 + 1 + 6 + 6)
+
+
+def test_tasks_share_what_has_grown_large(spark, tmp_path, small_rounds):
+    table = KeyedTable(spark, str(tmp_path / "cells"), STORED, CELL_KEY, partition_by=["table"], bucket_by=["table", "row_key"], buckets=2)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for batch_id in range(2):
+            values = [(f"k{i}", name, str(batch_id)) for i in range(200 + 100 * batch_id) for name in "abc"]
+            table.merge(rows(spark, *values), "w", batch_id)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [len(paths) for paths in files(table).values()] == [4, 4]  # all shuffle partitions of the tests
+    assert current(table) == {(f"k{i}", name): "1" for i in range(300) for name in "abc"}
+    # what is read together is stored together
+    assert table.rows().groupBy("row_key").agg(F.countDistinct("_metadata.file_path").alias("n")).filter("n > 1").count() == 0
+
+
+def test_partitions_of_null_and_of_odd_names_go_in_rounds(spark, tmp_path, small_rounds):
+    schema = T.StructType([T.StructField("place", T.StringType()), T.StructField("n", T.IntegerType()), T.StructField("at", T.IntegerType())])
+    table = KeyedTable(spark, str(tmp_path / "odd"), schema, ["place", "n"], order=(), partition_by=["place"], buckets=2)
+    names = [None, "-", "a/b", "a=b", "100%", "é ü", "x#y"]
+    for batch_id in range(2):
+        batch = [(name, n, batch_id) for name in names for n in range(6 + 2 * batch_id)]
+        table.merge(spark.createDataFrame(batch, schema), "w", batch_id)
+    found = sorted(map(tuple, table.latest().collect()), key=str)
+    assert found == sorted(((name, n, 1) for name in names for n in range(8)), key=str)
+
+
+def test_a_round_makes_the_puts_of_its_own_table(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "tables"))
+    puts = Store._question_puts(spark.createDataFrame([], store.questions.schema)).withColumn("written", F.lit(None).cast("timestamp"))
+    tagged = store.cells._tagged(cells(puts, "version", "written"), 0)
+
+    def plan(*places):
+        return tagged.filter(store.cells._within(places))._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "Window" in plan(("stackoverflow_qna", 1), ("stackoverflow_tag_index", 1))
+    assert "Window" not in plan(("stackoverflow_qna", 1), ("stackoverflow_qna", 2))
+    index = plan(("stackoverflow_tag_index", 1))
+    # only the tags of the round reach the shuffle of the index
+    assert "Union" not in index and "xxhash64(stackoverflow_tag_index" in index.partition("Window ")[2]
+
+
 def scanned(found):
     """What the scans of a result read, in its first run: files and rows."""
     found.collect()
